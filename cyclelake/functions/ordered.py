@@ -99,3 +99,23 @@ class OrderedSeries:
         carried = self._carried({"_s": F.count(F.lit(1))}, {"_c": lambda w: F.sum("_s").over(w)})
         df = self._with(self.df.withColumn(name, F.row_number().over(self.window).cast("bigint")), carried)
         return df.withColumn(name, F.col(name) + F.coalesce(F.col("_c"), F.lit(0))).drop("_c", SLICE)
+
+
+def as_of_value(left, right, keys, left_order, right_order, value, name, inclusive=True, width=60,
+                max_rows=MAX_SLICE_ROWS) -> DataFrame:
+    """``left`` plus ``name``: the value of the latest ``right`` row of the same keys at or before (strictly
+    before when not ``inclusive``) the left row, null when there is none. Both sides are merged into one
+    ordered series, so no pairs are built. ``left_order`` and ``right_order`` are (timestamp, id)."""
+    rank = 0 if inclusive else 2
+    marks = right.select(
+        *keys, F.col(right_order[0]).alias("_ts"), F.lit(rank).alias("_side"),
+        F.col(right_order[1]).cast("string").alias("_id"), F.struct(value.alias("v")).alias("_mark"),
+    )
+    asked = left.select(
+        *keys, F.col(left_order[0]).alias("_ts"), F.lit(1).alias("_side"),
+        F.col(left_order[1]).cast("string").alias("_id"), F.struct(*left.columns).alias("_row"),
+    )
+    both = asked.unionByName(marks, allowMissingColumns=True)
+    series = OrderedSeries(both, keys, ["_ts", "_side", "_id"], width, max_rows)
+    stamped = series.with_last_seen(_found=F.col("_mark")).filter(F.col("_side") == 1)
+    return stamped.select("_row.*", F.col("_found.v").alias(name))

@@ -102,7 +102,7 @@ select event_id as reading_id, 'oven-' || lpad(cast(user_id % 20 as string), 2,
   case event_type when 'error' then 'moisture' when 'purchase' then 'vacuum' when 'signup' then 'vacuum'
     else 'temperature' end as sensor_type, value,
   case event_type when 'error' then 'ppm' when 'purchase' then 'mbar' when 'signup' then 'mbar' else 'degC' end as unit,
-  case when event_id % 23 = 0 then 'Bad' when event_id % 29 = 0 then 'Uncertain' else 'Good' end as quality,
+  case when event_id % 2300 between 100 and 399 then 'Bad' when event_id % 29 = 0 then 'Uncertain' else 'Good' end as quality,
   case when (event_id - event_id % 500) % 1500 = 0 then null
     else cast(event_id - event_id % 500 as string) || '-' || cast(user_id % 20 as string) end as order_id
 from events""",
