@@ -91,9 +91,9 @@ QUERIES = {
   qualify row_number() over (partition by oven_id, sensor_type order by {NEWEST}) = 1"""),
     ),
     "retain_last_n": (
-        lambda lake: st.retain_last_n(lake.view("ad_live"), 500).select("oven_id", "sensor_type", "reading_id", "value"),
+        lambda lake: st.retain_last_n(lake.view("ad_live"), 100).select("oven_id", "sensor_type", "reading_id", "value"),
         sql(f"""select oven_id, sensor_type, reading_id, value from ad_live
-  qualify row_number() over (partition by oven_id, sensor_type order by {NEWEST}) <= 500"""),
+  qualify row_number() over (partition by oven_id, sensor_type order by {NEWEST}) <= 100"""),
     ),
     "historian_query": (
         lambda lake: st.historian_query(
