@@ -131,6 +131,127 @@ from ad_orders where o_orderstatus = 'P' and o_orderpriority = '1-URGENT'
 union all select order_id || 'X', order_id || 'X-OPR-010', cast(1 as double), start_ts, end_ts, operator_id,
   cast(o_orderkey % 900 as double), true, end_ts, cast(null as string)
 from ad_orders where o_orderstatus = 'O' and o_orderpriority = '3-MEDIUM'""",
+    # Messages as JSON text; some carry a defect chosen by their number.
+    "m_readings": """
+select event_id, plant, oven_id, sensor_type, 'factory/' || case when event_id % 53 = 0 then 'kirchheim' else plant end
+  || '/' || oven_id || '/' || sensor_type as topic, timestamp_opc, timestamp_mqtt, case event_id % 41 when 0 then 'not json'
+  when 1 then '["a", 1]' else '{"reading_id": "' || substr(h, 1, 8) || '-' || substr(h, 9, 4)
+  || case event_id % 41 when 9 then '-1' else '-4' end || substr(h, 14, 3) || '-a' || substr(h, 18, 3) || '-' || substr(h, 21, 12)
+  || '", "order_id": ' || case event_id % 41 when 14 then '7' else coalesce('"' || order_id || '"', 'null') end
+  || ', "oven_id": "' || case event_id % 41 when 8 then 'oven-1' else oven_id end
+  || '", "plant": "' || case event_id % 41 when 13 then 'paris' else plant end
+  || '", "sensor_type": "' || sensor_type || '"' || case event_id % 41 when 2 then '' else ', "value": '
+    || case event_id % 41 when 3 then '"abc"' when 4 then '"1.5"' when 5 then 'true' when 6 then 'NaN'
+      else cast(value as string) end end
+  || ', "unit": "' || case event_id % 41 when 7 then 'bar' when 15 then 'ppm' else unit end
+  || '", "quality": ' || case event_id % 41 when 12 then 'null' else '"' || quality || '"' end
+  || ', "timestamp_opc": "' || replace(cast(date_trunc('second', timestamp_opc) as string), ' ', 'T')
+  || case event_id % 41 when 11 then '+02:00' else 'Z' end
+  || '", "timestamp_mqtt": "' || replace(cast(date_trunc('second', timestamp_mqtt) as string), ' ', 'T') || 'Z"'
+  || case event_id % 41 when 10 then ', "_meta": {"a": 1}' else '' end || '}' end as raw_payload
+from (select reading_id as event_id, md5(cast(reading_id as string)) as h, plant, oven_id, sensor_type, value, unit, quality,
+  order_id, timestamp_opc, timestamp_mqtt from ad_live) numbered""",
+    "m_states": """
+select reading_id as event_id, '{"oven_id": ' || case reading_id % 31 when 1 then '5' else '"' || oven_id || '"' end
+  || ', "order_id": ' || case reading_id % 31 when 2 then '"ORD-1"' when 3 then 'null' else '"ORD-2026-00042"' end
+  || ', "status": "' || case reading_id % 31 when 4 then 'fault' when 3 then 'idle' else 'running' end
+  || '", "temperature_degC": ' || case reading_id % 31 when 5 then '"hot"' when 3 then 'null' else cast(value as string) end
+  || ', "moisture_ppm": ' || case reading_id % 31 when 6 then 'false' else '12' end
+  || ', "cycle_elapsed_minutes": ' || case reading_id % 31 when 7 then '-1' else '3.5' end
+  || ', "moisture_threshold_met": ' || case reading_id % 31 when 8 then '1' when 9 then 'null' else 'true' end
+  || ', "timestamp": "2026-06-03T08:32:14' || case reading_id % 31 when 10 then '' else '.5Z' end || '"}' as raw_payload
+from ad_live""",
+    "m_answers": """
+select o_orderkey, '{"order_id": "' || order_id || '", "count": ' || case o_orderkey % 29 when 1 then '"2"' when 2 then '-1'
+    when 3 then '3' when 4 then '1.0' when 5 then '1' else '2' end
+  || case o_orderkey % 29 when 6 then '' when 7 then ', "readings": {}' else ', "readings": [{"reading_id": "'
+    || case o_orderkey % 29 when 8 then 'x' else '00000000-0000-4000-8000-000000000001' end
+    || '", "timestamp_opc": "2026-06-03T07:00:00Z", "sensor_type": "temperature", "value": '
+    || case o_orderkey % 29 when 9 then 'null' else '95.1' end || ', "unit": "degC", "quality": "Good"}'
+    || case o_orderkey % 29 when 5 then '' when 10 then ', 17' else ', {"reading_id": "00000000-0000-4000-8000-000000000002", '
+    || '"timestamp_opc": "2026-06-03T07:05:00Z", "sensor_type": "moisture", "value": 7, "unit": "'
+    || case o_orderkey % 29 when 11 then 'pct' else 'ppm' end || '", "quality": "Bad"}' end || ']' end || '}' as raw_payload
+from ad_orders""",
+    "m_order_states": """
+select o_orderkey, '{"order_id": "' || order_id || '", "status": "' || case o_orderkey % 23 when 1 then 'CLOSED'
+    when 2 then 'in-progress' else 'closed' end || '", "operator_id": ' || case o_orderkey % 23 when 3 then '7'
+    when 4 then 'null' else '"' || operator_id || '"' end || ', "cycle_confirmed_at": ' || case o_orderkey % 23
+    when 5 then '"yesterday"' when 4 then 'null' else '"2026-06-03T13:58:00Z"' end
+  || case o_orderkey % 23 when 6 then '' when 7 then ', "quality_check_passed": "yes"' else
+    ', "quality_check_passed": true' end || '}' as raw_payload
+from ad_orders""",
+    "m_confirmations": """
+select o_orderkey, '{"order_id": "' || order_id || '"' || case o_orderkey % 19 when 1 then '' else
+    ', "sap_confirmation_number": "' || case o_orderkey % 19 when 2 then 'C-1' else 'CONF-2026-00891' end || '"' end
+  || ', "status": ' || case o_orderkey % 19 when 3 then 'null' when 4 then '"OPEN"' else '"CONFIRMED"' end
+  || ', "posted_at": "' || replace(cast(end_ts as string), ' ', 'T') || case o_orderkey % 19 when 5 then '' else 'Z' end
+  || '"}' as raw_payload
+from ad_orders""",
+    "m_orders": """
+select o_orderkey, '{"order_id": "' || order_id || '", "material_id": "' || material_id || '", "plant": "' || plant
+  || '", "oven_id": "' || case o_orderkey % 37 when 1 then 'OVEN-01' else oven_id end
+  || '", "planned_start": "' || replace(cast(planned_start as string), ' ', 'T') || 'Z", "planned_end": '
+  || case o_orderkey % 37 when 2 then 'null' else '"' || replace(cast(planned_end as string), ' ', 'T') || 'Z"' end
+  || ', "standard_cycle_minutes": ' || case o_orderkey % 37 when 3 then '0' when 4 then '480.5' when 5 then 'true' else '480' end
+  || ', "status": "' || case o_orderkey % 37 when 6 then 'RUNNING' else 'RELEASED' end
+  || '", "operator_id": ' || case o_orderkey % 37 when 7 then '3' else 'null' end
+  || case o_orderkey % 37 when 8 then '' else ', "actual_start": null' end || ', "actual_end": '
+  || case o_orderkey % 37 when 9 then '"soon"' else '"' || replace(cast(end_ts as string), ' ', 'T') || 'Z"' end
+  || ', "sap_confirmation_number": null, "goods_movement_posted": ' || case o_orderkey % 37 when 10 then '"no"' else 'false' end
+  || ', "created_at": "2026-06-02T14:30:00Z", "updated_at": "2026-06-02T14:30:00Z"}' as raw_payload
+from ad_orders""",
+    "m_materials": """
+select p_partkey, '{"material_id": "MAT-' || lpad(cast(p_size as string), 4, '0') || '", "material_description": "'
+  || case p_partkey % 29 when 1 then '' else p_name end || '", "insulation_class": "' || case p_partkey % 29 when 2 then 'C'
+    else 'H' end || '", "target_moisture_ppm": ' || case p_partkey % 29 when 3 then '300.5' else '300' end
+  || case p_partkey % 29 when 4 then '' else ', "standard_cycle_minutes": ' || cast(10 * p_size as string) end
+  || case p_partkey % 29 when 5 then '' when 4 then '' else ', "max_cycle_minutes": ' || case p_partkey % 29 when 6
+    then 'null' when 7 then cast(10 * p_size as string) else cast(12 * p_size as string) end end
+  || ', "target_temperature_degC": ' || case p_partkey % 29 when 8 then '-1.5' else '130.0' end
+  || ', "target_vacuum_mbar": ' || case p_partkey % 29 when 9 then '"5"' else '5' end
+  || ', "weight_kg": ' || case p_partkey % 29 when 10 then 'true' else cast(p_retailprice as string) end
+  || ', "updated_at": "2026-06-01T00:00:00Z"}' as raw_payload
+from part""",
+    "m_movements": """
+select o_orderkey, '{"document_number": "GR-2026-' || case o_orderkey % 23 when 1 then '12' else '003891' end
+  || '", "order_id": "' || order_id || '", "material_id": "' || material_id || '", "movement_type": "'
+  || case o_orderkey % 23 when 2 then 'GI' else 'GR_PRODUCTION' end || '", "quantity": '
+  || case o_orderkey % 23 when 3 then '0' when 4 then '"1"' when 5 then '1.5' else '1' end
+  || ', "unit": "' || case o_orderkey % 23 when 6 then '' else 'EA' end || '", "posting_date": "'
+  || case o_orderkey % 23 when 7 then '03.06.2026' else '2026-06-03' end || '"' || case o_orderkey % 23 when 8 then ''
+    else ', "storage_location": "WH-01"' end || ', "posted_at": "2026-06-03T14:00:05Z", "status": "'
+  || case o_orderkey % 23 when 9 then 'draft' else 'posted' end || '"}' as raw_payload
+from ad_orders""",
+    "m_events": """
+select o_orderkey, '{"event_id": "00000000-0000-' || case o_orderkey % 43 when 1 then '5' else '4' end
+  || '000-9000-000000000001", "event_type": "' || event_type || '", "order_id": "' || order_id || '", "oven_id": "'
+  || oven_id || '", "operator_id": ' || case o_orderkey % 43 when 2 then 'null' when 3 then '[]' else '"' || operator_id || '"' end
+  || ', "timestamp": "' || replace(cast(start_ts as string), ' ', 'T') || 'Z"' || case o_orderkey % 43 when 4 then ''
+    when 5 then ', "payload": null' when 6 then ', "payload": "text"' when 7 then ', "payload": {}' else ', "payload": '
+    || case event_type when 'cycle_started' then '{"setpoint_temperature_degC": ' || case o_orderkey % 43 when 8 then '"a"'
+        when 9 then 'true' else '130' end || ', "setpoint_vacuum_mbar": 5.5}'
+      when 'cycle_confirmed' then '{"sap_confirmation_number": ' || case o_orderkey % 43 when 8 then '5' else '"CONF"' end
+        || ', "goods_movement_document": "GR"}'
+      when 'cycle_aborted' then '{"reason": ' || case o_orderkey % 43 when 8 then 'null' else '"stop"' end || '}'
+      when 'cycle_timeout' then '{"elapsed_minutes": ' || case o_orderkey % 43 when 8 then '1.5' else '700' end
+        || ', "max_cycle_minutes": 600}'
+      else '{"error_code": "E1", "error_message": "text"}' end end || '}' as raw_payload
+from (select *, case o_orderkey % 6 when 0 then 'cycle_started' when 1 then 'cycle_confirmed' when 2 then 'cycle_aborted'
+  when 3 then 'cycle_timeout' when 4 then 'sap_confirmation_failed' else 'order_started' end as event_type from ad_orders) typed""",
+    "m_gold": """
+select o_orderkey, '{"order_id": "' || order_id || '", "material_id": "' || material_id || '", "material_description": '
+  || case o_orderkey % 31 when 1 then 'null' else '"unit"' end || ', "plant": "' || plant || '", "oven_id": "' || oven_id
+  || '", "cycle_start_time": "' || replace(cast(start_ts as string), ' ', 'T') || case o_orderkey % 31 when 2 then '' else 'Z' end
+  || '", "cycle_end_time": "' || replace(cast(end_ts as string), ' ', 'T') || 'Z", "actual_duration_minutes": '
+  || case o_orderkey % 31 when 3 then '"500"' when 4 then '500.5' else '500' end || ', "standard_cycle_minutes": 480'
+  || ', "delta_minutes": ' || case o_orderkey % 31 when 5 then '25' when 4 then '20.5' else '20' end
+  || ', "peak_temperature_degC": 121.4, "min_vacuum_mbar": 5' || case o_orderkey % 31 when 6 then '' else
+    ', "final_moisture_ppm": ' || cast(o_orderkey % 500 as string) end || ', "target_moisture_ppm": '
+  || case o_orderkey % 31 when 7 then '300.5' else '300' end || ', "spec_met": ' || case o_orderkey % 31 when 8 then 'true'
+    when 9 then '1' else case when o_orderkey % 500 < 300 then 'true' else 'false' end end
+  || ', "sap_confirmation_number": ' || coalesce('"' || sap_confirmation_number || '"', 'null')
+  || ', "goods_movement_posted": ' || case when has_movement then 'true' else 'false' end || '}' as raw_payload
+from ad_orders""",
     "order_state": """
 select order_id, lower(case when o_orderstatus = 'F' then 'closed' else 'in-progress' end) as status, operator_id,
   case when o_orderstatus = 'F' then o_totalprice >= 100000 end as quality_check_passed from ad_orders""",
