@@ -27,22 +27,34 @@ ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
 
 class Json:
-    """Typed access to the top-level fields of a variant column (or of an array element)."""
+    """Typed access to the fields of a variant. With a ``seen`` dict the type and text of each used path become
+    columns (filled by ``check``), so that no path is read twice; without it they are read in place."""
 
-    def __init__(self, variant: Column):
-        self.variant = variant
+    def __init__(self, variant: Column, seen: dict | None = None, prefix: str = ""):
+        self.variant, self.seen, self.prefix = variant, seen, prefix
+
+    def child(self, field: str) -> Json:
+        """The object below ``field``."""
+        return Json(self.variant, self.seen, f"{self.prefix}{field}.")
+
+    def _read(self, field: str) -> tuple[Column, Column]:
+        path = f"$.{self.prefix}{field}"
+        kind = F.schema_of_variant(F.try_variant_get(self.variant, path, "variant"))
+        text = F.try_variant_get(self.variant, path, "string")
+        if self.seen is None:
+            return kind, text
+        if path not in self.seen:
+            self.seen[path] = (f"_k{len(self.seen)}", f"_t{len(self.seen)}", kind, text)
+        return F.col(self.seen[path][0]), F.col(self.seen[path][1])
 
     def text(self, field: str) -> Column:
-        return F.try_variant_get(self.variant, f"$.{field}", "string")
+        return self._read(field)[1]
 
     def number(self, field: str) -> Column:
-        return F.try_variant_get(self.variant, f"$.{field}", "double")
-
-    def child(self, field: str) -> Json:
-        return Json(F.try_variant_get(self.variant, f"$.{field}", "variant"))
+        return self.text(field).try_cast("double")
 
     def _type(self, field: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get(self.variant, f"$.{field}", "variant"))
+        return self._read(field)[0]
 
     def missing(self, field: str) -> Column:
         return self._type(field).isNull()
@@ -94,19 +106,25 @@ def rule(broken: Column, text: str) -> Column:
 
 def check(df: DataFrame, raw: str, rules, extra=None) -> DataFrame:
     """Adds errors and is_valid. ``rules`` maps a Json to a list of rule columns; ``extra`` maps it to an
-    array of further texts."""
+    array of further texts. The parsed fields come out of a one-row ``inline``: a later filter on is_valid is
+    not pushed below it, where it would parse the text again for every rule."""
     parsed = df.withColumn("_v", F.try_parse_json(raw))
-    json = Json(F.col("_v"))
+    seen: dict = {}
+    json = Json(F.col("_v"), seen)
     found = F.array_compact(F.array(*rules(json)))
     if extra is not None:
         found = F.concat(found, extra(json))
-    whole = F.schema_of_variant(F.col("_v"))
+    fields = [F.schema_of_variant("_v").alias("_whole")]
+    for kind_name, text_name, kind, text in seen.values():
+        fields += [kind.alias(kind_name), text.alias(text_name)]
+    read = parsed.select("*", F.inline(F.array(F.struct(*fields))))
+    whole = F.col("_whole")
     errors = (
         F.when(whole.isNull(), F.array(F.lit("payload: not valid JSON")))
         .when(~whole.startswith("OBJECT"), F.array(F.lit("payload: must be object")))
         .otherwise(found)
     )
-    return parsed.withColumn("errors", errors).withColumn("is_valid", F.size("errors") == 0).drop("_v")
+    return read.select(*df.columns, errors.alias("errors")).withColumn("is_valid", F.size("errors") == 0)
 
 
 def validate_reading(df: DataFrame, raw: str = "raw_payload", strict_fields: bool = True) -> DataFrame:
