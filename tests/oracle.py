@@ -45,8 +45,9 @@ def compare(spark, db, name, fn, text, sf_dir):
                      [t for _, t in sorted(zip(relation.columns, relation.types), key=lambda p: p[0])])]
         odd = [k for k in kinds if KIND.get(k[1], k[1]) != k[2]]
         return True, f"{len(rows)} rows" + (f"  types differ: {odd}" if odd else "")
-    extra = [r for r in got if r not in set(want)][:3]
-    missing = [r for r in want if r not in set(got)][:3]
+    known, found = set(want), set(got)
+    extra = [r for r in got if r not in known][:3]
+    missing = [r for r in want if r not in found][:3]
     return False, f"rows {len(got)} vs {len(want)}\n   spark only {extra}\n   sql only   {missing}\n   {sorted(df.columns)}"
 
 
