@@ -258,21 +258,25 @@ select order_id, lower(case when o_orderstatus = 'F' then 'closed' else 'in-prog
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, live: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if not live:
+        return df
+    return spark.readStream.schema(df.schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def _needed(sql: str) -> list[str]:
     return [n for n in [*VIEWS, *TABLES] if re.search(rf"\b(?:from|join)\s+{n}\b", sql)]
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One adapter view as a DataFrame with timestamps as UTC instants."""
+def view(spark: SparkSession, sf_dir: str, name: str, live=()) -> DataFrame:
+    """One adapter view as a DataFrame with timestamps as UTC instants. Tables named in ``live`` are read as
+    streams."""
     if name in TABLES:
-        return table(spark, sf_dir, name)
+        return table(spark, sf_dir, name, name in live)
     sql = VIEWS[name]
     for n in _needed(sql):
-        view(spark, sf_dir, n).createOrReplaceTempView(f"src_{n}")
+        view(spark, sf_dir, n, live).createOrReplaceTempView(f"src_{n}")
         sql = re.sub(rf"\b(from|join)\s+{n}\b", rf"\1 src_{n}", sql)
     df = spark.sql(sql)
     casts = {f.name: F.col(f.name).cast("timestamp") for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)}

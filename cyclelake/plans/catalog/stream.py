@@ -1,3 +1,159 @@
-"""Queries of this area."""
+"""Streaming queries: each runs its stream over the table files until nothing is left, then returns the sink."""
 
-QUERIES = {}
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cyclelake.operators import timeseries as ts
+from cyclelake.plans.catalog.bronze import PARSED
+from cyclelake.plans.catalog.series import JUMPS, VACUUM, oven_setpoints
+from cyclelake.plans.catalog.state import AS_OF, PARTS
+from cyclelake.plans.checks import sql
+from cyclelake.session import staging_path
+from cyclelake.streaming import jobs as j
+from cyclelake.streaming.timeouts import timeout_stream
+
+
+def finish(lake, writer):
+    with j.rocksdb(lake.spark):
+        j.start(writer, staging_path(lake.spark, "progress")).awaitTermination()
+
+
+def through_table(lake, stream):
+    """Runs an append stream into a table and reads it back."""
+    path = staging_path(lake.spark, "out")
+    finish(lake, j.append_sink(stream, path))
+    return lake.spark.read.schema(stream.schema).parquet(path)
+
+
+def bronze(lake):
+    good, bad = staging_path(lake.spark, "bronze"), staging_path(lake.spark, "quarantine")
+    messages = lake.view("m_readings", live=["events"]).select("topic", "raw_payload")
+    finish(lake, j.bronze_stream(messages, good, bad))
+    stored = lake.spark.read.parquet(good).groupBy(F.col("quality").alias("kind")).agg(F.count(F.lit(1)).alias("n_rows"))
+    refused = lake.spark.read.parquet(bad).groupBy(F.col("reject_reason").alias("kind")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+    return stored.unionByName(refused)
+
+
+def silver(lake):
+    stream = j.silver_readings_stream(lake.view("br_readings", live=["lineitem"]))
+    return through_table(lake, stream).select("reading_id", "order_id", "oven_id", "sensor_type", "unit")
+
+
+def windows(lake):
+    stats = through_table(lake, j.channel_window_stats(lake.view("ad_live", live=["events"])))
+    return stats.withColumn("mean", F.round("mean", 6))
+
+
+def pairs(lake):
+    stream = j.pair_stream(lake.view("br_events", live=["orders"]))
+    return through_table(lake, stream).select("order_id", "cycle_end_time", "operator_id")
+
+
+def late_orders(lake):
+    limits = lake.orders().select("order_id", "material_id").join(
+        lake.materials().select("material_id", "max_cycle_minutes"), "material_id"
+    ).select("order_id", "max_cycle_minutes")
+    return through_table(lake, timeout_stream(lake.view("br_events", live=["orders"]), limits))
+
+
+def gold(lake):
+    events, target = staging_path(lake.spark, "events"), staging_path(lake.spark, "gold")
+    finish(lake, j.gold_stream(
+        lake.view("br_events", live=["orders"]), lake.readings(), lake.orders(), lake.materials(), events, target,
+        lake.order_state(), buckets=8,
+    ))
+    return j.read_upserted(lake.spark, target).drop("run")
+
+
+def state(lake):
+    target = staging_path(lake.spark, "state")
+    finish(lake, j.process_state_stream(lake.view("ad_live", live=["events"]), target, buckets=4))
+    return j.read_process_state(lake.spark, target, 50.0, 2160.0, AS_OF)
+
+
+def alerts(lake):
+    stored, found = staging_path(lake.spark, "silver"), staging_path(lake.spark, "alerts")
+    setpoints = oven_setpoints(lake)
+    rules = {
+        "moisture stalled": lambda r: ts.alert_moisture_stalled(r, 5.0, 240, ["oven_id"]),
+        "temperature spike": lambda r: ts.alert_temperature_spike(r, 100.0, ["oven_id"], setpoints),
+        "vacuum loss": lambda r: ts.alert_vacuum_loss(r, setpoints, ["oven_id"]),
+    }
+    finish(lake, j.alerts_stream(lake.view("ad_live", live=["events"]), stored, found, rules, "oven_id"))
+    return lake.spark.read.parquet(found).select("rule", "reading_id", "oven_id", "value")
+
+
+def arrival():
+    """Block of eight days in which a reading arrives; moisture arrives one block late."""
+    block = F.floor((F.dayofmonth("timestamp_opc") - 1) / 8)
+    return F.least(F.lit(3), block + F.when(F.col("sensor_type") == "moisture", 1).otherwise(0))
+
+
+def late(lake):
+    landing, progress = staging_path(lake.spark, "landing"), staging_path(lake.spark, "progress")
+    marks, found = staging_path(lake.spark, "marks"), staging_path(lake.spark, "late")
+    rows = lake.view("ad_live").withColumn("_block", arrival())
+    for block in range(4):
+        rows.filter(F.col("_block") == block).drop("_block").write.mode("append").parquet(landing)
+        stream = lake.spark.readStream.schema(rows.drop("_block").schema).parquet(landing)
+        j.start(j.late_report(stream, marks, found, 10), progress).awaitTermination()
+    return lake.spark.read.parquet(found).select("reading_id", "sensor_type", "timestamp_opc", "watermark")
+
+
+QUERIES = {
+    "bronze_stream": (
+        bronze,
+        sql("""select coalesce(reject_reason, json_extract_string(j, '$.quality')) as kind, count(*) as n_rows
+  from parsed group by 1""", parsed=PARSED),
+    ),
+    "silver_readings_stream": (silver, sql("select reading_id, order_id, oven_id, sensor_type, unit from s_readings")),
+    "channel_window_stats": (
+        windows,
+        sql("""select * from (select time_bucket(interval '5' minute, timestamp_opc) as window_start, oven_id, sensor_type,
+  count(*) as n_readings, min(value) as low, max(value) as high, round(avg(value), 6) as mean,
+  arg_max(value, struct_pack(a := timestamp_opc, b := reading_id)) as last from ad_live group by 1, 2, 3)
+  where window_start + interval '5' minute <= (select max(timestamp_opc) - interval '10' minute from ad_live)"""),
+    ),
+    "pair_stream": (
+        pairs,
+        sql("""select order_id, cycle_end_time, operator_id from s_pairs
+  where cycle_end_time > cycle_start_time and cycle_end_time <= cycle_start_time + interval '24' hour"""),
+    ),
+    "timeout_stream": (
+        late_orders,
+        sql("""select order_id, started_at, timeout_at, max_cycle_minutes from (select e.order_id, started_at, ended_at,
+    started_at + max_cycle_minutes * interval '1' minute as timeout_at, max_cycle_minutes
+    from (select order_id, min(event_time) filter (where event_type = 'cycle_started') as started_at,
+      min(event_time) filter (where event_type in ('cycle_confirmed', 'cycle_aborted')) as ended_at
+      from s_events group by order_id) e
+    join s_orders o on o.order_id = e.order_id join s_materials m on m.material_id = o.material_id)
+  where started_at is not null and (ended_at > timeout_at or (ended_at is null and timeout_at <=
+    (select max(event_time) - interval '1' hour from s_events
+      where event_type in ('cycle_started', 'cycle_confirmed', 'cycle_aborted'))))"""),
+    ),
+    "gold_stream": (gold, sql("select * from gold")),
+    "process_state_stream": (state, sql("select * from oven_state", **PARTS)),
+    "alerts_stream": (
+        alerts,
+        sql("""select 'moisture stalled' as rule, reading_id, oven_id, value
+  from (select *, min(struct_pack(timestamp_opc := timestamp_opc, reading_id := reading_id, value := value)) over
+    (partition by oven_id order by timestamp_opc range between interval '240' minute preceding and current row) as f
+    from ad_live where sensor_type = 'moisture') where f.timestamp_opc < timestamp_opc and value > f.value * 0.95::double
+  union all select 'temperature spike', reading_id, oven_id, value from jumps
+  where abs(value - previous_value) > 100 or value > setpoint + 2
+  union all select 'vacuum loss', reading_id, oven_id, value from vacuum
+  where lowest_before <= setpoint_vacuum_mbar + 0.5 and value > setpoint_vacuum_mbar + 0.5""", jumps=JUMPS, vacuum=VACUUM),
+    ),
+    "late_report": (
+        late,
+        sql("""select reading_id, sensor_type, timestamp_opc, watermark from blocks b join
+  (select block, max(newest) over (order by block rows between unbounded preceding and 1 preceding) - interval '10' minute
+    as watermark from (select block, max(timestamp_opc) as newest from blocks group by block)) w on b.block = w.block
+  where timestamp_opc < watermark""",
+            blocks="""select *, least(3, (day(timestamp_opc) - 1) // 8 + case when sensor_type = 'moisture' then 1 else 0 end)
+    as block from ad_live"""),
+    ),
+}

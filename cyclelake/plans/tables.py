@@ -15,8 +15,8 @@ class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    def view(self, name: str) -> DataFrame:
-        return view(self.spark, self.sf_dir, name)
+    def view(self, name: str, live=()) -> DataFrame:
+        return view(self.spark, self.sf_dir, name, live)
 
     def readings(self) -> DataFrame:
         return s.silver_readings(self.view("br_readings"))

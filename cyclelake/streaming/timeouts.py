@@ -1,0 +1,96 @@
+"""Timeouts as a stateful stream: one timer per open order."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+OUTPUT = "order_id string, started_at timestamp, timeout_at timestamp, max_cycle_minutes int"
+OPEN = "started_us long, ended_us long, max_cycle_minutes int, done boolean"
+KEEP_SETTLED_MS = 7 * 24 * 3_600_000
+
+
+def _earlier(a, b):
+    return b if a is None else a if b is None else min(a, b)
+
+
+class OpenCycle(StatefulProcessor):
+    """State of one order: its earliest start and end, its limit, and whether it is settled. An order is reported
+    once, when the watermark or its end event passes the deadline; an end before the deadline settles it. A
+    settled order is forgotten a week of event time later."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", OPEN)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        started, ended, limit, done = self.open.get() if self.open.exists() else (None, None, None, False)
+        for frame in rows:
+            starts, ends = frame[frame["is_start"]], frame[~frame["is_start"]]
+            if len(starts):
+                started = _earlier(started, int(starts["event_us"].min()))
+            if len(ends):
+                ended = _earlier(ended, int(ends["event_us"].min()))
+            limit = int(frame["max_cycle_minutes"].iloc[0])
+        if done:
+            return
+        if started is None:
+            self.open.update((started, ended, limit, False))
+            return
+        deadline = started + limit * 60_000_000
+        if ended is None:
+            self.open.update((started, ended, limit, False))
+            self._set_timer(-(-deadline // 1000))
+            return
+        self._settle(started, ended, limit, deadline)
+        if ended > deadline:
+            yield self._report(key, started, deadline, limit)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        started, ended, limit, done = self.open.get()
+        if done:
+            self.open.clear()
+            return
+        deadline = started + limit * 60_000_000
+        self._settle(started, ended, limit, deadline)
+        yield self._report(key, started, deadline, limit)
+
+    def close(self) -> None:
+        pass
+
+    def _set_timer(self, at_ms: int) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(at_ms)
+
+    def _settle(self, started, ended, limit, deadline) -> None:
+        self.open.update((started, ended, limit, True))
+        self._set_timer(max(deadline, ended or 0) // 1000 + KEEP_SETTLED_MS)
+
+    def _report(self, key, started, deadline, limit) -> pd.DataFrame:
+        return pd.DataFrame({
+            "order_id": [key[0]], "started_at": [pd.Timestamp(started, unit="us")],
+            "timeout_at": [pd.Timestamp(deadline, unit="us")], "max_cycle_minutes": [limit],
+        })
+
+
+def timeout_stream(events: DataFrame, limits: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Orders whose cycle passes max_cycle_minutes without an end. ``limits`` holds order_id and
+    max_cycle_minutes. Copies are reduced to one row per order, kind and time before the keyed step."""
+    ends = ["cycle_confirmed", "cycle_aborted"]
+    rows = events.filter(F.col("event_type").isin("cycle_started", *ends)).select(
+        "order_id", "event_id", "event_time", (F.col("event_type") == "cycle_started").alias("is_start"),
+    )
+    once = rows.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["order_id", "event_id"])
+    known = once.join(limits.select("order_id", "max_cycle_minutes"), "order_id")
+    keyed = known.select(
+        "order_id", "event_time", F.unix_micros("event_time").alias("event_us"), "is_start",
+        F.col("max_cycle_minutes").cast("int"),
+    )
+    return keyed.groupBy("order_id").transformWithStateInPandas(
+        statefulProcessor=OpenCycle(), outputStructType=OUTPUT, outputMode="append", timeMode="eventTime"
+    )
