@@ -11,7 +11,6 @@ from cyclelake.plans.catalog.state import AS_OF, PARTS
 from cyclelake.plans.checks import sql
 from cyclelake.session import staging_path
 from cyclelake.streaming import jobs as j
-from cyclelake.streaming.timeouts import timeout_stream
 
 
 def finish(lake, writer):
@@ -49,14 +48,14 @@ def windows(lake):
 
 def pairs(lake):
     stream = j.pair_stream(lake.view("br_events", live=["orders"]))
-    return through_table(lake, stream).select("order_id", "cycle_end_time", "operator_id")
+    return through_table(lake, stream)
 
 
 def late_orders(lake):
     limits = lake.orders().select("order_id", "material_id").join(
         lake.materials().select("material_id", "max_cycle_minutes"), "material_id"
     ).select("order_id", "max_cycle_minutes")
-    return through_table(lake, timeout_stream(lake.view("br_events", live=["orders"]), limits))
+    return through_table(lake, j.timeout_stream(lake.view("br_events", live=["orders"]), limits))
 
 
 def gold(lake):
@@ -119,20 +118,22 @@ QUERIES = {
     ),
     "pair_stream": (
         pairs,
-        sql("""select order_id, cycle_end_time, operator_id from s_pairs
-  where cycle_end_time > cycle_start_time and cycle_end_time <= cycle_start_time + interval '24' hour"""),
+        sql("""select b.order_id, b.event_time as cycle_start_time, e.event_time as cycle_end_time, e.operator_id
+  from s_events b join s_events e on b.order_id = e.order_id and b.event_type = 'cycle_started'
+  and e.event_type = 'cycle_confirmed' and e.event_time > b.event_time
+  and e.event_time <= b.event_time + interval '24' hour"""),
     ),
     "timeout_stream": (
         late_orders,
-        sql("""select order_id, started_at, timeout_at, max_cycle_minutes from (select e.order_id, started_at, ended_at,
-    started_at + max_cycle_minutes * interval '1' minute as timeout_at, max_cycle_minutes
-    from (select order_id, min(event_time) filter (where event_type = 'cycle_started') as started_at,
-      min(event_time) filter (where event_type in ('cycle_confirmed', 'cycle_aborted')) as ended_at
-      from s_events group by order_id) e
-    join s_orders o on o.order_id = e.order_id join s_materials m on m.material_id = o.material_id)
-  where started_at is not null and (ended_at > timeout_at or (ended_at is null and timeout_at <=
-    (select max(event_time) - interval '1' hour from s_events
-      where event_type in ('cycle_started', 'cycle_confirmed', 'cycle_aborted'))))"""),
+        sql("""select order_id, started_at, timeout_at, max_cycle_minutes from starts s where not exists (select 1 from ends e
+    where e.order_id = s.order_id and e.event_time between s.started_at and s.timeout_at)
+  and timeout_at < (select max(event_time) - interval '1' hour from ends)
+  and timeout_at < (select max(timeout_at) - interval '1' hour from starts)""",
+            starts="""select e.order_id, event_time as started_at, max_cycle_minutes,
+    event_time + max_cycle_minutes * interval '1' minute as timeout_at from s_events e
+    join s_orders o on o.order_id = e.order_id join s_materials m on m.material_id = o.material_id
+    where event_type = 'cycle_started'""",
+            ends="select * from s_events where event_type in ('cycle_confirmed', 'cycle_aborted')"),
     ),
     "gold_stream": (gold, sql("select * from gold")),
     "process_state_stream": (state, sql("select * from oven_state", **PARTS)),

@@ -83,25 +83,48 @@ def channel_window_stats(readings: DataFrame, window: str = "5 minutes", delay:
 
 
 def pair_stream(events: DataFrame, bound: str = "24 hours", delay: str = "24 hours") -> DataFrame:
-    """Start and confirmation of an order joined as they arrive, the end within ``bound`` of the start. Each
-    side keeps one event per order (its first arrival), so an order with many copies gives one pair."""
-
-    def side(event_type: str, prefix: str) -> DataFrame:
-        rows = events.filter(F.col("event_type") == event_type).select(
-            F.col("order_id").alias(f"{prefix}_order"), F.col("event_time").alias(f"{prefix}_time"),
-            F.col("operator_id").alias(f"{prefix}_operator"),
-        )
-        return rows.withWatermark(f"{prefix}_time", delay).dropDuplicatesWithinWatermark([f"{prefix}_order"])
-
+    """Start and confirmation of an order joined as they arrive, the end within ``bound`` of the start; one row per
+    start event. Copies of an event are dropped and an order keeps its first confirmation, so the rows grow with
+    the starts, never with starts times confirmations."""
+    starts = events.filter(F.col("event_type") == "cycle_started").select(
+        "event_id", F.col("order_id").alias("start_order"), F.col("event_time").alias("start_time")
+    ).withWatermark("start_time", delay).dropDuplicatesWithinWatermark(["event_id"])
+    ends = _first_end(events, ["cycle_confirmed"], delay)
     inside = F.expr(
         f"start_order = end_order and end_time > start_time and end_time <= start_time + interval {bound}"
     )
-    return side("cycle_started", "start").join(side("cycle_confirmed", "end"), inside).select(
+    return starts.join(ends, inside).select(
         F.col("start_order").alias("order_id"), F.col("start_time").alias("cycle_start_time"),
         F.col("end_time").alias("cycle_end_time"), F.col("end_operator").alias("operator_id"),
     )
 
 
+def _first_end(events: DataFrame, event_types, delay: str) -> DataFrame:
+    rows = events.filter(F.col("event_type").isin(*event_types)).select(
+        F.col("order_id").alias("end_order"), F.col("event_time").alias("end_time"),
+        F.col("operator_id").alias("end_operator"),
+    )
+    return rows.withWatermark("end_time", delay).dropDuplicatesWithinWatermark(["end_order"])
+
+
+def timeout_stream(events: DataFrame, limits: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Starts without an end up to their deadline (start plus max_cycle_minutes of ``limits``: order_id,
+    max_cycle_minutes). A start is reported once, when the watermark has passed its deadline: an outer join whose
+    time column on the left is the deadline drops a start from its state exactly then."""
+    minutes = F.make_dt_interval(mins=F.col("max_cycle_minutes"))
+    starts = events.filter(F.col("event_type") == "cycle_started").join(
+        limits.select("order_id", F.col("max_cycle_minutes").cast("int")), "order_id"
+    ).select(
+        "event_id", F.col("order_id").alias("start_order"), F.col("event_time").alias("started_at"),
+        (F.col("event_time") + minutes).alias("timeout_at"), "max_cycle_minutes",
+    ).withWatermark("timeout_at", delay).dropDuplicatesWithinWatermark(["event_id"])
+    ends = _first_end(events, ["cycle_confirmed", "cycle_aborted"], delay)
+    ended = F.expr("start_order = end_order and end_time >= started_at and end_time <= timeout_at")
+    return starts.join(ends, ended, "left_outer").filter(F.col("end_order").isNull()).select(
+        F.col("start_order").alias("order_id"), "started_at", "timeout_at", "max_cycle_minutes"
+    )
+
+
 def gold_stream(
     events: DataFrame, readings: DataFrame, orders: DataFrame, materials: DataFrame, bronze_events: str, gold: str,
     order_state: DataFrame | None = None, buckets: int = 64,
