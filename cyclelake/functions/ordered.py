@@ -5,10 +5,11 @@ that third into one task. Here each key is cut into slices that respect the orde
 (key, slice), a map-side combined aggregate gives one summary row per slice, and a window over the summaries
 (a few rows per key) carries the state from the earlier slices in. Results are exact for any gap length.
 
-Slices are fixed-width time slots. Before use the fullest (key, slot) is measured; if it is over ``max_rows``
-(a burst, or a clock that stamps everything with the same instant) the rows are range-partitioned on
-(key, order) instead, which splits any group evenly, and written to the checkpoint folder so that the slice
-numbers stay the same when tasks are repeated.
+Slices are fixed-width time slots. The summaries also count the rows; they are checkpointed (they are small), so
+the input is read twice in all, and the fullest slice is known before the rows are shuffled. If it is over
+``max_rows`` (a burst, or a clock that stamps everything with the same instant) the rows are range-partitioned on
+(key, order) instead, which splits any group evenly, and checkpointed, so that the slice numbers stay the same
+when tasks are repeated.
 """
 
 from __future__ import annotations
@@ -29,78 +30,97 @@ class OrderedSeries:
     one that slices are cut on: a timestamp (``width`` in minutes) or a number (``width`` in units)."""
 
     def __init__(self, df: DataFrame, keys, order, width=60, max_rows=MAX_SLICE_ROWS, numeric=False):
-        self.keys, self.order = list(keys), list(order)
+        self.keys, self.order, self.max_rows = list(keys), list(order), max_rows
         slot = F.floor(F.col(self.order[0]) / F.lit(width)) if numeric else time_slot(self.order[0], width)
-        sliced = df.withColumn(SLICE, slot.cast("bigint"))
-        fullest = sliced.groupBy(*self.keys, SLICE).count().agg(F.max("count")).first()[0] or 0
-        if fullest > max_rows:
-            shared_dir(df.sparkSession)
-            ranged = df.repartitionByRange(*[F.col(c) for c in self.keys + self.order]).checkpoint()
-            sliced = ranged.withColumn(SLICE, F.spark_partition_id().cast("bigint"))
-        self.df = sliced
+        self.df, self.balanced = df.withColumn(SLICE, slot.cast("bigint")), False
         self.window = W.partitionBy(*self.keys, SLICE).orderBy(*self.order)
         self.running = self.window.rowsBetween(W.unboundedPreceding, W.currentRow)
-
-    def _position(self) -> Column:
-        return F.struct(*self.order)
-
-    def _carried(self, per_slice: dict, carry: dict) -> DataFrame:
-        """One row per (key, slice) with what all earlier slices of the key hand over."""
+        self.position = F.struct(*self.order)
+
+    def _summarise(self, columns: dict) -> DataFrame:
+        """One checkpointed row per (key, slice), after the slices have been balanced where needed."""
+        shared_dir(self.df.sparkSession)
+        aggregates = [F.count(F.lit(1)).alias("_rows"), *[e.alias(n) for n, e in columns.items()]]
+        summary = self.df.groupBy(*self.keys, SLICE).agg(*aggregates).checkpoint()
+        if not self.balanced and (summary.agg(F.max("_rows")).first()[0] or 0) > self.max_rows:
+            ranged = self.df.repartitionByRange(*[F.col(c) for c in self.keys + self.order]).checkpoint()
+            self.df, self.balanced = ranged.withColumn(SLICE, F.spark_partition_id().cast("bigint")), True
+            return self._summarise(columns)
+        return summary
+
+    def _carried_in(self, summaries: dict, carry: dict) -> DataFrame:
+        """Per (key, slice) what all earlier slices of the key hand over."""
         before = W.partitionBy(*self.keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
-        summary = self.df.groupBy(*self.keys, SLICE).agg(*[e.alias(n) for n, e in per_slice.items()])
-        return summary.select(*self.keys, SLICE, *[fn(before).alias(n) for n, fn in carry.items()])
+        return self._summarise(summaries).select(
+            *self.keys, SLICE, *[fn(before).alias(n) for n, fn in carry.items()]
+        )
 
-    def _with(self, df: DataFrame, carried: DataFrame) -> DataFrame:
+    def _join(self, df: DataFrame, carried: DataFrame) -> DataFrame:
         return df.join(carried, [*self.keys, SLICE], "left")
 
     def with_previous(self, **columns) -> DataFrame:
         """``name=column``: value of ``column`` in the row before, null on the first row of a key."""
-        source = list(columns.values())
-        last = F.max_by(F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(source)]), self._position())
-        carried = self._carried({"_last": last}, {"_before": lambda w: F.last("_last").over(w)})
-        df = self.df.withColumn("_n", F.row_number().over(self.window))
-        for i, (name, c) in enumerate(columns.items()):
-            df = df.withColumn(name, F.lag(c).over(self.window))
-        df = self._with(df, carried)
-        for i, name in enumerate(columns):
-            df = df.withColumn(name, F.when(F.col("_n") == 1, F.col(f"_before.v{i}")).otherwise(F.col(name)))
-        return df.drop("_n", "_before", SLICE)
+        values = F.struct(*[F.col(c).alias(name) for name, c in columns.items()])
+        carried = self._carried_in(
+            {"_last": F.max_by(values, self.position)}, {"_before": lambda w: F.last("_last").over(w)}
+        )
+        lagged = {name: F.lag(c).over(self.window) for name, c in columns.items()}
+        df = self._join(self.df.withColumns({"_n": F.row_number().over(self.window), **lagged}), carried)
+        first = F.col("_n") == 1
+        chosen = {n: F.when(first, F.col("_before").getField(n)).otherwise(F.col(n)) for n in columns}
+        return df.withColumns(chosen).drop("_n", "_before", SLICE)
 
     def with_last_seen(self, **columns) -> DataFrame:
         """``name=expression``: latest non-null value of the expression up to and including the row."""
-        df, per_slice, carry = self.df, {}, {}
-        for i, (name, e) in enumerate(columns.items()):
-            df = df.withColumn(f"_x{i}", e)
-        held, self.df = self.df, df
-        for i, name in enumerate(columns):
-            per_slice[f"_s{i}"] = F.max_by(f"_x{i}", F.when(F.col(f"_x{i}").isNotNull(), self._position()))
-            carry[f"_c{i}"] = lambda w, i=i: F.last(f"_s{i}", ignorenulls=True).over(w)
-        carried = self._carried(per_slice, carry)
-        self.df = held
-        for i, name in enumerate(columns):
-            df = df.withColumn(name, F.last(f"_x{i}", ignorenulls=True).over(self.running))
-        df = self._with(df, carried)
-        for i, name in enumerate(columns):
-            df = df.withColumn(name, F.coalesce(F.col(name), F.col(f"_c{i}")))
-        return df.drop(SLICE, *[f"_x{i}" for i in range(len(columns))], *[f"_c{i}" for i in range(len(columns))])
+        carried = self._carried_in(
+            {f"_s_{n}": F.max_by(e, F.when(e.isNotNull(), self.position)) for n, e in columns.items()},
+            {f"_c_{n}": lambda w, n=n: F.last(f"_s_{n}", ignorenulls=True).over(w) for n in columns},
+        )
+        df = self.df.withColumns({n: F.last(e, ignorenulls=True).over(self.running) for n, e in columns.items()})
+        df = self._join(df, carried)
+        return df.withColumns({n: F.coalesce(n, f"_c_{n}") for n in columns}).drop(
+            SLICE, *[f"_c_{n}" for n in columns]
+        )
 
     def with_extreme(self, name, expression, kind="max", inclusive=True) -> DataFrame:
         """Running max or min of ``expression`` over the rows up to (or strictly before) the row."""
         agg, pick = (F.max, F.greatest) if kind == "max" else (F.min, F.least)
-        held, self.df = self.df, self.df.withColumn("_x", expression)
-        carried = self._carried({"_s": agg("_x")}, {"_c": lambda w: agg("_s").over(w)})
+        carried = self._carried_in({"_s": agg(expression)}, {"_c": lambda w: agg("_s").over(w)})
         window = self.running if inclusive else self.window.rowsBetween(W.unboundedPreceding, -1)
-        df = self._with(self.df.withColumn(name, agg("_x").over(window)), carried)
-        self.df = held
-        return df.withColumn(name, pick(F.col(name), F.col("_c"))).drop("_x", "_c", SLICE)
+        df = self._join(self.df.withColumn(name, agg(expression).over(window)), carried)
+        return df.withColumn(name, pick(F.col(name), F.col("_c"))).drop("_c", SLICE)
 
     def with_row_number(self, name) -> DataFrame:
         """Position of the row within its key, from 1."""
-        carried = self._carried({"_s": F.count(F.lit(1))}, {"_c": lambda w: F.sum("_s").over(w)})
-        df = self._with(self.df.withColumn(name, F.row_number().over(self.window).cast("bigint")), carried)
+        carried = self._carried_in({}, {"_c": lambda w: F.sum("_rows").over(w)})
+        df = self._join(self.df.withColumn(name, F.row_number().over(self.window).cast("bigint")), carried)
         return df.withColumn(name, F.col(name) + F.coalesce(F.col("_c"), F.lit(0))).drop("_c", SLICE)
 
 
+# Up to this rank Spark itself limits each key before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+GROUP_LIMIT = 1000
+
+
+def first_n_per_key(df: DataFrame, keys, order, n: int, width=60) -> DataFrame:
+    """The first n rows per key in ``order`` (column names), exact and without moving a whole hot key into one task:
+    small n by a ranked window that Spark limits per map task, larger n by numbering the ordered series."""
+    if n <= GROUP_LIMIT:
+        ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    else:
+        ranked = OrderedSeries(df, keys, order, width).with_row_number("_rank")
+    return ranked.filter(F.col("_rank") <= n).drop("_rank")
+
+
+def last_n_per_key(df: DataFrame, keys, order, n: int, width=60) -> DataFrame:
+    """The last n rows per key in ``order``, in the same two ways."""
+    if n <= GROUP_LIMIT:
+        down = W.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+        return df.withColumn("_rank", F.row_number().over(down)).filter(F.col("_rank") <= n).drop("_rank")
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    ranked = OrderedSeries(df, keys, order, width).with_row_number("_rank").join(sizes, list(keys))
+    return ranked.filter(F.col("_rank") > F.col("_size") - n).drop("_rank", "_size")
+
+
 def as_of_value(left, right, keys, left_order, right_order, value, name, inclusive=True, width=60,
                 max_rows=MAX_SLICE_ROWS) -> DataFrame:
     """``left`` plus ``name``: the value of the latest ``right`` row of the same keys at or before (strictly

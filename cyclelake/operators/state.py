@@ -6,10 +6,9 @@ Everything works on event time, ties broken by (timestamp_mqtt, reading_id), wit
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cyclelake.functions.ordered import OrderedSeries, as_of_value
+from cyclelake.functions.ordered import OrderedSeries, as_of_value, first_n_per_key, last_n_per_key
 from cyclelake.functions.timing import as_of_column, minutes_between
 from cyclelake.schemas import SENSOR_TYPES, WARMING_MINUTES
 
@@ -29,12 +28,9 @@ def latest_per_channel(readings: DataFrame, good_only: bool = False) -> DataFram
     return _good(readings, good_only).groupBy(*CHANNEL).agg(newest).select(*CHANNEL, "_r.*")
 
 
-def retain_last_n(readings: DataFrame, n: int = 500) -> DataFrame:
-    """The newest n readings per (oven, sensor). Spark keeps at most n per channel and map task before the
-    shuffle, so a hot channel is cut down first."""
-    order = [F.desc(c) for c in ARRIVAL]
-    ranked = readings.withColumn("_rank", F.row_number().over(W.partitionBy(*CHANNEL).orderBy(*order)))
-    return ranked.filter(F.col("_rank") <= n).drop("_rank")
+def retain_last_n(readings: DataFrame, n: int = 500, slice_minutes: int = 60) -> DataFrame:
+    """The newest n readings per (oven, sensor)."""
+    return last_n_per_key(readings, CHANNEL, ARRIVAL, n, slice_minutes)
 
 
 def historian_query(
@@ -61,14 +57,10 @@ def historian_response(readings: DataFrame, limit: int = 1000) -> DataFrame:
     applied before the rows are collected, so an array never grows with the series."""
     if not 1 <= limit <= 10000:
         raise ValueError("limit must be between 1 and 10000")
-    order = ["timestamp_opc", "reading_id"]
-    ranked = readings.filter(F.col("order_id").isNotNull()).withColumn(
-        "_rank", F.row_number().over(W.partitionBy("order_id").orderBy(*order))
-    )
+    known = readings.filter(F.col("order_id").isNotNull())
+    oldest = first_n_per_key(known, ["order_id"], ["timestamp_opc", "reading_id"], limit)
     item = F.struct("timestamp_opc", "reading_id", "sensor_type", "value", "unit", "quality")
-    answer = ranked.filter(F.col("_rank") <= limit).groupBy("order_id").agg(
-        F.array_sort(F.collect_list(item)).alias("_items")
-    )
+    answer = oldest.groupBy("order_id").agg(F.array_sort(F.collect_list(item)).alias("_items"))
     shaped = F.transform(
         "_items",
         lambda r: F.struct(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cyclelake.functions.ordered import SLICE, OrderedSeries
+from cyclelake.functions.ordered import OrderedSeries, as_of_value
 from cyclelake.functions.timing import MICROS_PER_MINUTE, as_of_column, col, micros, minutes_between, slot_start
 from cyclelake.schemas import (
     AMBIENT_TEMPERATURE, ATMOSPHERIC_PRESSURE, COMPRESSION_FACTOR, INITIAL_MOISTURE, SENSOR_NOISE, VACUUM_FLOOR,
@@ -95,19 +95,21 @@ def ewma(
 
 
 def alert_moisture_stalled(
-    readings: DataFrame, percent: float = 5.0, window_minutes: int = 30, keys=("order_id",),
+    readings: DataFrame, percent: float = 5.0, window_minutes: int = 30, keys=("order_id",), slice_minutes: int = 60,
 ) -> DataFrame:
-    """Moisture readings that did not fall by ``percent`` against the first reading of the trailing window. The
-    window is bounded, so each time slot only needs a copy of the readings of one window before it; windows
-    that hold a single reading raise nothing."""
+    """Moisture readings that did not fall by ``percent`` against the first reading of the trailing window; a
+    window with a single instant raises nothing. The first reading at or after the window start is an as-of lookup
+    with time mirrored, over one row per key and instant."""
     width = F.lit(int(window_minutes * MICROS_PER_MINUTE))
-    moisture = readings.filter(F.col("sensor_type") == "moisture").withColumn("_us", micros("timestamp_opc"))
-    slot = F.floor(F.col("_us") / width)
-    # A reading belongs to its slot and serves as history for the next one.
-    copies = moisture.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(SLICE, slot + F.col("_copy"))
-    trailing = W.partitionBy(*keys, SLICE).orderBy("_us").rangeBetween(-int(window_minutes * MICROS_PER_MINUTE), 0)
-    first = F.min(F.struct("timestamp_opc", "reading_id", "value")).over(trailing)
-    seen = copies.withColumn("_first", first).filter("_copy = 0")
+    moisture = readings.filter(F.col("sensor_type") == "moisture")
+    firsts = moisture.groupBy(*keys, "timestamp_opc").agg(F.min(F.struct("reading_id", "value")).alias("_r"))
+    firsts = firsts.withColumn("_mirror", F.timestamp_micros(-micros("timestamp_opc")))
+    probes = moisture.withColumn("_probe", F.timestamp_micros(width - micros("timestamp_opc")))
+    first = F.struct("timestamp_opc", F.col("_r.value").alias("value"))
+    seen = as_of_value(
+        probes, firsts, list(keys), ("_probe", "reading_id"), ("_mirror", "timestamp_opc"), first, "_first",
+        width=slice_minutes,
+    )
     stalled = (F.col("_first.timestamp_opc") < F.col("timestamp_opc")) & (
         F.col("value") > F.col("_first.value") * (1 - percent / 100.0)
     )
