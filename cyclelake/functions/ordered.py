@@ -62,13 +62,13 @@ class OrderedSeries:
         """``name=column``: value of ``column`` in the row before, null on the first row of a key."""
         values = F.struct(*[F.col(c).alias(name) for name, c in columns.items()])
         carried = self._carried_in(
-            {"_last": F.max_by(values, self.position)}, {"_before": lambda w: F.last("_last").over(w)}
+            {"_last": F.max_by(values, self.position)}, {"_carried_row": lambda w: F.last("_last").over(w)}
         )
         lagged = {name: F.lag(c).over(self.window) for name, c in columns.items()}
         df = self._join(self.df.withColumns({"_n": F.row_number().over(self.window), **lagged}), carried)
         first = F.col("_n") == 1
-        chosen = {n: F.when(first, F.col("_before").getField(n)).otherwise(F.col(n)) for n in columns}
-        return df.withColumns(chosen).drop("_n", "_before", SLICE)
+        chosen = {n: F.when(first, F.col("_carried_row").getField(n)).otherwise(F.col(n)) for n in columns}
+        return df.withColumns(chosen).drop("_n", "_carried_row", SLICE)
 
     def with_last_seen(self, **columns) -> DataFrame:
         """``name=expression``: latest non-null value of the expression up to and including the row."""
