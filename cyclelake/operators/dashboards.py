@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cyclelake.functions.joins import join_per_key
 from cyclelake.functions.timing import as_of_column, minutes_between
 from cyclelake.operators.gold import v_cycle_efficiency, v_recent_cycles
 from cyclelake.schemas import SENSOR_TYPES
@@ -79,10 +80,10 @@ def cycle_kpis(gold: DataFrame) -> DataFrame:
 
 def cycle_series(gold: DataFrame, readings: DataFrame) -> DataFrame:
     """Wide series per cycle: one row per instant with the three sensors, elapsed minutes and target lines."""
-    rows = readings.filter(F.col("order_id").isNotNull())
-    wide = rows.groupBy("order_id", "timestamp_opc").pivot("sensor_type", SENSOR_TYPES).agg(F.max("value"))
-    lines = gold.select("order_id", "cycle_start_time", "target_moisture_ppm", "standard_cycle_minutes")
-    return wide.join(lines, "order_id").select(
+    lines = ["cycle_start_time", "target_moisture_ppm", "standard_cycle_minutes"]
+    rows = join_per_key(readings, gold.select("order_id", *lines), "order_id")
+    wide = rows.groupBy("order_id", "timestamp_opc", *lines).pivot("sensor_type", SENSOR_TYPES).agg(F.max("value"))
+    return wide.select(
         "order_id", "timestamp_opc", minutes_between("cycle_start_time", "timestamp_opc").alias("elapsed_minutes"),
         *SENSOR_TYPES, "target_moisture_ppm", "standard_cycle_minutes",
     )
@@ -91,10 +92,12 @@ def cycle_series(gold: DataFrame, readings: DataFrame) -> DataFrame:
 def threshold_crossing(gold: DataFrame, readings: DataFrame) -> DataFrame:
     """First reading of each cycle with moisture below target, between start and end."""
     cycles = gold.select("order_id", "cycle_start_time", "cycle_end_time", "target_moisture_ppm")
-    moisture = readings.filter(F.col("sensor_type") == "moisture").select("order_id", "timestamp_opc", "value")
+    moisture = readings.filter(F.col("sensor_type") == "moisture").select(
+        "order_id", "reading_id", "timestamp_opc", "value"
+    )
     below = F.col("value") < F.col("target_moisture_ppm")
     inside = F.col("timestamp_opc").between(F.col("cycle_start_time"), F.col("cycle_end_time"))
-    first = moisture.join(cycles, "order_id").filter(below & inside).groupBy("order_id").agg(
+    first = join_per_key(moisture, cycles, "order_id").filter(below & inside).groupBy("order_id").agg(
         F.min("timestamp_opc").alias("crossed_at"), F.min("cycle_start_time").alias("_start")
     )
     return first.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cyclelake.functions.joins import join_per_key
 from cyclelake.functions.timing import minutes_between
 
 GOLD_COLUMNS = [
@@ -23,7 +24,7 @@ def cycle_sensor_stats(readings: DataFrame, pairs: DataFrame | None = None) -> D
     if pairs is not None:
         bounds = pairs.select("order_id", "cycle_start_time", "cycle_end_time")
         inside = F.col("timestamp_opc").between(F.col("cycle_start_time"), F.col("cycle_end_time"))
-        rows = rows.join(bounds, "order_id").filter(inside)
+        rows = join_per_key(rows, bounds, "order_id").filter(inside)
     value, sensor = F.col("value"), F.col("sensor_type")
     moisture = sensor == "moisture"
     return rows.groupBy("order_id").agg(
@@ -102,7 +103,7 @@ def v_recent_cycles(gold: DataFrame, n: int = 20, by: str = "cycle_end_time") ->
 def cycle_detail(gold: DataFrame, readings: DataFrame, order_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The Gold rows of the asked orders and their readings."""
     keys = order_ids.select("order_id").distinct()
-    return gold.join(keys, "order_id", "left_semi"), readings.join(keys, "order_id", "left_semi")
+    return gold.join(keys, "order_id", "left_semi"), join_per_key(readings, keys, "order_id", "left_semi")
 
 
 def touched_orders(*changes: DataFrame) -> DataFrame:
@@ -122,7 +123,9 @@ def gold_incremental(
     from cyclelake.operators.silver import cycle_pairs
 
     keep = lambda df: df.join(changed, "order_id", "left_semi")
+    series = join_per_key(readings, changed, "order_id", "left_semi")
+    log = join_per_key(pairs_source, changed, "order_id", "left_semi", "event_id")
     state = keep(order_state) if order_state is not None else None
     return gold_cycle_summary(
-        cycle_pairs(keep(pairs_source)), keep(orders), materials, keep(readings), state, tolerance
+        cycle_pairs(log), keep(orders), materials, series, state, tolerance
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cyclelake.functions.joins import join_per_key
 from cyclelake.functions.ordered import OrderedSeries, as_of_value
 from cyclelake.functions.timing import as_of_column, minutes_between
 from cyclelake.schemas import ORDER_STATUSES, transition_table
@@ -69,7 +70,7 @@ def confirmation_audit(confirmations: DataFrame, history: DataFrame, slice_days:
         F.col("status"), "status_before", inclusive=False, width=width,
     )
     known = versions.select("order_id").distinct().withColumn("_known", F.lit(True))
-    seen = seen.join(known, "order_id", "left")
+    seen = join_per_key(seen, known, "order_id", "left", "posted_at")
     acceptable = F.col("status_before").isin("IN_PROGRESS", "RELEASED")
     # One series per order and acceptability, so that positions count acceptable confirmations only.
     seen = seen.withColumn("_ok", F.coalesce(acceptable, F.lit(False)))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cyclelake.functions.joins import join_per_key
 from cyclelake.functions.ordered import OrderedSeries, as_of_value
 from cyclelake.functions.timing import MICROS_PER_MINUTE, as_of_column, col, micros, minutes_between, slot_start
 from cyclelake.schemas import (
@@ -48,7 +49,7 @@ def expected_profile(
                          "standard_cycle_minutes"), "material_id"
     ).drop("material_id")
     starts = pairs.select("order_id", "cycle_start_time").filter(F.col("cycle_start_time").isNotNull())
-    rows = readings.join(starts.join(spec, "order_id"), "order_id").withColumn(
+    rows = join_per_key(readings, starts.join(spec, "order_id"), "order_id").withColumn(
         "elapsed_minutes", minutes_between("cycle_start_time", "timestamp_opc")
     ).filter(F.col("elapsed_minutes") >= 0)
     expected = expected_value(

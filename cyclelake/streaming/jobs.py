@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from cyclelake.functions.joins import join_per_key
 from cyclelake.operators import gold as g
 from cyclelake.operators import silver as s
 from cyclelake.operators.state import ARRIVAL, STATE_COLUMN, with_status
@@ -137,7 +138,7 @@ def gold_stream(
         write_batch(batch, bronze_events, batch_id)
         stored = spark.read.parquet(bronze_events).drop("batch_id")
         changed = g.touched_orders(batch.select("order_id"))
-        silver = s.silver_cycle_events(stored.join(changed, "order_id", "left_semi"))
+        silver = s.silver_cycle_events(join_per_key(stored, changed, "order_id", "left_semi", "event_id"))
         rows = g.gold_incremental(changed, silver, orders, materials, readings, order_state)
         upsert_latest(rows.withColumn("run", F.lit(batch_id)), gold, ["order_id"], "run", buckets)
 
@@ -210,7 +211,7 @@ def alerts_stream(readings: DataFrame, silver: str, alerts: str, rules, key: str
         write_batch(batch, silver, batch_id)
         stored = spark.read.parquet(silver)
         touched = batch.select(key).distinct()
-        context = stored.join(touched, key, "left_semi")
+        context = join_per_key(stored, touched, key, "left_semi")
         fresh = batch.select("reading_id")
         found = None
         for name, find in rules.items():
