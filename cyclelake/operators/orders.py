@@ -63,14 +63,15 @@ def order_state_from_events(events: DataFrame) -> DataFrame:
 def confirmation_audit(confirmations: DataFrame, history: DataFrame, slice_days: int = 30) -> DataFrame:
     """Each confirmation classified against the order status just before it: ok (IN_PROGRESS or RELEASED),
     already_confirmed, invalid_status or not_found. Of several acceptable ones only the first is ok."""
-    versions = history.select("order_id", "status", "updated_at").distinct()
     width = slice_days * 1440
+    # Known orders are marked on the input, before the as-of scan, so that the scan is not repeated for it.
+    ids = history.select("order_id").distinct().withColumn("_known", F.lit(True))
+    asked = join_per_key(confirmations, ids, "order_id", "left", "posted_at")
+    versions = history.select("order_id", "status", "updated_at")
     seen = as_of_value(
-        confirmations, versions, ["order_id"], ("posted_at", "operation_id"), ("updated_at", "status"),
+        asked, versions, ["order_id"], ("posted_at", "operation_id"), ("updated_at", "status"),
         F.col("status"), "status_before", inclusive=False, width=width,
     )
-    known = versions.select("order_id").distinct().withColumn("_known", F.lit(True))
-    seen = join_per_key(seen, known, "order_id", "left", "posted_at")
     acceptable = F.col("status_before").isin("IN_PROGRESS", "RELEASED")
     # One series per order and acceptability, so that positions count acceptable confirmations only.
     seen = seen.withColumn("_ok", F.coalesce(acceptable, F.lit(False)))

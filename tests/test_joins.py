@@ -48,3 +48,24 @@ def test_operators_with_hot_orders(spark, monkeypatch):
                  "cycle_sensor_stats_bounded", "gold_incremental", "confirmation_audit"):
         ok, message = compare(spark, db, name, entry.queries()[name], entry.oracle_sql()[name], sf)
         assert ok, message
+
+
+def test_operators_with_long_keys(spark, monkeypatch):
+    """The catalogue queries built on ordered scans, with every key cut into slices."""
+    from cyclelake.functions import ordered
+    from oracle import compare, connect
+    import __spark_entry__ as entry
+
+    sf = "/root/testdata/sf0.001"
+    db = connect(sf)
+    names = ["cycle_edges", "cycle_runs", "sensor_fault", "asof_order_stamp", "audit_transitions", "confirmation_audit",
+             "document_numbers", "overlapping_cycles", "ewma", "alert_moisture_stalled", "alert_temperature_spike",
+             "alert_vacuum_loss"]
+    monkeypatch.setattr(ordered, "KEY_ROWS", 2)
+    for name in names:
+        ok, message = compare(spark, db, name, entry.queries()[name], entry.oracle_sql()[name], sf)
+        assert ok, (name, message)
+    monkeypatch.setattr(ordered, "MAX_SLICE_ROWS", 3)
+    for name in ("cycle_runs", "asof_order_stamp", "alert_moisture_stalled"):
+        ok, message = compare(spark, db, name, entry.queries()[name], entry.oracle_sql()[name], sf)
+        assert ok, (name, message)

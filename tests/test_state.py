@@ -144,10 +144,11 @@ def hot_rows(n=3000, seed=7):
     return rows
 
 
-@pytest.mark.parametrize("max_rows", [20_000_000, 50])
-def test_ordered_series_against_brute_force(spark, max_rows):
+# Plain windows, time slices, and slices balanced by range.
+@pytest.mark.parametrize("max_rows, key_rows", [(None, None), (None, 10), (50, 10)])
+def test_ordered_series_against_brute_force(spark, max_rows, key_rows):
     rows = hot_rows()
-    series = lambda: OrderedSeries(readings(spark, rows), ["oven_id"], ["timestamp_opc", "reading_id"], 60, max_rows)
+    series = lambda: OrderedSeries(readings(spark, rows), ["oven_id"], ["timestamp_opc", "reading_id"], 60, max_rows, key_rows)
     previous = {r.reading_id: r for r in series().with_previous(p="order_id", q="value").collect()}
     seen = {r.reading_id: r for r in series().with_last_seen(s=F.col("order_id")).collect()}
     low = {r.reading_id: r for r in series().with_extreme("m", F.col("value"), "min", False).collect()}
@@ -164,13 +165,13 @@ def test_ordered_series_against_brute_force(spark, max_rows):
             before, floor = (r[1], r[5]), r[5] if floor is None else min(floor, r[5])
 
 
-@pytest.mark.parametrize("max_rows, inclusive", [(20_000_000, True), (40, True), (40, False)])
-def test_as_of_value_against_brute_force(spark, max_rows, inclusive):
+@pytest.mark.parametrize("max_rows, key_rows, inclusive", [(None, None, True), (None, 10, False), (40, 10, True), (40, 10, False)])
+def test_as_of_value_against_brute_force(spark, max_rows, key_rows, inclusive):
     rows = hot_rows(1200)
     left, right = rows[:700], rows[700:]
     found = as_of_value(
         readings(spark, left), readings(spark, right), ["oven_id"], ("timestamp_opc", "reading_id"),
-        ("timestamp_opc", "reading_id"), F.col("reading_id"), "hit", inclusive, 60, max_rows,
+        ("timestamp_opc", "reading_id"), F.col("reading_id"), "hit", inclusive, 60, max_rows, key_rows,
     )
     hits = {r.reading_id: r.hit for r in found.collect()}
     for r in left:
