@@ -7,6 +7,7 @@ repeated after a failure leaves the tables as they were. Reported state lives in
 from __future__ import annotations
 
 from contextlib import contextmanager
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,10 +129,12 @@ def timeout_stream(events: DataFrame, limits: DataFrame, delay: str = "1 hour")
 
 def gold_stream(
     events: DataFrame, readings: DataFrame, orders: DataFrame, materials: DataFrame, bronze_events: str, gold: str,
-    order_state: DataFrame | None = None, buckets: int = 64,
+    order_state: DataFrame | None = None, buckets: int = 64, lookback_minutes: float | None = None,
 ) -> DataStreamWriter:
     """Every trigger: append the new events to Bronze, recompute the Gold rows of the orders they name and
-    upsert them. ``readings``, ``orders`` and ``materials`` are Silver tables as they stand."""
+    upsert them. ``readings``, ``orders`` and ``materials`` are Silver tables as they stand. With
+    ``lookback_minutes`` only readings from that long before the first event of the named orders are read: a literal
+    bound that prunes files and date partitions, for plants whose readings never precede their cycle by more."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -139,12 +142,21 @@ def gold_stream(
         stored = spark.read.parquet(bronze_events).drop("batch_id")
         changed = g.touched_orders(batch.select("order_id"))
         silver = s.silver_cycle_events(join_per_key(stored, changed, "order_id", "left_semi", "event_id"))
-        rows = g.gold_incremental(changed, silver, orders, materials, readings, order_state)
+        series = _since(readings, silver.agg(F.min("event_time")), lookback_minutes)
+        rows = g.gold_incremental(changed, silver, orders, materials, series, order_state)
         upsert_latest(rows.withColumn("run", F.lit(batch_id)), gold, ["order_id"], "run", buckets)
 
     return batch_sink(events, handle)
 
 
+def _since(readings: DataFrame, earliest: DataFrame, lookback_minutes: float | None) -> DataFrame:
+    """Readings not older than the one timestamp in ``earliest`` minus the lookback."""
+    first = earliest.first()[0] if lookback_minutes is not None else None
+    if first is None:
+        return readings
+    return readings.filter(F.col("timestamp_opc") >= F.lit(first - timedelta(minutes=lookback_minutes)))
+
+
 def _summary(batch: DataFrame) -> DataFrame:
     """Per oven what a batch of readings adds to the state; map-side combined, one row per oven."""
     position, order = F.struct(*ARRIVAL), F.col("order_id")
@@ -202,14 +214,17 @@ def read_process_state(spark: SparkSession, state: str, threshold=500.0, max_min
     return with_status(current, F.lit(threshold), F.lit(max_minutes), as_of)
 
 
-def alerts_stream(readings: DataFrame, silver: str, alerts: str, rules, key: str = "order_id") -> DataStreamWriter:
+def alerts_stream(
+    readings: DataFrame, silver: str, alerts: str, rules, key: str = "order_id", lookback_minutes: float | None = None,
+) -> DataStreamWriter:
     """Runs the alert rules on each batch together with the earlier readings of the same cycles, and keeps the
-    alerts that the new readings raised. ``rules`` maps a name to a function of readings."""
+    alerts that the new readings raised. ``rules`` maps a name to a function of readings. ``lookback_minutes`` bounds the
+    earlier readings to the longest cycle, so that a trigger reads recent files only."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         write_batch(batch, silver, batch_id)
-        stored = spark.read.parquet(silver)
+        stored = _since(spark.read.parquet(silver), batch.agg(F.min("timestamp_opc")), lookback_minutes)
         touched = batch.select(key).distinct()
         context = join_per_key(stored, touched, key, "left_semi")
         fresh = batch.select("reading_id")

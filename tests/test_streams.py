@@ -62,7 +62,7 @@ def test_gold_equals_batch_and_survives_a_repeat(spark, folder):
     versions, stuff, silver = s.silver_orders(orders(spark, known)), materials(spark), s.silver_readings(readings(spark, rows))
     target = f"{folder}/gold"
     df = events(spark, log)
-    job = lambda x: j.gold_stream(x, silver, versions, stuff, f"{folder}/events", target, buckets=4)
+    job = lambda x: j.gold_stream(x, silver, versions, stuff, f"{folder}/events", target, buckets=4, lookback_minutes=60)
     land(df, folder, 4, job)
     expected = {tuple(r) for r in g.gold_cycle_summary(
         s.cycle_pairs(s.silver_cycle_events(df)), versions, stuff, silver).collect()}
@@ -97,7 +97,7 @@ def test_alerts_equal_batch(spark, folder):
     rows = [reading(i, rng.choice(["temperature", "moisture"]), rng.randrange(80, 130), i, order=f"o{i // 100}") for i in range(400)]
     df = readings(spark, rows)
     rules = {"spike": lambda r: ts.alert_temperature_spike(r, 30), "stalled": lambda r: ts.alert_moisture_stalled(r)}
-    land(df, folder, 4, lambda x: j.alerts_stream(x, f"{folder}/silver", f"{folder}/alerts", rules))
+    land(df, folder, 4, lambda x: j.alerts_stream(x, f"{folder}/silver", f"{folder}/alerts", rules, lookback_minutes=100))
     found = {(r.rule, r.reading_id) for r in spark.read.parquet(f"{folder}/alerts").collect()}
     assert found == {(n, r.reading_id) for n, f in rules.items() for r in f(df).collect()} and found
 
