@@ -21,4 +21,9 @@ def entries() -> dict:
 
 
 def runner(fn):
-    return lambda spark, sf_dir: plain(fn(Lake(spark, sf_dir)))
+    def run(spark, sf_dir):
+        # Instants are read and shown in UTC whatever the session was started with.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return plain(fn(Lake(spark, sf_dir)))
+
+    return run
