@@ -15,6 +15,7 @@ from cyclelake.session import shared_dir
 
 HOT_ROWS = 5_000_000
 SPREAD = 1_000_000
+PROBE = "probe"
 
 
 def hot_keys(df: DataFrame, key: str, max_rows: int | None = None) -> DataFrame | None:
@@ -27,13 +28,14 @@ def hot_keys(df: DataFrame, key: str, max_rows: int | None = None) -> DataFrame
 
 def join_per_key(
     df: DataFrame, table: DataFrame, key: str, how: str = "inner", spread_by: str = "reading_id",
-    hot: DataFrame | None = None, probe: bool = True,
+    hot: DataFrame | None | str = PROBE,
 ) -> DataFrame:
     """``df`` joined (inner, left or left_semi) with ``table``, which holds one row per key. ``spread_by`` is a column
-    of ``df`` with many values. Pass ``hot`` (with ``probe=False``) to reuse the heavy keys of an earlier join."""
+    of ``df`` with many values. ``hot`` holds the heavy keys where they are known (None: there are none), for example
+    from a cheaper table that holds at least these rows; otherwise they are counted in ``df``."""
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"join type {how!r} is not supported")
-    if hot is None and probe:
+    if isinstance(hot, str):
         hot = hot_keys(df, key)
     if hot is None:
         return df.join(table, key, how)

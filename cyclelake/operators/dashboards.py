@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cyclelake.functions.joins import join_per_key
+from cyclelake.functions.joins import PROBE, join_per_key
 from cyclelake.functions.timing import as_of_column, minutes_between
 from cyclelake.operators.gold import v_cycle_efficiency, v_recent_cycles
 from cyclelake.schemas import SENSOR_TYPES
@@ -78,10 +78,11 @@ def cycle_kpis(gold: DataFrame) -> DataFrame:
     )
 
 
-def cycle_series(gold: DataFrame, readings: DataFrame) -> DataFrame:
-    """Wide series per cycle: one row per instant with the three sensors, elapsed minutes and target lines."""
+def cycle_series(gold: DataFrame, readings: DataFrame, hot=PROBE) -> DataFrame:
+    """Wide series per cycle: one row per instant with the three sensors, elapsed minutes and target lines. ``hot``
+    here and below: heavy order ids where known, see join_per_key."""
     lines = ["cycle_start_time", "target_moisture_ppm", "standard_cycle_minutes"]
-    rows = join_per_key(readings, gold.select("order_id", *lines), "order_id")
+    rows = join_per_key(readings, gold.select("order_id", *lines), "order_id", hot=hot)
     wide = rows.groupBy("order_id", "timestamp_opc", *lines).pivot("sensor_type", SENSOR_TYPES).agg(F.max("value"))
     return wide.select(
         "order_id", "timestamp_opc", minutes_between("cycle_start_time", "timestamp_opc").alias("elapsed_minutes"),
@@ -89,7 +90,7 @@ def cycle_series(gold: DataFrame, readings: DataFrame) -> DataFrame:
     )
 
 
-def threshold_crossing(gold: DataFrame, readings: DataFrame) -> DataFrame:
+def threshold_crossing(gold: DataFrame, readings: DataFrame, hot=PROBE) -> DataFrame:
     """First reading of each cycle with moisture below target, between start and end."""
     cycles = gold.select("order_id", "cycle_start_time", "cycle_end_time", "target_moisture_ppm")
     moisture = readings.filter(F.col("sensor_type") == "moisture").select(
@@ -97,7 +98,7 @@ def threshold_crossing(gold: DataFrame, readings: DataFrame) -> DataFrame:
     )
     below = F.col("value") < F.col("target_moisture_ppm")
     inside = F.col("timestamp_opc").between(F.col("cycle_start_time"), F.col("cycle_end_time"))
-    first = join_per_key(moisture, cycles, "order_id").filter(below & inside).groupBy("order_id").agg(
+    first = join_per_key(moisture, cycles, "order_id", hot=hot).filter(below & inside).groupBy("order_id").agg(
         F.min("timestamp_opc").alias("crossed_at"), F.min("cycle_start_time").alias("_start")
     )
     return first.select(
@@ -154,10 +155,10 @@ def efficiency_trend(gold: DataFrame, period: str = "week", k: int = 4) -> DataF
     return rows.withColumn("moving_avg_delta", F.avg("avg_delta_minutes").over(last))
 
 
-def drying_waste(gold: DataFrame, readings: DataFrame, by=("order_id",)) -> DataFrame:
+def drying_waste(gold: DataFrame, readings: DataFrame, by=("order_id",), hot=PROBE) -> DataFrame:
     """Minutes between the moment moisture fell below target and the end of the cycle, and their share of the
     duration, per cycle or per group of cycles (material_id, plant)."""
-    crossed = threshold_crossing(gold, readings).select("order_id", "crossed_at")
+    crossed = threshold_crossing(gold, readings, hot).select("order_id", "crossed_at")
     cycles = gold.join(crossed, "order_id").withColumn(
         "waste_minutes", minutes_between("crossed_at", "cycle_end_time")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclelake.functions.joins import join_per_key
+from cyclelake.functions.joins import PROBE, join_per_key
 from cyclelake.functions.timing import minutes_between
 
 GOLD_COLUMNS = [
@@ -17,14 +17,15 @@ GOLD_COLUMNS = [
 ]
 
 
-def cycle_sensor_stats(readings: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def cycle_sensor_stats(readings: DataFrame, pairs: DataFrame | None = None, hot=PROBE) -> DataFrame:
     """Per order: highest temperature, lowest vacuum, last and average moisture, in one grouped pass. With
-    ``pairs`` only readings between the start and the end of the cycle count."""
+    ``pairs`` only readings between the start and the end of the cycle count. ``hot``: heavy order ids where known, see
+    join_per_key."""
     rows = readings.filter(F.col("order_id").isNotNull())
     if pairs is not None:
         bounds = pairs.select("order_id", "cycle_start_time", "cycle_end_time")
         inside = F.col("timestamp_opc").between(F.col("cycle_start_time"), F.col("cycle_end_time"))
-        rows = join_per_key(rows, bounds, "order_id").filter(inside)
+        rows = join_per_key(rows, bounds, "order_id", hot=hot).filter(inside)
     value, sensor = F.col("value"), F.col("sensor_type")
     moisture = sensor == "moisture"
     return rows.groupBy("order_id").agg(
@@ -100,10 +101,10 @@ def v_recent_cycles(gold: DataFrame, n: int = 20, by: str = "cycle_end_time") ->
     return gold.orderBy(F.desc(by), "order_id").limit(n)
 
 
-def cycle_detail(gold: DataFrame, readings: DataFrame, order_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+def cycle_detail(gold: DataFrame, readings: DataFrame, order_ids: DataFrame, hot=PROBE) -> tuple[DataFrame, DataFrame]:
     """The Gold rows of the asked orders and their readings."""
     keys = order_ids.select("order_id").distinct()
-    return gold.join(keys, "order_id", "left_semi"), join_per_key(readings, keys, "order_id", "left_semi")
+    return gold.join(keys, "order_id", "left_semi"), join_per_key(readings, keys, "order_id", "left_semi", hot=hot)
 
 
 def touched_orders(*changes: DataFrame) -> DataFrame:
@@ -116,14 +117,14 @@ def touched_orders(*changes: DataFrame) -> DataFrame:
 
 def gold_incremental(
     changed: DataFrame, pairs_source: DataFrame, orders: DataFrame, materials: DataFrame, readings: DataFrame,
-    order_state: DataFrame | None = None, tolerance: float = 0.0,
+    order_state: DataFrame | None = None, tolerance: float = 0.0, hot=PROBE,
 ) -> DataFrame:
     """Gold rows of the changed orders only; feed the result to ``upsert_latest``. ``pairs_source`` holds the
     Silver events."""
     from cyclelake.operators.silver import cycle_pairs
 
     keep = lambda df: df.join(changed, "order_id", "left_semi")
-    series = join_per_key(readings, changed, "order_id", "left_semi")
+    series = join_per_key(readings, changed, "order_id", "left_semi", hot=hot)
     log = join_per_key(pairs_source, changed, "order_id", "left_semi", "event_id")
     state = keep(order_state) if order_state is not None else None
     return gold_cycle_summary(

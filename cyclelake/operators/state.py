@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclelake.functions.ordered import OrderedSeries, as_of_value, first_n_per_key, last_n_per_key
-from cyclelake.functions.joins import hot_keys, join_per_key
+from cyclelake.functions.joins import PROBE, hot_keys, join_per_key
 from cyclelake.functions.timing import as_of_column, minutes_between
 from cyclelake.schemas import SENSOR_TYPES, WARMING_MINUTES
 
@@ -243,15 +243,15 @@ def asof_order_stamp(readings: DataFrame, events: DataFrame, slice_minutes: int
 
 def cycle_phase(
     readings: DataFrame, pairs: DataFrame, orders: DataFrame, materials: DataFrame,
-    warming_minutes: float = WARMING_MINUTES,
+    warming_minutes: float = WARMING_MINUTES, hot=PROBE,
 ) -> DataFrame:
     """Readings tagged idle, warming, drying or complete from the minutes since cycle start and the first
-    moisture at or below target after warming."""
+    moisture at or below target after warming. ``hot``: heavy order ids where known, see join_per_key."""
     cycles = pairs.select("order_id", "cycle_start_time").join(
         orders.select("order_id", "material_id"), "order_id"
     ).join(materials.select("material_id", "target_moisture_ppm"), "material_id").drop("material_id")
-    hot = hot_keys(readings, "order_id")
-    rows = join_per_key(readings, cycles, "order_id", "left", hot=hot, probe=False).withColumn(
+    hot = hot_keys(readings, "order_id") if isinstance(hot, str) else hot
+    rows = join_per_key(readings, cycles, "order_id", "left", hot=hot).withColumn(
         "elapsed_minutes", minutes_between("cycle_start_time", "timestamp_opc")
     )
     dry = (F.col("sensor_type") == "moisture") & (F.col("value") <= F.col("target_moisture_ppm"))
@@ -265,5 +265,5 @@ def cycle_phase(
         .when(F.col("timestamp_opc") >= F.col("_dry_at"), "complete")
         .otherwise("drying")
     )
-    tagged = join_per_key(rows, hit, "order_id", "left", hot=hot, probe=False).withColumn("phase", phase)
+    tagged = join_per_key(rows, hit, "order_id", "left", hot=hot).withColumn("phase", phase)
     return tagged.select(*readings.columns, "elapsed_minutes", "phase")

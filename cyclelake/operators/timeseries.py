@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cyclelake.functions.joins import join_per_key
+from cyclelake.functions.joins import PROBE, join_per_key
 from cyclelake.functions.ordered import OrderedSeries, as_of_value
 from cyclelake.functions.timing import MICROS_PER_MINUTE, as_of_column, col, micros, minutes_between, slot_start
 from cyclelake.schemas import (
@@ -42,14 +42,16 @@ def expected_value(sensor, minutes, temperature, vacuum, moisture, standard, war
 
 def expected_profile(
     readings: DataFrame, pairs: DataFrame, orders: DataFrame, materials: DataFrame, warming: float = WARMING_MINUTES,
+    hot=PROBE,
 ) -> DataFrame:
-    """Readings since cycle start with elapsed minutes and the expected value for the order's material."""
+    """Readings since cycle start with elapsed minutes and the expected value for the order's material. ``hot``: heavy
+    order ids where known, see join_per_key."""
     spec = orders.select("order_id", "material_id").join(
         materials.select("material_id", "target_temperature_degC", "target_vacuum_mbar", "target_moisture_ppm",
                          "standard_cycle_minutes"), "material_id"
     ).drop("material_id")
     starts = pairs.select("order_id", "cycle_start_time").filter(F.col("cycle_start_time").isNotNull())
-    rows = join_per_key(readings, starts.join(spec, "order_id"), "order_id").withColumn(
+    rows = join_per_key(readings, starts.join(spec, "order_id"), "order_id", hot=hot).withColumn(
         "elapsed_minutes", minutes_between("cycle_start_time", "timestamp_opc")
     ).filter(F.col("elapsed_minutes") >= 0)
     expected = expected_value(

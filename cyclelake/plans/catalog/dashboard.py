@@ -20,7 +20,7 @@ def waste_sql(by):
 
 
 def waste(*by):
-    return lambda lake: d.drying_waste(lake.gold(), lake.readings(), by)
+    return lambda lake: d.drying_waste(lake.gold(), lake.readings(), by, lake.hot_orders())
 
 
 QUERIES = {
@@ -53,7 +53,7 @@ QUERIES = {
   target_moisture_ppm, final_moisture_ppm - target_moisture_ppm as moisture_margin_ppm, spec_met from gold"""),
     ),
     "cycle_series": (
-        lambda lake: d.cycle_series(lake.gold(), lake.readings()),
+        lambda lake: d.cycle_series(lake.gold(), lake.readings(), lake.hot_orders()),
         sql("""select r.order_id, timestamp_opc,
   (epoch_us(timestamp_opc) - epoch_us(any_value(cycle_start_time))) / 6e7 as elapsed_minutes,
   max(value) filter (where sensor_type = 'temperature') as temperature,
@@ -62,7 +62,7 @@ QUERIES = {
   from s_readings r join gold g on r.order_id = g.order_id group by r.order_id, timestamp_opc"""),
     ),
     "threshold_crossing": (
-        lambda lake: d.threshold_crossing(lake.gold(), lake.readings()),
+        lambda lake: d.threshold_crossing(lake.gold(), lake.readings(), lake.hot_orders()),
         sql("""select c.order_id, crossed_at, (epoch_us(crossed_at) - epoch_us(cycle_start_time)) / 6e7 as crossed_after_minutes
   from crossing c join gold g on c.order_id = g.order_id""", crossing=CROSSING),
     ),

@@ -21,7 +21,9 @@ PROFILE_PARTS = {"spec": SPEC, "profile": PROFILE}
 
 
 def profile(lake):
-    return ts.expected_profile(lake.readings(), lake.pairs(), lake.orders(), lake.materials())
+    return ts.expected_profile(
+        lake.readings(), lake.pairs(), lake.orders(), lake.materials(), hot=lake.hot_orders()
+    )
 
 
 def targets(lake):

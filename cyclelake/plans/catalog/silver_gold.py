@@ -13,7 +13,7 @@ def detail(lake):
     """Header of the cycles out of spec with the size and end of their series."""
     cycles = lake.gold()
     asked = cycles.filter(~F.col("spec_met")).select("order_id")
-    header, series = g.cycle_detail(cycles, lake.readings(), asked)
+    header, series = g.cycle_detail(cycles, lake.readings(), asked, lake.hot_orders())
     counts = series.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_readings"), F.max("timestamp_opc").alias("last_reading")
     )
@@ -25,7 +25,8 @@ def touched_gold(lake):
     events = lake.events()
     changed = g.touched_orders(events.filter("event_type = 'sap_confirmation_failed'"))
     return g.gold_incremental(
-        changed, events, lake.orders(), lake.materials(), lake.readings(), lake.order_state()
+        changed, events, lake.orders(), lake.materials(), lake.readings(), lake.order_state(),
+        hot=lake.hot_orders(),
     )
 
 
@@ -103,7 +104,7 @@ QUERIES = {
     ),
     "cycle_sensor_stats": (lambda lake: g.cycle_sensor_stats(lake.readings()), sql("select * from s_stats")),
     "cycle_sensor_stats_bounded": (
-        lambda lake: g.cycle_sensor_stats(lake.readings(), lake.pairs()),
+        lambda lake: g.cycle_sensor_stats(lake.readings(), lake.pairs(), lake.hot_orders()),
         sql("""select r.order_id, max(case when sensor_type = 'temperature' then value end) as "peak_temperature_degC",
   min(case when sensor_type = 'vacuum' then value end) as min_vacuum_mbar,
   arg_max(value, case when sensor_type = 'moisture' then struct_pack(t := timestamp_opc, r := reading_id) end)

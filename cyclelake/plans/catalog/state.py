@@ -63,7 +63,9 @@ def requested_ovens(lake):
 
 
 def phases(lake):
-    return st.cycle_phase(lake.readings(), lake.pairs(), lake.orders(), lake.materials()).select(
+    return st.cycle_phase(
+        lake.readings(), lake.pairs(), lake.orders(), lake.materials(), hot=lake.hot_orders()
+    ).select(
         "reading_id", "order_id", "elapsed_minutes", "phase"
     )
 

@@ -62,7 +62,7 @@ def gold(lake):
     events, target = staging_path(lake.spark, "events"), staging_path(lake.spark, "gold")
     finish(lake, j.gold_stream(
         lake.view("br_events", live=["orders"]), lake.readings(), lake.orders(), lake.materials(), events, target,
-        lake.order_state(), buckets=8,
+        lake.order_state(), buckets=8, hot=lake.hot_orders(),
     ))
     return j.read_upserted(lake.spark, target).drop("run")
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from cyclelake.functions.joins import join_per_key
+from cyclelake.functions.joins import PROBE, join_per_key
 from cyclelake.operators import gold as g
 from cyclelake.operators import silver as s
 from cyclelake.operators.state import ARRIVAL, STATE_COLUMN, with_status
@@ -129,12 +129,13 @@ def timeout_stream(events: DataFrame, limits: DataFrame, delay: str = "1 hour")
 
 def gold_stream(
     events: DataFrame, readings: DataFrame, orders: DataFrame, materials: DataFrame, bronze_events: str, gold: str,
-    order_state: DataFrame | None = None, buckets: int = 64, lookback_minutes: float | None = None,
+    order_state: DataFrame | None = None, buckets: int = 64, lookback_minutes: float | None = None, hot=PROBE,
 ) -> DataStreamWriter:
     """Every trigger: append the new events to Bronze, recompute the Gold rows of the orders they name and
     upsert them. ``readings``, ``orders`` and ``materials`` are Silver tables as they stand. With
     ``lookback_minutes`` only readings from that long before the first event of the named orders are read: a literal
-    bound that prunes files and date partitions, for plants whose readings never precede their cycle by more."""
+    bound that prunes files and date partitions, for plants whose readings never precede their cycle by more. ``hot``:
+    heavy order ids where known, see join_per_key."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -143,7 +144,7 @@ def gold_stream(
         changed = g.touched_orders(batch.select("order_id"))
         silver = s.silver_cycle_events(join_per_key(stored, changed, "order_id", "left_semi", "event_id"))
         series = _since(readings, silver.agg(F.min("event_time")), lookback_minutes)
-        rows = g.gold_incremental(changed, silver, orders, materials, series, order_state)
+        rows = g.gold_incremental(changed, silver, orders, materials, series, order_state, hot=hot)
         upsert_latest(rows.withColumn("run", F.lit(batch_id)), gold, ["order_id"], "run", buckets)
 
     return batch_sink(events, handle)
