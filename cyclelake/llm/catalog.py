@@ -6,7 +6,10 @@ from cyclelake.llm import queries as q
 from cyclelake.llm import sql
 
 QUERIES = {
+    "op2_source_mix": (q.source_mix, sql.MIXING),
     "op3_token_counts": (q.token_counts, None),
+    "op5_exact_top_k": (q.exact_top_k, sql.TOP_K),
+    "op10_packing": (q.packing, None),
 }
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from cyclelake.llm.mixing import taken_words
+from cyclelake.llm.packing import pack
 from cyclelake.llm.token_count import count_tokens
+from cyclelake.llm.topk import top_k
 
 
 def _table(spark, sf_dir, name):
@@ -13,3 +16,15 @@ def _table(spark, sf_dir, name):
 
 def token_counts(spark, sf_dir):
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def source_mix(spark, sf_dir):
+    return taken_words(_table(spark, sf_dir, "documents"))
+
+
+def exact_top_k(spark, sf_dir):
+    return top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def packing(spark, sf_dir):
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -1 +1,55 @@
 """Reference SQL of the registered queries."""
+
+MIXING = r"""
+with sized as (
+  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
+    substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 12) as h
+  from documents),
+by_source as (select source, cast(sum(size) as bigint) as source_size from sized group by source),
+weighted as (
+  select source, source_size, 2 * source_size as cap,
+    case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as weight
+  from by_source),
+leveled as (
+  select *, row_number() over o as n,
+    (cast(1.5 as double) * cast(sum(source_size) over () as double)
+       - cast(sum(cap) over (o rows between unbounded preceding and current row) - cap as double))
+      / cast(sum(weight) over (o rows between current row and unbounded following) as double) as level
+  from weighted window o as (order by cast(cap as double) / cast(weight as double), source nulls last)),
+water as (select arg_min(level, n) as level from leveled where cast(cap as double) / cast(weight as double) > level),
+targets as (
+  select l.source, l.source_size, least(cast(cap as double), coalesce(w.level * cast(weight as double), cast(cap as double))) as target
+  from leveled l left join water w on true),
+rests as (
+  select *, case when source_size > 0 then floor(target / source_size) else 0 end as whole from targets),
+grouped as (select source, h, sum(size) as words from sized group by source, h),
+summed as (
+  select *, sum(words) over (partition by source order by h rows between unbounded preceding and current row) as up_to
+  from grouped),
+copies as (
+  select g.source, g.h, cast(r.whole as bigint) + case
+      when g.up_to <= r.target - r.whole * r.source_size then 1
+      when g.up_to - g.words <= r.target - r.whole * r.source_size
+        and g.up_to - (r.target - r.whole * r.source_size) < (r.target - r.whole * r.source_size) - (g.up_to - g.words) then 1
+      else 0 end as copies
+  from summed g join rests r on g.source is not distinct from r.source)
+select s.doc_id, s.size, r.source_size, r.target, cast(s.size * c.copies as bigint) as taken,
+  case when s.size = 0 then cast(r.whole as bigint) else cast(c.copies as bigint) end as copies
+from sized s join rests r on s.source is not distinct from r.source
+join copies c on s.source is not distinct from c.source and s.h = c.h
+"""
+
+TOP_K = """
+with usable as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from usable q join usable c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+  where q.vec_id % 20 = 0),
+ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
