@@ -10,6 +10,7 @@ Sequences of one tier are dealt to step groups of equal token counts.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -29,19 +30,21 @@ STEP_TOKENS = 32_768     # tokens of a step group
 WAITING = 1_000          # documents that wait for a window in a task
 KNOWN = 700_000          # chunks a worker remembers
 SLICE_BYTES = 1_000_000  # text handled at once
-MARK = "<|startoftext|>"
+# Fixed value: how the vocabulary file cuts words, for lower-case ASCII without blanks.
+WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 class ChunkTokenizer:
     """Ids of texts by the library, remembered per blank-separated chunk.
 
-    For vocabularies that drop white space and never join over it, a text's ids are those of its chunks in order. New
-    chunks are encoded together, with a special token between them to tell them apart.
+    For vocabularies that drop white space and never join over it, a text's ids are those of its chunks in order. A new
+    lower-case ASCII chunk needs no normalising: it is cut into words here and the library's model encodes them; any other
+    chunk goes through the whole library.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.mark = self.library.token_to_id(MARK)
+        self.model = self.library.model
         self._forget()
 
     def _forget(self) -> None:
@@ -50,27 +53,29 @@ class ChunkTokenizer:
         self.flat = np.zeros(0, np.int32)
 
     def _learn(self, chunks: set[bytes]) -> None:
-        new = [c for c in chunks if c not in self.known]
+        new = list(chunks.difference(self.known))
         if not new:
             return
         if len(self.known) + len(new) > KNOWN:
             self._forget()
             new = list(chunks)
-        plain = [c for c in new if b"<|" not in c]
-        special = [c for c in new if b"<|" in c]
-        joined = f" {MARK} ".join([c.decode() for c in plain])
-        ids = np.array(self.library.encode(joined, add_special_tokens=False).ids, np.int32)
-        marks = np.flatnonzero(ids == self.mark)
-        sizes = np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1 if plain else np.zeros(0, np.int64)
-        parts = [self.flat, ids[ids != self.mark]]
-        for chunk in special:
-            own = self.library.encode(chunk.decode(), add_special_tokens=False).ids
-            parts.append(np.array(own, np.int32))
-            sizes = np.append(sizes, len(own))
-        self.known.update(zip(plain + special, range(len(self.known), len(self.known) + len(new))))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate(parts)
+        plain = [c for c in new if c.isascii() and b"<|" not in c]
+        others = [c for c in new if not c.isascii() or b"<|" in c]
+        ids: list[int] = []
+        sizes: list[int] = []
+        for chunk in plain:
+            before = len(ids)
+            for word in WORD.findall(chunk.decode()):
+                ids += [token.id for token in self.model.tokenize(word)]
+            sizes.append(len(ids) - before)
+        for encoded in self.library.encode_batch_fast([c.decode() for c in others], add_special_tokens=False):
+            ids += encoded.ids
+            sizes.append(len(encoded.ids))
+        self.known.update(zip(plain + others, range(len(self.known), len(self.known) + len(new))))
+        counts = np.array(sizes, np.int64)
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
+        self.sizes = np.concatenate([self.sizes, counts])
+        self.flat = np.concatenate([self.flat, np.array(ids, np.int32)])
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         at = 0
@@ -81,7 +86,10 @@ class ChunkTokenizer:
             while at < len(texts) and (not counts or size < SLICE_BYTES):
                 raw = texts[at].encode()
                 # Lower-case letters have the same ids; special strings are told apart by case.
-                own = (raw if b"<|" in raw else raw.lower()).split()
+                if b"<|" in raw:
+                    own = [c if b"<|" in c else c.lower() for c in raw.split()]
+                else:
+                    own = raw.lower().split()
                 chunks += own
                 counts.append(len(own))
                 size += len(raw)
