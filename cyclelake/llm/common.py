@@ -7,16 +7,23 @@ from pyspark.sql import functions as F
 
 from cyclelake.session import staging_path
 
-# What separates words. Everything else belongs to a word.
+# Fixed value: what separates words. Everything else belongs to a word.
 BLANKS = "\t\n\x0b\x0c\r "
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage is cut, later reads cost a scan, and the
-    optimizer knows its true size when it chooses joins."""
-    path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    optimizer knows its true size when it chooses joins. The shuffle files of the write are freed at once."""
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_or_empty(column: str) -> Column:
