@@ -4,27 +4,62 @@ from __future__ import annotations
 
 import public_tokenizers
 
+import corpus_pipeline
+from cyclelake.llm.language_model import pseudo_likelihood
+from cyclelake.llm.licenses import scan_licenses
 from cyclelake.llm.mixing import taken_words
+from cyclelake.llm.ngram_join import similar_classes
 from cyclelake.llm.packing import pack
+from cyclelake.llm.quality import quality_scores
 from cyclelake.llm.token_count import count_tokens
 from cyclelake.llm.topk import top_k
+from cyclelake.llm.toxicity import toxicity_scores
+from cyclelake.llm.vector_dedup import near_vectors
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def token_counts(spark, sf_dir):
-    return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+def vector_dedup(spark, sf_dir):
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
 def source_mix(spark, sf_dir):
     return taken_words(_table(spark, sf_dir, "documents"))
 
 
+def token_counts(spark, sf_dir):
+    return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def license_scan(spark, sf_dir):
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def exact_top_k(spark, sf_dir):
     return top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def quality(spark, sf_dir):
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def language_model(spark, sf_dir):
+    return pseudo_likelihood(_table(spark, sf_dir, "documents"))
+
+
+def ngram_join(spark, sf_dir):
+    return similar_classes(_table(spark, sf_dir, "documents"))
+
+
+def toxicity(spark, sf_dir):
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def packing(spark, sf_dir):
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

@@ -53,3 +53,46 @@ ranked as (
   select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 20
 """
+
+NGRAM_JOIN = r"""
+with recursive tokens as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as words
+  from documents),
+sets as (
+  select doc_id, case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+    else list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) end as s
+  from tokens),
+shingles as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+held as (select shingle from shingles group by shingle having count(*) > 1),
+rare as (select s.* from shingles s join held using (shingle)),
+met as (
+  select a.doc_id as x, b.doc_id as y, a.n as n_x, b.n as n_y, count(*) as shared
+  from rare a join rare b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by all),
+links as (select x, y from met where 100 * shared >= 80 * (n_x + n_y - shared)),
+reach as (
+  select doc_id, doc_id as other from sets
+  union
+  select r.doc_id, l.y as other from reach r join links l on r.other = l.x)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, min(r.other) as component_id
+from sets s join reach r on s.doc_id = r.doc_id group by s.doc_id, s.s
+"""
+
+VECTOR_DEDUP = """
+with recursive usable as (
+  select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id as x, b.vec_id as y from usable a join usable b
+    on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.98),
+reach as (
+  select vec_id, vec_id as other from embeddings
+  union
+  select r.vec_id, l.y as other from reach r join links l on r.other = l.x),
+found as (select vec_id, min(other) as component_id from reach group by vec_id),
+counted as (select x, count(*) as n from links group by x)
+select e.vec_id, cast(coalesce(c.n, 0) as bigint) as n_links, f.component_id, e.vec_id = f.component_id as kept
+from embeddings e join found f using (vec_id) left join counted c on c.x = e.vec_id
+"""
