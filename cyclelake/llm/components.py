@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from cyclelake.llm.common import staged
 
 
-def _point_to_least(edges: DataFrame, own: bool) -> DataFrame:
-    """Every edge (u, v) with the least neighbour of u as ``m`` (u itself counts when ``own``). The least neighbours are
-    written first, so that the join is one of two plain tables and a node with very many links is split."""
+LARGE = 1_000_000   # edges from which a node may have too many of them for one task
+
+
+def _point_to_least(edges: DataFrame, own: bool, large: bool) -> DataFrame:
+    """Every edge (u, v) with the least neighbour of u as ``m`` (u itself counts when ``own``). With many edges the least
+    neighbours are written first, so that the join is one of two plain tables and a node with very many links is split."""
     least = F.least(F.min("v"), F.col("u")) if own else F.min("v")
-    return edges.join(staged(edges.groupBy("u").agg(least.alias("m")), "least"), "u")
+    table = edges.groupBy("u").agg(least.alias("m"))
+    return edges.join(staged(table, "least") if large else table, "u")
 
 
 def components(links: DataFrame, a="a", b="b") -> DataFrame:
@@ -30,13 +34,14 @@ def components(links: DataFrame, a="a", b="b") -> DataFrame:
 
     seen = mark(edges)
     while seen[0]:
+        many = seen[0] >= LARGE
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _point_to_least(both, True).filter(F.col("v") > F.col("u")).select(
+        large = _point_to_least(both, True, many).filter(F.col("v") > F.col("u")).select(
             F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = staged(large, "edges")
-        pointed = _point_to_least(large, False)
-        small = pointed.select("u", F.col("m").alias("v")).union(
-            pointed.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")))
+        pointed = _point_to_least(staged(large, "edges") if many else large, False, many)
+        # An edge to another than the least neighbour also ties that neighbour to the least one.
+        both_ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = pointed.select(F.inline(both_ends)).filter(F.col("u") != F.col("v"))
         edges = staged(small.distinct(), "edges")
         now = mark(edges)
         if now == seen:
