@@ -9,8 +9,9 @@
    cut into fragments. The overlap of a pair is counted in each fragment on its own and summed per pair.
 4. Stars. Nodes with equal minimum hashes are compared with the most typical of them only, so a group of n near copies
    costs about n comparisons. Linked nodes form first components.
-5. All other pairs. Nodes of different components that share a shingle in their prefix of the global order are compared.
-   Pairs inside a component are already connected and are never built. No link between components is lost.
+5. All other pairs. Nodes of different components that share a shingle in their prefix of the global order are compared,
+   stars as a whole at first. Pairs inside a component are already connected and are never built. No link between
+   components is lost.
 """
 
 from __future__ import annotations
@@ -187,7 +188,8 @@ def _ordered_sets(df: DataFrame, groups: DataFrame, words: int, threshold: int)
     """(id, n, keys, typical) for the classes that may have a partner, and the cuts between the fragments of the order.
 
     A key is a shingle's place in the global order: how many classes hold it, then 48 bits of its hash. ``keys`` has those
-    that several classes hold, in order; the others come before them and match nothing. ``typical`` is their mean count.
+    that several classes hold, in order; the others come before them and match nothing. ``typical`` is the mean logarithm of
+    the counts over the whole set.
     """
     needed = F.greatest(F.lit(1), F.floor(_at_least(F.col("n"), threshold) / 5))
     likely = groups.filter(F.col("found") >= needed).groupBy("rep").agg(F.min("digest").alias("_digest"))
@@ -209,7 +211,8 @@ def _ordered_sets(df: DataFrame, groups: DataFrame, words: int, threshold: int)
     key = F.shiftleft(F.least("held", F.lit(32_767)), 48).bitwiseOR(F.shiftrightunsigned("hash", 16))
     keyed = rows.join(counts, "hash").select("id", "n", key.alias("key"), "held")
     ordered = staged(keyed.groupBy("id").agg(
-        F.first("n").alias("n"), F.sort_array(F.collect_set("key")).alias("keys"), F.avg("held").alias("typical")), "order")
+        F.first("n").alias("n"), F.sort_array(F.collect_set("key")).alias("keys"), 
+        (F.sum(F.log("held")) / F.first("n")).alias("typical")), "order")
     steps = [k / FRAGMENTS for k in range(1, FRAGMENTS)]
     cuts = counts.agg(F.percentile_approx(key, steps)).first()[0] or []
     return ordered, [int(c) for c in cuts]
@@ -242,13 +245,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, cuts: list[int], threshold: int
 
 
 def _stars(sets: DataFrame, cuts: list[int], threshold: int) -> DataFrame:
-    """Links between nodes with an equal minimum hash and the most typical of them."""
+    """Links (a, b) between nodes b with an equal minimum hash and the most typical of them, a: the one whose other minimum
+    hashes are shared most, then the one whose shingles are."""
     keys = [F.struct(F.lit(j).alias("j"), F.array_min(F.transform("keys", lambda k, j=j: F.xxhash64(k, F.lit(j)))).alias("h"))
             for j in range(STAR_KEYS)]
     rows = staged(sets.select("id", "typical", F.explode(F.array(*keys)).alias("key")).select("id", "typical", "key.*"), "keys")
-    centres = rows.groupBy("j", "h").agg(F.max_by("id", F.struct("typical", -F.col("id"))).alias("a"),
-                                         F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).drop("_n")
-    pairs = rows.join(staged(centres, "centres"), ["j", "h"]).select("a", F.col("id").alias("b"))
+    sizes = rows.groupBy("j", "h").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    shared = staged(rows.join(staged(sizes, "sizes"), ["j", "h"]), "shared")
+    score = shared.groupBy("id").agg(F.round(F.sum(F.log2("_n")), 6).alias("score"))
+    scored = staged(shared.join(score, "id").drop("_n"), "scored")
+    centres = scored.groupBy("j", "h").agg(F.max_by("id", F.struct("score", "typical", -F.col("id"))).alias("a"))
+    pairs = scored.join(staged(centres, "centres"), ["j", "h"]).select("a", F.col("id").alias("b"))
     return staged(_verified(pairs.filter(F.col("a") != F.col("b")).distinct(), sets, cuts, threshold), "links")
 
 
@@ -258,26 +265,38 @@ def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
     return rows.join(known, "id", "left").withColumn("c", F.coalesce("_c", "id")).drop("_c")
 
 
-def _cross_pairs(sets: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of different components ``c`` that share a key in both prefixes. For each key, the component with
-    most members there is not paired with itself, so its size enters only once."""
-    single = F.col("n") - F.size("keys")   # shingles that nobody else holds come first in the order
-    prefix = F.col("n") - _at_least(F.col("n"), threshold) + 1 - single
-    rows = sets.filter(prefix > 0).select("id", "n", "c", single.alias("single"), F.posexplode(
-        F.slice("keys", F.lit(1), prefix.cast("int"))).alias("place", "key")).withColumn("place", F.col("place") + F.col("single"))
-    rows = staged(rows.drop("single"), "prefixes")
+def _cross_links(sets: DataFrame, stars: DataFrame, first: DataFrame, cuts: list[int], threshold: int) -> DataFrame:
+    """Links (a, b) between different components ``first``.
+
+    Such a pair shares a key in both prefixes of the order, and where it does, one of the two is not in the component with
+    most members there. That node is compared with the centre of the other's star instead of all its members: Jaccard
+    distances obey the triangle inequality, so a centre is at most twice as far as a link allows. Only members of the stars
+    that pass are compared themselves.
+    """
+    centres = stars.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("_centre"))
+    placed = _placed(sets, first).join(centres, "id", "left").withColumn("centre", F.coalesce("_centre", "id"))
+    prefix = F.col("n") - _at_least(F.col("n"), threshold) + 1 - (F.col("n") - F.size("keys"))
+    rows = placed.filter(prefix > 0).select("id", "n", "c", "centre", F.size("keys").alias("held"), F.posexplode(
+        F.slice("keys", F.lit(1), prefix.cast("int"))).alias("place", "key"))
+    # What two sets can share is bounded by what they hold before and from the key on, of keys that others hold too.
+    rows = staged(rows.select("id", "n", "c", "centre", "key", "place", (F.col("held") - F.col("place")).alias("left")), "prefixes")
     held = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("members"))
-    mixed = staged(held.groupBy("key").agg(F.max_by("c", F.struct("members", "c")).alias("major"),
-                                           F.count(F.lit(1)).alias("parts")).filter(F.col("parts") > 1).drop("parts"), "mixed")
+    mixed = held.groupBy("key").agg(F.max_by("c", F.struct("members", "c")).alias("major"), F.count(F.lit(1)).alias("parts"))
+    mixed = staged(mixed.filter(F.col("parts") > 1).drop("parts"), "mixed")
     rows = staged(rows.join(mixed, "key"), "mixed_rows")
-    x, y = rows.filter(F.col("c") != F.col("major")).alias("x"), rows.alias("y")
-    n_x, n_y, i, j = F.col("x.n"), F.col("y.n"), F.col("x.place"), F.col("y.place")
-    reach = F.least(i, j) + 1 + F.least(n_x - i, n_y - j) - 1
-    fits = (100 * F.least(n_x, n_y) >= threshold * F.greatest(n_x, n_y)) & (
-        (100 + threshold) * reach >= threshold * (n_x + n_y))
-    once = (F.col("y.c") == F.col("y.major")) | (F.col("x.id") < F.col("y.id"))
-    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & once & fits)
-    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    groups = rows.groupBy("key", "c", "centre").agg(
+        F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("place").alias("place"), F.max("left").alias("left"))
+    x, y = rows.filter(F.col("c") != F.col("major")).alias("x"), staged(groups, "groups").alias("y")
+    reach = F.least("x.place", "y.place") + F.least("x.left", "y.left")
+    fits = (100 * F.col("x.n") >= threshold * F.col("y.least_n")) & (100 * F.col("y.most_n") >= threshold * F.col("x.n")) & (
+        (100 + threshold) * reach >= threshold * (F.col("x.n") + F.col("y.least_n")))
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & fits)
+    near = met.select(F.col("x.id").alias("a"), F.col("y.centre").alias("b")).distinct()
+    if 2 * threshold > 100:
+        near = _verified(near, sets, cuts, 2 * threshold - 100)
+    members = placed.select(F.col("centre").alias("b"), F.col("id").alias("_member"))
+    pairs = staged(near, "near").join(members, "b").select(F.least("a", "_member").alias("a"), F.greatest("a", "_member").alias("b"))
+    return staged(_verified(pairs.filter(F.col("a") != F.col("b")).distinct(), sets, cuts, threshold), "links")
 
 
 def similar_classes(df: DataFrame, threshold=80, words=5, id_column="doc_id", text="text") -> DataFrame:
@@ -293,8 +312,7 @@ def similar_classes(df: DataFrame, threshold=80, words=5, id_column="doc_id", te
     sets, cuts = _ordered_sets(rows, groups, words, threshold)
     links = _stars(sets, cuts, threshold)
     first = components(links)
-    pairs = _cross_pairs(_placed(sets, first), threshold)
-    more = staged(_verified(pairs, sets, cuts, threshold), "links")
+    more = _cross_links(sets, links, first, cuts, threshold)
     parts = first
     if not more.isEmpty():
         parts = components(first.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more))
