@@ -22,6 +22,7 @@ SHARD_ROWS = 8192
 NEIGHBOURS = 12       # links a vector gets per layer; the lowest layer keeps twice as many
 BUILD_BEAM, BEAM, WIDER = 48, 48, 4
 BLOCK = 256           # vectors searched or added at once
+SCAN = 8              # a beam wider than this part of the shard costs more than comparing with the whole shard
 AUDITED, RECALL = 48, 0.97
 NEAREST = 5           # audits also ask for the nearest vectors
 
@@ -183,7 +184,7 @@ def find_hits(graph: Graph, queries: np.ndarray, threshold: float, beam=BEAM) ->
         for at in range(0, n, BLOCK):
             todo, width = np.arange(at, min(n, at + BLOCK)), beam
             while len(todo):
-                if width >= total:   # a beam as wide as the shard meets everything
+                if width * SCAN >= total:   # the widest beam: the whole shard
                     sims = queries[todo] @ graph.x.T
                     ids = np.broadcast_to(np.arange(total), sims.shape)
                     full = np.zeros(len(todo), bool)
@@ -199,7 +200,7 @@ def find_hits(graph: Graph, queries: np.ndarray, threshold: float, beam=BEAM) ->
                     met = ids[~full][np.searchsorted(settled, sample[k])]
                     audited[k, met[met >= 0]] = True
                 todo, width = todo[full], width * WIDER
-        if beam >= total or (audited & wanted).sum() >= RECALL * wanted.sum():
+        if beam * SCAN >= total or (audited & wanted).sum() >= RECALL * wanted.sum():
             return np.concatenate(rows), np.concatenate(cols), beam
         beam *= WIDER
 
