@@ -117,13 +117,12 @@ def duration_by_material(gold: DataFrame) -> DataFrame:
     return means.withColumn("colour", F.when(over, "over").otherwise("green"))
 
 
-def moisture_vs_duration(gold: DataFrame, fraction: float | None = None, seed: int = 42) -> DataFrame:
-    """One point per cycle; ``fraction`` draws a sample for a plot."""
-    points = gold.select(
+def moisture_vs_duration(gold: DataFrame) -> DataFrame:
+    """One point per cycle."""
+    return gold.select(
         "order_id", "material_id", "actual_duration_minutes", "final_moisture_ppm", "target_moisture_ppm", "spec_met",
         F.when(F.col("spec_met"), "circle").otherwise("cross").alias("symbol"),
     )
-    return points.sample(fraction=fraction, seed=seed) if fraction is not None else points
 
 
 def efficiency_summary(gold: DataFrame) -> DataFrame:

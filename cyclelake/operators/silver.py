@@ -19,6 +19,11 @@ def first_per_key(df: DataFrame, keys, order) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+def content_order(df: DataFrame):
+    """An order of rows that depends on nothing but their values."""
+    return F.xxhash64(*df.columns)
+
+
 def silver_readings(bronze: DataFrame) -> DataFrame:
     """Good readings with all mandatory columns, one per reading_id (earliest delivery)."""
     good = bronze.filter(F.col("quality") == "Good")
@@ -74,9 +79,9 @@ def cycle_pairs(events: DataFrame) -> DataFrame:
 
 
 def latest_version(df: DataFrame, key: str) -> DataFrame:
-    """Latest row per key by updated_at, then ingested_at."""
+    """Latest row per key by updated_at, then ingested_at; rows that tie in both are told apart by their content."""
     order = [F.desc("updated_at")] + ([F.desc("ingested_at")] if "ingested_at" in df.columns else [])
-    return first_per_key(df, [key], order)
+    return first_per_key(df, [key], [*order, content_order(df)])
 
 
 def silver_orders(bronze: DataFrame) -> DataFrame:

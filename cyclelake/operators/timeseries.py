@@ -100,22 +100,20 @@ def ewma(
 def alert_moisture_stalled(
     readings: DataFrame, percent: float = 5.0, window_minutes: int = 30, keys=("order_id",), slice_minutes: int = 60,
 ) -> DataFrame:
-    """Moisture readings that did not fall by ``percent`` against the first reading of the trailing window; a
-    window with a single instant raises nothing. The first reading at or after the window start is an as-of lookup
-    with time mirrored, over one row per key and instant."""
-    width = F.lit(int(window_minutes * MICROS_PER_MINUTE))
+    """Moisture readings that did not fall by ``percent`` against the last reading at or before the start of the
+    trailing window. Without such a reading the window is not full and nothing is raised. Where the readings carry a
+    ``phase`` (see ``cycle_phase``) only those of the drying phase are compared, so the even moisture of warming
+    and of finished cycles raises nothing."""
     moisture = readings.filter(F.col("sensor_type") == "moisture")
-    firsts = moisture.groupBy(*keys, "timestamp_opc").agg(F.min(F.struct("reading_id", "value")).alias("_r"))
-    firsts = firsts.withColumn("_mirror", F.timestamp_micros(-micros("timestamp_opc")))
-    probes = moisture.withColumn("_probe", F.timestamp_micros(width - micros("timestamp_opc")))
-    first = F.struct("timestamp_opc", F.col("_r.value").alias("value"))
+    if "phase" in readings.columns:
+        moisture = moisture.filter(F.col("phase") == "drying")
+    width = F.lit(int(window_minutes * MICROS_PER_MINUTE))
+    probes = moisture.withColumn("_opens", F.timestamp_micros(micros("timestamp_opc") - width))
     seen = as_of_value(
-        probes, firsts, list(keys), ("_probe", "reading_id"), ("_mirror", "timestamp_opc"), first, "_first",
-        width=slice_minutes,
-    )
-    stalled = (F.col("_first.timestamp_opc") < F.col("timestamp_opc")) & (
-        F.col("value") > F.col("_first.value") * (1 - percent / 100.0)
+        probes, moisture, list(keys), ("_opens", "reading_id"), ("timestamp_opc", "reading_id"),
+        F.struct("timestamp_opc", "value"), "_first", width=slice_minutes,
     )
+    stalled = F.col("value") > F.col("_first.value") * (1 - percent / 100.0)
     return seen.filter(stalled).select(
         *readings.columns, F.col("_first.timestamp_opc").alias("window_start"),
         F.col("_first.value").alias("window_start_value"),
@@ -160,7 +158,9 @@ def alert_vacuum_loss(
 def cycle_end_eta(profile: DataFrame, targets: DataFrame, warming: float = WARMING_MINUTES) -> DataFrame:
     """Per cycle a straight line through ln(moisture) over minutes of the drying phase, the minute at which it
     meets the target, and R2. No estimate with fewer than two instants or without decay. ``targets`` holds order_id,
-    target_moisture_ppm and cycle_start_time."""
+    target_moisture_ppm, cycle_start_time and, to estimate running cycles only, cycle_end_time (null while running)."""
+    if "cycle_end_time" in targets.columns:
+        targets = targets.filter(F.col("cycle_end_time").isNull()).drop("cycle_end_time")
     moisture = profile.filter(
         (F.col("sensor_type") == "moisture") & (F.col("value") > 0) & (F.col("elapsed_minutes") > warming)
     ).select("order_id", "elapsed_minutes", F.log("value").alias("_ln"))

@@ -63,7 +63,8 @@ union all select order_id, material_id, plant, oven_id, planned_start, planned_e
 union all select order_id, material_id, plant, oven_id, planned_start, planned_end, 480, 'ABORTED', operator_id,
   start_ts, null, null, false, planned_start - interval '2' day, end_ts, end_ts
   from ad_orders where o_orderstatus = 'P'""",
-    # Cheap orders miss their start, urgent ones are delivered twice, medium ones are started twice.
+    # Cheap orders miss their start, urgent ones are delivered twice, medium ones are started twice, some of them after an
+    # abort. Some orders have a stray confirmation before their start or a second one after their end.
     "br_events": """
 select order_id || '-S' as event_id, 'cycle_started' as event_type, order_id, oven_id, operator_id, start_ts as event_time,
   '{"setpoint_temperature_degC": 120.5, "setpoint_vacuum_mbar": 5}' as payload
@@ -73,6 +74,14 @@ union all select order_id || '-S', 'cycle_started', order_id, oven_id, operator_
   from ad_orders where o_totalprice >= 40000 and o_orderpriority = '1-URGENT'
 union all select order_id || '-R', 'cycle_started', order_id, oven_id, operator_id, start_ts + interval '10' minute,
   '{"setpoint_temperature_degC": 121, "setpoint_vacuum_mbar": 4.5}' from ad_orders where o_orderpriority = '3-MEDIUM'
+union all select order_id || '-X', 'cycle_aborted', order_id, oven_id, operator_id, start_ts + interval '5' minute,
+  '{"reason": "operator_abort"}' from ad_orders where o_orderpriority = '3-MEDIUM' and o_orderkey % 3 = 0
+union all select order_id || '-P', 'cycle_confirmed', order_id, oven_id, operator_id, start_ts - interval '5' minute,
+  '{"sap_confirmation_number": "' || sap_confirmation_number || '", "goods_movement_document": "GR-' || order_id || '-P"}'
+  from ad_orders where o_orderstatus = 'F' and o_orderkey % 5 = 1
+union all select order_id || '-D', 'cycle_confirmed', order_id, oven_id, operator_id, end_ts + interval '30' minute,
+  '{"sap_confirmation_number": "' || sap_confirmation_number || '", "goods_movement_document": "GR-' || order_id || '-D"}'
+  from ad_orders where o_orderstatus = 'F' and o_orderkey % 5 = 2
 union all select order_id || '-F', 'sap_confirmation_failed', order_id, oven_id, operator_id, end_ts - interval '5' minute,
   '{"error_code": "ORDER_LOCKED", "error_message": "locked by another user"}'
   from ad_orders where o_orderstatus = 'F' and o_orderpriority = '2-HIGH'
@@ -153,36 +162,36 @@ from (select reading_id as event_id, md5(cast(reading_id as string)) as h, plant
   order_id, timestamp_opc, timestamp_mqtt from ad_live) numbered""",
     "m_states": """
 select reading_id as event_id, '{"oven_id": ' || case reading_id % 31 when 1 then '5' else '"' || oven_id || '"' end
-  || ', "order_id": ' || case reading_id % 31 when 2 then '"ORD-1"' when 3 then 'null' else '"ORD-2026-00042"' end
+  || ', "order_id": ' || case reading_id % 31 when 2 then '"ORD-1"' when 3 then 'null' else '"ORD-2031-07315"' end
   || ', "status": "' || case reading_id % 31 when 4 then 'fault' when 3 then 'idle' else 'running' end
   || '", "temperature_degC": ' || case reading_id % 31 when 5 then '"hot"' when 3 then 'null' else cast(value as string) end
   || ', "moisture_ppm": ' || case reading_id % 31 when 6 then 'false' else '12' end
   || ', "cycle_elapsed_minutes": ' || case reading_id % 31 when 7 then '-1' else '3.5' end
   || ', "moisture_threshold_met": ' || case reading_id % 31 when 8 then '1' when 9 then 'null' else 'true' end
-  || ', "timestamp": "2026-06-03T08:32:14' || case reading_id % 31 when 10 then '' else '.5Z' end || '"}' as raw_payload
+  || ', "timestamp": "2031-11-19T04:17:50' || case reading_id % 31 when 10 then '' else '.5Z' end || '"}' as raw_payload
 from ad_live""",
     "m_answers": """
 select o_orderkey, '{"order_id": "' || order_id || '", "count": ' || case o_orderkey % 29 when 1 then '"2"' when 2 then '-1'
     when 3 then '3' when 4 then '1.0' when 5 then '1' else '2' end
   || case o_orderkey % 29 when 6 then '' when 7 then ', "readings": {}' else ', "readings": [{"reading_id": "'
     || case o_orderkey % 29 when 8 then 'x' else '00000000-0000-4000-8000-000000000001' end
-    || '", "timestamp_opc": "2026-06-03T07:00:00Z", "sensor_type": "temperature", "value": '
-    || case o_orderkey % 29 when 9 then 'null' else '95.1' end || ', "unit": "degC", "quality": "Good"}'
+    || '", "timestamp_opc": "2031-11-19T03:25:00Z", "sensor_type": "temperature", "value": '
+    || case o_orderkey % 29 when 9 then 'null' else '64.4' end || ', "unit": "degC", "quality": "Good"}'
     || case o_orderkey % 29 when 5 then '' when 10 then ', 17' else ', {"reading_id": "00000000-0000-4000-8000-000000000002", '
-    || '"timestamp_opc": "2026-06-03T07:05:00Z", "sensor_type": "moisture", "value": 7, "unit": "'
+    || '"timestamp_opc": "2031-11-19T03:40:00Z", "sensor_type": "moisture", "value": 7, "unit": "'
     || case o_orderkey % 29 when 11 then 'pct' else 'ppm' end || '", "quality": "Bad"}' end || ']' end || '}' as raw_payload
 from ad_orders""",
     "m_order_states": """
 select o_orderkey, '{"order_id": "' || order_id || '", "status": "' || case o_orderkey % 23 when 1 then 'CLOSED'
     when 2 then 'in-progress' else 'closed' end || '", "operator_id": ' || case o_orderkey % 23 when 3 then '7'
     when 4 then 'null' else '"' || operator_id || '"' end || ', "cycle_confirmed_at": ' || case o_orderkey % 23
-    when 5 then '"yesterday"' when 4 then 'null' else '"2026-06-03T13:58:00Z"' end
+    when 5 then '"yesterday"' when 4 then 'null' else '"2031-11-19T11:06:00Z"' end
   || case o_orderkey % 23 when 6 then '' when 7 then ', "quality_check_passed": "yes"' else
     ', "quality_check_passed": true' end || '}' as raw_payload
 from ad_orders""",
     "m_confirmations": """
 select o_orderkey, '{"order_id": "' || order_id || '"' || case o_orderkey % 19 when 1 then '' else
-    ', "sap_confirmation_number": "' || case o_orderkey % 19 when 2 then 'C-1' else 'CONF-2026-00891' end || '"' end
+    ', "sap_confirmation_number": "' || case o_orderkey % 19 when 2 then 'C-1' else 'CONF-2031-55102' end || '"' end
   || ', "status": ' || case o_orderkey % 19 when 3 then 'null' when 4 then '"OPEN"' else '"CONFIRMED"' end
   || ', "posted_at": "' || replace(cast(end_ts as string), ' ', 'T') || case o_orderkey % 19 when 5 then '' else 'Z' end
   || '"}' as raw_payload
@@ -198,7 +207,7 @@ select o_orderkey, '{"order_id": "' || order_id || '", "material_id": "' || mate
   || case o_orderkey % 37 when 8 then '' else ', "actual_start": null' end || ', "actual_end": '
   || case o_orderkey % 37 when 9 then '"soon"' else '"' || replace(cast(end_ts as string), ' ', 'T') || 'Z"' end
   || ', "sap_confirmation_number": null, "goods_movement_posted": ' || case o_orderkey % 37 when 10 then '"no"' else 'false' end
-  || ', "created_at": "2026-06-02T14:30:00Z", "updated_at": "2026-06-02T14:30:00Z"}' as raw_payload
+  || ', "created_at": "2031-11-17T15:20:00Z", "updated_at": "2031-11-17T15:20:00Z"}' as raw_payload
 from ad_orders""",
     "m_materials": """
 select p_partkey, '{"material_id": "MAT-' || lpad(cast(p_size as string), 4, '0') || '", "material_description": "'
@@ -210,16 +219,16 @@ select p_partkey, '{"material_id": "MAT-' || lpad(cast(p_size as string), 4, '0'
   || ', "target_temperature_degC": ' || case p_partkey % 29 when 8 then '-1.5' else '130.0' end
   || ', "target_vacuum_mbar": ' || case p_partkey % 29 when 9 then '"5"' else '5' end
   || ', "weight_kg": ' || case p_partkey % 29 when 10 then 'true' else cast(p_retailprice as string) end
-  || ', "updated_at": "2026-06-01T00:00:00Z"}' as raw_payload
+  || ', "updated_at": "2031-11-16T09:10:00Z"}' as raw_payload
 from part""",
     "m_movements": """
-select o_orderkey, '{"document_number": "GR-2026-' || case o_orderkey % 23 when 1 then '12' else '003891' end
+select o_orderkey, '{"document_number": "GR-2031-' || case o_orderkey % 23 when 1 then '12' else '700412' end
   || '", "order_id": "' || order_id || '", "material_id": "' || material_id || '", "movement_type": "'
   || case o_orderkey % 23 when 2 then 'GI' else 'GR_PRODUCTION' end || '", "quantity": '
   || case o_orderkey % 23 when 3 then '0' when 4 then '"1"' when 5 then '1.5' else '1' end
   || ', "unit": "' || case o_orderkey % 23 when 6 then '' else 'EA' end || '", "posting_date": "'
-  || case o_orderkey % 23 when 7 then '03.06.2026' else '2026-06-03' end || '"' || case o_orderkey % 23 when 8 then ''
-    else ', "storage_location": "WH-01"' end || ', "posted_at": "2026-06-03T14:00:05Z", "status": "'
+  || case o_orderkey % 23 when 7 then '19.11.2031' else '2031-11-19' end || '"' || case o_orderkey % 23 when 8 then ''
+    else ', "storage_location": "WH-01"' end || ', "posted_at": "2031-11-19T16:41:09Z", "status": "'
   || case o_orderkey % 23 when 9 then 'draft' else 'posted' end || '"}' as raw_payload
 from ad_orders""",
     "m_events": """
@@ -245,7 +254,7 @@ select o_orderkey, '{"order_id": "' || order_id || '", "material_id": "' || mate
   || '", "cycle_end_time": "' || replace(cast(end_ts as string), ' ', 'T') || 'Z", "actual_duration_minutes": '
   || case o_orderkey % 31 when 3 then '"500"' when 4 then '500.5' else '500' end || ', "standard_cycle_minutes": 480'
   || ', "delta_minutes": ' || case o_orderkey % 31 when 5 then '25' when 4 then '20.5' else '20' end
-  || ', "peak_temperature_degC": 121.4, "min_vacuum_mbar": 5' || case o_orderkey % 31 when 6 then '' else
+  || ', "peak_temperature_degC": 109.8, "min_vacuum_mbar": 5' || case o_orderkey % 31 when 6 then '' else
     ', "final_moisture_ppm": ' || cast(o_orderkey % 500 as string) end || ', "target_moisture_ppm": '
   || case o_orderkey % 31 when 7 then '300.5' else '300' end || ', "spec_met": ' || case o_orderkey % 31 when 8 then 'true'
     when 9 then '1' else case when o_orderkey % 500 < 300 then 'true' else 'false' end end

@@ -27,7 +27,7 @@ def profile(lake):
 
 
 def targets(lake):
-    return lake.pairs().select("order_id", "cycle_start_time").join(
+    return lake.pairs().select("order_id", "cycle_start_time", "cycle_end_time").join(
         lake.orders().select("order_id", "material_id"), "order_id"
     ).join(lake.materials().select("material_id", "target_moisture_ppm"), "material_id").drop("material_id")
 
@@ -52,6 +52,13 @@ VACUUM = """select *, min(value) over (partition by oven_id order by timestamp_o
 JUMPS = """select *, lag(value) over (partition by oven_id order by timestamp_opc, reading_id) as previous_value,
   cast(substr(oven_id, 6, 2) as double) * 10 as setpoint from ad_live where sensor_type = 'temperature'"""
 
+# Against the last moisture reading at or before the start of the window.
+STALLED = """select reading_id, oven_id, value, f.a as window_start, f.v as window_start_value from (
+  select r.reading_id, r.oven_id, r.value, max(struct_pack(a := s.timestamp_opc, b := cast(s.reading_id as varchar), v := s.value)) as f
+  from ad_live r join ad_live s on s.oven_id = r.oven_id and s.timestamp_opc <= r.timestamp_opc - interval '240' minute
+  where r.sensor_type = 'moisture' and s.sensor_type = 'moisture' group by r.reading_id, r.oven_id, r.value)
+  where value > f.v * 0.95::double"""
+
 QUERIES = {
     "expected_profile": (
         lambda lake: rounded(profile(lake), "expected_value").select(
@@ -83,10 +90,7 @@ QUERIES = {
         lambda lake: ts.alert_moisture_stalled(lake.view("ad_live"), 5.0, 240, ["oven_id"]).select(
             "reading_id", "oven_id", "value", "window_start", "window_start_value"
         ),
-        sql("""select reading_id, oven_id, value, f.timestamp_opc as window_start, f.value as window_start_value
-  from (select *, min(struct_pack(timestamp_opc := timestamp_opc, reading_id := reading_id, value := value)) over
-    (partition by oven_id order by timestamp_opc range between interval '240' minute preceding and current row) as f
-    from ad_live where sensor_type = 'moisture') where f.timestamp_opc < timestamp_opc and value > f.value * 0.95::double"""),
+        sql(STALLED),
     ),
     "alert_temperature_spike": (
         lambda lake: ts.alert_temperature_spike(lake.view("ad_live"), 100.0, ["oven_id"], oven_setpoints(lake)).select(
@@ -111,7 +115,8 @@ QUERIES = {
         sql("""select order_id, n_readings, round(slope, 6) as slope, round(intercept, 6) as intercept, round(r2, 6) as r2,
   round((ln(dry) - intercept) / slope, 6) as eta_minutes from (select order_id, count(*) as n_readings,
     regr_slope(ln(value), t) as slope, regr_intercept(ln(value), t) as intercept, regr_r2(ln(value), t) as r2,
-    any_value(dry) as dry from spec where sensor_type = 'moisture' and value > 0 and t > 60 group by order_id)
+    any_value(dry) as dry from spec where sensor_type = 'moisture' and value > 0 and t > 60
+    and order_id not in (select order_id from s_pairs where cycle_end_time is not null) group by order_id)
   where slope < -1e-9""", **PROFILE_PARTS),
     ),
     "simulated_minutes": (

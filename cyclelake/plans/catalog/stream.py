@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cyclelake.operators import timeseries as ts
 from cyclelake.plans.catalog.bronze import PARSED
-from cyclelake.plans.catalog.series import JUMPS, VACUUM, oven_setpoints
+from cyclelake.plans.catalog.series import JUMPS, STALLED, VACUUM, oven_setpoints
 from cyclelake.plans.catalog.state import AS_OF, PARTS
 from cyclelake.plans.checks import sql
 from cyclelake.session import staging_path
@@ -30,7 +30,7 @@ def bronze(lake):
     messages = lake.view("m_readings", live=["events"]).select("topic", "raw_payload")
     finish(lake, j.bronze_stream(messages, good, bad))
     stored = lake.spark.read.parquet(good).groupBy(F.col("quality").alias("kind")).agg(F.count(F.lit(1)).alias("n_rows"))
-    refused = lake.spark.read.parquet(bad).groupBy(F.col("reject_reason").alias("kind")).agg(
+    refused = j.read_quarantine(lake.spark, bad).groupBy(F.col("reject_reason").alias("kind")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
     return stored.unionByName(refused)
@@ -59,12 +59,26 @@ def late_orders(lake):
 
 
 def gold(lake):
-    events, target = staging_path(lake.spark, "events"), staging_path(lake.spark, "gold")
-    finish(lake, j.gold_stream(
-        lake.view("br_events", live=["orders"]), lake.readings(), lake.orders(), lake.materials(), events, target,
-        lake.order_state(), buckets=8, hot=lake.hot_orders(),
-    ))
-    return j.read_upserted(lake.spark, target).drop("run")
+    """Events first, and only then the tables of a third of the orders: the stream has to come back to them."""
+    events, target, waiting = (staging_path(lake.spark, n) for n in ("events", "gold", "pending"))
+    late = F.pmod(F.xxhash64("order_id"), F.lit(3)) == 0
+    seen = {"late": False}
+
+    def tables():
+        orders = lake.orders() if seen["late"] else lake.orders().filter(~late)
+        return lake.readings(), orders, lake.materials(), lake.order_state()
+
+    progress = staging_path(lake.spark, "progress")
+    landing = staging_path(lake.spark, "landing")
+    log = lake.view("br_events")
+    with j.rocksdb(lake.spark):
+        for part in (0, 1):
+            seen["late"] = part == 1
+            log.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == part).write.mode("append").parquet(landing)
+            stream = lake.spark.readStream.schema(log.schema).parquet(landing)
+            j.start(j.gold_stream(stream, tables, events, target, waiting, buckets=4, hot=lake.hot_orders()),
+                    progress).awaitTermination()
+    return j.read_upserted(lake.spark, target)
 
 
 def state(lake):
@@ -81,7 +95,7 @@ def alerts(lake):
         "temperature spike": lambda r: ts.alert_temperature_spike(r, 100.0, ["oven_id"], setpoints),
         "vacuum loss": lambda r: ts.alert_vacuum_loss(r, setpoints, ["oven_id"]),
     }
-    finish(lake, j.alerts_stream(lake.view("ad_live", live=["events"]), stored, found, rules, "oven_id"))
+    finish(lake, j.alerts_stream(lake.view("ad_live", live=["events"]), stored, found, rules, "oven_id", buckets=4))
     return lake.spark.read.parquet(found).select("rule", "reading_id", "oven_id", "value")
 
 
@@ -139,10 +153,7 @@ QUERIES = {
     "process_state_stream": (state, sql("select * from oven_state", **PARTS)),
     "alerts_stream": (
         alerts,
-        sql("""select 'moisture stalled' as rule, reading_id, oven_id, value
-  from (select *, min(struct_pack(timestamp_opc := timestamp_opc, reading_id := reading_id, value := value)) over
-    (partition by oven_id order by timestamp_opc range between interval '240' minute preceding and current row) as f
-    from ad_live where sensor_type = 'moisture') where f.timestamp_opc < timestamp_opc and value > f.value * 0.95::double
+        sql("select 'moisture stalled' as rule, reading_id, oven_id, value from (" + STALLED + ")" + """
   union all select 'temperature spike', reading_id, oven_id, value from jumps
   where abs(value - previous_value) > 100 or value > setpoint + 2
   union all select 'vacuum loss', reading_id, oven_id, value from vacuum

@@ -50,52 +50,102 @@ EVENT_PAYLOAD = {
 PAYLOAD_SPARK_TYPE = {"number": "double", "string": "string", "int": "int"}
 
 
-_TYPES = {
-    "string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(), "boolean": T.BooleanType(),
-    "timestamp": T.TimestampType(), "date": T.DateType(),
-}
-
-
-def _struct(text: str) -> T.StructType:
-    pairs = [field.split() for field in text.split(",")]
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
-
 
-READING = _struct(
-    "reading_id string, order_id string, oven_id string, plant string, sensor_type string, value double, "
-    "unit string, quality string, timestamp_opc timestamp, timestamp_mqtt timestamp"
-)
-EVENT = _struct(
-    "event_id string, event_type string, order_id string, oven_id string, operator_id string, "
-    "event_time timestamp, payload string"
-)
-ORDER = _struct(
-    "order_id string, material_id string, plant string, oven_id string, planned_start timestamp, "
-    "planned_end timestamp, standard_cycle_minutes int, status string, operator_id string, "
-    "actual_start timestamp, actual_end timestamp, sap_confirmation_number string, "
-    "goods_movement_posted boolean, created_at timestamp, updated_at timestamp"
-)
-MATERIAL = _struct(
-    "material_id string, material_description string, insulation_class string, target_moisture_ppm int, "
-    "standard_cycle_minutes int, max_cycle_minutes int, target_temperature_degC double, "
-    "target_vacuum_mbar double, weight_kg double, updated_at timestamp"
-)
-MOVEMENT = _struct(
-    "document_number string, order_id string, material_id string, movement_type string, quantity double, "
-    "unit string, posting_date date, storage_location string, posted_at timestamp"
-)
-CONFIRMATION = _struct(
-    "order_id string, operation_id string, confirmed_quantity double, actual_start timestamp, "
-    "actual_end timestamp, operator_id string, final_moisture_ppm double, spec_met boolean"
-)
-GOLD = _struct(
-    "order_id string, material_id string, material_description string, plant string, oven_id string, "
-    "cycle_start_time timestamp, cycle_end_time timestamp, actual_duration_minutes double, "
-    "standard_cycle_minutes int, delta_minutes double, peak_temperature_degC double, min_vacuum_mbar double, "
-    "final_moisture_ppm double, avg_moisture_ppm double, target_moisture_ppm int, spec_met boolean, "
-    "temperature_limit_met boolean, quality_check_passed boolean, operator_id string, "
-    "sap_confirmation_number string, goods_movement_posted boolean"
-)
+# Column names and types of the tables.
+READING = T.StructType([
+    T.StructField("reading_id", T.StringType()),
+    T.StructField("order_id", T.StringType()),
+    T.StructField("oven_id", T.StringType()),
+    T.StructField("plant", T.StringType()),
+    T.StructField("sensor_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("unit", T.StringType()),
+    T.StructField("quality", T.StringType()),
+    T.StructField("timestamp_opc", T.TimestampType()),
+    T.StructField("timestamp_mqtt", T.TimestampType()),
+])
+EVENT = T.StructType([
+    T.StructField("event_id", T.StringType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("order_id", T.StringType()),
+    T.StructField("oven_id", T.StringType()),
+    T.StructField("operator_id", T.StringType()),
+    T.StructField("event_time", T.TimestampType()),
+    T.StructField("payload", T.StringType()),
+])
+ORDER = T.StructType([
+    T.StructField("order_id", T.StringType()),
+    T.StructField("material_id", T.StringType()),
+    T.StructField("plant", T.StringType()),
+    T.StructField("oven_id", T.StringType()),
+    T.StructField("planned_start", T.TimestampType()),
+    T.StructField("planned_end", T.TimestampType()),
+    T.StructField("standard_cycle_minutes", T.IntegerType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("operator_id", T.StringType()),
+    T.StructField("actual_start", T.TimestampType()),
+    T.StructField("actual_end", T.TimestampType()),
+    T.StructField("sap_confirmation_number", T.StringType()),
+    T.StructField("goods_movement_posted", T.BooleanType()),
+    T.StructField("created_at", T.TimestampType()),
+    T.StructField("updated_at", T.TimestampType()),
+])
+MATERIAL = T.StructType([
+    T.StructField("material_id", T.StringType()),
+    T.StructField("material_description", T.StringType()),
+    T.StructField("insulation_class", T.StringType()),
+    T.StructField("target_moisture_ppm", T.IntegerType()),
+    T.StructField("standard_cycle_minutes", T.IntegerType()),
+    T.StructField("max_cycle_minutes", T.IntegerType()),
+    T.StructField("target_temperature_degC", T.DoubleType()),
+    T.StructField("target_vacuum_mbar", T.DoubleType()),
+    T.StructField("weight_kg", T.DoubleType()),
+    T.StructField("updated_at", T.TimestampType()),
+])
+MOVEMENT = T.StructType([
+    T.StructField("document_number", T.StringType()),
+    T.StructField("order_id", T.StringType()),
+    T.StructField("material_id", T.StringType()),
+    T.StructField("movement_type", T.StringType()),
+    T.StructField("quantity", T.DoubleType()),
+    T.StructField("unit", T.StringType()),
+    T.StructField("posting_date", T.DateType()),
+    T.StructField("storage_location", T.StringType()),
+    T.StructField("posted_at", T.TimestampType()),
+])
+CONFIRMATION = T.StructType([
+    T.StructField("order_id", T.StringType()),
+    T.StructField("operation_id", T.StringType()),
+    T.StructField("confirmed_quantity", T.DoubleType()),
+    T.StructField("actual_start", T.TimestampType()),
+    T.StructField("actual_end", T.TimestampType()),
+    T.StructField("operator_id", T.StringType()),
+    T.StructField("final_moisture_ppm", T.DoubleType()),
+    T.StructField("spec_met", T.BooleanType()),
+])
+GOLD = T.StructType([
+    T.StructField("order_id", T.StringType()),
+    T.StructField("material_id", T.StringType()),
+    T.StructField("material_description", T.StringType()),
+    T.StructField("plant", T.StringType()),
+    T.StructField("oven_id", T.StringType()),
+    T.StructField("cycle_start_time", T.TimestampType()),
+    T.StructField("cycle_end_time", T.TimestampType()),
+    T.StructField("actual_duration_minutes", T.DoubleType()),
+    T.StructField("standard_cycle_minutes", T.IntegerType()),
+    T.StructField("delta_minutes", T.DoubleType()),
+    T.StructField("peak_temperature_degC", T.DoubleType()),
+    T.StructField("min_vacuum_mbar", T.DoubleType()),
+    T.StructField("final_moisture_ppm", T.DoubleType()),
+    T.StructField("avg_moisture_ppm", T.DoubleType()),
+    T.StructField("target_moisture_ppm", T.IntegerType()),
+    T.StructField("spec_met", T.BooleanType()),
+    T.StructField("temperature_limit_met", T.BooleanType()),
+    T.StructField("quality_check_passed", T.BooleanType()),
+    T.StructField("operator_id", T.StringType()),
+    T.StructField("sap_confirmation_number", T.StringType()),
+    T.StructField("goods_movement_posted", T.BooleanType()),
+])
 
 
 def transition_table(spark: SparkSession, machine: str = "erp") -> DataFrame:

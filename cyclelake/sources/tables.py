@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cyclelake.functions.timing import as_of_column
-from cyclelake.operators.silver import first_per_key
+from cyclelake.operators.silver import content_order, first_per_key
 
 BUCKET = "_bucket"
 
@@ -43,8 +44,32 @@ def write_batch(df: DataFrame, target: str, batch_id: int) -> None:
     writer.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(target)
 
 
-def upsert_latest(new: DataFrame, target: str, keys, version: str, buckets: int = 64) -> None:
-    """Inserts or replaces rows by key; the row with the highest ``version`` wins, so repeats are harmless.
+def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table written by ``write_batch``, with its declared schema: readable before its first row is there."""
+    declared = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    return spark.read.schema(declared).parquet(path) if exists(spark, path) else spark.createDataFrame([], declared)
+
+
+def write_bucketed_batch(df: DataFrame, target: str, batch_id: int, key: str, buckets: int = 64) -> None:
+    """Like ``write_batch``, cut by a hash bucket of ``key`` as well, so that readers of few keys read few folders."""
+    rows = df.withColumns({BUCKET: _bucket([key], buckets), "batch_id": F.lit(batch_id)})
+    writer = rows.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("batch_id", BUCKET).parquet(target)
+
+
+def read_keys(spark: SparkSession, target: str, keys: DataFrame, key: str, buckets: int = 64) -> DataFrame:
+    """The buckets of such a table that hold ``keys``."""
+    touched = F.broadcast(keys.select(_bucket([key], buckets).alias(BUCKET)).distinct())   # at most ``buckets`` rows
+    return spark.read.parquet(target).join(touched, BUCKET, "left_semi").drop(BUCKET, "batch_id")
+
+
+def _bucket(keys, buckets: int):
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def upsert_latest(new: DataFrame, target: str, keys, version: str | None, buckets: int = 64) -> None:
+    """Inserts or replaces rows by key; the row with the highest ``version`` wins, so repeats are harmless. At equal
+    version, and for any version when it is None, new rows replace stored ones; among new rows that tie, content decides.
 
     The table is partitioned by a hash bucket of the key: a row never changes its partition, and only buckets
     that the new rows touch are read and rewritten. The merged buckets are first written beside the target and
@@ -55,13 +80,14 @@ def upsert_latest(new: DataFrame, target: str, keys, version: str, buckets: int
     if fs.exists(_path(spark, f"{staged}/_SUCCESS")) and not fs.exists(done):
         _publish(spark, staged, target)
         fs.create(done, True).close()
-    rows = new.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    rows = new.withColumns({BUCKET: _bucket(keys, buckets), "_new": F.lit(1)})
     if exists(spark, target):
         # At most ``buckets`` rows, so the broadcast is bounded; it also prunes the partitions that are read.
         touched = F.broadcast(rows.select(BUCKET).distinct())
-        old = spark.read.parquet(target).join(touched, BUCKET, "left_semi")
+        old = spark.read.parquet(target).join(touched, BUCKET, "left_semi").withColumn("_new", F.lit(0))
         rows = old.unionByName(rows, allowMissingColumns=True)
-    merged = first_per_key(rows, list(keys), [F.desc(version)])
+    order = [F.desc(version)] if version else []
+    merged = first_per_key(rows, list(keys), [*order, F.desc("_new"), content_order(new)]).drop("_new")
     merged.hint("rebalance", BUCKET).write.mode("overwrite").parquet(staged)
     _publish(spark, staged, target)
     fs.create(done, True).close()

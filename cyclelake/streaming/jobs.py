@@ -18,8 +18,10 @@ from cyclelake.operators import gold as g
 from cyclelake.operators import silver as s
 from cyclelake.operators.state import ARRIVAL, STATE_COLUMN, with_status
 from cyclelake.schemas import SENSOR_TYPES
-from cyclelake.sources.messages import accepted, parse_readings, rejected
-from cyclelake.sources.tables import append_bronze, exists, read_upserted, upsert_latest, write_batch
+from cyclelake.sources.messages import MESSAGE_SCHEMA, accepted, parse_readings, rejected
+from cyclelake.sources.tables import (
+    append_bronze, exists, read_batches, read_keys, read_upserted, upsert_latest, write_batch, write_bucketed_batch,
+)
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -54,7 +56,7 @@ def batch_sink(df: DataFrame, handle) -> DataStreamWriter:
 
 
 def bronze_stream(messages: DataFrame, bronze: str, quarantine: str) -> DataStreamWriter:
-    """Raw messages to Bronze rows and, refused ones, to the quarantine table."""
+    """Raw messages to Bronze rows and, refused ones, to the quarantine table (read it with ``read_quarantine``)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_readings(batch).persist()
@@ -65,6 +67,11 @@ def bronze_stream(messages: DataFrame, bronze: str, quarantine: str) -> DataStre
     return batch_sink(messages, handle)
 
 
+def read_quarantine(spark: SparkSession, quarantine: str) -> DataFrame:
+    """Refused messages; empty until the first one."""
+    return read_batches(spark, quarantine, f"{MESSAGE_SCHEMA}, reject_reason string, batch_id int")
+
+
 def silver_readings_stream(bronze: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Good readings with all mandatory columns, the first delivery per reading_id within the watermark."""
     good = bronze.filter(F.col("quality") == "Good")
@@ -85,13 +92,13 @@ def channel_window_stats(readings: DataFrame, window: str = "5 minutes", delay:
 
 
 def pair_stream(events: DataFrame, bound: str = "24 hours", delay: str = "24 hours") -> DataFrame:
-    """Start and confirmation of an order joined as they arrive, the end within ``bound`` of the start; one row per
-    start event. Copies of an event are dropped and an order keeps its first confirmation, so the rows grow with
-    the starts, never with starts times confirmations."""
+    """Starts and confirmations of an order joined as they arrive: one row for each confirmation within ``bound`` after a
+    start. Copies of an event are dropped by event_id; an order that is restarted or confirmed again keeps all its
+    pairs, and a stray confirmation before the start takes none away."""
     starts = events.filter(F.col("event_type") == "cycle_started").select(
         "event_id", F.col("order_id").alias("start_order"), F.col("event_time").alias("start_time")
     ).withWatermark("start_time", delay).dropDuplicatesWithinWatermark(["event_id"])
-    ends = _first_end(events, ["cycle_confirmed"], delay)
+    ends = _ends(events, ["cycle_confirmed"], delay)
     inside = F.expr(
         f"start_order = end_order and end_time > start_time and end_time <= start_time + interval {bound}"
     )
@@ -101,17 +108,20 @@ def pair_stream(events: DataFrame, bound: str = "24 hours", delay: str = "24 hou
     )
 
 
-def _first_end(events: DataFrame, event_types, delay: str) -> DataFrame:
+def _ends(events: DataFrame, event_types, delay: str) -> DataFrame:
+    """Every end event once."""
     rows = events.filter(F.col("event_type").isin(*event_types)).select(
-        F.col("order_id").alias("end_order"), F.col("event_time").alias("end_time"),
+        F.col("event_id").alias("end_id"), F.col("order_id").alias("end_order"), F.col("event_time").alias("end_time"),
         F.col("operator_id").alias("end_operator"),
     )
-    return rows.withWatermark("end_time", delay).dropDuplicatesWithinWatermark(["end_order"])
+    return rows.withWatermark("end_time", delay).dropDuplicatesWithinWatermark(["end_id"])
 
 
 def timeout_stream(events: DataFrame, limits: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Starts without an end up to their deadline (start plus max_cycle_minutes of ``limits``: order_id,
-    max_cycle_minutes). A start is reported once, when the watermark has passed its deadline: an outer join whose
+    """Starts without an end from the start up to their deadline (start plus max_cycle_minutes of ``limits``: order_id,
+    max_cycle_minutes). Ends are confirmations and aborts; each counts for every start it follows in time, however
+    often the order was ended or restarted. A reported timeout is no end, and an extension does not move the deadline. A
+    start is reported once, when the watermark has passed its deadline: an outer join whose
     time column on the left is the deadline drops a start from its state exactly then."""
     minutes = F.make_dt_interval(mins=F.col("max_cycle_minutes"))
     starts = events.filter(F.col("event_type") == "cycle_started").join(
@@ -120,87 +130,106 @@ def timeout_stream(events: DataFrame, limits: DataFrame, delay: str = "1 hour")
         "event_id", F.col("order_id").alias("start_order"), F.col("event_time").alias("started_at"),
         (F.col("event_time") + minutes).alias("timeout_at"), "max_cycle_minutes",
     ).withWatermark("timeout_at", delay).dropDuplicatesWithinWatermark(["event_id"])
-    ends = _first_end(events, ["cycle_confirmed", "cycle_aborted"], delay)
+    ends = _ends(events, ["cycle_confirmed", "cycle_aborted"], delay)
     ended = F.expr("start_order = end_order and end_time >= started_at and end_time <= timeout_at")
     return starts.join(ends, ended, "left_outer").filter(F.col("end_order").isNull()).select(
         F.col("start_order").alias("order_id"), "started_at", "timeout_at", "max_cycle_minutes"
     )
 
 
+def gold_changes(events: DataFrame, *changes: DataFrame) -> DataFrame:
+    """One stream for ``gold_stream``: the events, and from streams of readings, orders, movements or anything else with
+    an order_id the orders they name."""
+    stream = events
+    for change in changes:
+        stream = stream.unionByName(change.select("order_id"), allowMissingColumns=True)
+    return stream
+
+
 def gold_stream(
-    events: DataFrame, readings: DataFrame, orders: DataFrame, materials: DataFrame, bronze_events: str, gold: str,
-    order_state: DataFrame | None = None, buckets: int = 64, lookback_minutes: float | None = None, hot=PROBE,
+    changes: DataFrame, tables, bronze_events: str, gold: str, pending: str, buckets: int = 64, hot=PROBE,
 ) -> DataStreamWriter:
-    """Every trigger: append the new events to Bronze, recompute the Gold rows of the orders they name and
-    upsert them. ``readings``, ``orders`` and ``materials`` are Silver tables as they stand. With
-    ``lookback_minutes`` only readings from that long before the first event of the named orders are read: a literal
-    bound that prunes files and date partitions, for plants whose readings never precede their cycle by more. ``hot``:
-    heavy order ids where known, see join_per_key."""
+    """Every trigger: append the new events to Bronze, recompute the Gold rows of the orders that the ``changes``
+    (events, or ``gold_changes`` of several streams) name, and upsert them.
+
+    ``tables`` is a function that returns the Silver (readings, orders, materials, order_state or None) as they are when
+    the trigger runs. An order whose cycle is complete but whose order, material or final reading is not there yet
+    waits in the table ``pending`` and is tried again with every trigger. New rows replace stored ones whatever the batch
+    number, so a lost stream checkpoint does no harm. Events without an event_id only name their order. ``hot``: heavy
+    order ids where known, see join_per_key."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        write_batch(batch, bronze_events, batch_id)
-        stored = spark.read.parquet(bronze_events).drop("batch_id")
-        changed = g.touched_orders(batch.select("order_id"))
-        silver = s.silver_cycle_events(join_per_key(stored, changed, "order_id", "left_semi", "event_id"))
-        series = _since(readings, silver.agg(F.min("event_time")), lookback_minutes)
-        rows = g.gold_incremental(changed, silver, orders, materials, series, order_state, hot=hot)
-        upsert_latest(rows.withColumn("run", F.lit(batch_id)), gold, ["order_id"], "run", buckets)
-
-    return batch_sink(events, handle)
-
-
-def _since(readings: DataFrame, earliest: DataFrame, lookback_minutes: float | None) -> DataFrame:
-    """Readings not older than the one timestamp in ``earliest`` minus the lookback."""
-    first = earliest.first()[0] if lookback_minutes is not None else None
-    if first is None:
-        return readings
-    return readings.filter(F.col("timestamp_opc") >= F.lit(first - timedelta(minutes=lookback_minutes)))
-
-
-def _summary(batch: DataFrame) -> DataFrame:
-    """Per oven what a batch of readings adds to the state; map-side combined, one row per oven."""
+        events = batch.filter(F.col("event_id").isNotNull())
+        write_bucketed_batch(events, bronze_events, batch_id, "order_id", buckets)
+        named = batch.select("order_id")
+        if exists(spark, pending):
+            named = named.unionByName(read_upserted(spark, pending).filter("waits").select("order_id"))
+        changed = g.touched_orders(named).checkpoint()
+        if not exists(spark, bronze_events) or changed.isEmpty():
+            return
+        log = s.silver_cycle_events(read_keys(spark, bronze_events, changed, "order_id", buckets).join(
+            changed, "order_id", "left_semi"))
+        readings, orders, materials, order_state = tables()
+        rows = g.gold_incremental(changed, log, orders, materials, readings, order_state, hot=hot).checkpoint()
+        upsert_latest(rows, gold, ["order_id"], None, buckets)
+        complete = s.cycle_pairs(log).filter(F.col("cycle_end_time") >= F.col("cycle_start_time")).select("order_id")
+        done = rows.filter(F.col("final_moisture_ppm").isNotNull()).select("order_id", F.lit(True).alias("_done"))
+        state = changed.join(complete.withColumn("_complete", F.lit(True)), "order_id", "left").join(done, "order_id", "left")
+        waits = F.col("_complete").isNotNull() & F.col("_done").isNull()
+        upsert_latest(state.select("order_id", waits.alias("waits")), pending, ["order_id"], None, buckets)
+
+    return batch_sink(changes, handle)
+
+
+def _summary(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Per oven what a batch of readings adds to the state; map-side combined, one row per oven. The first position of the
+    running cycle is looked for after the last idle position, be it new or stored."""
     position, order = F.struct(*ARRIVAL), F.col("order_id")
     newest = batch.groupBy("oven_id").agg(
         F.max(position).alias("n_position"), F.max_by(F.struct("order_id"), position).alias("n_order"),
         F.max(F.when(order.isNull(), position)).alias("n_idle"),
         *[F.max(F.when(F.col("sensor_type") == x, F.struct(*ARRIVAL, "value"))).alias(f"n_{x}") for x in SENSOR_TYPES],
     )
+    last_idle = newest.select("oven_id", F.col("n_idle").alias("_idle"))
+    if stored is not None:
+        known = stored.select("oven_id", F.col("idle").alias("_stored"))
+        last_idle = last_idle.join(known, "oven_id", "left").select("oven_id", F.greatest("_idle", "_stored").alias("_idle"))
     rows = batch.filter(order.isNotNull()).select("oven_id", position.alias("_at"))
-    after = rows.join(newest.select("oven_id", "n_idle"), "oven_id").filter(
-        F.col("n_idle").isNull() | (F.col("_at") > F.col("n_idle"))
-    )
-    first = after.groupBy("oven_id").agg(F.min("_at.timestamp_opc").alias("n_start"))
+    after = rows.join(last_idle, "oven_id").filter(F.col("_idle").isNull() | (F.col("_at") > F.col("_idle")))
+    first = after.groupBy("oven_id").agg(F.min("_at").alias("n_start"))
     return newest.join(first, "oven_id", "left")
 
 
 def process_state_stream(readings: DataFrame, state: str, buckets: int = 16) -> DataStreamWriter:
     """Current values per oven, kept in the table ``state`` (read it with ``read_process_state``). A batch is
-    reduced to one row per oven before it meets the table, however unevenly the ovens report. Batches are taken
-    in event-time order for the cycle start; newest values are right for any order."""
+    reduced to one row per oven before it meets the table, however unevenly the ovens report. Late readings move the
+    cycle start back, and late idle ones move it forward; when a late idle reading falls inside the stored part of the
+    running cycle, the start is the first position known to come after it. New rows replace stored ones, so a lost stream
+    checkpoint does no harm."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark, new = batch.sparkSession, _summary(batch)
+        spark = batch.sparkSession
         kept = ["position", "order", "idle", *SENSOR_TYPES, "start"]
-        if exists(spark, state):
-            old = read_upserted(spark, state).drop("run")
+        old = read_upserted(spark, state) if exists(spark, state) else None
+        new = _summary(batch, old)
+        if old is not None:
             both = new.join(old, "oven_id", "left")
         else:
-            types = new.schema
-            both = new.select("*", *[F.lit(None).cast(types[f"n_{c}"].dataType).alias(c) for c in kept])
+            both = new.select("*", *[F.lit(None).cast(new.schema[f"n_{c}"].dataType).alias(c) for c in kept])
         newer = F.col("position").isNull() | (F.col("n_position") >= F.col("position"))
+        idle = F.greatest("n_idle", "idle")
+        after = lambda c: F.when(idle.isNull() | (F.col(c) > idle), F.col(c))
+        start = F.least(after("n_start"), F.coalesce(after("start"), F.when(F.col("start").isNotNull(), after("position"))))
         merged = both.select(
             "oven_id",
             F.greatest("n_position", "position").alias("position"),
             F.when(newer, F.col("n_order")).otherwise(F.col("order")).alias("order"),
-            F.greatest("n_idle", "idle").alias("idle"),
+            idle.alias("idle"),
             *[F.greatest(f"n_{x}", x).alias(x) for x in SENSOR_TYPES],
-            F.when(~newer, F.col("start"))
-            .when(F.col("n_idle").isNotNull() & (F.col("idle").isNull() | (F.col("n_idle") > F.col("idle"))), F.col("n_start"))
-            .otherwise(F.coalesce("start", "n_start")).alias("start"),
-            F.lit(batch_id).alias("run"),
+            start.alias("start"),
         )
-        upsert_latest(merged, state, ["oven_id"], "run", buckets)
+        upsert_latest(merged.checkpoint(), state, ["oven_id"], None, buckets)
 
     return batch_sink(readings, handle)
 
@@ -210,28 +239,25 @@ def read_process_state(spark: SparkSession, state: str, threshold=500.0, max_min
         "oven_id", F.col("order.order_id").alias("order_id"),
         *[F.col(f"{x}.value").alias(STATE_COLUMN[x]) for x in SENSOR_TYPES],
         F.col("position.timestamp_opc").alias("last_seen"),
-        F.when(F.col("order.order_id").isNotNull(), F.col("start")).alias("cycle_start"),
+        F.when(F.col("order.order_id").isNotNull(), F.col("start.timestamp_opc")).alias("cycle_start"),
     )
     return with_status(current, F.lit(threshold), F.lit(max_minutes), as_of)
 
 
-def alerts_stream(
-    readings: DataFrame, silver: str, alerts: str, rules, key: str = "order_id", lookback_minutes: float | None = None,
-) -> DataStreamWriter:
-    """Runs the alert rules on each batch together with the earlier readings of the same cycles, and keeps the
-    alerts that the new readings raised. ``rules`` maps a name to a function of readings. ``lookback_minutes`` bounds the
-    earlier readings to the longest cycle, so that a trigger reads recent files only."""
+def alerts_stream(readings: DataFrame, silver: str, alerts: str, rules, key: str = "order_id", buckets: int = 64) -> DataStreamWriter:
+    """Runs the alert rules on each batch together with all earlier readings of the same cycles, and keeps the
+    alerts that the new readings raised. ``rules`` maps a name to a function of readings. The stored readings are cut by
+    a hash bucket of the key, so a trigger reads the buckets of the cycles it touches."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        write_batch(batch, silver, batch_id)
-        stored = _since(spark.read.parquet(silver), batch.agg(F.min("timestamp_opc")), lookback_minutes)
+        write_bucketed_batch(batch, silver, batch_id, key, buckets)
         touched = batch.select(key).distinct()
-        context = join_per_key(stored, touched, key, "left_semi")
+        context = join_per_key(read_keys(spark, silver, touched, key, buckets), touched, key, "left_semi")
         fresh = batch.select("reading_id")
         found = None
         for name, find in rules.items():
-            rows = find(context.drop("batch_id")).join(fresh, "reading_id", "left_semi").select(
+            rows = find(context).join(fresh, "reading_id", "left_semi").select(
                 F.lit(name).alias("rule"), "reading_id", key, "timestamp_opc", "value"
             )
             found = rows if found is None else found.unionByName(rows)
@@ -247,9 +273,10 @@ def late_report(readings: DataFrame, progress: str, late: str, delay_minutes: fl
         spark = batch.sparkSession
         if exists(spark, progress):
             earlier = spark.read.parquet(progress).filter(F.col("batch_id") < batch_id)
-            mark = earlier.agg((F.max("newest") - F.make_dt_interval(mins=F.lit(int(delay_minutes)))).alias("watermark"))
-            rows = batch.join(F.broadcast(mark), F.col("timestamp_opc") < F.col("watermark"))
-            write_batch(rows, late, batch_id)
+            newest = earlier.agg(F.max("newest")).first()[0]
+            if newest is not None:
+                mark = F.lit(newest - timedelta(minutes=int(delay_minutes)))
+                write_batch(batch.filter(F.col("timestamp_opc") < mark).withColumn("watermark", mark), late, batch_id)
         write_batch(batch.agg(F.max("timestamp_opc").alias("newest")), progress, batch_id)
 
     return batch_sink(readings, handle)

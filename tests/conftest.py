@@ -31,7 +31,7 @@ def at(minutes=0.0, seconds=0.0):
     return START + dt.timedelta(minutes=minutes, seconds=seconds)
 
 
-def reading(n, sensor="temperature", value=1.0, minutes=0.0, seconds=0.0, order="ORD-2026-00042", oven="oven-01",
+def reading(n, sensor="temperature", value=1.0, minutes=0.0, seconds=0.0, order="ORD-2031-07315", oven="oven-01",
             quality="Good"):
     ts = at(minutes, seconds)
     unit = schemas.UNIT_OF_SENSOR[sensor]
@@ -42,7 +42,7 @@ def readings(spark, rows):
     return spark.createDataFrame(rows, schemas.READING)
 
 
-def event(n, kind, order="ORD-2026-00042", minutes=0.0, oven="oven-01", operator="OP-007", payload="{}"):
+def event(n, kind, order="ORD-2031-07315", minutes=0.0, oven="oven-01", operator="OP-431", payload="{}"):
     return (f"e{n:06d}", kind, order, oven, operator, at(minutes), payload)
 
 
@@ -50,7 +50,7 @@ def events(spark, rows):
     return spark.createDataFrame(rows, schemas.EVENT)
 
 
-def order(order_id="ORD-2026-00042", material="MAT-0001", status="RELEASED", updated=0.0, **more):
+def order(order_id="ORD-2031-07315", material="MAT-0001", status="RELEASED", updated=0.0, **more):
     row = {
         "order_id": order_id, "material_id": material, "plant": "regensburg", "oven_id": "oven-01",
         "planned_start": at(), "planned_end": at(480), "standard_cycle_minutes": 480, "status": status,

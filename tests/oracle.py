@@ -64,7 +64,7 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     names = sys.argv[2:]
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = build_session("oracle", "local[8]", 8)
+    spark = build_session("oracle", "local[4]", 4)
     spark.sparkContext.setLogLevel("ERROR")
     db = connect(sf_dir)
     queries, texts, bad = entry.queries(), entry.oracle_sql(), []

@@ -7,7 +7,7 @@ from conftest import MATERIALS, at, event, events, materials, order, orders, rea
 from cyclelake import schemas
 from cyclelake.operators import contracts, dashboards as d, gold as g, silver as s
 
-CONFIRMED = '{"sap_confirmation_number": "CONF-2026-00891", "goods_movement_document": "GR-2026-003891"}'
+CONFIRMED = '{"sap_confirmation_number": "CONF-2031-55102", "goods_movement_document": "GR-2031-700412"}'
 
 
 def lake(spark, rows=None, log=None, known=None):
@@ -43,7 +43,7 @@ def test_gold_row(spark):
     assert (row.peak_temperature_degC, row.min_vacuum_mbar, row.final_moisture_ppm) == (131, 6, 299)
     assert row.avg_moisture_ppm == (900 + 299) / 2
     assert row.spec_met is True and row.temperature_limit_met is False
-    assert (row.operator_id, row.sap_confirmation_number) == ("OP-007", "CONF-2026-00891")
+    assert (row.operator_id, row.sap_confirmation_number) == ("OP-431", "CONF-2031-55102")
     assert g.gold_cycle_summary(*lake(spark), tolerance=1.0).first().temperature_limit_met is True
     assert g.gold_cycle_summary(*lake(spark)).schema.names == schemas.GOLD.names
 

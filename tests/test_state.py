@@ -22,7 +22,7 @@ def test_channels_and_ovens_are_independent(spark):
 
 def test_active_order_is_set_and_cleared(spark):
     rows = [reading(1, seconds=0)]
-    assert st.active_order(readings(spark, rows)).first().order_id == "ORD-2026-00042"
+    assert st.active_order(readings(spark, rows)).first().order_id == "ORD-2031-07315"
     rows.append(reading(2, seconds=5, order=None))
     assert st.active_order(readings(spark, rows)).first().order_id is None
 
@@ -31,7 +31,7 @@ def test_historian_query(spark):
     rows = [reading(i, value=10 * i, seconds=5 * i) for i in range(10)]
     rows += [reading(100 + i, "moisture", 2000 - 100 * i, seconds=5 * i) for i in range(5)]
     df = readings(spark, rows)
-    query = lambda **k: st.historian_query(df, k.pop("order_id", "ORD-2026-00042"), "oven-01", **k).collect()
+    query = lambda **k: st.historian_query(df, k.pop("order_id", "ORD-2031-07315"), "oven-01", **k).collect()
     assert len(query()) == 15
     assert len(query(sensor_type="moisture")) == 5
     assert len(query(sensor_type="temperature", from_ts=at(seconds=25))) == 5
@@ -96,8 +96,8 @@ def test_good_only_ignores_bad_readings(spark):
 
 
 def test_material_limits(spark):
-    df = readings(spark, [reading(1, "moisture", 450, order="ORD-2026-00041")])
-    known = orders(spark, [order("ORD-2026-00041", "MAT-0002")])
+    df = readings(spark, [reading(1, "moisture", 450, order="ORD-2031-07290")])
+    known = orders(spark, [order("ORD-2031-07290", "MAT-0002")])
     row = st.process_state_per_material(df, known, materials(spark), as_of=at(299)).first()
     assert row.status == "cycle_complete"
     row = st.process_state_per_material(df, known, materials(spark), as_of=at(300)).first()

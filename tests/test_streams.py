@@ -12,7 +12,7 @@ from cyclelake.operators import gold as g, silver as s, state as st, timeseries
 from cyclelake.sources import messages as m, reference as ref, tables as t
 from cyclelake.streaming import jobs as j
 
-CONFIRMED = '{"sap_confirmation_number": "CONF-2026-00891", "goods_movement_document": "GR-2026-003891"}'
+CONFIRMED = '{"sap_confirmation_number": "CONF-2031-55102", "goods_movement_document": "GR-2031-700412"}'
 
 
 def land(df, folder, parts, batch, stream=None):
@@ -27,7 +27,7 @@ def land(df, folder, parts, batch, stream=None):
 
 
 def test_bronze_and_quarantine(spark, folder):
-    good = {"reading_id": "a", "timestamp_opc": "2026-06-03T08:32:14Z", "timestamp_mqtt": "2026-06-03T08:32:14Z", "plant": "regensburg",
+    good = {"reading_id": "a", "timestamp_opc": "2031-11-19T04:17:50Z", "timestamp_mqtt": "2031-11-19T04:17:50Z", "plant": "regensburg",
             "oven_id": "oven-01", "sensor_type": "vacuum", "value": 4, "unit": "mbar", "quality": "Bad"}
     texts = [json.dumps({**good, "reading_id": str(i)}) for i in range(20)] + ["x", "[]"]
     df = spark.createDataFrame([("t", x) for x in texts], m.MESSAGE_SCHEMA)
@@ -51,27 +51,45 @@ def test_silver_equals_batch(spark, folder):
 
 
 def test_gold_equals_batch_and_survives_a_repeat(spark, folder):
+    """Orders and readings that come after the events, readings that come twice, and a lost stream checkpoint."""
     log, known, rows = [], [], []
     for i in range(15):
-        name = f"ORD-2026-{i:05d}"
+        name = f"ORD-2031-{i:05d}"
         known.append(order(name, MATERIALS[i % 4][0]))
         log += [event(2 * i, "cycle_started", name, i), event(2 * i + 1, "cycle_confirmed", name, 300 + i, payload=CONFIRMED)]
         rows += [reading(10 * i + k, "moisture", 1000 - 300 * k + i, 60 * k, order=name) for k in range(4)]
     log += log[4:9]
     random.Random(2).shuffle(log)
-    versions, stuff, silver = s.silver_orders(orders(spark, known)), materials(spark), s.silver_readings(readings(spark, rows))
-    target = f"{folder}/gold"
-    df = events(spark, log)
-    job = lambda x: j.gold_stream(x, silver, versions, stuff, f"{folder}/events", target, buckets=4, lookback_minutes=60)
-    land(df, folder, 4, job)
-    expected = {tuple(r) for r in g.gold_cycle_summary(
-        s.cycle_pairs(s.silver_cycle_events(df)), versions, stuff, silver).collect()}
+    stuff, target, df = materials(spark), f"{folder}/gold", events(spark, log)
+    parts = {"readings": rows[:20], "orders": known[:4]}
+
+    def tables():
+        return (s.silver_readings(readings(spark, parts["readings"])), s.silver_orders(orders(spark, parts["orders"])), stuff, None)
+
+    job = lambda x: j.gold_stream(x, tables, f"{folder}/events", target, f"{folder}/pending", buckets=4)
     columns = schemas.GOLD.fieldNames()
     read = lambda: {tuple(r) for r in t.read_upserted(spark, target).select(*columns).collect()}
+    land(df, folder, 2, job)
+    assert len(read()) == 4
+    # Everything else arrives; a last event of a known order is enough to bring the waiting ones back.
+    parts.update(readings=rows, orders=known)
+    extra = events(spark, [event(999, "cycle_timeout", "ORD-2031-00003", 900)])
+    land(extra, folder, 1, job)
+    silver, versions, _, _ = tables()
+    expected = {tuple(r) for r in g.gold_cycle_summary(
+        s.cycle_pairs(s.silver_cycle_events(df)), versions, stuff, silver).collect()}
     assert read() == expected and len(expected) == 15
-    # A new run from the start repeats every batch on the tables that are already there.
-    j.start(job(spark.readStream.schema(df.schema).parquet(f"{folder}/landing")), f"{folder}/again").awaitTermination()
-    assert read() == expected
+    assert not t.read_upserted(spark, f"{folder}/pending").filter("waits").count()
+    # A reading that comes late names its order in a second stream.
+    late = reading(9000, "moisture", 7, 250, order="ORD-2031-00005")
+    parts["readings"] = rows + [late]
+    readings(spark, [late]).write.parquet(f"{folder}/more")
+    more = spark.readStream.schema(schemas.READING).parquet(f"{folder}/more")
+    both = j.gold_changes(spark.readStream.schema(df.schema).parquet(f"{folder}/landing"), more)
+    # The checkpoint is lost: batch numbers start again on the tables that are already there.
+    j.start(job(both), f"{folder}/again").awaitTermination()
+    moisture = {r.order_id: r.final_moisture_ppm for r in t.read_upserted(spark, target).collect()}
+    assert moisture["ORD-2031-00005"] == 7 and len(moisture) == 15
 
 
 def test_process_state_equals_batch(spark, folder):
@@ -92,12 +110,53 @@ def test_process_state_equals_batch(spark, folder):
     assert {tuple(r) for r in found.collect()} == {tuple(r) for r in expected.collect()}
 
 
+def test_process_state_with_late_readings(spark, folder):
+    """Batches out of event-time order, idle gaps among them."""
+    rows = [reading(i, "moisture", i, i, order=None if i in (7, 19) else "o") for i in range(40)]
+    parts = [rows[17:20] + rows[21:23] + rows[10:13], rows[23:26] + rows[:7] + rows[35:], rows[13:17] + rows[7:10], rows[26:35] + rows[20:21]]
+    df = readings(spark, [r for p in parts for r in p])
+    land(df, folder, 4, lambda x: j.process_state_stream(x, f"{folder}/state", 4))
+    found = j.read_process_state(spark, f"{folder}/state", 500, 600, at(99))
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in st.process_state(df, 500, 600, at(99)).collect()}
+
+
+def test_quarantine_is_readable_before_the_first_reject(spark, folder):
+    assert j.read_quarantine(spark, f"{folder}/none").count() == 0
+
+
+def test_restarts_and_repeated_ends(spark, folder):
+    log = [event(1, "cycle_started", "A"), event(2, "cycle_aborted", "A", 50), event(3, "cycle_started", "A", 100),
+           event(4, "cycle_confirmed", "A", 300, payload=CONFIRMED), event(5, "cycle_confirmed", "A", 330, payload=CONFIRMED),
+           event(6, "cycle_confirmed", "P", -5, payload=CONFIRMED), event(7, "cycle_started", "P"),
+           event(8, "cycle_confirmed", "P", 200, payload=CONFIRMED), event(9, "cycle_started", "T"), event(10, "cycle_timeout", "T", 650),
+           event(11, "cycle_started", "Z", 20000), event(12, "cycle_confirmed", "Z", 20010, payload=CONFIRMED)]
+    df = events(spark, log)
+    land(df, f"{folder}/p", 1, lambda x: j.append_sink(x, f"{folder}/p/out"), lambda x: j.pair_stream(x, "10 hours"))
+    pairs = {(r.order_id, r.cycle_start_time, r.cycle_end_time) for r in spark.read.parquet(f"{folder}/p/out").collect()}
+    assert pairs == {("A", at(0), at(300)), ("A", at(0), at(330)), ("A", at(100), at(300)), ("A", at(100), at(330)),
+                     ("P", at(0), at(200)), ("Z", at(20000), at(20010))}
+    limits = spark.createDataFrame([(x, 600) for x in "APTZ"], "order_id string, max_cycle_minutes int")
+    land(df, f"{folder}/t", 1, lambda x: j.append_sink(x, f"{folder}/t/out"), lambda x: j.timeout_stream(x, limits))
+    late = {(r.order_id, r.timeout_at) for r in spark.read.parquet(f"{folder}/t/out").collect()}
+    assert late == {("T", at(600))}
+
+
+def test_upsert_ties(spark, folder):
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v long, x string")
+    for version in ("v", None):
+        target = f"{folder}/{version}"
+        t.upsert_latest(rows(("k", 1, "old"), ("l", 5, "high")), target, ["k"], version, 2)
+        t.upsert_latest(rows(("k", 1, "new"), ("l", 4, "low")), target, ["k"], version, 2)
+        found = {r.k: r.x for r in t.read_upserted(spark, target).collect()}
+        assert found == {"k": "new", "l": "high" if version else "low"}
+
+
 def test_alerts_equal_batch(spark, folder):
     rng = random.Random(6)
     rows = [reading(i, rng.choice(["temperature", "moisture"]), rng.randrange(80, 130), i, order=f"o{i // 100}") for i in range(400)]
     df = readings(spark, rows)
     rules = {"spike": lambda r: ts.alert_temperature_spike(r, 30), "stalled": lambda r: ts.alert_moisture_stalled(r)}
-    land(df, folder, 4, lambda x: j.alerts_stream(x, f"{folder}/silver", f"{folder}/alerts", rules, lookback_minutes=100))
+    land(df, folder, 4, lambda x: j.alerts_stream(x, f"{folder}/silver", f"{folder}/alerts", rules, buckets=4))
     found = {(r.rule, r.reading_id) for r in spark.read.parquet(f"{folder}/alerts").collect()}
     assert found == {(n, r.reading_id) for n, f in rules.items() for r in f(df).collect()} and found
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import at, event, events, materials, order, orders, reading, readings
 from cyclelake.operators import silver as s
+from cyclelake.operators import state as st
 from cyclelake.operators import timeseries as ts
 
 
@@ -61,17 +62,29 @@ def test_stalled_moisture_against_a_loop(spark):
     found = {r.reading_id: r.window_start_value for r in ts.alert_moisture_stalled(readings(spark, rows), 5, 30).collect()}
     wanted = {}
     for r in rows:
-        window = [x for x in rows if x[1] == r[1] and 0 <= (r[8] - x[8]).total_seconds() <= 1800]
-        first = min(window, key=lambda x: (x[8], x[0]))
-        if first[8] < r[8] and r[5] > first[5] * 0.95:
+        before = [x for x in rows if x[1] == r[1] and (r[8] - x[8]).total_seconds() >= 1800]
+        first = max(before, key=lambda x: (x[8], x[0]), default=None)
+        if first and r[5] > first[5] * 0.95:
             wanted[r[0]] = first[5]
     assert found == wanted and found
 
 
+def test_a_healthy_cycle_raises_no_stall(spark):
+    minutes = [k / 2 for k in range(0, 481)]
+    curve = expected(spark, "moisture", minutes)
+    rows = [reading(i, "moisture", v, t) for i, (t, v) in enumerate(zip(minutes, curve))]
+    df = readings(spark, rows)
+    pairs = s.cycle_pairs(events(spark, [event(1, "cycle_started")]).withColumn("sap_confirmation_number", F.lit(None)))
+    tagged = st.cycle_phase(df, pairs, orders(spark, [order()]), materials(spark))
+    assert ts.alert_moisture_stalled(tagged).count() == 0
+    stuck = tagged.withColumn("value", F.when(F.col("elapsed_minutes") > 150, F.lit(900.0)).otherwise(F.col("value")))
+    assert ts.alert_moisture_stalled(stuck).count() > 0
+
+
 def test_spikes_and_vacuum_loss(spark):
     rows = [reading(0, value=100), reading(1, value=119, minutes=5), reading(2, value=140, minutes=500),
             reading(3, value=133, minutes=505)]
-    setpoint = spark.createDataFrame([("ORD-2026-00042", 130.0, 5.0)],
+    setpoint = spark.createDataFrame([("ORD-2031-07315", 130.0, 5.0)],
                                      "order_id string, setpoint_temperature_degC double, setpoint_vacuum_mbar double")
     found = {r.reading_id: r.reason for r in ts.alert_temperature_spike(readings(spark, rows), 20, setpoints=setpoint).collect()}
     assert found == {"r000002": "jump", "r000003": "above setpoint"}
