@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cyclelake.functions.joins import PROBE, join_per_key
 from cyclelake.functions.timing import minutes_between
+from cyclelake.operators import silver as s
 
 GOLD_COLUMNS = [
     "order_id", "material_id", "material_description", "plant", "oven_id", "cycle_start_time", "cycle_end_time",
@@ -81,6 +82,18 @@ def gold_cycle_summary(
     return with_temperature_limit(with_spec_met(with_durations(joined)), tolerance).select(*GOLD_COLUMNS)
 
 
+def gold_from_bronze(
+    events: DataFrame, orders: DataFrame, materials: DataFrame, readings: DataFrame,
+    order_state: DataFrame | None = None, tolerance: float = 0.0, bounded: bool = False,
+) -> DataFrame:
+    """Gold straight from the Bronze tables: the Silver steps and the cycle summary in one plan."""
+    pairs = s.cycle_pairs(s.silver_cycle_events(events))
+    return gold_cycle_summary(
+        pairs, s.silver_orders(orders), s.silver_materials(materials), s.silver_readings(readings), order_state,
+        tolerance, bounded,
+    )
+
+
 def v_cycle_efficiency(gold: DataFrame) -> DataFrame:
     """Per material: number of cycles, average durations and delta, faster cycles, cycles in spec."""
     return gold.groupBy("material_id").agg(
@@ -121,12 +134,10 @@ def gold_incremental(
 ) -> DataFrame:
     """Gold rows of the changed orders only; feed the result to ``upsert_latest``. ``pairs_source`` holds the
     Silver events."""
-    from cyclelake.operators.silver import cycle_pairs
-
     keep = lambda df: df.join(changed, "order_id", "left_semi")
     series = join_per_key(readings, changed, "order_id", "left_semi", hot=hot)
     log = join_per_key(pairs_source, changed, "order_id", "left_semi", "event_id")
     state = keep(order_state) if order_state is not None else None
     return gold_cycle_summary(
-        cycle_pairs(log), keep(orders), materials, series, state, tolerance
+        s.cycle_pairs(log), keep(orders), materials, series, state, tolerance
     )

@@ -42,6 +42,7 @@ class Lake:
         return self.view("order_state")
 
     def gold(self) -> DataFrame:
-        return g.gold_cycle_summary(
-            self.pairs(), self.orders(), self.materials(), self.readings(), self.order_state()
+        return g.gold_from_bronze(
+            self.view("br_events"), self.view("br_orders"), self.view("br_materials"), self.view("br_readings"),
+            self.order_state(),
         )
