@@ -232,20 +232,23 @@ def _segments(sets: DataFrame, cuts: list[int]) -> DataFrame:
     return cut.filter(F.size("part") > 0)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, cuts: list[int], threshold: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough: overlaps are counted per fragment and summed."""
+def _verified(pairs: DataFrame, sets: DataFrame, cuts: list[int], least: int, threshold=None) -> DataFrame:
+    """The pairs (a, b) with a Jaccard similarity of ``least`` % or more, how many shingles they share and whether they reach
+    ``threshold``: overlaps are counted per fragment and summed."""
     segments = _segments(sets, cuts)
     one = segments.select(F.col("id").alias("b"), F.col("n").alias("n_b"), "fragment", F.col("part").alias("part_b"))
     two = segments.select(F.col("id").alias("a"), F.col("n").alias("n_a"), "fragment", F.col("part").alias("part_a"))
     met = pairs.join(one, "b").join(two, ["a", "fragment"])
     partial = met.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("part_a", "part_b")).alias("shared"))
     overlap = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
-    enough = 100 * F.col("shared") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("shared"))
-    return overlap.filter(enough).select("a", "b")
+    union = F.col("n_a") + F.col("n_b") - F.col("shared")
+    return overlap.filter(100 * F.col("shared") >= least * union).select(
+        "a", "b", "shared",
+        (100 * F.col("shared") >= (threshold or least) * union).alias("linked"))
 
 
 def _stars(sets: DataFrame, cuts: list[int], threshold: int) -> DataFrame:
-    """Links (a, b) between nodes b with an equal minimum hash and the most typical of them, a: the one whose other minimum
+    """Links (a, b, shared) between nodes b with an equal minimum hash and the most typical of them, a: the one whose other minimum
     hashes are shared most, then the one whose shingles are."""
     keys = [F.struct(F.lit(j).alias("j"), F.array_min(F.transform("keys", lambda k, j=j: F.xxhash64(k, F.lit(j)))).alias("h"))
             for j in range(STAR_KEYS)]
@@ -256,7 +259,7 @@ def _stars(sets: DataFrame, cuts: list[int], threshold: int) -> DataFrame:
     scored = staged(shared.join(score, "id").drop("_n"), "scored")
     centres = scored.groupBy("j", "h").agg(F.max_by("id", F.struct("score", "typical", -F.col("id"))).alias("a"))
     pairs = scored.join(staged(centres, "centres"), ["j", "h"]).select("a", F.col("id").alias("b"))
-    return staged(_verified(pairs.filter(F.col("a") != F.col("b")).distinct(), sets, cuts, threshold), "links")
+    return staged(_verified(pairs.filter(F.col("a") != F.col("b")).distinct(), sets, cuts, threshold).drop("linked"), "links")
 
 
 def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
@@ -265,18 +268,23 @@ def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
     return rows.join(known, "id", "left").withColumn("c", F.coalesce("_c", "id")).drop("_c")
 
 
-def _cross_links(sets: DataFrame, stars: DataFrame, first: DataFrame, cuts: list[int], threshold: int) -> DataFrame:
-    """Links (a, b) between different components ``first``.
+def _members(sets: DataFrame, stars: DataFrame, parts: DataFrame) -> DataFrame:
+    """Nodes with their component ``c``, the centre of the largest star they are in (or themselves), how many keys they hold
+    and how many of these the centre holds too."""
+    own = stars.select("a", F.col("a").alias("b"), F.lit(None).cast("bigint").alias("shared")).distinct()
+    sizes = stars.groupBy("a").agg(F.count(F.lit(1)).alias("_size"))
+    centres = stars.select("a", "b", "shared").unionByName(own).join(sizes, "a").groupBy(F.col("b").alias("id")).agg(
+        F.max_by(F.struct("a", "shared"), F.struct("_size", -F.col("a"))).alias("_star"))
+    return staged(_placed(sets.select("id", "n", "keys"), parts).join(centres, "id", "left").select(
+        "id", "n", "keys", "c", F.size("keys").alias("held"), F.coalesce("_star.a", "id").alias("centre"),
+        F.coalesce("_star.shared", F.size("keys")).alias("in_centre")), "members")
 
-    Such a pair shares a key in both prefixes of the order, and where it does, one of the two is not in the component with
-    most members there. That node is compared with the centre of the other's star instead of all its members: Jaccard
-    distances obey the triangle inequality, so a centre is at most twice as far as a link allows. Only members of the stars
-    that pass are compared themselves.
-    """
-    centres = stars.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("_centre"))
-    placed = _placed(sets, first).join(centres, "id", "left").withColumn("centre", F.coalesce("_centre", "id"))
+
+def _mixed_prefixes(members: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """The keys in prefixes of the global order that several components hold: (key, c, centre, ...) for each node's, with the
+    component that has most members there as ``major``; and per key and star how many members hold it, and their bounds."""
     prefix = F.col("n") - _at_least(F.col("n"), threshold) + 1 - (F.col("n") - F.size("keys"))
-    rows = placed.filter(prefix > 0).select("id", "n", "c", "centre", F.size("keys").alias("held"), F.posexplode(
+    rows = members.filter(prefix > 0).select("id", "n", "c", "centre", "held", F.posexplode(
         F.slice("keys", F.lit(1), prefix.cast("int"))).alias("place", "key"))
     # What two sets can share is bounded by what they hold before and from the key on, of keys that others hold too.
     rows = staged(rows.select("id", "n", "c", "centre", "key", "place", (F.col("held") - F.col("place")).alias("left")), "prefixes")
@@ -285,18 +293,65 @@ def _cross_links(sets: DataFrame, stars: DataFrame, first: DataFrame, cuts: list
     mixed = staged(mixed.filter(F.col("parts") > 1).drop("parts"), "mixed")
     rows = staged(rows.join(mixed, "key"), "mixed_rows")
     groups = rows.groupBy("key", "c", "centre").agg(
-        F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("place").alias("place"), F.max("left").alias("left"))
-    x, y = rows.filter(F.col("c") != F.col("major")).alias("x"), staged(groups, "groups").alias("y")
+        F.count(F.lit(1)).alias("members"), F.min("n").alias("least_n"), F.max("n").alias("most_n"),
+        F.max("place").alias("place"), F.max("left").alias("left"))
+    return rows, staged(groups, "groups")
+
+
+def _met(rows: DataFrame, groups: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of a node and the centre of another component's star, some member of which may be similar to the node."""
+    x, y = rows.alias("x"), groups.alias("y")
     reach = F.least("x.place", "y.place") + F.least("x.left", "y.left")
     fits = (100 * F.col("x.n") >= threshold * F.col("y.least_n")) & (100 * F.col("y.most_n") >= threshold * F.col("x.n")) & (
         (100 + threshold) * reach >= threshold * (F.col("x.n") + F.col("y.least_n")))
     met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & fits)
-    near = met.select(F.col("x.id").alias("a"), F.col("y.centre").alias("b")).distinct()
-    if 2 * threshold > 100:
-        near = _verified(near, sets, cuts, 2 * threshold - 100)
-    members = placed.select(F.col("centre").alias("b"), F.col("id").alias("_member"))
-    pairs = staged(near, "near").join(members, "b").select(F.least("a", "_member").alias("a"), F.greatest("a", "_member").alias("b"))
-    return staged(_verified(pairs.filter(F.col("a") != F.col("b")).distinct(), sets, cuts, threshold), "links")
+    return met.select(F.col("x.id").alias("a"), F.col("y.centre").alias("b")).distinct()
+
+
+def _united(parts: DataFrame, links: DataFrame) -> DataFrame:
+    return components(parts.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(links.select("a", "b")))
+
+
+def _joined_stars(sets: DataFrame, stars: DataFrame, parts: DataFrame, cuts: list[int],
+                  threshold: int) -> tuple[DataFrame, DataFrame]:
+    """``stars`` and components with the nodes added that link with the centre of the largest star at one of their keys."""
+    rows, groups = _mixed_prefixes(_members(sets, stars, parts), threshold)
+    largest = groups.groupBy("key").agg(F.max_by(F.struct(*[c for c in groups.columns if c != "key"]),
+                                                 F.struct("members", "centre")).alias("_g")).select("key", "_g.*")
+    found = _verified(_met(rows, largest, threshold), sets, cuts, threshold).select(
+        F.col("b").alias("a"), F.col("a").alias("b"), "shared")
+    found = staged(found, "joined")
+    return staged(stars.unionByName(found).distinct(), "stars"), _united(parts, found)
+
+
+def _cross_links(sets: DataFrame, stars: DataFrame, parts: DataFrame, cuts: list[int], threshold: int) -> DataFrame:
+    """Links (a, b) between the components ``parts``, at least one for each two that a link joins.
+
+    Such a pair shares a key in both prefixes of the order, and where it does, one of the two is not in the component with
+    most members there. That node is compared with the centre of the other's star instead of all its members: Jaccard
+    distances obey the triangle inequality, so a centre is at most twice as far as a link allows. A node that links with the
+    centre is joined with the star by that. Of the stars that pass otherwise, members are compared themselves if they can be
+    similar: what node and member share is at most the smaller of what each shares with the centre, and the smaller of what
+    each holds besides.
+    """
+    members = _members(sets, stars, parts)
+    rows, groups = _mixed_prefixes(members, threshold)
+    near = _met(rows.filter(F.col("c") != F.col("major")), groups, threshold)
+    # Below a threshold of one half centres say nothing, and all members are compared.
+    near = staged(_verified(near, sets, cuts, max(1, 2 * threshold - 100), threshold) if threshold > 50 else near.select(
+        "a", "b", F.lit(None).cast("bigint").alias("shared"), F.lit(False).alias("linked")), "near")
+    direct = near.filter("linked").select("a", "b")
+    named = staged(_united(parts, direct), "named")
+    for end in ("a", "b"):
+        near = near.join(named.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}")), end, "left")
+    far = near.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b", "shared").join(
+        members.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("held").alias("held_a")), "a")
+    others = members.select(F.col("centre").alias("b"), F.col("id").alias("_member"), "n", "held", "in_centre")
+    most = F.least("shared", "in_centre") + F.least(F.col("held_a") - F.col("shared"), F.col("held") - F.col("in_centre"))
+    similar = F.coalesce((100 + threshold) * most >= threshold * (F.col("n") + F.col("n_a")), F.lit(True))
+    pairs = staged(far, "far").join(others, "b").filter(similar & (F.col("a") != F.col("_member"))).select(
+        F.least("a", "_member").alias("a"), F.greatest("a", "_member").alias("b")).distinct()
+    return staged(_verified(pairs, sets, cuts, threshold).select("a", "b").unionByName(direct), "links")
 
 
 def similar_classes(df: DataFrame, threshold=80, words=5, id_column="doc_id", text="text") -> DataFrame:
@@ -310,12 +365,12 @@ def similar_classes(df: DataFrame, threshold=80, words=5, id_column="doc_id", te
     rows = df.select(F.col(id_column).cast("bigint").alias("_id"), text_or_empty(text).alias("_text"))
     docs, groups = _classes(rows, words, threshold)
     sets, cuts = _ordered_sets(rows, groups, words, threshold)
-    links = _stars(sets, cuts, threshold)
-    first = components(links)
-    more = _cross_links(sets, links, first, cuts, threshold)
-    parts = first
+    stars = _stars(sets, cuts, threshold)
+    parts = components(stars)
+    stars, parts = _joined_stars(sets, stars, parts, cuts, threshold)
+    more = _cross_links(sets, stars, parts, cuts, threshold)
     if not more.isEmpty():
-        parts = components(first.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more))
+        parts = _united(parts, more)
     named = _placed(groups.select(F.col("rep").alias("id"), "n", "digest"), parts).select("n", "digest", F.col("c").alias("_c"))
     joined = docs.join(staged(named, "named"), ["n", "digest"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id"))

@@ -71,6 +71,25 @@ def test_small_slices_and_no_stars(spark, documents, monkeypatch):
     assert got(similar_classes(documents(rows))) == brute(rows)
 
 
+def test_many_near_copies(spark, documents):
+    """Outliers of a large group of near copies, which link with some of its members and not with its centre."""
+    rnd = random.Random(5)
+    base = [f"w{rnd.randint(0, 9999)}" for _ in range(100)]
+    rows = []
+    for n in range(150):
+        copy = list(base)
+        for _ in range(rnd.randint(0, 4)):
+            copy[rnd.randrange(10) * 10] = f"x{rnd.randint(0, 12)}"
+        rows.append((n, " ".join(copy)))
+    assert got(similar_classes(documents(rows))) == brute(rows)
+
+
+def test_other_thresholds(spark, documents):
+    rows = corpus(7, families=8, long=50)
+    for threshold in (40, 90):
+        assert got(similar_classes(documents(rows), threshold=threshold)) == brute(rows, threshold)
+
+
 def test_odd_rows(spark, documents):
     long = " ".join(f"w{i}" for i in range(20_000))
     rows = [(9, "One two"), (4, "one TWO"), (5, "one two three"), (None, "one two"), (6, None), (7, ""), (8, " \n\t"),
