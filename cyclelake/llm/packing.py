@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from cyclelake.llm.common import text_or_empty
 
@@ -30,21 +31,26 @@ STEP_TOKENS = 32_768     # tokens of a step group
 WAITING = 1_000          # documents that wait for a window in a task
 KNOWN = 700_000          # chunks a worker remembers
 SLICE_BYTES = 1_000_000  # text handled at once
-# Fixed value: how the vocabulary file cuts words, for lower-case ASCII without blanks.
-WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Fixed value: how the vocabulary file cuts words, for lower-case Latin letters and ASCII without blanks.
+WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+PLAIN = re.compile(r"[\x00-\x7fß-öø-ÿ]*")
+ACCENTED = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
 
 
 class ChunkTokenizer:
     """Ids of texts by the library, remembered per blank-separated chunk.
 
     For vocabularies that drop white space and never join over it, a text's ids are those of its chunks in order. A new
-    lower-case ASCII chunk needs no normalising: it is cut into words here and the library's model encodes them; any other
-    chunk goes through the whole library.
+    chunk of ASCII and lower-case Latin letters needs no normalising: it is cut into words here, and the library's model
+    encodes those that are new; any other chunk goes through the whole library.
     """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
+        cut = ByteLevel(add_prefix_space=False)
+        self.as_bytes = {ord(c): cut.pre_tokenize_str(c)[0][0] for c in ACCENTED}
+        self.words: dict[str, list[int]] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -56,17 +62,26 @@ class ChunkTokenizer:
         new = list(chunks.difference(self.known))
         if not new:
             return
+        if len(self.words) > KNOWN:
+            self.words.clear()
         if len(self.known) + len(new) > KNOWN:
             self._forget()
             new = list(chunks)
-        plain = [c for c in new if c.isascii() and b"<|" not in c]
-        others = [c for c in new if not c.isascii() or b"<|" in c]
+        plain, others = [], []
         ids: list[int] = []
         sizes: list[int] = []
-        for chunk in plain:
+        for chunk in new:
+            text = chunk.decode()
+            if b"<|" in chunk or not PLAIN.fullmatch(text):
+                others.append(chunk)
+                continue
             before = len(ids)
-            for word in WORD.findall(chunk.decode()):
-                ids += [token.id for token in self.model.tokenize(word)]
+            for word in WORD.findall(text):
+                found = self.words.get(word)
+                if found is None:
+                    found = self.words[word] = [t.id for t in self.model.tokenize(word.translate(self.as_bytes))]
+                ids += found
+            plain.append(chunk)
             sizes.append(len(ids) - before)
         for encoded in self.library.encode_batch_fast([c.decode() for c in others], add_special_tokens=False):
             ids += encoded.ids

@@ -23,7 +23,7 @@ def library_ids(texts):
 
 def noise(n, seed=1):
     rnd = random.Random(seed)
-    return ["".join(rnd.choice("abAB \n'sé1日Σ !<|>") for _ in range(rnd.randint(1, 50))) for _ in range(n)]
+    return ["".join(rnd.choice("abAB \n'séßÿ÷à\u0301É1日Σ !<|>") for _ in range(rnd.randint(1, 50))) for _ in range(n)]
 
 
 def test_ids_equal_the_library(monkeypatch):
