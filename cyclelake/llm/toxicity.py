@@ -16,7 +16,9 @@ from functools import cached_property
 import ahocorasick
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cyclelake.llm.common import is_held_out, staged, text_or_empty
@@ -28,6 +30,8 @@ ENTRIES = 5_000               # of the lexicon, at most
 BEGINNINGS = (4, 5, 6)        # letters of a word beginning
 LEAST_WEIGHT, LEAST_EVIDENCE = 3.0, 16.0
 LEAST_SPARE = 30              # toxic documents that are enough to weigh the measures on
+BANDS, BAND_HASHES = 16, 3    # near copies are looked for among documents that agree on all hashes of a band
+SAME_WORDS = 0.5              # of all distinct words of two near copies
 FLUSH = 200_000               # entries a task counts before it hands them on
 # Letters and signs that look like the Latin letter they stand for.
 LOOKALIKES = {
@@ -131,15 +135,36 @@ def _count_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from rows()
 
 
+def _signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """BANDS rows per document: the band, a hash of the band's BAND_HASHES independent minimum hashes of its words, and one
+    more minimum hash."""
+    factors = np.random.default_rng(1).integers(1, 1 << 63, BANDS * BAND_HASHES + 1, np.uint64) * np.uint64(2) + np.uint64(1)
+    for batch in batches:
+        rows = []
+        for own, toxic, text in zip(batch["_id"], batch["_toxic"], batch["_text"]):
+            words = np.array([xxhash.xxh3_64_intdigest(w) for w in {"", *text.lower().split()}], np.uint64)
+            least = (words[:, None] * factors).min(0)
+            bands = least[:-1].reshape(BANDS, BAND_HASHES)
+            rows += [(own, toxic, n, xxhash.xxh3_64_intdigest(b.tobytes()) >> 1, int(least[-1] >> np.uint64(1))) for n, b in enumerate(bands)]
+        yield pd.DataFrame(rows, columns=["_id", "_toxic", "_band", "_key", "_order"])
+
+
 def _one_per_family(sample: DataFrame) -> DataFrame:
-    """The sample without near copies, whose rare words would look like evidence: of documents of one class with an equal
-    minimum hash of their words, one stays; twice, with different hashes."""
-    words = F.split(F.lower("_text"), "\\s+")
-    signed = sample.select("_id", "_toxic", *[
-        F.array_min(F.transform(words, lambda w, j=j: F.xxhash64(w, F.lit(j)))).alias(f"_h{j}") for j in (1, 2)])
-    once = signed.groupBy("_toxic", "_h1").agg(F.min(F.struct("_id", "_h2")).alias("_one")).select("_toxic", "_one.*")
-    kept = once.groupBy("_toxic", "_h2").agg(F.min("_id").alias("_id")).select("_id")
-    return sample.join(F.broadcast(kept), "_id", "left_semi")
+    """The sample without near copies, whose rare words would look like evidence: of two documents of one class that have at
+    least SAME_WORDS of their distinct words in common, the one with the larger id goes. Documents are compared when all
+    minimum hashes of one band agree; sharing single words is not enough for anything."""
+    id_type = sample.schema["_id"].dataType.simpleString()
+    signed = sample.select("_id", "_toxic", "_text").mapInPandas(
+        _signatures, f"_id {id_type}, _toxic int, _band int, _key bigint, _order bigint")
+    group = W.partitionBy("_toxic", "_band", "_key").orderBy("_order", "_id")
+    near = signed.select("_id", F.first("_id").over(group).alias("_first"), F.lag("_id").over(group).alias("_last"))
+    pairs = near.select("_id", F.explode(F.array("_first", "_last")).alias("_other")).filter("_id <> _other")
+    pairs = pairs.select(F.greatest("_id", "_other").alias("_id"), F.least("_id", "_other").alias("_other")).distinct()
+    words = sample.select("_id", F.array_distinct(F.split(F.lower(F.btrim("_text")), "\\s+")).alias("_words"))
+    both = pairs.join(words, "_id").join(words.select(F.col("_id").alias("_other"), F.col("_words").alias("_others")), "_other")
+    common = F.size(F.array_intersect("_words", "_others"))
+    copies = both.filter(common >= SAME_WORDS * (F.size("_words") + F.size("_others") - common)).select("_id").distinct()
+    return sample.join(F.broadcast(copies), "_id", "left_anti")
 
 
 def _evidence(t: Column, c: Column, toxic: int, clean: int) -> Column:
@@ -161,7 +186,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, toxic=TOXIC, clean=CLEAN, e
     ids = ids.groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
     every = sampled_texts(docs, ids, id_column, text)
     every = staged(every.withColumn("_spare", F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(4)) == 0), "sample")
-    sample = _one_per_family(every.filter(~F.col("_spare")))
+    sample = staged(_one_per_family(every.filter(~F.col("_spare"))), "families")
     sizes = {r["_toxic"]: r["n"] for r in sample.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     folded = tuple(fold(x) for x in exceptions)

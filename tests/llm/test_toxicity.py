@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from cyclelake.llm.toxicity import ToxicityModel, clean_documents, fit_toxicity, fold, toxicity_scores
+from cyclelake.llm.toxicity import ToxicityModel, _one_per_family, clean_documents, fit_toxicity, fold, toxicity_scores
 
 WORDS = "tree house river stone cloud paper green walk sing bread light chair".split()
 
@@ -60,3 +60,13 @@ def test_odd_rows(spark, documents):
     nothing = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in toxicity_scores(documents(rows[:5]), nothing).collect()} == {0.5}
     assert toxicity_scores(documents([]), labels).count() == 0
+
+
+def test_only_near_copies_go(spark):
+    rng = np.random.default_rng(6)
+    common = [f"common{i}" for i in range(10)]
+    rows = [(i, i % 2, " ".join(rng.permutation(common + [f"own{i}x{k}" for k in range(20)]))) for i in range(300)]
+    copies = [(1000 + i, i % 2, f"{text} changed{i}") for i, _, text in rows[:20]] + [(2000 + i, 0, "") for i in range(3)]
+    sample = spark.createDataFrame(rows + copies, "_id long, _toxic int, _text string")
+    kept = sorted(r._id for r in _one_per_family(sample).collect())
+    assert kept == [*range(300), 2000]
