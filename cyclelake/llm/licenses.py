@@ -3,13 +3,16 @@
 A multinomial logistic regression over word n-grams tells the license family of a paragraph or that it is none of them. It
 is trained on variants of short notice templates (words left out, set among corpus words) and on corpus paragraphs that match
 no template, and its probabilities are calibrated by a temperature on examples kept aside. A prediction counts when the
-paragraph also holds most of a template of that family.
+paragraph also holds most of a template of that family. Neighbouring lines are also joined, so that wrapped notices are seen
+as a whole.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -26,11 +29,15 @@ TEMPLATES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Apache License Version 2.0, January 2004",
                    "you may not use this file except in compliance with the License"],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GPL version 3",
-                "under the terms of the GNU General Public License version 3 or later"],
+                "under the terms of the GNU General Public License version 3 or later",
+                "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3"],
     "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "Licensed under the GPL version 2",
-                "under the terms of the GNU General Public License version 2 or later"],
-    "LGPL": ["This library is licensed under the GNU Lesser General Public License.", "Licensed under the LGPL version 2.1"],
-    "AGPL": ["This program is licensed under the GNU Affero General Public License.", "Licensed under the AGPL version 3"],
+                "under the terms of the GNU General Public License version 2 or later",
+                "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2"],
+    "LGPL": ["This library is licensed under the GNU Lesser General Public License.", "Licensed under the LGPL version 2.1",
+             "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3"],
+    "AGPL": ["This program is licensed under the GNU Affero General Public License.", "Licensed under the AGPL version 3",
+             "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3"],
     "BSD": ["Released under the BSD License.", "Licensed under the BSD 3-Clause license",
             "Redistribution and use in source and binary forms, with or without modification, are permitted"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -56,7 +63,9 @@ FAMILIES = ["unknown", *TEMPLATES]
 VARIANTS = 60        # examples made of a template
 PARAGRAPHS = 1_500   # corpus paragraphs to train on, at most
 SURE, CONFIRMED = 0.5, 0.7
-STRIP = ".,;:()[]{}\"'!?*<>"
+JOINED = 60          # words; lines are joined until they hold more, besides the whole run of lines (the longest template has 20)
+BROKEN = re.compile(r"(?<=\w)-[ \t\r]*\n[ \t#*/]*(?=\w)")   # a word that goes on after a hyphen in the next line
+STRIP = ".,;:()[]{}\"'!?*<>#/-"
 
 
 def words_of(paragraph: str) -> list[str]:
@@ -95,14 +104,73 @@ class LicenseModel:
     def paragraph(self, text: str) -> tuple[str, float, bool] | None:
         """Family, probability and whether a template confirms it; None for the unknown class. A paragraph that holds no
         two neighbouring words of any template is unknown."""
-        words = words_of(text)
+        found = self._classified(words_of(text))
+        return found and (found[0], found[1], found[2] >= CONFIRMED)
+
+    def _classified(self, words: list[str]) -> tuple[str, float, float] | None:
+        """Family, probability and coverage."""
         if _PAIRS.isdisjoint(zip(words, words[1:])):
             return None
         p = self.probabilities(words)
         best = int(p.argmax())
         if best == 0 or p[best] < SURE:
             return None
-        return FAMILIES[best], float(p[best]), coverage(words, FAMILIES[best]) >= CONFIRMED
+        return FAMILIES[best], float(p[best]), coverage(words, FAMILIES[best])
+
+    def notices(self, text: str) -> tuple[int, list[tuple[str, float]], int]:
+        """Number of lines, (family, probability) of confirmed notices, and number of unconfirmed ones.
+
+        In a run of lines without a blank one, every line, every join of neighbouring lines of up to JOINED words, and the
+        whole run are candidates. Those that hold most of a template count first, shorter ones before longer ones; a line
+        is part of one notice. What other lines are classified as is unconfirmed, or, if none is, the whole of them."""
+        lines = [p for p in text.split("\n") if p.strip()]
+        sure: list[tuple[str, float]] = []
+        unsure = 0
+        run: list[list[str]] = []
+        for line in [*BROKEN.sub("-", text).split("\n"), ""]:
+            words = words_of(line)
+            if words:
+                run.append(words)
+            elif run:
+                if not _PAIRS.isdisjoint(pairwise(chain.from_iterable(run))):
+                    found, more = self._in_run(run)
+                    sure += found
+                    unsure += more
+                run = []
+        return len(lines), sure, unsure
+
+    def _in_run(self, run: list[list[str]]) -> tuple[list[tuple[str, float]], int]:
+        hits = [_PAIRS.intersection(zip(w, w[1:])) for w in run]
+        between = [_PAIRS.intersection([(a[-1], b[0])]) for a, b in zip(run, run[1:])]
+        alone = [self._classified(w) if h else None for w, h in zip(run, hits)]
+        candidates = [(-c[2], 1, -c[1], at, c[0]) for at, c in enumerate(alone) if c and c[2] >= CONFIRMED]
+
+        def joined(first, last, held):
+            if any(len(held & pairs) >= CONFIRMED * len(pairs) for own in _TEMPLATE_PAIRS.values() for pairs in own):
+                found = self._classified([w for line in run[first:last + 1] for w in line])
+                if found and found[2] >= CONFIRMED:
+                    candidates.append((-found[2], last + 1 - first, -found[1], first, found[0]))
+
+        for first in range(len(run)):
+            held, size, last = hits[first], len(run[first]), first
+            while last + 1 < len(run) and size <= JOINED:
+                last += 1
+                new = held | hits[last] | between[last - 1]
+                size += len(run[last])
+                if len(new) > len(held):
+                    held = new
+                    joined(first, last, held)
+        if len(run) > 1:
+            joined(0, len(run) - 1, frozenset().union(*hits, *between))
+        free, sure = [True] * len(run), []
+        for _, lines, p, first, family in sorted(candidates):
+            if all(free[first:first + lines]):
+                free[first:first + lines] = [False] * lines
+                sure.append((family, -p))
+        unsure = sum(1 for c, f in zip(alone, free) if c and f)
+        if not unsure and not sure and len(run) > 1 and self._classified([w for line in run for w in line]):
+            unsure = 1
+        return sure, unsure
 
 
 def _examples(paragraphs: list[list[str]], rng) -> tuple[list[set[str]], np.ndarray]:
@@ -160,12 +228,12 @@ def fit_licenses(paragraphs: list[str], seed=0, steps=250) -> LicenseModel:
 
 
 def scan_licenses(df: DataFrame, id_column="doc_id", text="text", sampled=PARAGRAPHS) -> DataFrame:
-    """id, n_paragraphs, licenses (confirmed families, sorted, each once), n_confirmed and n_unconfirmed (paragraphs), and
+    """id, n_paragraphs, licenses (confirmed families, sorted, each once), n_confirmed and n_unconfirmed (notices), and
     probability (the highest of a confirmed one, else null): one row per input row.
 
-    Paragraphs are the non-blank lines of the whole text. Null and empty texts have none; null ids and repeated rows are
-    kept; other columns are not read; an empty table gives no rows. The classifier is fitted on the templates and on the
-    ``sampled`` corpus paragraphs with the smallest hashes.
+    Paragraphs are the non-blank lines of the whole text; a notice is a line or several neighbouring ones. Null and
+    empty texts have none; null ids and repeated rows are kept; other columns are not read; an empty table
+    gives no rows. The classifier is fitted on the templates and on the ``sampled`` corpus paragraphs with the smallest hashes.
     """
     rows = df.select(F.col(id_column).alias("_id"), text_or_empty(text).alias("_text"))
     lines = rows.select("_text", F.explode(F.split("_text", "\n")).alias("p"))
@@ -177,11 +245,8 @@ def scan_licenses(df: DataFrame, id_column="doc_id", text="text", sampled=PARAGR
         for batch in batches:
             out = []
             for own in batch["_text"]:
-                paragraphs = [p for p in own.split("\n") if p.strip()]
-                hits = [h for h in map(model.paragraph, paragraphs) if h]
-                sure = [h for h in hits if h[2]]
-                out.append((len(paragraphs), sorted({h[0] for h in sure}), len(sure), len(hits) - len(sure),
-                            max((h[1] for h in sure), default=None)))
+                lines, sure, unsure = model.notices(own)
+                out.append((lines, sorted({h[0] for h in sure}), len(sure), unsure, max((h[1] for h in sure), default=None)))
             columns = ["n_paragraphs", "licenses", "n_confirmed", "n_unconfirmed", "probability"]
             yield pd.DataFrame(out, columns=columns).astype({"probability": "float64"}).assign(id=batch["_id"].to_numpy())
 

@@ -1,3 +1,5 @@
+import textwrap
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -25,3 +27,27 @@ def test_documents(spark, documents):
         (1, 3, ["MIT"], 1), (2, 0, [], 0), (3, 0, [], 0), (5, 5, ["All-rights-reserved", "CC-BY-NC"], 4), (6, 1, [], 0), (6, 1, [], 0),
         (None, 1, ["All-rights-reserved"], 1)]
     assert scan_licenses(documents([])).count() == 0
+
+
+GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License "
+       "as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+WRAPPED = {f: ts + [GNU.format(k, v)] for f, k, v, ts in (
+    ("GPL-3.0", "", 3, TEMPLATES["GPL-3.0"]), ("GPL-2.0", "", 2, TEMPLATES["GPL-2.0"]), ("LGPL", "Lesser ", 3, TEMPLATES["LGPL"]),
+    ("AGPL", "Affero ", 3, TEMPLATES["AGPL"]))}
+
+
+def test_wrapped_notices_of_every_family():
+    model = fit_licenses(LINES)
+    wrong = []
+    for family, texts in (TEMPLATES | WRAPPED).items():
+        for text in texts:
+            for width in (24, 40, 72):
+                lines = textwrap.wrap(text, width)
+                for given in ("\n".join(lines), "# " + "\n# ".join(lines), "a river of stone\n" + "\n".join(lines) + "\nthe house was grey"):
+                    found = model.notices(given)[1]
+                    if [f for f, _ in found] != [family]:
+                        wrong.append((family, width, text, found))
+    assert not wrong
+    assert model.notices("\n".join(LINES))[1] == []
+    both = "\n".join(textwrap.wrap(GNU.format("", 3), 50) + ["Released under", "the MIT License."])
+    assert sorted(f for f, _ in model.notices(both)[1]) == ["GPL-3.0", "MIT"]
