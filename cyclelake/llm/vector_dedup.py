@@ -3,7 +3,7 @@
 Distinct vectors are dealt to shards per label, one graph is built per shard, and the vectors of every shard search every
 shard of their label (each pair of shards once). A search keeps a beam of the best vectors seen; a vector whose beam is full
 of hits is searched again with a wider beam, and a pair of shards whose audit against brute force falls short is searched
-again with wider beams for all, up to a beam as wide as the shard. Cosines of what is found are checked in double precision.
+again with wider beams for all, up to a comparison with the whole shard. Links to other vectors are audited on their own. Cosines of what is found are checked in double precision.
 Tasks return link counts and a forest of the links they found, not the links; the forests are united by components.
 """
 
@@ -23,7 +23,7 @@ NEIGHBOURS = 12       # links a vector gets per layer; the lowest layer keeps tw
 BUILD_BEAM, BEAM, WIDER = 48, 48, 4
 BLOCK = 256           # vectors searched or added at once
 SCAN = 8              # a beam wider than this part of the shard costs more than comparing with the whole shard
-AUDITED, RECALL = 48, 0.97
+AUDITED, RECALL = 48, 0.97   # audited vectors, and of those that have links
 NEAREST = 5           # audits also ask for the nearest vectors
 
 
@@ -172,9 +172,31 @@ class Graph:
             done[live] = np.take_along_axis(all_done, top, 1)
 
 
+def _linked(graph: Graph, queries: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Queries that hit other vectors than themselves, the hits of each (a row of booleans), and whether these are all: by
+    brute force, a block at a time in random order, until AUDITED such queries are found."""
+    n, total = len(queries), len(graph.x)
+    same = n == total and np.array_equal(queries, graph.x)
+    order, found, hits = np.random.default_rng(n).permutation(n), [], []
+    for at in range(0, n, BLOCK):
+        part = order[at:at + BLOCK]
+        hit = queries[part] @ graph.x.T >= threshold
+        if same:
+            hit[np.arange(len(part)), part] = False
+        some = np.flatnonzero(hit.any(1))
+        found.append(part[some])
+        hits.append(hit[some])
+        if sum(map(len, found)) >= AUDITED:
+            return np.concatenate(found), np.concatenate(hits), at + BLOCK >= n
+    return np.concatenate([np.zeros(0, int), *found]), np.concatenate([np.zeros((0, total), bool), *hits]), True
+
+
 def find_hits(graph: Graph, queries: np.ndarray, threshold: float, beam=BEAM) -> tuple[np.ndarray, np.ndarray, int]:
-    """(query, vector) pairs of at least ``threshold`` similarity, and the beam that passed the audit."""
+    """(query, vector) pairs of at least ``threshold`` similarity, and the beam that passed the audits: of hits and nearest
+    vectors of AUDITED queries, and of the hits other than themselves of AUDITED queries that have such hits. Where fewer
+    have, brute force has found all hits by then, and they are added."""
     n, total = len(queries), len(graph.x)
+    linked, links, complete = _linked(graph, queries, threshold)
     sample = np.unique(np.linspace(0, n - 1, min(n, AUDITED)).astype(int))
     truth = queries[sample] @ graph.x.T
     nearest = np.sort(truth, 1)[:, -min(NEAREST, total):][:, 0]
@@ -200,8 +222,21 @@ def find_hits(graph: Graph, queries: np.ndarray, threshold: float, beam=BEAM) ->
                     met = ids[~full][np.searchsorted(settled, sample[k])]
                     audited[k, met[met >= 0]] = True
                 todo, width = todo[full], width * WIDER
-        if beam * SCAN >= total or (audited & wanted).sum() >= RECALL * wanted.sum():
-            return np.concatenate(rows), np.concatenate(cols), beam
+        passed = (audited & wanted).sum() >= RECALL * wanted.sum()
+        r, c = np.concatenate(rows), np.concatenate(cols)
+        if passed and len(linked):
+            place = np.full(n, -1)
+            place[linked] = np.arange(len(linked))
+            known = np.zeros_like(links)
+            own = place[r] >= 0
+            known[place[r[own]], c[own]] = True
+            held = (known & links).sum(1)
+            passed = complete or held.sum() >= RECALL * links.sum() and (held / links.sum(1)).mean() >= RECALL
+            if complete:
+                q, v = np.nonzero(links & ~known)
+                r, c = np.concatenate([r, linked[q]]), np.concatenate([c, v])
+        if beam * SCAN >= total or passed:
+            return r, c, beam
         beam *= WIDER
 
 

@@ -66,3 +66,32 @@ def test_equals_brute_force(spark):
 
 def test_empty(spark):
     assert near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_sparse_links_are_found_when_the_search_misses_them(monkeypatch):
+    rng = np.random.default_rng(8)
+    x = unit(rng.normal(size=(3000, 24)))
+    x[1::300] = unit(x[0::300] + 0.01 * rng.normal(size=x[0::300].shape))
+    truth = set(zip(*[a.tolist() for a in np.nonzero(x @ x.T >= 0.98)]))
+    assert len(truth) == 3020
+    search = Graph.search
+
+    def forgetful(self, queries, beam, layer=0, expand=4):
+        """Finds all nearest vectors but links."""
+        ids, sims = search(self, queries, beam, layer, expand)
+        lost = (sims >= 0.98) & (sims < 1 - 1e-9)
+        return np.where(lost, -1, ids), np.where(lost, -np.inf, sims)
+
+    graph = Graph(x)
+    monkeypatch.setattr(Graph, "search", forgetful)
+    q, c, _ = find_hits(graph, x, 0.98)
+    assert set(zip(q.tolist(), c.tolist())) == truth
+
+
+def test_large_label_equals_brute_force(spark):
+    x = cloud(2600, seed=9)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    out = {r.vec_id: r.n_links for r in near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    links = (unit(x) @ unit(x).T >= 0.98).sum(1) - 1
+    found = np.array([out[i] for i in range(len(x))])
+    assert (found <= links).all() and found.sum() >= 0.97 * links.sum()
