@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,15 +32,20 @@ def finite_vector(column: str) -> Column:
 
 
 def _tiles(df: DataFrame, rows: int, name: str) -> DataFrame:
-    """(dim, tile, ids, values): vectors of one length, ``rows`` at most, as packed matrices. Made where the rows are."""
+    """(dim, tile, ids, values): vectors of one length, ``rows`` at most, as packed matrices. Made where the rows are. Tiles
+    are numbered by the task that made them (one row per task and dim says where its numbers start), so that matrices are
+    never shuffled for it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: dict[int, list] = {}
+        made: dict[int, int] = {}
+        task = TaskContext.get().partitionId()
 
         def tile(dim, kept):
+            made[dim] = made.get(dim, 0) + 1
             ids = np.array([i for i, _ in kept], np.int64)
             values = np.array([v for _, v in kept], np.float64).reshape(len(kept), dim)
-            return pd.DataFrame({"dim": [dim], "ids": [ids.tobytes()], "values": [values.tobytes()]})
+            return pd.DataFrame({"dim": [dim], "task": [task], "number": [made[dim] - 1], "ids": [ids.tobytes()], "values": [values.tobytes()]})
 
         for batch in batches:
             for i, v in zip(batch["_id"], batch["_x"]):
@@ -50,10 +56,12 @@ def _tiles(df: DataFrame, rows: int, name: str) -> DataFrame:
         for dim, kept in waiting.items():
             yield tile(dim, kept)
 
-    packed = staged(df.mapInPandas(run, "dim int, ids binary, values binary"), name)
-    numbered = packed.withColumn("_order", F.xxhash64("ids"))
-    return staged(numbered.withColumn("tile", F.row_number().over(W.partitionBy("dim").orderBy("_order", "ids")) - 1)
-                  .drop("_order"), name)
+    packed = staged(df.mapInPandas(run, "dim int, task int, number bigint, ids binary, values binary"), name)
+    counts = packed.groupBy("dim", "task").agg(F.count(F.lit(1)).alias("_tiles"))
+    before = W.partitionBy("dim").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select("dim", "task", F.coalesce(F.sum("_tiles").over(before), F.lit(0)).alias("_start"))
+    numbered = packed.join(F.broadcast(starts), ["dim", "task"])
+    return numbered.select("dim", (F.col("_start") + F.col("number")).alias("tile"), "ids", "values")
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -77,8 +85,8 @@ def products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 
 
 def _search(k: int):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        row = group.iloc[0]
+    def run(group: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        row = asked.iloc[0]
         dim, ids = int(row["dim"]), np.frombuffer(row["q_ids"], np.int64)
         queries = np.frombuffer(row["q_values"], np.float64).reshape(len(ids), dim)
         kept_ids = [np.zeros(0, np.int64)] * len(ids)
@@ -101,6 +109,15 @@ def _search(k: int):
     return run
 
 
+def _met(candidates: DataFrame, queries: DataFrame, fan_in: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate and query tiles, each repeated for the (dim, q_tile, node) it takes part in. Only tile numbers are broadcast,
+    so that the tiles of a dim are not brought together."""
+    noded = candidates.withColumn("node", F.floor(F.col("tile") / fan_in))
+    asked = queries.select("dim", F.col("tile").alias("q_tile"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
+    return (noded.join(F.broadcast(queries.select("dim", F.col("tile").alias("q_tile"))), "dim"),
+            asked.join(F.broadcast(candidates.select("dim", F.floor(F.col("tile") / fan_in).alias("node")).distinct()), "dim"))
+
+
 def top_k(df: DataFrame, k=20, scale=64, query_step=20, id_column="vec_id", vector="embedding",
           tile_rows=TILE_ROWS, query_rows=QUERY_ROWS, fan_in=FAN_IN) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best candidates of each row whose id is divisible by ``query_step``.
@@ -115,10 +132,9 @@ def top_k(df: DataFrame, k=20, scale=64, query_step=20, id_column="vec_id", vect
         F.transform(F.col(vector), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double")).alias("_x"))
     candidates = _tiles(usable, tile_rows, "tiles")
     queries = _tiles(usable.filter(F.col("_id") % query_step == 0), query_rows, "queries")
-    asked = queries.select("dim", F.col("tile").alias("q_tile"), F.col("ids").alias("q_ids"),
-                           F.col("values").alias("q_values"))
-    pairs = candidates.withColumn("node", F.floor(F.col("tile") / fan_in)).join(asked, "dim")
-    lists = staged(pairs.groupBy("dim", "q_tile", "node").applyInPandas(
+    keys = ["dim", "q_tile", "node"]
+    met, asked = _met(candidates, queries, fan_in)
+    lists = staged(met.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(
         _search(k), "query_id bigint, node bigint, vec_id bigint, score bigint"), "lists")
     nodes = (lists.agg(F.max("node")).first()[0] or 0) + 1
     while True:

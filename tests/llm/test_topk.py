@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclelake.llm.topk import products, top_k
+from cyclelake.llm.topk import _met, _tiles, products, top_k
 
 SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType())),
                        T.StructField("label", T.IntegerType())])
@@ -41,3 +41,19 @@ def test_large_numbers_stay_exact():
 
 def test_empty(spark):
     assert top_k(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_numbering_shuffles_no_matrix(spark):
+    rows = [(i, [float(i), 1.0] if i % 3 else [float(i)]) for i in range(100)]
+    tiles = _tiles(spark.createDataFrame(rows, "_id long, _x array<double>").repartition(5), 4, "tiles")
+    numbers = {}
+    for r in tiles.collect():
+        numbers.setdefault(r.dim, []).append(r.tile)
+    assert all(sorted(own) == list(range(len(own))) for own in numbers.values()) and set(numbers) == {1, 2}
+    # Written by the tasks that packed them, not by the one that numbers them.
+    assert len({n for n in tiles.select(F.spark_partition_id()).distinct().collect()}) > 1
+    plan = tiles._jdf.queryExecution().executedPlan().toString()
+    assert not any("values" in line for line in plan.splitlines() if "Window" in line or "Exchange hash" in line)
+    for side in _met(tiles, tiles, 2):
+        assert "SortMergeJoin" not in side._jdf.queryExecution().executedPlan().toString()
+        assert side.filter("dim = 2").select(F.spark_partition_id()).distinct().count() > 1
