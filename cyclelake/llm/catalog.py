@@ -17,6 +17,7 @@ QUERIES = {
     "op8_ngram_join": (q.ngram_join, sql.NGRAM_JOIN),
     "op9_toxicity": (q.toxicity, None),
     "op10_packing": (q.packing, None),
+    "op11_centroid_clusters": (q.centroid_clusters, sql.CLUSTERS),
     "pipeline": (q.pipeline, corpus_pipeline.ORACLE_SQL),
 }
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
+from cyclelake.llm.laesa import cluster_report
 from cyclelake.llm.language_model import pseudo_likelihood
 from cyclelake.llm.licenses import scan_licenses
 from cyclelake.llm.mixing import taken_words
@@ -61,5 +62,9 @@ def packing(spark, sf_dir):
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def centroid_clusters(spark, sf_dir):
+    return cluster_report(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

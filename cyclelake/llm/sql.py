@@ -96,3 +96,41 @@ counted as (select x, count(*) as n from links group by x)
 select e.vec_id, cast(coalesce(c.n, 0) as bigint) as n_links, f.component_id, e.vec_id = f.component_id as kept
 from embeddings e join found f using (vec_id) left join counted c on c.x = e.vec_id
 """
+
+
+def _cluster_rounds(rounds: int = 5, clusters: int = 40) -> str:
+    """One pair of steps per round: assign every vector, then take floors of exact means."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""far{r} as materialized (
+  select k.n, c.cluster, cast(list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as bigint) as d
+  from kept k cross join centres{r} c),
+near{r} as materialized (
+  select n, arg_min(cluster, (d, cluster)) as cluster, min(d) as d from far{r} group by n)""")
+        if r < rounds:
+            steps.append(f"""part{r} as (
+  select a.cluster, unnest(range(1, 65)) as i, unnest(k.v) as x from near{r} a join kept k using (n)),
+mean{r} as (
+  select cluster, i, cast((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) as bigint) as x
+  from part{r} group by cluster, i),
+centres{r + 1} as materialized (
+  select c.cluster, coalesce(m.v, c.v) as v from centres{r} c
+  left join (select cluster, list(x order by i) as v from mean{r} group by cluster) m using (cluster))""")
+    return f"""
+with kept as materialized (
+  select vec_id, row_number() over () as n, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where embedding is not null and len(embedding) = 64
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+centres0 as materialized (
+  select cast(row_number() over (order by sha256('2:' || cast(vec_id as varchar)) nulls last, v) - 1 as integer) as cluster, v
+  from kept qualify cluster < {clusters}),
+{", ".join(steps)}
+select k.vec_id, a.cluster, a.d as distance, cast(sum(a.d) over (partition by a.cluster) as bigint) as cluster_inertia,
+  cast(sum(a.d) over () as bigint) as inertia,
+  sha256(array_to_string(list_transform(c.v, lambda x: cast(x as varchar)), ',')) as centroid_sha256
+from near{rounds} a join kept k using (n) join centres{rounds} c using (cluster)
+"""
+
+
+CLUSTERS = _cluster_rounds()
