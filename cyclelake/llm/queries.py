@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 import corpus_pipeline
+from cyclelake.llm.conversation_trie import prefix_trie
 from cyclelake.llm.laesa import cluster_report
 from cyclelake.llm.language_model import pseudo_likelihood
 from cyclelake.llm.licenses import scan_licenses
@@ -66,5 +67,9 @@ def centroid_clusters(spark, sf_dir):
     return cluster_report(_table(spark, sf_dir, "embeddings"))
 
 
+def conversation_trie(spark, sf_dir):
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -134,3 +134,41 @@ from near{rounds} a join kept k using (n) join centres{rounds} c using (cluster)
 
 
 CLUSTERS = _cluster_rounds()
+
+PREFIX_TRIE = """
+with recursive turns as (
+  select conv_id as c, sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) as k,
+    strlen(coalesce(text, '')) as b, row_number() over (partition by conv_id order by turn nulls first,
+      sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) as pos
+  from conversations where conv_id is not null),
+convs as (
+  select c, xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(cast(c as varchar), ''), lambda x: ord(x)::bigint)),
+      lambda acc, byte: list_reduce([xor(acc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, i: xor(x >> 1, 3988292384::bigint * (x & 1)))), 4294967295::bigint) % 9 as h
+  from (select distinct c from turns)),
+rows as (
+  select v.c, 0 as part, t.pos, t.k, t.b from convs v join turns t on t.c = v.c - v.c % 5 and t.pos <= v.h
+  union all
+  select v.c, 1, t.pos, t.k, t.b from convs v join turns t on t.c = v.c and t.pos > v.h),
+paths as materialized (
+  select c, cast(0 as bigint) as depth, '' as path, 0 as b from convs
+  union all
+  select c, row_number() over o as depth, sha256(string_agg(k, ',') over o) as path, b
+  from rows window o as (partition by c order by part, pos rows between unbounded preceding and current row)),
+lengths as (select c, max(depth) as len from paths group by c),
+nodes as materialized (
+  select p.depth, p.path, min(p.c) as conv_id, count(*) as n_convs, any_value(p.b) as b,
+    sha256(coalesce(string_agg(cast(p.c as varchar), ',' order by p.c) filter (l.len = p.depth), '')) as ends_sha256
+  from paths p join lengths l using (c) group by p.depth, p.path),
+above as (
+  select n.*, p.path as parent from nodes n left join paths p on p.c = n.conv_id and p.depth = n.depth - 1),
+kids as (select parent as path, depth - 1 as depth, count(*) as n_children from above where depth > 0 group by all),
+grown as (select a.*, coalesce(k.n_children, 0) as n_children from above a left join kids k using (depth, path)),
+sums as (
+  select p.depth, p.path, count(*) filter (g.n_children = 0) as n_leaves, sum((g.n_convs - 1) * g.b) as saved
+  from grown g join paths p on p.c = g.conv_id and p.depth <= g.depth group by p.depth, p.path)
+select g.conv_id, g.depth, q.conv_id as parent_conv_id, cast(g.n_convs as bigint) as n_convs,
+  cast(g.n_children as bigint) as n_children, cast(s.n_leaves as bigint) as n_leaves,
+  cast(s.saved as bigint) as saved_tokens, g.ends_sha256
+from grown g join sums s using (depth, path) left join nodes q on q.depth = g.depth - 1 and q.path = g.parent
+"""
