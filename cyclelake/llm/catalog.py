@@ -18,6 +18,7 @@ QUERIES = {
     "op9_toxicity": (q.toxicity, None),
     "op10_packing": (q.packing, None),
     "op11_centroid_clusters": (q.centroid_clusters, sql.CLUSTERS),
+    "op12_suffix_dedup": (q.suffix_dedup, sql.REPEATS),
     "op13_conversation_trie": (q.conversation_trie, sql.PREFIX_TRIE),
     "pipeline": (q.pipeline, corpus_pipeline.ORACLE_SQL),
 }

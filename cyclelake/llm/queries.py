@@ -13,6 +13,7 @@ from cyclelake.llm.mixing import taken_words
 from cyclelake.llm.ngram_join import similar_classes
 from cyclelake.llm.packing import pack
 from cyclelake.llm.quality import quality_scores
+from cyclelake.llm.suffix_dedup import repeats_report
 from cyclelake.llm.token_count import count_tokens
 from cyclelake.llm.topk import top_k
 from cyclelake.llm.toxicity import toxicity_scores
@@ -71,5 +72,9 @@ def conversation_trie(spark, sf_dir):
     return prefix_trie(_table(spark, sf_dir, "conversations"))
 
 
+def suffix_dedup(spark, sf_dir):
+    return repeats_report(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -172,3 +172,27 @@ select g.conv_id, g.depth, q.conv_id as parent_conv_id, cast(g.n_convs as bigint
   cast(s.saved as bigint) as saved_tokens, g.ends_sha256
 from grown g join sums s using (depth, path) left join nodes q on q.depth = g.depth - 1 and q.path = g.parent
 """
+
+REPEATS = """
+with texts as materialized (
+  select row_number() over () as n, doc_id, hex(encode(coalesce(text, ''))) as x, strlen(coalesce(text, '')) as n_bytes from documents),
+windows as (
+  select n, doc_id, i, sha256(substring(x, cast(2 * i + 1 as bigint), 100)) as s
+  from (select n, doc_id, x, unnest(range(0, n_bytes - 49)) as i from texts where n_bytes >= 50 and doc_id is not null)),
+held as (select s, min(doc_id) as least from windows group by s having min(doc_id) < max(doc_id)),
+gone as (select w.n, w.i from windows w join held h using (s) where w.doc_id > h.least),
+marked as (
+  select n, i, case when i <= lag(i) over (partition by n order by i) + 50 then 0 else 1 end as begins from gone),
+numbered as (select n, i, sum(begins) over (partition by n order by i) as run from marked),
+runs as (select n, run, min(i) as a, max(i) + 50 as b from numbered group by n, run),
+pieces as (
+  select n, a, coalesce(lag(b) over (partition by n order by a), 0) as from_byte, b, b - a as size from runs),
+kept as (
+  select p.n, sum(p.size) as n_removed, count(*) as n_spans, max(p.b) as up_to,
+    string_agg(substring(t.x, cast(2 * p.from_byte + 1 as bigint), cast(2 * (p.a - p.from_byte) as bigint)), '' order by p.a) as before
+  from pieces p join texts t using (n) group by p.n)
+select t.doc_id, cast(t.n_bytes as bigint) as n_bytes, cast(coalesce(k.n_removed, 0) as bigint) as n_removed,
+  cast(coalesce(k.n_spans, 0) as bigint) as n_spans,
+  sha256(unhex(concat(coalesce(k.before, ''), substring(t.x, cast(2 * coalesce(k.up_to, 0) + 1 as bigint))))) as kept_sha256
+from texts t left join kept k using (n)
+"""
