@@ -31,7 +31,7 @@ SLICE_BYTES = 2_000_000
 FRAGMENT_BYTES = 64_000_000    # text behind a screening fragment
 BUCKET_BYTES = 8_000_000       # text behind a bucket of stretches
 LEAST_PARTS = 32
-HOT = 1_000                    # documents that hold an anchor, from which its windows are rows
+HOT = 30_000                   # documents that hold an anchor, from which its stretches are rows: some megabytes in a bucket
 STRETCH = 64                   # windows of a stretch, at most
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)]
 BLOB = "kind int, bucket bigint, slice bigint, anchors binary, docs binary, places binary, starts binary, lengths binary, data binary"
@@ -254,36 +254,41 @@ def _by_slice(slices, places, begins, ends) -> pd.DataFrame:
                          "anchors": [triples[a:b].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(slices)))]})
 
 
-def _window_rows(limit: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                docs, places = np.frombuffer(row.docs, np.int64), np.frombuffer(row.places, np.int64)
-                own, lengths = np.frombuffer(row.starts, np.int64), np.frombuffer(row.lengths, np.int64)
-                starts, windows = np.cumsum(lengths) - lengths, lengths - limit + 1
-                stretch = np.repeat(np.arange(len(windows)), windows)
-                offset = np.arange(len(stretch)) - np.repeat(np.cumsum(windows) - windows, windows)
-                for a in range(0, len(stretch), 100_000):
-                    s, o = stretch[a:a + 100_000], offset[a:a + 100_000]
-                    yield pd.DataFrame({"window": [row.data[i:i + limit] for i in (starts[s] + o).tolist()], "doc": docs[s],
-                                        "slice": row.slice, "place": places[s], "start": own[s] + o})
-
-    return run
+def _stretch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            lengths = np.frombuffer(row.lengths, np.int64)
+            ends = np.cumsum(lengths)
+            yield pd.DataFrame({
+                "stretch": [row.data[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist())],
+                "doc": np.frombuffer(row.docs, np.int64), "slice": row.slice, "place": np.frombuffer(row.places, np.int64),
+                "start": np.frombuffer(row.starts, np.int64)})
 
 
 def _hot_windows(stretches: DataFrame, limit: int) -> DataFrame:
-    """(slice, anchors: triples) of the windows at hot anchors that start in a smaller document, too."""
-    windows = staged(stretches.filter("kind = 2").mapInPandas(
-        _window_rows(limit), "window binary, doc bigint, slice bigint, place bigint, start bigint"), "windows")
+    """(slice, anchors: triples) of what starts in a smaller document, too, at hot anchors. A stretch that a smaller document
+    holds as a whole is gone as a whole; only those of the smallest documents are taken apart into windows."""
+    rows = staged(stretches.filter("kind = 2").select("slice", "docs", "places", "starts", "lengths", "data").mapInPandas(
+        _stretch_rows, "stretch binary, doc bigint, slice bigint, place bigint, start bigint"), "hot")
+    least = staged(rows.groupBy("stretch").agg(F.min("doc").alias("least")), "hot_least")
+    known = rows.join(least, "stretch")
+    end = F.col("start") + F.octet_length("stretch")
+    whole = known.filter(F.col("doc") > F.col("least")).select("slice", "place", "start", end.alias("end"))
+    first = known.filter(F.col("doc") == F.col("least"))
+    windows = staged(first.select("doc", "slice", "place", "start", "stretch", F.explode(
+        F.sequence(F.lit(0), F.octet_length("stretch") - limit)).alias("at")).select(
+        F.substring("stretch", F.col("at") + 1, F.lit(limit)).alias("window"), "doc", "slice", "place",
+        (F.col("start") + F.col("at")).alias("start")), "windows")
     held = windows.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     shared = staged(held.filter("least < most").select("window", "least"), "shared_windows")
-    found = windows.join(shared, "window").filter(F.col("doc") > F.col("least")).select("slice", "place", "start")
+    parts = windows.join(shared, "window").filter(F.col("doc") > F.col("least")).select(
+        "slice", "place", "start", (F.col("start") + limit).alias("end"))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield _by_slice(b["slice"].to_numpy(), b["place"].to_numpy(), b["start"].to_numpy(), b["start"].to_numpy() + limit)
+            yield _by_slice(*(b[c].to_numpy() for c in ("slice", "place", "start", "end")))
 
-    return found.mapInPandas(pack, "slice bigint, anchors binary")
+    return whole.unionByName(parts).mapInPandas(pack, "slice bigint, anchors binary")
 
 
 def _merged(triples: np.ndarray) -> np.ndarray:
