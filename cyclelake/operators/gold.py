@@ -60,7 +60,20 @@ def gold_cycle_summary(
     """One row per order with both a start and a confirmation that does not precede it. The grouped inputs and
     the orders are all distributed by order_id, so the joins add no shuffle; the materials side is left to
     the optimizer, which broadcasts it only when its measured size allows."""
-    complete = pairs.filter(F.col("cycle_end_time") >= F.col("cycle_start_time"))
+    complete = complete_pairs(pairs)
+    stats = cycle_sensor_stats(readings, complete if bounded else None)
+    return summarise(complete, orders, materials, stats, order_state, tolerance)
+
+
+def complete_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.filter(F.col("cycle_end_time") >= F.col("cycle_start_time"))
+
+
+def summarise(
+    complete: DataFrame, orders: DataFrame, materials: DataFrame, stats: DataFrame, order_state: DataFrame | None = None,
+    tolerance: float = 0.0,
+) -> DataFrame:
+    """Gold rows of complete cycles from their sensor statistics (one row per order)."""
     order = orders.select(
         "order_id", "material_id", "plant", "oven_id", F.col("operator_id").alias("_order_operator"),
         F.col("sap_confirmation_number").alias("_order_confirmation"), "goods_movement_posted",
@@ -69,7 +82,6 @@ def gold_cycle_summary(
         "material_id", "material_description", "standard_cycle_minutes", "target_moisture_ppm",
         "target_temperature_degC",
     )
-    stats = cycle_sensor_stats(readings, complete if bounded else None)
     joined = complete.join(order, "order_id").join(stats, "order_id", "left")
     if order_state is None:
         joined = joined.withColumn("quality_check_passed", F.lit(None).cast("boolean"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 from cyclelake.functions.joins import PROBE, join_per_key
 from cyclelake.functions.ordered import OrderedSeries, as_of_value
 from cyclelake.functions.timing import MICROS_PER_MINUTE, as_of_column, col, micros, minutes_between, slot_start
+from cyclelake.operators.silver import first_per_key
+from cyclelake.operators.state import cycle_phase
 from cyclelake.schemas import (
     AMBIENT_TEMPERATURE, ATMOSPHERIC_PRESSURE, COMPRESSION_FACTOR, INITIAL_MOISTURE, SENSOR_NOISE, VACUUM_FLOOR,
     VACUUM_TAU_MINUTES, WARMING_MINUTES,
@@ -155,6 +159,54 @@ def alert_vacuum_loss(
     return joined.filter((F.col("lowest_before") <= limit) & (F.col("value") > limit))
 
 
+@dataclass(frozen=True)
+class Rule:
+    """An alert rule for streams: ``find`` gives the alerts among readings, ``context`` the readings up to an instant (micros) that
+    later ones are compared with. ``find`` over these and all later readings gives the same alerts for the later ones."""
+
+    find: Callable[[DataFrame], DataFrame]
+    context: Callable[[DataFrame, int], DataFrame]
+
+
+def moisture_stalled_rule(percent: float = 5.0, window_minutes: int = 30, keys=("order_id",)) -> Rule:
+    """Keeps the trailing window of moisture and the last reading before it; the first dry one, too, which ends the drying phase."""
+
+    def context(rows: DataFrame, mark: int) -> DataFrame:
+        moisture = rows.filter(F.col("sensor_type") == "moisture")
+        compared = moisture.filter(F.col("phase") == "drying") if "phase" in rows.columns else moisture
+        opens = F.unix_micros("timestamp_opc") > mark - int(window_minutes * MICROS_PER_MINUTE)
+        before = first_per_key(compared.filter(~opens), list(keys), [F.desc("timestamp_opc"), F.desc("reading_id")])
+        kept = moisture.filter(opens).unionByName(before)
+        if "phase" in rows.columns:
+            done = first_per_key(moisture.filter(F.col("phase") == "complete"), ["order_id"], ["timestamp_opc", "reading_id"])
+            kept = kept.unionByName(done)
+        return kept
+
+    return Rule(lambda rows: alert_moisture_stalled(rows, percent, window_minutes, keys), context)
+
+
+def temperature_spike_rule(jump: float = 20.0, keys=("order_id",), setpoints: DataFrame | None = None, tolerance: float = 2.0) -> Rule:
+    """Keeps the last temperature."""
+    return Rule(
+        lambda rows: alert_temperature_spike(rows, jump, keys, setpoints, tolerance),
+        lambda rows, mark: first_per_key(rows.filter(F.col("sensor_type") == "temperature"), list(keys),
+                                         [F.desc("timestamp_opc"), F.desc("reading_id")]))
+
+
+def vacuum_loss_rule(setpoints: DataFrame, keys=("order_id",), tolerance: float = 0.5) -> Rule:
+    """Keeps the lowest pressure."""
+    return Rule(
+        lambda rows: alert_vacuum_loss(rows, setpoints, keys, tolerance),
+        lambda rows, mark: first_per_key(rows.filter(F.col("sensor_type") == "vacuum"), list(keys), ["value", "timestamp_opc", "reading_id"]))
+
+
+def with_phase(readings: DataFrame, cycles: DataFrame, warming_minutes: float = WARMING_MINUTES) -> DataFrame:
+    """Readings with the column ``phase`` of ``cycle_phase``, from one row per order (order_id, cycle_start_time,
+    target_moisture_ppm). What is dry is decided among ``readings``."""
+    one = cycles.select("order_id", F.col("order_id").alias("material_id"), "cycle_start_time", "target_moisture_ppm")
+    return cycle_phase(readings, one, one, one, warming_minutes).drop("elapsed_minutes")
+
+
 def cycle_end_eta(profile: DataFrame, targets: DataFrame, warming: float = WARMING_MINUTES) -> DataFrame:
     """Per cycle a straight line through ln(moisture) over minutes of the drying phase, the minute at which it
     meets the target, and R2. No estimate with fewer than two instants or without decay. ``targets`` holds order_id,

@@ -93,6 +93,12 @@ union all select order_id || '-A', 'cycle_aborted', order_id, oven_id, operator_
 union all select order_id || '-T', 'cycle_timeout', order_id, oven_id, cast(null as string), end_ts,
   '{"elapsed_minutes": 700, "max_cycle_minutes": 600}'
   from ad_orders where o_orderstatus = 'P' and o_orderpriority >= '3'""",
+    # Extensions of running cycles: some in time, some long after the deadline, some orders have two.
+    "br_extensions": """
+select order_id || '-E1' as extension_id, order_id, start_ts + (100 + o_orderkey % 300) * interval '1' minute as extended_at,
+  120 + o_orderkey % 240 as minutes from ad_orders where o_orderkey % 4 = 0
+union all select order_id || '-E2', order_id, start_ts + (900 + o_orderkey % 500) * interval '1' minute, 300
+  from ad_orders where o_orderkey % 6 = 0""",
     # Order-stamped readings with copies of the same reading_id and bad quality.
     "br_readings": """
 select l_orderkey * 10 + l_linenumber as reading_id, order_id, oven_id, plant,
@@ -115,6 +121,10 @@ select event_id as reading_id, 'oven-' || lpad(cast(user_id % 20 as string), 2,
   case when (event_id - event_id % 500) % 1500 = 0 then null
     else cast(event_id - event_id % 500 as string) || '-' || cast(user_id % 20 as string) end as order_id
 from events""",
+    # Cycles of the live orders, some of which get dry.
+    "ad_cycles": """
+select order_id, min(timestamp_opc) as cycle_start_time, 1 + cast(min(reading_id) % 8 as int) as target_moisture_ppm
+from ad_live where order_id is not null group by order_id""",
     "br_movements": """
 select 'GR-' || cast(order_year as string) || '-' || case when o_orderkey < 1000000
     then lpad(cast(o_orderkey as string), 6, '0') else cast(o_orderkey as string) end as document_number,

@@ -59,6 +59,14 @@ STALLED = """select reading_id, oven_id, value, f.a as window_start, f.v as wind
   where r.sensor_type = 'moisture' and s.sensor_type = 'moisture' group by r.reading_id, r.oven_id, r.value)
   where value > f.v * 0.95::double"""
 
+# Moisture in the drying phase: an hour after the start of its cycle until the first value at or below target.
+DRYING = """select r.* from ad_live r join ad_cycles c on c.order_id = r.order_id
+  left join (select r.order_id, min(r.timestamp_opc) as dry_at from ad_live r join ad_cycles c on c.order_id = r.order_id
+    where r.sensor_type = 'moisture' and r.value <= c.target_moisture_ppm
+      and r.timestamp_opc > c.cycle_start_time + interval '60' minute group by r.order_id) d on d.order_id = r.order_id
+  where r.sensor_type = 'moisture' and r.timestamp_opc > c.cycle_start_time + interval '60' minute
+    and (d.dry_at is null or r.timestamp_opc < d.dry_at)"""
+
 QUERIES = {
     "expected_profile": (
         lambda lake: rounded(profile(lake), "expected_value").select(
@@ -92,6 +100,12 @@ QUERIES = {
         ),
         sql(STALLED),
     ),
+    "alert_moisture_stalled_drying": (
+        lambda lake: ts.alert_moisture_stalled(
+            ts.with_phase(lake.view("ad_live"), lake.view("ad_cycles")), 5.0, 240, ["oven_id"]
+        ).select("reading_id", "oven_id", "value", "window_start", "window_start_value"),
+        sql(STALLED.replace("ad_live", "drying"), drying=DRYING),
+    ),
     "alert_temperature_spike": (
         lambda lake: ts.alert_temperature_spike(lake.view("ad_live"), 100.0, ["oven_id"], oven_setpoints(lake)).select(
             "reading_id", "oven_id", "value", "previous_value", "reason"

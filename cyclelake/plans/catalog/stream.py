@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cyclelake.operators import silver as s
 from cyclelake.operators import timeseries as ts
 from cyclelake.plans.catalog.bronze import PARSED
-from cyclelake.plans.catalog.series import JUMPS, STALLED, VACUUM, oven_setpoints
+from cyclelake.plans.catalog.series import DRYING, JUMPS, STALLED, VACUUM, oven_setpoints
 from cyclelake.plans.catalog.state import AS_OF, PARTS
 from cyclelake.plans.checks import sql
 from cyclelake.session import staging_path
+from cyclelake.sources.tables import read_upserted
 from cyclelake.streaming import jobs as j
 
 
@@ -55,30 +58,35 @@ def late_orders(lake):
     limits = lake.orders().select("order_id", "material_id").join(
         lake.materials().select("material_id", "max_cycle_minutes"), "material_id"
     ).select("order_id", "max_cycle_minutes")
-    return through_table(lake, j.timeout_stream(lake.view("br_events", live=["orders"]), limits))
+    extensions = lake.view("br_extensions", live=["orders"])
+    return through_table(lake, j.timeout_stream(lake.view("br_events", live=["orders"]), limits, extensions, "1 hour"))
 
 
 def gold(lake):
-    """Events first, and only then the tables of a third of the orders: the stream has to come back to them."""
-    events, target, waiting = (staging_path(lake.spark, n) for n in ("events", "gold", "pending"))
+    """Two arrivals: in the first the orders of a third of the cycles and half of the events are missing, in the second come
+    these and all repeated deliveries of readings."""
+    state, target, waiting = (staging_path(lake.spark, n) for n in ("states", "gold", "pending"))
+    log, series = lake.view("br_events"), lake.view("br_readings")
+    delivery = W.partitionBy("reading_id").orderBy("timestamp_mqtt", "timestamp_opc", "value")
     late = F.pmod(F.xxhash64("order_id"), F.lit(3)) == 0
-    seen = {"late": False}
-
-    def tables():
-        orders = lake.orders() if seen["late"] else lake.orders().filter(~late)
-        return lake.readings(), orders, lake.materials(), lake.order_state()
-
-    progress = staging_path(lake.spark, "progress")
-    landing = staging_path(lake.spark, "landing")
-    log = lake.view("br_events")
+    landings = {"events": log.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(2))),
+                "readings": series.withColumn("part", F.least(F.lit(1), F.row_number().over(delivery) - 1))}
+    landed, progress = {name: staging_path(lake.spark, name) for name in landings}, staging_path(lake.spark, "progress")
+    for name, rows in landings.items():
+        rows.write.partitionBy("part").parquet(landed[name])
     with j.rocksdb(lake.spark):
         for part in (0, 1):
-            seen["late"] = part == 1
-            log.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == part).write.mode("append").parquet(landing)
-            stream = lake.spark.readStream.schema(log.schema).parquet(landing)
-            j.start(j.gold_stream(stream, tables, events, target, waiting, buckets=4, hot=lake.hot_orders()),
-                    progress).awaitTermination()
-    return j.read_upserted(lake.spark, target)
+            def dimensions(changed, part=part):
+                orders = lake.view("br_orders").join(changed, "order_id", "left_semi")
+                orders = orders if part else orders.filter(~late)
+                return s.silver_orders(orders), lake.materials(), lake.order_state()
+
+            # Later deliveries become visible to the same streams as more files.
+            live = {n: lake.spark.readStream.schema(r.drop("part").schema).option("recursiveFileLookup", "true").parquet(
+                f"{landed[n]}/part={{{','.join(map(str, range(part + 1)))}}}") for n, r in landings.items()}
+            j.start(j.gold_stream(live["events"], live["readings"], dimensions, state, target, waiting, delay="9000 days",
+                                  buckets=4), progress).awaitTermination()
+    return read_upserted(lake.spark, target)
 
 
 def state(lake):
@@ -88,15 +96,22 @@ def state(lake):
 
 
 def alerts(lake):
-    stored, found = staging_path(lake.spark, "silver"), staging_path(lake.spark, "alerts")
-    setpoints = oven_setpoints(lake)
+    """Four arrivals with moisture one block late; the phase comes from the cycles of the live orders."""
+    state, found = staging_path(lake.spark, "context"), staging_path(lake.spark, "alerts")
+    landing, progress = staging_path(lake.spark, "landing"), staging_path(lake.spark, "progress")
+    setpoints, cycles = oven_setpoints(lake), lake.view("ad_cycles")
     rules = {
-        "moisture stalled": lambda r: ts.alert_moisture_stalled(r, 5.0, 240, ["oven_id"]),
-        "temperature spike": lambda r: ts.alert_temperature_spike(r, 100.0, ["oven_id"], setpoints),
-        "vacuum loss": lambda r: ts.alert_vacuum_loss(r, setpoints, ["oven_id"]),
+        "moisture stalled": ts.moisture_stalled_rule(5.0, 240, ["oven_id"]),
+        "temperature spike": ts.temperature_spike_rule(100.0, ["oven_id"], setpoints),
+        "vacuum loss": ts.vacuum_loss_rule(setpoints, ["oven_id"]),
     }
-    finish(lake, j.alerts_stream(lake.view("ad_live", live=["events"]), stored, found, rules, "oven_id", buckets=4))
-    return lake.spark.read.parquet(found).select("rule", "reading_id", "oven_id", "value")
+    rows = lake.view("ad_live").withColumn("_block", arrival())
+    for block in range(4):
+        rows.filter(F.col("_block") == block).drop("_block").write.mode("append").parquet(landing)
+        stream = lake.spark.readStream.schema(rows.drop("_block").schema).parquet(landing)
+        j.start(j.alerts_stream(stream, state, found, rules, "oven_id", 17 * 1440, lambda r: ts.with_phase(r, cycles), buckets=4),
+                progress).awaitTermination()
+    return j.read_alerts(lake.spark, found).select("rule", "reading_id", "oven_id", "value")
 
 
 def arrival():
@@ -139,25 +154,35 @@ QUERIES = {
     ),
     "timeout_stream": (
         late_orders,
-        sql("""select order_id, started_at, timeout_at, max_cycle_minutes from starts s where not exists (select 1 from ends e
-    where e.order_id = s.order_id and e.event_time between s.started_at and s.timeout_at)
-  and timeout_at < (select max(event_time) - interval '1' hour from ends)
-  and timeout_at < (select max(timeout_at) - interval '1' hour from starts)""",
-            starts="""select e.order_id, event_time as started_at, max_cycle_minutes,
-    event_time + max_cycle_minutes * interval '1' minute as timeout_at from s_events e
+        sql("""select order_id, started_at, timeout_at, cast(limit_now as integer) as max_cycle_minutes from due d where not exists (
+    select 1 from ends e where e.order_id = d.order_id and e.event_time between d.started_at and d.timeout_at)
+  and timeout_at < (select max(seen) - interval '1' hour from (select max(event_time) as seen from s_events
+    where event_type in ('cycle_started', 'cycle_confirmed', 'cycle_aborted') union all select max(extended_at) from br_extensions))""",
+            starts="""select e.order_id, event_id, event_time as started_at, max_cycle_minutes,
+    lead(event_time) over (partition by e.order_id order by event_time, event_id) as next_start from s_events e
     join s_orders o on o.order_id = e.order_id join s_materials m on m.material_id = o.material_id
     where event_type = 'cycle_started'""",
-            ends="select * from s_events where event_type in ('cycle_confirmed', 'cycle_aborted')"),
+            ends="select * from s_events where event_type in ('cycle_confirmed', 'cycle_aborted')",
+            steps="""select s.order_id, event_id, started_at, max_cycle_minutes, extended_at, minutes,
+    row_number() over (partition by event_id order by extended_at, minutes) as step from starts s
+    join br_extensions x on x.order_id = s.order_id and x.extended_at >= started_at
+      and (next_start is null or x.extended_at < next_start)""",
+            ladder="""select *, started_at + limit_now * interval '1' minute as timeout_at from (
+      select order_id, event_id, started_at, 0 as step, max_cycle_minutes as limit_now from starts
+      union all select order_id, event_id, started_at, step, max_cycle_minutes + sum(minutes) over (
+        partition by event_id order by step rows between unbounded preceding and current row) from steps) laddered""",
+            due="""select l.* from ladder l where not exists (select 1 from steps s where s.event_id = l.event_id
+      and s.step = l.step + 1 and s.extended_at <= l.timeout_at)"""),
     ),
     "gold_stream": (gold, sql("select * from gold")),
     "process_state_stream": (state, sql("select * from oven_state", **PARTS)),
     "alerts_stream": (
         alerts,
-        sql("select 'moisture stalled' as rule, reading_id, oven_id, value from (" + STALLED + ")" + """
+        sql("select 'moisture stalled' as rule, reading_id, oven_id, value from (" + STALLED.replace("ad_live", "drying") + ")" + """
   union all select 'temperature spike', reading_id, oven_id, value from jumps
   where abs(value - previous_value) > 100 or value > setpoint + 2
   union all select 'vacuum loss', reading_id, oven_id, value from vacuum
-  where lowest_before <= setpoint_vacuum_mbar + 0.5 and value > setpoint_vacuum_mbar + 0.5""", jumps=JUMPS, vacuum=VACUUM),
+  where lowest_before <= setpoint_vacuum_mbar + 0.5 and value > setpoint_vacuum_mbar + 0.5""", jumps=JUMPS, vacuum=VACUUM, drying=DRYING),
     ),
     "late_report": (
         late,

@@ -8,22 +8,13 @@ from pyspark.sql import types as T
 
 from cyclelake.functions.timing import as_of_column
 from cyclelake.operators.silver import content_order, first_per_key
-
-BUCKET = "_bucket"
-
-
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _file_system(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+from cyclelake.sources.versions import BUCKET, bucket_of, file_system, merge, path_of, read_snapshot, snapshot
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a finished write is there (or, for appended stream output, any content)."""
-    fs = _file_system(spark, path)
-    return fs.exists(_path(spark, path)) and len(fs.listStatus(_path(spark, path))) > 0
+    fs = file_system(spark, path)
+    return fs.exists(path_of(spark, path)) and len(fs.listStatus(path_of(spark, path))) > 0
 
 
 def append_bronze(df: DataFrame, target: str, raw: str = "raw_payload", as_of=None, batch_id=None) -> None:
@@ -52,55 +43,42 @@ def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def write_bucketed_batch(df: DataFrame, target: str, batch_id: int, key: str, buckets: int = 64) -> None:
     """Like ``write_batch``, cut by a hash bucket of ``key`` as well, so that readers of few keys read few folders."""
-    rows = df.withColumns({BUCKET: _bucket([key], buckets), "batch_id": F.lit(batch_id)})
+    rows = df.withColumns({BUCKET: bucket_of([key], buckets), "batch_id": F.lit(batch_id)})
     writer = rows.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("batch_id", BUCKET).parquet(target)
 
 
 def read_keys(spark: SparkSession, target: str, keys: DataFrame, key: str, buckets: int = 64) -> DataFrame:
     """The buckets of such a table that hold ``keys``."""
-    touched = F.broadcast(keys.select(_bucket([key], buckets).alias(BUCKET)).distinct())   # at most ``buckets`` rows
+    touched = F.broadcast(keys.select(bucket_of([key], buckets).alias(BUCKET)).distinct())   # at most ``buckets`` rows
     return spark.read.parquet(target).join(touched, BUCKET, "left_semi").drop(BUCKET, "batch_id")
 
 
-def _bucket(keys, buckets: int):
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
 def upsert_latest(new: DataFrame, target: str, keys, version: str | None, buckets: int = 64) -> None:
     """Inserts or replaces rows by key; the row with the highest ``version`` wins, so repeats are harmless. At equal
     version, and for any version when it is None, new rows replace stored ones; among new rows that tie, content decides.
 
-    The table is partitioned by a hash bucket of the key: a row never changes its partition, and only buckets
-    that the new rows touch are read and rewritten. The merged buckets are first written beside the target and
-    then published; when a run dies while publishing, the next one publishes the finished copy again first.
+    The table is versioned and cut by a hash bucket of the key: a row never changes its bucket, only buckets that the new
+    rows touch are read and written again, and all of them appear in one step. Read it with ``read_upserted``.
     """
-    spark, staged = new.sparkSession, f"{target.rstrip('/')}.staged"
-    fs, done = _file_system(spark, target), _path(spark, f"{staged}/_published")
-    if fs.exists(_path(spark, f"{staged}/_SUCCESS")) and not fs.exists(done):
-        _publish(spark, staged, target)
-        fs.create(done, True).close()
-    rows = new.withColumns({BUCKET: _bucket(keys, buckets), "_new": F.lit(1)})
-    if exists(spark, target):
-        # At most ``buckets`` rows, so the broadcast is bounded; it also prunes the partitions that are read.
-        touched = F.broadcast(rows.select(BUCKET).distinct())
-        old = spark.read.parquet(target).join(touched, BUCKET, "left_semi").withColumn("_new", F.lit(0))
-        rows = old.unionByName(rows, allowMissingColumns=True)
     order = [F.desc(version)] if version else []
-    merged = first_per_key(rows, list(keys), [*order, F.desc("_new"), content_order(new)]).drop("_new")
-    merged.hint("rebalance", BUCKET).write.mode("overwrite").parquet(staged)
-    _publish(spark, staged, target)
-    fs.create(done, True).close()
+    merge(new, target, keys, lambda rows: first_per_key(rows, list(keys), [*order, F.desc("_new"), content_order(new)]), buckets)
 
 
-def _publish(spark: SparkSession, staged: str, target: str) -> None:
-    rows = spark.read.parquet(staged).hint("rebalance", BUCKET)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(BUCKET).parquet(target)
+def replace_keys(keys_to_drop: DataFrame, rows: DataFrame, target: str, keys, buckets: int = 64) -> None:
+    """Takes the keys of ``keys_to_drop`` out of a versioned table and puts ``rows`` (of these keys) in, in one step."""
+    marked = keys_to_drop.select(*keys).distinct().withColumn("_there", F.lit(False)).unionByName(
+        rows.withColumn("_there", F.lit(True)), allowMissingColumns=True)
+    newest = lambda both: first_per_key(both, list(keys), [F.desc("_new"), F.desc("_there"), content_order(rows)])
+    merge(marked, target, keys, lambda both: newest(both).filter("_there"), buckets)
 
 
 def read_upserted(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop(BUCKET)
+    """The newest version, the same rows however often the result is read."""
+    manifest = snapshot(spark, target)
+    if manifest is None:
+        raise FileNotFoundError(f"no version of {target} has been published")
+    return read_snapshot(spark, target, manifest).drop("_there")
 
 
 def write_mart(gold: DataFrame, target: str) -> None:

@@ -13,15 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from cyclelake.functions.joins import PROBE, join_per_key
 from cyclelake.operators import gold as g
+from cyclelake.operators import partials as p
 from cyclelake.operators import silver as s
+from cyclelake.operators.silver import content_order, first_per_key
 from cyclelake.operators.state import ARRIVAL, STATE_COLUMN, with_status
 from cyclelake.schemas import SENSOR_TYPES
 from cyclelake.sources.messages import MESSAGE_SCHEMA, accepted, parse_readings, rejected
+from cyclelake.session import shared_dir
+from cyclelake.sources import versions as v
 from cyclelake.sources.tables import (
-    append_bronze, exists, read_batches, read_keys, read_upserted, upsert_latest, write_batch, write_bucketed_batch,
+    append_bronze, exists, read_batches, read_upserted, replace_keys, upsert_latest, write_batch,
 )
+from cyclelake.streaming.deadlines import REPORT, Deadlines
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -117,125 +121,161 @@ def _ends(events: DataFrame, event_types, delay: str) -> DataFrame:
     return rows.withWatermark("end_time", delay).dropDuplicatesWithinWatermark(["end_id"])
 
 
-def timeout_stream(events: DataFrame, limits: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Starts without an end from the start up to their deadline (start plus max_cycle_minutes of ``limits``: order_id,
-    max_cycle_minutes). Ends are confirmations and aborts; each counts for every start it follows in time, however
-    often the order was ended or restarted. A reported timeout is no end, and an extension does not move the deadline. A
-    start is reported once, when the watermark has passed its deadline: an outer join whose
-    time column on the left is the deadline drops a start from its state exactly then."""
-    minutes = F.make_dt_interval(mins=F.col("max_cycle_minutes"))
-    starts = events.filter(F.col("event_type") == "cycle_started").join(
-        limits.select("order_id", F.col("max_cycle_minutes").cast("int")), "order_id"
-    ).select(
-        "event_id", F.col("order_id").alias("start_order"), F.col("event_time").alias("started_at"),
-        (F.col("event_time") + minutes).alias("timeout_at"), "max_cycle_minutes",
-    ).withWatermark("timeout_at", delay).dropDuplicatesWithinWatermark(["event_id"])
-    ends = _ends(events, ["cycle_confirmed", "cycle_aborted"], delay)
-    ended = F.expr("start_order = end_order and end_time >= started_at and end_time <= timeout_at")
-    return starts.join(ends, ended, "left_outer").filter(F.col("end_order").isNull()).select(
-        F.col("start_order").alias("order_id"), "started_at", "timeout_at", "max_cycle_minutes"
-    )
+def timeout_stream(events: DataFrame, limits: DataFrame, extensions: DataFrame | None = None, delay: str = "1 hour",
+                   keep: str = "7 days") -> DataFrame:
+    """Starts whose deadline passes without an end between start and deadline, reported when the watermark has passed it.
+
+    ``limits`` (order_id, max_cycle_minutes) sets the first deadline. ``extensions`` is a stream (extension_id, order_id,
+    extended_at, minutes): an extension adds to the limit of the order's last start before it. One that comes up to the
+    deadline moves it; a later one lets the cycle run again, which is reported once more when the new deadline passes. Ends are
+    confirmations and aborts; each counts for every start it follows, however often the order was started. Copies (equal
+    ids) count once, late events within ``delay`` count, and an order is forgotten ``keep`` after its last deadline."""
+    kinds = {"cycle_started": "start", "cycle_confirmed": "end", "cycle_aborted": "end"}
+    kind = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(k)) for t, k in kinds.items()])
+    rows = events.filter(F.col("event_type").isin(*kinds)).join(
+        limits.select("order_id", F.col("max_cycle_minutes").cast("int")), "order_id", "left").select(
+        "order_id", kind.alias("kind"), F.col("event_id").alias("id"), F.col("event_time").alias("at"), "max_cycle_minutes")
+    # Without a limit a start has no deadline.
+    rows = rows.filter((F.col("kind") == "end") | F.col("max_cycle_minutes").isNotNull())
+    if extensions is not None:
+        rows = rows.unionByName(extensions.select(
+            "order_id", F.lit("extension").alias("kind"), F.col("extension_id").alias("id"), F.col("extended_at").alias("at"),
+            F.col("minutes").cast("int").alias("max_cycle_minutes")))
+    known = rows.filter(F.col("order_id").isNotNull() & F.col("at").isNotNull()).withWatermark("at", delay)
+    return known.withColumn("ms", F.unix_millis("at")).groupBy("order_id").transformWithState(
+        Deadlines(int(_seconds(known.sparkSession, keep) * 1000)), REPORT, "Append", "EventTime")
+
+
+def _seconds(spark: SparkSession, interval: str) -> float:
+    return spark.sql(f"select unix_micros(timestamp '1970-01-01 00:00:00Z' + interval {interval})").first()[0] / 1e6
+
 
+def ticks(spark: SparkSession, seconds: int = 30) -> DataFrame:
+    """A stream that names nothing, so that ``gold_stream`` runs now and then although no row arrives."""
+    rate = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).option(
+        "advanceMillisPerBatch", 1000 * seconds).load()
+    return rate.select(F.lit(None).cast("string").alias("order_id"))
 
-def gold_changes(events: DataFrame, *changes: DataFrame) -> DataFrame:
-    """One stream for ``gold_stream``: the events, and from streams of readings, orders, movements or anything else with
-    an order_id the orders they name."""
-    stream = events
-    for change in changes:
-        stream = stream.unionByName(change.select("order_id"), allowMissingColumns=True)
-    return stream
+
+def _stream_id(batch: DataFrame) -> str:
+    """The id that a stream keeps with its checkpoint: it changes when the checkpoint is lost."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
 
 
 def gold_stream(
-    changes: DataFrame, tables, bronze_events: str, gold: str, pending: str, buckets: int = 64, hot=PROBE,
+    events: DataFrame, readings: DataFrame, dimensions, state: str, gold: str, pending: str, named=(), delay: str = "7 days",
+    buckets: int = 64, most_parts: int = 8, keep_minutes: float = 60,
 ) -> DataStreamWriter:
-    """Every trigger: append the new events to Bronze, recompute the Gold rows of the orders that the ``changes``
-    (events, or ``gold_changes`` of several streams) name, and upsert them.
-
-    ``tables`` is a function that returns the Silver (readings, orders, materials, order_state or None) as they are when
-    the trigger runs. An order whose cycle is complete but whose order, material or final reading is not there yet
-    waits in the table ``pending`` and is tried again with every trigger. New rows replace stored ones whatever the batch
-    number, so a lost stream checkpoint does no harm. Events without an event_id only name their order. ``hot``: heavy
-    order ids where known, see join_per_key."""
+    """Every trigger: add the partial states of the new events and readings to the table ``state``, and write the Gold rows of the
+    orders they name. No earlier event or reading is read: an order's merged state holds all that Gold needs.
+
+    ``events`` and ``readings`` are Bronze streams; readings pass the Silver filter, and copies within ``delay`` of the
+    watermark count once (readings later than that are dropped). ``dimensions`` is a function of the changed order ids that
+    returns the Silver rows (orders, materials, order_state or None) as they are now. Streams in ``named`` (any with an
+    order_id: order versions, movements, ``ticks``) ask for their orders. An order whose cycle is complete but whose order,
+    material or final reading is not there waits in the table ``pending``, which holds waiting orders only, and is
+    tried again with every trigger.
+
+    All three tables are versioned: readers see the Gold of one trigger or the next, never a mixture. A repeated batch adds
+    its states once and writes the same rows again; a stream that has lost its checkpoint reads its sources again and starts from
+    empty states."""
+    log = s.parse_event_payload(events).select(
+        "order_id", "event_type", "event_id", "event_time", "operator_id", "sap_confirmation_number")
+    series = silver_readings_stream(readings, delay).select("order_id", "sensor_type", "value", "timestamp_opc", "reading_id")
+    rows = log.unionByName(series, allowMissingColumns=True)
+    for other in named:
+        rows = rows.unionByName(other.select("order_id"), allowMissingColumns=True)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        events = batch.filter(F.col("event_id").isNotNull())
-        write_bucketed_batch(events, bronze_events, batch_id, "order_id", buckets)
-        named = batch.select("order_id")
-        if exists(spark, pending):
-            named = named.unionByName(read_upserted(spark, pending).filter("waits").select("order_id"))
-        changed = g.touched_orders(named).checkpoint()
-        if not exists(spark, bronze_events) or changed.isEmpty():
+        shared_dir(spark)
+        # The batch runs once: one small row per order that it names.
+        new = p.order_partials(batch).checkpoint()
+        facts = new.filter(F.greatest(*[F.col(c).isNotNull() for c in p.STATE if c != "order_id"]))
+        manifest = v.append(facts, state, ["order_id"], buckets, (_stream_id(batch), batch_id), own=True)
+        changed = new.select("order_id")
+        if v.snapshot(spark, pending):
+            changed = changed.unionByName(read_upserted(spark, pending).select("order_id"))
+        changed = changed.distinct().checkpoint()
+        touched = {r[0] for r in changed.select(v.bucket_of(["order_id"], manifest["n_buckets"])).distinct().collect()}
+        if not touched:    # at most one entry per bucket
             return
-        log = s.silver_cycle_events(read_keys(spark, bronze_events, changed, "order_id", buckets).join(
-            changed, "order_id", "left_semi"))
-        readings, orders, materials, order_state = tables()
-        rows = g.gold_incremental(changed, log, orders, materials, readings, order_state, hot=hot).checkpoint()
-        upsert_latest(rows, gold, ["order_id"], None, buckets)
-        complete = s.cycle_pairs(log).filter(F.col("cycle_end_time") >= F.col("cycle_start_time")).select("order_id")
-        done = rows.filter(F.col("final_moisture_ppm").isNotNull()).select("order_id", F.lit(True).alias("_done"))
-        state = changed.join(complete.withColumn("_complete", F.lit(True)), "order_id", "left").join(done, "order_id", "left")
-        waits = F.col("_complete").isNotNull() & F.col("_done").isNull()
-        upsert_latest(state.select("order_id", waits.alias("waits")), pending, ["order_id"], None, buckets)
-
-    return batch_sink(changes, handle)
-
-
-def _summary(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Per oven what a batch of readings adds to the state; map-side combined, one row per oven. The first position of the
-    running cycle is looked for after the last idle position, be it new or stored."""
-    position, order = F.struct(*ARRIVAL), F.col("order_id")
-    newest = batch.groupBy("oven_id").agg(
-        F.max(position).alias("n_position"), F.max_by(F.struct("order_id"), position).alias("n_order"),
-        F.max(F.when(order.isNull(), position)).alias("n_idle"),
-        *[F.max(F.when(F.col("sensor_type") == x, F.struct(*ARRIVAL, "value"))).alias(f"n_{x}") for x in SENSOR_TYPES],
+        states = p.merge_partials(v.read_snapshot(spark, state, manifest, touched).join(changed, "order_id", "left_semi"))
+        complete = g.complete_pairs(p.pairs_of(states)).checkpoint()
+        orders, materials, order_state = dimensions(changed)
+        result = g.summarise(complete, orders, materials, p.sensor_stats_of(states), order_state).checkpoint()
+        upsert_latest(result, gold, ["order_id"], None, buckets)
+        done = result.filter(F.col("final_moisture_ppm").isNotNull()).select("order_id")
+        replace_keys(changed, complete.select("order_id").join(done, "order_id", "left_anti"), pending, ["order_id"], buckets)
+        v.compact(spark, state, p.merge_partials, most_parts)
+        for table in (state, gold, pending):
+            v.expire(spark, table, 2, keep_minutes)
+
+    return batch_sink(rows, handle)
+
+
+def _summary(batch: DataFrame) -> DataFrame:
+    """Per oven what a batch of readings says of it; map-side combined, one row per oven."""
+    position = F.struct(*ARRIVAL)
+    return batch.groupBy("oven_id").agg(
+        F.max(position).alias("position"), F.max_by(F.struct("order_id"), position).alias("order"),
+        F.max(F.when(F.col("order_id").isNull(), position)).alias("idle"),
+        *[F.max(F.when(F.col("sensor_type") == x, F.struct(*ARRIVAL, "value"))).alias(x) for x in SENSOR_TYPES],
     )
-    last_idle = newest.select("oven_id", F.col("n_idle").alias("_idle"))
-    if stored is not None:
-        known = stored.select("oven_id", F.col("idle").alias("_stored"))
-        last_idle = last_idle.join(known, "oven_id", "left").select("oven_id", F.greatest("_idle", "_stored").alias("_idle"))
-    rows = batch.filter(order.isNotNull()).select("oven_id", position.alias("_at"))
-    after = rows.join(last_idle, "oven_id").filter(F.col("_idle").isNull() | (F.col("_at") > F.col("_idle")))
-    first = after.groupBy("oven_id").agg(F.min("_at").alias("n_start"))
-    return newest.join(first, "oven_id", "left")
-
-
-def process_state_stream(readings: DataFrame, state: str, buckets: int = 16) -> DataStreamWriter:
-    """Current values per oven, kept in the table ``state`` (read it with ``read_process_state``). A batch is
-    reduced to one row per oven before it meets the table, however unevenly the ovens report. Late readings move the
-    cycle start back, and late idle ones move it forward; when a late idle reading falls inside the stored part of the
-    running cycle, the start is the first position known to come after it. New rows replace stored ones, so a lost stream
-    checkpoint does no harm."""
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """One summary per oven from stored and new ones: maxima, in whatever order they came."""
+    return rows.groupBy("oven_id").agg(
+        F.max("position").alias("position"), F.max_by("order", F.struct("position", "_new")).alias("order"),
+        F.max("idle").alias("idle"), *[F.max(x).alias(x) for x in SENSOR_TYPES])
+
+
+def process_state_stream(readings: DataFrame, state: str, buckets: int = 16, most_parts: int = 8,
+                         keep_minutes: float = 60) -> DataStreamWriter:
+    """Current values per oven, as ``process_state`` gives them, whatever the order in which readings arrive; read them with
+    ``read_process_state``.
+
+    Versioned tables: ``state`` has one row per oven, in which a batch is merged after it has been reduced to one row per oven,
+    however unevenly ovens report; ``state``.running has the positions of readings with an order since each oven's last idle
+    one, ``state``.starts the first of these, the start of the running cycle. Positions are only appended, and read again where an
+    idle reading has come after the known start. A trigger touches the buckets of the ovens it names. Repeated batches, and all readings again after a lost
+    checkpoint, change nothing."""
+    running, starts = f"{state.rstrip('/')}.running", f"{state.rstrip('/')}.starts"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        kept = ["position", "order", "idle", *SENSOR_TYPES, "start"]
-        old = read_upserted(spark, state) if exists(spark, state) else None
-        new = _summary(batch, old)
-        if old is not None:
-            both = new.join(old, "oven_id", "left")
-        else:
-            both = new.select("*", *[F.lit(None).cast(new.schema[f"n_{c}"].dataType).alias(c) for c in kept])
-        newer = F.col("position").isNull() | (F.col("n_position") >= F.col("position"))
-        idle = F.greatest("n_idle", "idle")
-        after = lambda c: F.when(idle.isNull() | (F.col(c) > idle), F.col(c))
-        start = F.least(after("n_start"), F.coalesce(after("start"), F.when(F.col("start").isNotNull(), after("position"))))
-        merged = both.select(
-            "oven_id",
-            F.greatest("n_position", "position").alias("position"),
-            F.when(newer, F.col("n_order")).otherwise(F.col("order")).alias("order"),
-            idle.alias("idle"),
-            *[F.greatest(f"n_{x}", x).alias(x) for x in SENSOR_TYPES],
-            start.alias("start"),
-        )
-        upsert_latest(merged.checkpoint(), state, ["oven_id"], None, buckets)
+        shared_dir(spark)
+        new = _summary(batch).checkpoint()
+        v.merge(new, state, ["oven_id"], _newest, buckets)
+        ovens = v.snapshot(spark, state)
+        # Positions that come before an idle one can never start the running cycle again.
+        idle = read_upserted(spark, state).select("oven_id", "idle")
+        live = lambda rows: rows.join(idle, "oven_id").filter(F.col("idle").isNull() | (F.col("at") > F.col("idle"))).drop("idle")
+        active = live(batch.filter(F.col("order_id").isNotNull()).select("oven_id", F.struct(*ARRIVAL).alias("at")))
+        known = v.snapshot(spark, running)
+        v.append(active, running, ["oven_id"], ovens["n_buckets"], (_stream_id(batch), batch_id))
+        firsts = active.groupBy("oven_id").agg(F.min("at").alias("at"))
+        if v.snapshot(spark, starts):
+            before = read_upserted(spark, starts).join(new.select("oven_id"), "oven_id", "left_semi").withColumnRenamed("start", "at")
+            # Only where an idle reading has passed the known start, earlier positions are looked at again.
+            passed = before.join(idle, "oven_id").filter("at <= idle").select("oven_id").checkpoint()
+            touched = {r[0] for r in passed.select(v.bucket_of(["oven_id"], ovens["n_buckets"])).distinct().collect()}
+            if touched:
+                firsts = firsts.unionByName(v.read_snapshot(spark, running, known, touched).join(passed, "oven_id", "left_semi"))
+            firsts = firsts.unionByName(before)
+        first = live(firsts).groupBy("oven_id").agg(F.min("at").alias("start"))
+        upsert_latest(new.select("oven_id").join(first, "oven_id", "left").checkpoint(), starts, ["oven_id"], None, buckets)
+        v.compact(spark, running, lambda rows: live(rows).distinct(), most_parts)
+        for table in (state, running, starts):
+            v.expire(spark, table, 2, keep_minutes)
 
     return batch_sink(readings, handle)
 
 
 def read_process_state(spark: SparkSession, state: str, threshold=500.0, max_minutes=600.0, as_of=None) -> DataFrame:
-    current = read_upserted(spark, state).select(
+    starts = read_upserted(spark, f"{state.rstrip('/')}.starts")
+    current = read_upserted(spark, state).join(starts, "oven_id", "left").select(
         "oven_id", F.col("order.order_id").alias("order_id"),
         *[F.col(f"{x}.value").alias(STATE_COLUMN[x]) for x in SENSOR_TYPES],
         F.col("position.timestamp_opc").alias("last_seen"),
@@ -244,28 +284,67 @@ def read_process_state(spark: SparkSession, state: str, threshold=500.0, max_min
     return with_status(current, F.lit(threshold), F.lit(max_minutes), as_of)
 
 
-def alerts_stream(readings: DataFrame, silver: str, alerts: str, rules, key: str = "order_id", buckets: int = 64) -> DataStreamWriter:
-    """Runs the alert rules on each batch together with all earlier readings of the same cycles, and keeps the
-    alerts that the new readings raised. ``rules`` maps a name to a function of readings. The stored readings are cut by
-    a hash bucket of the key, so a trigger reads the buckets of the cycles it touches."""
+def alerts_stream(
+    readings: DataFrame, state: str, alerts: str, rules, key: str = "order_id", delay_minutes: float = 10, prepare=None,
+    buckets: int = 64, keep_minutes: float = 60,
+) -> DataStreamWriter:
+    """Alerts of readings as they arrive, equal to the rules over all readings at once for any order of arrival within
+    ``delay_minutes``. Read them with ``read_alerts``.
+
+    ``rules`` maps a name to a ``timeseries.Rule``: what to find, and which earlier readings later ones are compared with. Only
+    these, and readings younger than the newest one minus the delay, are kept in the versioned table ``state``: a window of
+    moisture, the last temperature, the lowest pressure, not the cycle. Readings inside the delay are judged again when late
+    ones come between them, and their alerts replaced. Readings that come later than the delay are left to ``late_report``.
+    ``prepare`` adds columns that rules need, such as the phase (``timeseries.with_phase``)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        write_bucketed_batch(batch, silver, batch_id, key, buckets)
-        touched = batch.select(key).distinct()
-        context = join_per_key(read_keys(spark, silver, touched, key, buckets), touched, key, "left_semi")
-        fresh = batch.select("reading_id")
+        shared_dir(spark)
+        manifest = v.snapshot(spark, state)
+        mark = manifest["notes"].get("mark") if manifest else None
+        after = lambda at: F.lit(True) if at is None else F.unix_micros("timestamp_opc") > at
+        new = first_per_key(batch.filter(after(mark) & F.col(key).isNotNull()), ["reading_id"], ["timestamp_opc", content_order(batch)]).checkpoint()
+        newest = new.agg(F.max(F.unix_micros("timestamp_opc"))).first()[0]
+        if newest is None:
+            return
+        rows, touched = new, new.select(key).distinct()
+        if manifest:
+            numbers = {r[0] for r in touched.select(v.bucket_of([key], manifest["n_buckets"])).distinct().collect()}
+            stored = v.read_snapshot(spark, state, manifest, numbers).join(touched, key, "left_semi")
+            # A repeated batch finds its own readings there.
+            rows = stored.join(new.select("reading_id"), "reading_id", "left_anti").unionByName(new)
+        rows = rows.checkpoint()
+        ready = prepare(rows) if prepare else rows
         found = None
-        for name, find in rules.items():
-            rows = find(context).join(fresh, "reading_id", "left_semi").select(
-                F.lit(name).alias("rule"), "reading_id", key, "timestamp_opc", "value"
-            )
-            found = rows if found is None else found.unionByName(rows)
-        write_batch(found, alerts, batch_id)
+        for name, rule in rules.items():
+            hits = rule.find(ready).select("reading_id", F.lit(name).alias("rule"))
+            found = hits if found is None else found.unionByName(hits)
+        judged = rows.filter(after(mark))
+        raised = judged.join(found.groupBy("reading_id").agg(F.array_sort(F.collect_set("rule")).alias("rules")), "reading_id")
+        replace_keys(judged, raised.select("reading_id", "rules", key, "timestamp_opc", "value"), alerts, ["reading_id"], buckets)
+        following = max(newest - int(delay_minutes * 60e6), mark if mark is not None else newest - int(delay_minutes * 60e6))
+        old, needed = ready.filter(~after(following)), judged.filter(after(following)).select("reading_id")
+        for rule in rules.values():
+            needed = needed.unionByName(rule.context(old, following).select("reading_id"))
+        kept = rows.join(needed.distinct(), "reading_id", "left_semi")
+        # Cycles that the batch names are replaced as a whole.
+        both = touched.withColumn("_there", F.lit(False)).unionByName(kept.withColumn("_there", F.lit(True)), allowMissingColumns=True)
+        named = touched.select(F.col(key).alias("_named"))
+        v.merge(both, state, [key], lambda r: r.filter("_new = 1 and _there").unionByName(
+            r.filter("_new = 0").join(named, F.col(key) == F.col("_named"), "left_anti")).drop("_there"),
+            buckets, (_stream_id(batch), batch_id), {"mark": following})
+        for table in (state, alerts):
+            v.expire(spark, table, 2, keep_minutes)
 
     return batch_sink(readings, handle)
 
 
+def read_alerts(spark: SparkSession, alerts: str) -> DataFrame:
+    """(rule, reading_id, key, timestamp_opc, value): one row per alert."""
+    stored = read_upserted(spark, alerts)
+    return stored.select(F.explode("rules").alias("rule"), *[c for c in stored.columns if c != "rules"])
+
+
 def late_report(readings: DataFrame, progress: str, late: str, delay_minutes: float = 10) -> DataStreamWriter:
     """Readings older than the newest event time of all earlier batches minus the delay go to a side table."""
 

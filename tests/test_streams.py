@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import MATERIALS, at, event, events, materials, order, orders, reading, readings
 from cyclelake import schemas
-from cyclelake.operators import gold as g, silver as s, state as st, timeseries as ts
+from cyclelake.operators import gold as g, partials as p, silver as s, state as st, timeseries as ts
 from cyclelake.sources import messages as m, reference as ref, tables as t
 from cyclelake.streaming import jobs as j
 
@@ -50,46 +50,112 @@ def test_silver_equals_batch(spark, folder):
     assert found == {tuple(r) for r in s.silver_readings(df).collect()}
 
 
-def test_gold_equals_batch_and_survives_a_repeat(spark, folder):
-    """Orders and readings that come after the events, readings that come twice, and a lost stream checkpoint."""
+def gold_job(spark, folder, dimensions, **options):
+    """The stream over everything that has landed so far, on its checkpoint."""
+
+    def run(checkpoint="progress", named=()):
+        live = [spark.readStream.schema(x).parquet(f"{folder}/{name}")
+                for name, x in (("log", schemas.EVENT), ("series", schemas.READING))]
+        job = j.gold_stream(*live, dimensions, f"{folder}/state", f"{folder}/gold", f"{folder}/pending", named, buckets=4,
+                            most_parts=2, **options)
+        with j.rocksdb(spark):
+            j.start(job, f"{folder}/{checkpoint}").awaitTermination()
+
+    return run
+
+
+def cycles(n):
     log, known, rows = [], [], []
-    for i in range(15):
+    for i in range(n):
         name = f"ORD-2031-{i:05d}"
         known.append(order(name, MATERIALS[i % 4][0]))
         log += [event(2 * i, "cycle_started", name, i), event(2 * i + 1, "cycle_confirmed", name, 300 + i, payload=CONFIRMED)]
-        rows += [reading(10 * i + k, "moisture", 1000 - 300 * k + i, 60 * k, order=name) for k in range(4)]
-    log += log[4:9]
-    random.Random(2).shuffle(log)
-    stuff, target, df = materials(spark), f"{folder}/gold", events(spark, log)
-    parts = {"readings": rows[:20], "orders": known[:4]}
-
-    def tables():
-        return (s.silver_readings(readings(spark, parts["readings"])), s.silver_orders(orders(spark, parts["orders"])), stuff, None)
-
-    job = lambda x: j.gold_stream(x, tables, f"{folder}/events", target, f"{folder}/pending", buckets=4)
+        rows += [reading(10 * i + k, "moisture", 1000.1 - 300 * k + i, 60 * k, order=name) for k in range(4)]
+        rows += [reading(10 * i + 4 + k, ["temperature", "vacuum"][k % 2], 3.3 * i + k, 30 * k, order=name) for k in range(4)]
+    return log, known, rows
+
+
+def test_gold_equals_batch_in_any_arrival_order(spark, folder):
+    """Events, readings, copies and orders in random arrivals; a lost checkpoint; a late order without any new row."""
+    log, known, rows = cycles(15)
+    rows += [reading(8000, "moisture", 7, 250, order="ORD-2031-00005"), reading(8001, "moisture", 5, 10, quality="Bad", order="ORD-2031-00006")]
+    rng, stuff, parts = random.Random(2), materials(spark), {"orders": known[:4]}
+    log, series = log + log[4:9], rows + rows[30:50]
+    rng.shuffle(log)
+    rng.shuffle(series)
+    asked = []
+
+    def dimensions(changed):
+        asked.append({r.order_id for r in changed.collect()})
+        return s.silver_orders(orders(spark, parts["orders"])), stuff, None
+
+    run = gold_job(spark, folder, dimensions)
     columns = schemas.GOLD.fieldNames()
-    read = lambda: {tuple(r) for r in t.read_upserted(spark, target).select(*columns).collect()}
-    land(df, folder, 2, job)
+    read = lambda: {tuple(r) for r in t.read_upserted(spark, f"{folder}/gold").select(*columns).collect()}
+    for i in range(4):
+        events(spark, log[i::4]).write.mode("append").parquet(f"{folder}/log")
+        readings(spark, series[i::4]).write.mode("append").parquet(f"{folder}/series")
+        run()
     assert len(read()) == 4
-    # Everything else arrives; a last event of a known order is enough to bring the waiting ones back.
-    parts.update(readings=rows, orders=known)
-    extra = events(spark, [event(999, "cycle_timeout", "ORD-2031-00003", 900)])
-    land(extra, folder, 1, job)
-    silver, versions, _, _ = tables()
+    waiting = {r.order_id for r in t.read_upserted(spark, f"{folder}/pending").collect()}
+    assert waiting == {o[0] for o in known[4:]}
+    # The orders arrive. Nothing else does but a tick, which names no order at all.
+    parts["orders"] = known
+    spark.createDataFrame([(None,)], "order_id string").write.parquet(f"{folder}/ticks")
+    tick = spark.readStream.schema("order_id string").parquet(f"{folder}/ticks")
+    run("ticking", [tick])    # another checkpoint: the sources are read again, into empty states
+    silver = s.silver_readings(readings(spark, rows))
     expected = {tuple(r) for r in g.gold_cycle_summary(
-        s.cycle_pairs(s.silver_cycle_events(df)), versions, stuff, silver).collect()}
-    assert read() == expected and len(expected) == 15
-    assert not t.read_upserted(spark, f"{folder}/pending").filter("waits").count()
-    # A reading that comes late names its order in a second stream.
-    late = reading(9000, "moisture", 7, 250, order="ORD-2031-00005")
-    parts["readings"] = rows + [late]
-    readings(spark, [late]).write.parquet(f"{folder}/more")
-    more = spark.readStream.schema(schemas.READING).parquet(f"{folder}/more")
-    both = j.gold_changes(spark.readStream.schema(df.schema).parquet(f"{folder}/landing"), more)
-    # The checkpoint is lost: batch numbers start again on the tables that are already there.
-    j.start(job(both), f"{folder}/again").awaitTermination()
-    moisture = {r.order_id: r.final_moisture_ppm for r in t.read_upserted(spark, target).collect()}
-    assert moisture["ORD-2031-00005"] == 7 and len(moisture) == 15
+        s.cycle_pairs(s.silver_cycle_events(events(spark, log))), s.silver_orders(orders(spark, known)), stuff, silver).collect()}
+    close = lambda found: {tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in found}
+    assert close(read()) == close(expected) and len(expected) == 15
+    assert t.read_upserted(spark, f"{folder}/pending").count() == 0
+    # One late reading: its order is the only one that is looked at, and its older readings count still.
+    asked.clear()
+    readings(spark, [reading(9000, "moisture", 3, 260, order="ORD-2031-00005")]).write.mode("append").parquet(f"{folder}/series")
+    run("ticking", [tick])
+    assert asked == [{"ORD-2031-00005"}]
+    row = t.read_upserted(spark, f"{folder}/gold").filter("order_id = 'ORD-2031-00005'").first()
+    assert row.final_moisture_ppm == 3
+    assert row.avg_moisture_ppm == pytest.approx(sum([1005.1, 705.1, 405.1, 105.1, 7, 3]) / 6)
+
+
+def test_gold_after_a_crash_between_states_and_gold(spark, folder, monkeypatch):
+    """The batch runs again: its states are in already and must not count twice."""
+    log, known, rows = cycles(3)
+    dimensions = lambda changed: (s.silver_orders(orders(spark, known)), materials(spark), None)
+    run = gold_job(spark, folder, dimensions)
+    events(spark, log).write.parquet(f"{folder}/log")
+    readings(spark, rows).write.parquet(f"{folder}/series")
+
+    def dies(*args):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(j, "upsert_latest", dies)
+        with pytest.raises(Exception, match="killed"):
+            run()
+    run()
+    found = {r.order_id: r.avg_moisture_ppm for r in t.read_upserted(spark, f"{folder}/gold").collect()}
+    assert found == pytest.approx({f"ORD-2031-{i:05d}": 550.1 + i for i in range(3)})
+    state = t.read_upserted(spark, f"{folder}/state").groupBy("order_id").sum("moisture_n").collect()
+    assert {r[1] for r in state} == {4}
+
+
+def test_partials_merge_in_any_grouping(spark):
+    log, _, rows = cycles(4)
+    both = s.parse_event_payload(events(spark, log)).unionByName(readings(spark, rows), allowMissingColumns=True)
+    whole = {tuple(r) for r in p.order_partials(both).collect()}
+    for seed in (1, 2):
+        parts = [p.order_partials(both.filter(F.pmod(F.xxhash64("event_id", "reading_id", F.lit(seed)), F.lit(5)) == k)) for k in range(5)]
+        states = parts[0]
+        for part in parts[1:]:
+            states = states.unionByName(part)
+        assert {tuple(r) for r in p.merge_partials(states).collect()} == whole
+    odd = readings(spark, [reading(1, "moisture", float("nan")), reading(2, "moisture", 1e300), reading(3, "moisture", 1.5)])
+    blank = s.parse_event_payload(events(spark, []))
+    stats = p.sensor_stats_of(p.order_partials(blank.unionByName(odd, allowMissingColumns=True))).first()
+    assert stats.avg_moisture_ppm != stats.avg_moisture_ppm
 
 
 def test_process_state_equals_batch(spark, folder):
@@ -110,14 +176,22 @@ def test_process_state_equals_batch(spark, folder):
     assert {tuple(r) for r in found.collect()} == {tuple(r) for r in expected.collect()}
 
 
-def test_process_state_with_late_readings(spark, folder):
-    """Batches out of event-time order, idle gaps among them."""
-    rows = [reading(i, "moisture", i, i, order=None if i in (7, 19) else "o") for i in range(40)]
-    parts = [rows[17:20] + rows[21:23] + rows[10:13], rows[23:26] + rows[:7] + rows[35:], rows[13:17] + rows[7:10], rows[26:35] + rows[20:21]]
-    df = readings(spark, [r for p in parts for r in p])
-    land(df, folder, 4, lambda x: j.process_state_stream(x, f"{folder}/state", 4))
-    found = j.read_process_state(spark, f"{folder}/state", 500, 600, at(99))
-    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in st.process_state(df, 500, 600, at(99)).collect()}
+@pytest.mark.parametrize("seed", [1, 2])
+def test_process_state_in_any_arrival_order(spark, folder, seed):
+    """After every batch the state equals the batch operator over all readings so far, late idle ones included."""
+    rng = random.Random(seed)
+    rows = [reading(i, rng.choice(schemas.SENSOR_TYPES), i, i, order=None if rng.random() < 0.12 else "o",
+                    oven=rng.choice(["oven-01", "oven-01", "oven-02"])) for i in range(90)]
+    rows += [reading(200 + i, "moisture", 7, rng.choice([5, 40, 89]), order=rng.choice([None, "o"])) for i in range(6)]
+    rng.shuffle(rows)
+    for i in range(5):
+        part = rows[i * len(rows) // 5:(i + 1) * len(rows) // 5]
+        readings(spark, part + part[:2]).write.mode("append").parquet(f"{folder}/landing")
+        stream = spark.readStream.schema(schemas.READING).parquet(f"{folder}/landing")
+        j.start(j.process_state_stream(stream, f"{folder}/state", 4, most_parts=1), f"{folder}/progress").awaitTermination()
+        found = j.read_process_state(spark, f"{folder}/state", 500, 600, at(99))
+        expected = st.process_state(readings(spark, rows[:(i + 1) * len(rows) // 5]), 500, 600, at(99))
+        assert {tuple(r) for r in found.collect()} == {tuple(r) for r in expected.collect()}
 
 
 def test_quarantine_is_readable_before_the_first_reject(spark, folder):
@@ -141,6 +215,36 @@ def test_restarts_and_repeated_ends(spark, folder):
     assert late == {("T", at(600))}
 
 
+def test_extensions_move_deadlines(spark, folder):
+    """In time, late, twice, before a second start, for an order that ends after all; in one arrival and in four."""
+    log = [event(1, "cycle_started", "none"), event(2, "cycle_started", "early"), event(3, "cycle_started", "late"),
+           event(4, "cycle_started", "both"), event(5, "cycle_started", "ends"), event(6, "cycle_confirmed", "ends", 700, payload=CONFIRMED),
+           event(7, "cycle_started", "again"), event(8, "cycle_started", "again", 500), event(9, "cycle_started", "free"),
+           event(10, "cycle_confirmed", "early", 760, payload=CONFIRMED), event(11, "cycle_started", "end", 20000),
+           event(12, "cycle_aborted", "late", 790), event(3, "cycle_started", "late")]
+    more = [("x1", "early", 590, 100), ("x2", "late", 640, 180), ("x3", "both", 600, 60), ("x4", "both", 700, 60), ("x4", "both", 700, 60),
+            ("x5", "ends", 10, 200), ("x6", "again", 510, 50), ("x7", "nobody", 10, 10), ("x8", "free", 10, 10)]
+    limits = spark.createDataFrame([(x, 600) for x in ("none", "early", "late", "both", "ends", "again", "end")],
+                                   "order_id string, max_cycle_minutes int")
+    longer = spark.createDataFrame([(i, o, at(m), n) for i, o, m, n in more],
+                                   "extension_id string, order_id string, extended_at timestamp, minutes int")
+    expected = {("none", at(600), 600), ("early", at(700), 700), ("late", at(600), 600), ("late", at(780), 780), ("both", at(660), 660),
+                ("both", at(720), 720), ("again", at(600), 600), ("again", at(1150), 650)}
+    everything = [("e", r[5], r) for r in log] + [("x", r[2], r) for r in longer.collect()]
+    for parts in (1, 4):
+        out, rows = f"{folder}/{parts}", sorted(everything, key=lambda r: r[1])
+        for i in range(parts):
+            chunk = rows[i * len(rows) // parts:(i + 1) * len(rows) // parts]
+            events(spark, [r for k, _, r in chunk if k == "e"]).write.mode("append").parquet(f"{out}/log")
+            spark.createDataFrame([r for k, _, r in chunk if k == "x"], longer.schema).write.mode("append").parquet(f"{out}/longer")
+            live = j.timeout_stream(spark.readStream.schema(schemas.EVENT).parquet(f"{out}/log"), limits,
+                                    spark.readStream.schema(longer.schema).parquet(f"{out}/longer"), "1 hour", "30 days")
+            with j.rocksdb(spark):
+                j.start(j.append_sink(live, f"{out}/found"), f"{out}/progress").awaitTermination()
+        found = [(r.order_id, r.timeout_at, r.max_cycle_minutes) for r in spark.read.parquet(f"{out}/found").collect()]
+        assert sorted(found) == sorted(expected)
+
+
 def test_upsert_ties(spark, folder):
     rows = lambda *r: spark.createDataFrame(list(r), "k string, v long, x string")
     for version in ("v", None):
@@ -151,14 +255,31 @@ def test_upsert_ties(spark, folder):
         assert found == {"k": "new", "l": "high" if version else "low"}
 
 
-def test_alerts_equal_batch(spark, folder):
-    rng = random.Random(6)
-    rows = [reading(i, rng.choice(["temperature", "moisture"]), rng.randrange(80, 130), i, order=f"o{i // 100}") for i in range(400)]
-    df = readings(spark, rows)
-    rules = {"spike": lambda r: ts.alert_temperature_spike(r, 30), "stalled": lambda r: ts.alert_moisture_stalled(r)}
-    land(df, folder, 4, lambda x: j.alerts_stream(x, f"{folder}/silver", f"{folder}/alerts", rules, buckets=4))
-    found = {(r.rule, r.reading_id) for r in spark.read.parquet(f"{folder}/alerts").collect()}
-    assert found == {(n, r.reading_id) for n, f in rules.items() for r in f(df).collect()} and found
+@pytest.mark.parametrize("seed", [6, 7])
+def test_alerts_equal_batch(spark, folder, seed):
+    """Readings in random order within the delay, the phase fed in, a batch that is repeated with a lost checkpoint."""
+    rng = random.Random(seed)
+    rows = [reading(i, rng.choice(schemas.SENSOR_TYPES), rng.randrange(80, 130), 3 * i, order=f"o{i // 100}") for i in range(300)]
+    rows += [reading(900, order=None)]
+    setpoints = spark.createDataFrame([(f"o{i}", 85.0) for i in range(3)], "order_id string, setpoint_vacuum_mbar double")
+    cycles = spark.createDataFrame([(f"o{i}", at(300 * i), t) for i, t in enumerate((85, 10, 500))],
+                                   "order_id string, cycle_start_time timestamp, target_moisture_ppm int")
+    rules = {"spike": ts.temperature_spike_rule(30), "stalled": ts.moisture_stalled_rule(5.0, 45), "loss": ts.vacuum_loss_rule(setpoints)}
+    arrivals = sorted(rows, key=lambda r: r[8].timestamp() + rng.uniform(0, 100 * 60))
+    prepare = lambda r: ts.with_phase(r, cycles)
+    job = lambda x: j.alerts_stream(x, f"{folder}/state", f"{folder}/alerts", rules, delay_minutes=101, prepare=prepare, buckets=4)
+    land(readings(spark, arrivals), folder, 4, job)
+    everything = prepare(readings(spark, rows))
+    expected = {(n, r.reading_id) for n, rule in rules.items() for r in rule.find(everything).collect() if r.order_id}
+    read = lambda: {(r.rule, r.reading_id) for r in j.read_alerts(spark, f"{folder}/alerts").collect()}
+    assert read() == expected and {n for n, _ in expected} == set(rules)
+    # What is kept is context, not the cycles.
+    kept = t.read_upserted(spark, f"{folder}/state").groupBy("order_id").count().collect()
+    assert len(kept) == 3 and max(r["count"] for r in kept if r.order_id != "o2") < 30
+    readings(spark, arrivals[-60:]).write.parquet(f"{folder}/repeat")
+    again = spark.readStream.schema(schemas.READING).parquet(f"{folder}/repeat")
+    j.start(job(again), f"{folder}/again").awaitTermination()
+    assert read() == expected
 
 
 def test_windows_pairs_and_timeouts(spark, folder):
@@ -195,14 +316,7 @@ def test_upsert_is_idempotent_and_recovers(spark, folder):
         t.upsert_latest(df, target, ["order_id"], "updated_at", 8)
     found = {r.order_id: r.status for r in t.read_upserted(spark, target).collect()}
     assert len(found) == 60 and sum(x == "CLOSED" for x in found.values()) == 20
-    # A run that died while publishing: the finished copy is there, the marker and some rows are not.
-    fs, path = t._file_system(spark, target), lambda x: t._path(spark, x)
-    fs.delete(path(f"{target}.staged/_published"), False)
     kept = t.read_upserted(spark, target)
-    lost = next(str(x.getPath().toString()) for x in fs.listStatus(path(target)) if "_bucket=" in x.getPath().toString())
-    fs.delete(path(lost), True)
-    t.upsert_latest(orders(spark, [order("o0", updated=0)]), target, ["order_id"], "updated_at", 8)
-    assert {r.order_id: r.status for r in t.read_upserted(spark, target).collect()} == found
     assert kept.columns == first.columns
 
 
