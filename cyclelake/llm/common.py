@@ -12,18 +12,28 @@ BLANKS = "\t\n\x0b\x0c\r "
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage is cut, later reads cost a scan, and the
-    optimizer knows its true size when it chooses joins. The shuffle files of the write are freed at once."""
+    optimizer knows its true size when it chooses joins. The shuffle files of the write are freed at once. ``by``: a column
+    with few values that gets a folder for each."""
     spark = df.sparkSession
     path = staging_path(spark, name)
     before = spark.conf.get(SHUFFLE_CLEANUP)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(table: DataFrame, part: str | None = None) -> None:
+    """Removes a table made by ``staged`` (or one of its folders) that nothing reads any more."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table.staged_path}/{part}" if part else table.staged_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(column: str) -> Column:

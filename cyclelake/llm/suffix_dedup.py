@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclelake.llm.common import staged, text_or_empty
+from cyclelake.llm.common import discard, staged, text_or_empty
 from cyclelake.llm.deep_shallow import characters, sort_suffixes
 
 GRAM = 16
@@ -60,7 +60,9 @@ def _runs_in_block(text: np.ndarray, low: int, starts: np.ndarray, ends: np.ndar
     anchor = least[at - low]
     new = np.append(True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]))[:len(doc)]
     run = np.flatnonzero(new)
-    return anchor[run], doc[run], at[run], np.diff(np.append(run, len(doc)))
+    # Least hashes are small numbers; mixed once more, they fill fragments evenly.
+    mixed = anchor[run] * MIX[0]
+    return (mixed ^ (mixed >> np.uint64(31))) * MIX[1], doc[run], at[run], np.diff(np.append(run, len(doc)))
 
 
 def runs_of_anchors(text: np.ndarray, ends: np.ndarray, limit: int):
@@ -97,7 +99,7 @@ def _pack(fragments: int, limit: int):
         rest = (anchors & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         held = np.minimum(held, 65_535).astype(np.uint16)
         return pd.DataFrame({
-            "slice": number, "fragment": [-1, *fragment[first].tolist()],
+            "part": [0, *[1] * len(first)], "slice": number, "fragment": [-1, *fragment[first].tolist()],
             "ids": [np.array(ids, np.int64).tobytes(), *[rest[a:b].tobytes() for a, b in cuts]],
             "lengths": [lengths.tobytes(), *[held[a:b].tobytes() for a, b in cuts]],
             "data": [text, *[None] * len(cuts)],
@@ -116,7 +118,7 @@ def _pack(fragments: int, limit: int):
         if ids:
             yield rows(number, ids, texts)
 
-    return run, "slice bigint, fragment int, ids binary, lengths binary, data binary"
+    return run, "part int, slice bigint, fragment int, ids binary, lengths binary, data binary"
 
 
 def _answers(group: pd.DataFrame) -> pd.DataFrame:
@@ -344,16 +346,19 @@ def remove_repeats(df: DataFrame, limit: int = 50, id_column="doc_id", text="tex
     fragments, buckets = (max(LEAST_PARTS, -(-size // b)) for b in (FRAGMENT_BYTES, BUCKET_BYTES))
     texts = rows.filter(taking).withColumn("sha", F.unhex(F.sha2("_raw", 256))).join(
         first.select("_id", "sha"), ["_id", "sha"], "left_semi").select("_id", "_raw")
-    packed = staged(texts.mapInPandas(*_pack(fragments, limit)), "slices")
-    slices = packed.filter("fragment = -1").select("slice", "ids", "lengths", "data")
-    answers = packed.filter("fragment >= 0").select("slice", "fragment", "ids", "lengths").groupBy("fragment").applyInPandas(
-        _answers, "slice bigint, fragment int, codes binary")
-    stretches = staged(slices.groupBy("slice").cogroup(staged(answers, "answers").groupBy("slice")).applyInPandas(
+    packed = staged(texts.mapInPandas(*_pack(fragments, limit)), "slices", "part")
+    slices = packed.filter("part = 0").select("slice", "ids", "lengths", "data")
+    answers = staged(packed.filter("part = 1").select("slice", "fragment", "ids", "lengths").groupBy("fragment").applyInPandas(
+        _answers, "slice bigint, fragment int, codes binary"), "answers")
+    discard(packed, "part=1")
+    stretches = staged(slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInPandas(
         _stretches(buckets, limit), BLOB), "stretches")
+    discard(answers)
     found = stretches.filter("kind = 1").select("slice", "anchors")
     found = found.unionByName(stretches.filter("kind = 0").groupBy("bucket").applyInPandas(
         _sorted_bucket(limit), "slice bigint, anchors binary"))
     found = staged(found.unionByName(_hot_windows(stretches, limit)), "found")
+    discard(stretches)
     done = slices.groupBy("slice").cogroup(found.groupBy("slice")).applyInPandas(
         _results, "doc_id bigint, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary")
     return short.unionByName(copies).unionByName(done)
