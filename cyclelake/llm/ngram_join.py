@@ -141,6 +141,7 @@ def _scan(fragments: int, words: int, threshold: int):
                     packed = _Slice(number, fragments, threshold)
         if packed.docs:
             yield packed.rows()
+        _WORDS.clear()    # workers live on, and later stages need their memory
 
     return run
 
@@ -203,6 +204,7 @@ def _ordered_sets(df: DataFrame, groups: DataFrame, words: int, threshold: int)
                 rows = [(i, len(f), f.view(np.int64)) for i, f, r in zip(part["_id"], found, right) if r]
                 if rows:
                     yield pd.DataFrame(rows, columns=["id", "n", "hashes"])
+        _WORDS.clear()
 
     again = df.join(likely, F.col("_id") == F.col("rep")).select("_id", "_text", "_digest")
     sets = staged(again.mapInPandas(run, "id bigint, n bigint, hashes array<bigint>"), "sets")
@@ -286,22 +288,22 @@ def _mixed_prefixes(members: DataFrame, threshold: int) -> tuple[DataFrame, Data
     prefix = F.col("n") - _at_least(F.col("n"), threshold) + 1 - (F.col("n") - F.size("keys"))
     rows = members.filter(prefix > 0).select("id", "n", "c", "centre", "held", F.posexplode(
         F.slice("keys", F.lit(1), prefix.cast("int"))).alias("place", "key"))
-    # What two sets can share is bounded by what they hold before and from the key on, of keys that others hold too.
-    rows = staged(rows.select("id", "n", "c", "centre", "key", "place", (F.col("held") - F.col("place")).alias("left")), "prefixes")
+    # Of keys that others hold, too, how many a set has from this one on.
+    rows = staged(rows.select("id", "n", "c", "centre", "key", (F.col("held") - F.col("place")).alias("left")), "prefixes")
     held = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("members"))
     mixed = held.groupBy("key").agg(F.max_by("c", F.struct("members", "c")).alias("major"), F.count(F.lit(1)).alias("parts"))
     mixed = staged(mixed.filter(F.col("parts") > 1).drop("parts"), "mixed")
     rows = staged(rows.join(mixed, "key"), "mixed_rows")
     groups = rows.groupBy("key", "c", "centre").agg(
-        F.count(F.lit(1)).alias("members"), F.min("n").alias("least_n"), F.max("n").alias("most_n"),
-        F.max("place").alias("place"), F.max("left").alias("left"))
+        F.count(F.lit(1)).alias("members"), F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max("left").alias("left"))
     return rows, staged(groups, "groups")
 
 
 def _met(rows: DataFrame, groups: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) of a node and the centre of another component's star, some member of which may be similar to the node."""
     x, y = rows.alias("x"), groups.alias("y")
-    reach = F.least("x.place", "y.place") + F.least("x.left", "y.left")
+    # Similar sets meet at the first key they share: all they share is there or after it.
+    reach = F.least("x.left", "y.left")
     fits = (100 * F.col("x.n") >= threshold * F.col("y.least_n")) & (100 * F.col("y.most_n") >= threshold * F.col("x.n")) & (
         (100 + threshold) * reach >= threshold * (F.col("x.n") + F.col("y.least_n")))
     met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & fits)
