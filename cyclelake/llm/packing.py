@@ -31,9 +31,9 @@ STEP_TOKENS = 32_768     # tokens of a step group
 WAITING = 1_000          # documents that wait for a window in a task
 KNOWN = 700_000          # chunks a worker remembers
 SLICE_BYTES = 1_000_000  # text handled at once
-# Fixed value: how the vocabulary file cuts words, for lower-case Latin letters and ASCII without blanks.
+# Fixed value: how the vocabulary file cuts words, for lower-case Latin letters and printable ASCII.
 WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
-PLAIN = re.compile(r"[\x00-\x7fß-öø-ÿ]*")
+PLAIN = re.compile(r"[!-~ß-öø-ÿ]*")    # control characters go to the library
 ACCENTED = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
 
 

@@ -34,6 +34,13 @@ def test_ids_equal_the_library(monkeypatch):
     assert [x.tolist() for x in ChunkTokenizer(PATH).encode(texts)] == library_ids(texts)
 
 
+def test_every_single_byte_character_and_noise_of_them():
+    rnd = random.Random(5)
+    texts = [chr(c) for c in range(256)] + [f"ab{chr(c)}cd {chr(c)}" for c in range(256)]
+    texts += ["".join(chr(rnd.randrange(256)) for _ in range(rnd.randint(1, 30))) for _ in range(3000)]
+    assert [x.tolist() for x in ChunkTokenizer(PATH).encode(texts)] == library_ids(texts)
+
+
 def check(rows, documents, window=4096):
     """rows: (doc_id, start, length, crc, doc_tokens, sequence_id, offset, context, group); documents: id -> ids."""
     pieces, sequences = {}, {}
