@@ -15,6 +15,7 @@ from cyclelake.session import shared_dir
 
 HOT_ROWS = 5_000_000
 SPREAD = 1_000_000
+SMALL_ROWS = 1_000_000
 PROBE = "probe"
 
 
@@ -55,3 +56,14 @@ def join_per_key(
     if how == "left_semi":
         return joined.select(*df.columns)
     return joined.select(*df.columns, *[F.col("_row").getField(c).alias(c) for c in added])
+
+
+def join_dimension(df: DataFrame, table: DataFrame, key: str, how: str = "inner", spread_by: str = "reading_id") -> DataFrame:
+    """``df`` joined (inner, left or left_semi) with a table of one row per ``key`` that is usually small: ovens, materials. The
+    table is computed once and counted. Up to ``SMALL_ROWS`` rows it is broadcast, so ``df`` is not shuffled and a key that
+    holds a third of it does no harm; beyond that ``join_per_key`` splits the heavy keys."""
+    shared_dir(df.sparkSession)
+    kept = table.checkpoint()
+    if kept.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        return df.join(F.broadcast(kept), key, how)
+    return join_per_key(df, kept, key, how, spread_by)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclelake.functions.joins import PROBE, join_per_key
+from cyclelake.functions.joins import PROBE, join_dimension, join_per_key
 from cyclelake.functions.timing import minutes_between
 from cyclelake.operators import silver as s
 
@@ -58,8 +58,7 @@ def gold_cycle_summary(
     order_state: DataFrame | None = None, tolerance: float = 0.0, bounded: bool = False,
 ) -> DataFrame:
     """One row per order with both a start and a confirmation that does not precede it. The grouped inputs and
-    the orders are all distributed by order_id, so the joins add no shuffle; the materials side is left to
-    the optimizer, which broadcasts it only when its measured size allows."""
+    the orders are all distributed by order_id, so the joins add no shuffle; materials are counted and broadcast."""
     complete = complete_pairs(pairs)
     stats = cycle_sensor_stats(readings, complete if bounded else None)
     return summarise(complete, orders, materials, stats, order_state, tolerance)
@@ -87,7 +86,7 @@ def summarise(
         joined = joined.withColumn("quality_check_passed", F.lit(None).cast("boolean"))
     else:
         joined = joined.join(order_state.select("order_id", "quality_check_passed"), "order_id", "left")
-    joined = joined.join(material, "material_id").withColumns({
+    joined = join_dimension(joined, material, "material_id", spread_by="order_id").withColumns({
         "operator_id": F.coalesce("operator_id", "_order_operator"),
         "sap_confirmation_number": F.coalesce("sap_confirmation_number", "_order_confirmation"),
     })

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cyclelake.functions.joins import join_per_key
+from cyclelake.functions.joins import join_dimension, join_per_key
 from cyclelake.functions.ordered import OrderedSeries, as_of_value
 from cyclelake.functions.timing import as_of_column, minutes_between
 from cyclelake.schemas import ORDER_STATUSES, transition_table
@@ -35,7 +35,7 @@ def lookup(keys: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, Data
 def orders_with_spec(orders: DataFrame, materials: DataFrame) -> DataFrame:
     """Operator list: order with material description, target moisture and standard duration."""
     spec = materials.select("material_id", "material_description", "target_moisture_ppm", "standard_cycle_minutes")
-    return orders.drop("standard_cycle_minutes").join(spec, "material_id", "left")
+    return join_dimension(orders.drop("standard_cycle_minutes"), spec, "material_id", "left", "order_id")
 
 
 def audit_transitions(history: DataFrame, machine: str = "erp", slice_days: int = 30) -> DataFrame:
@@ -133,7 +133,7 @@ def timeouts(orders: DataFrame, materials: DataFrame, as_of=None, extensions: Da
     """Running orders past the maximum duration of their material plus granted extensions."""
     limits = materials.select("material_id", "max_cycle_minutes")
     open_orders = orders.filter(F.col("status").isin(*running) & F.col("actual_start").isNotNull())
-    joined = open_orders.join(limits, "material_id")
+    joined = join_dimension(open_orders, limits, "material_id", spread_by="order_id")
     allowed = F.col("max_cycle_minutes")
     if extensions is not None:
         granted = extensions.groupBy("order_id").agg(F.sum("extension_minutes").alias("_granted"))

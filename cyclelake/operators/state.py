@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclelake.functions.ordered import OrderedSeries, as_of_value, first_n_per_key, last_n_per_key
-from cyclelake.functions.joins import PROBE, hot_keys, join_per_key
+from cyclelake.functions.joins import PROBE, hot_keys, join_dimension, join_per_key
 from cyclelake.functions.timing import as_of_column, minutes_between
 from cyclelake.schemas import SENSOR_TYPES, WARMING_MINUTES
+from cyclelake.session import shared_dir
 
 CHANNEL = ["oven_id", "sensor_type"]
 ARRIVAL = ["timestamp_opc", "timestamp_mqtt", "reading_id"]
@@ -114,8 +115,10 @@ def cycle_runs(readings: DataFrame, restart_on_change: bool = False, slice_minut
 
 def _current(readings: DataFrame, restart_on_change: bool) -> DataFrame:
     """One row per oven: newest order, newest value per sensor, last reading time and start of the running
-    cycle. Two grouped passes with map-side combine; no ordered window."""
+    cycle. Two grouped passes with map-side combine (three with ``restart_on_change``); no ordered window, and no reading is
+    shuffled: what is known of the ovens after a pass comes to the readings."""
     position = F.struct(*ARRIVAL)
+    shared_dir(readings.sparkSession)
     newest = readings.groupBy("oven_id").agg(
         F.max_by(F.struct("order_id"), position).alias("_order"),
         F.max("timestamp_opc").alias("last_seen"),
@@ -124,14 +127,14 @@ def _current(readings: DataFrame, restart_on_change: bool) -> DataFrame:
             F.max_by("value", F.when(F.col("sensor_type") == s, position)).alias(STATE_COLUMN[s])
             for s in SENSOR_TYPES
         ],
-    ).withColumn("order_id", F.col("_order.order_id")).drop("_order")
+    ).withColumn("order_id", F.col("_order.order_id")).drop("_order").checkpoint()
     rows = readings.select("oven_id", F.col("order_id").alias("_row_order"), *ARRIVAL)
-    rows = rows.join(newest.select("oven_id", "order_id", "_idle"), "oven_id")
+    marks = newest.select("oven_id", "order_id", "_idle")
     if restart_on_change:
-        other = rows.filter(~F.col("_row_order").eqNullSafe(F.col("order_id")))
-        other = other.groupBy("oven_id").agg(F.max(position).alias("_other"))
-        rows = rows.join(other, "oven_id", "left").withColumn("_idle", F.col("_other"))
-    running = rows.filter(F.col("order_id").isNotNull() & (F.col("_idle").isNull() | (position > F.col("_idle"))))
+        other = join_dimension(rows, marks.drop("_idle"), "oven_id").filter(~F.col("_row_order").eqNullSafe(F.col("order_id")))
+        marks = marks.drop("_idle").join(other.groupBy("oven_id").agg(F.max(position).alias("_idle")), "oven_id", "left")
+    running = join_dimension(rows, marks.filter(F.col("order_id").isNotNull()), "oven_id").filter(
+        F.col("_idle").isNull() | (position > F.col("_idle")))
     start = running.groupBy("oven_id").agg(F.min("timestamp_opc").alias("cycle_start"))
     return newest.drop("_idle").join(start, "oven_id", "left")
 

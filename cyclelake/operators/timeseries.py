@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cyclelake.functions.joins import PROBE, join_per_key
+from cyclelake.functions.joins import PROBE, join_dimension, join_per_key
 from cyclelake.functions.ordered import OrderedSeries, as_of_value
 from cyclelake.functions.timing import MICROS_PER_MINUTE, as_of_column, col, micros, minutes_between, slot_start
 from cyclelake.operators.silver import first_per_key
@@ -124,6 +124,13 @@ def alert_moisture_stalled(
     )
 
 
+def _with_setpoint(series: DataFrame, setpoints: DataFrame, keys, how: str) -> DataFrame:
+    """One row of setpoints per key: an oven or an order."""
+    if len(keys) > 1:
+        return series.join(setpoints, list(keys), how)
+    return join_dimension(series, setpoints, keys[0], how)
+
+
 def alert_temperature_spike(
     readings: DataFrame, jump: float = 20.0, keys=("order_id",), setpoints: DataFrame | None = None,
     tolerance: float = 2.0, slice_minutes: int = 60,
@@ -137,7 +144,7 @@ def alert_temperature_spike(
     change = F.abs(F.col("value") - F.col("previous_value")) > jump
     reason = F.when(change, "jump")
     if setpoints is not None:
-        series = series.join(setpoints.select(*keys, "setpoint_temperature_degC"), list(keys), "left")
+        series = _with_setpoint(series, setpoints.select(*keys, "setpoint_temperature_degC"), keys, "left")
         reason = reason.when(F.col("value") > F.col("setpoint_temperature_degC") + tolerance, "above setpoint")
         series = series.withColumn("reason", reason).drop("setpoint_temperature_degC")
     else:
@@ -155,7 +162,7 @@ def alert_vacuum_loss(
         "lowest_before", F.col("value"), "min", inclusive=False
     )
     limit = F.col("setpoint_vacuum_mbar") + tolerance
-    joined = series.join(setpoints.select(*keys, "setpoint_vacuum_mbar"), list(keys))
+    joined = _with_setpoint(series, setpoints.select(*keys, "setpoint_vacuum_mbar"), keys, "inner")
     return joined.filter((F.col("lowest_before") <= limit) & (F.col("value") > limit))
 
 
@@ -211,8 +218,6 @@ def cycle_end_eta(profile: DataFrame, targets: DataFrame, warming: float = WARMI
     """Per cycle a straight line through ln(moisture) over minutes of the drying phase, the minute at which it
     meets the target, and R2. No estimate with fewer than two instants or without decay. ``targets`` holds order_id,
     target_moisture_ppm, cycle_start_time and, to estimate running cycles only, cycle_end_time (null while running)."""
-    if "cycle_end_time" in targets.columns:
-        targets = targets.filter(F.col("cycle_end_time").isNull()).drop("cycle_end_time")
     moisture = profile.filter(
         (F.col("sensor_type") == "moisture") & (F.col("value") > 0) & (F.col("elapsed_minutes") > warming)
     ).select("order_id", "elapsed_minutes", F.log("value").alias("_ln"))
@@ -222,6 +227,13 @@ def cycle_end_eta(profile: DataFrame, targets: DataFrame, warming: float = WARMI
         F.regr_intercept("_ln", "elapsed_minutes").alias("intercept"),
         F.regr_r2("_ln", "elapsed_minutes").alias("r2"),
     )
+    return _estimated(fits, targets)
+
+
+def _estimated(fits: DataFrame, targets: DataFrame) -> DataFrame:
+    """Lines (order_id, n_readings, slope, intercept, r2) with the minute and the instant at which they meet the target."""
+    if "cycle_end_time" in targets.columns:
+        targets = targets.filter(F.col("cycle_end_time").isNull()).drop("cycle_end_time")
     minute = F.when(F.col("slope") < -NO_DECAY, (F.log("target_moisture_ppm") - F.col("intercept")) / F.col("slope"))
     return fits.join(targets, "order_id").withColumn("eta_minutes", minute).withColumn(
         "eta", F.timestamp_micros(
@@ -230,6 +242,41 @@ def cycle_end_eta(profile: DataFrame, targets: DataFrame, warming: float = WARMI
     ).select("order_id", "n_readings", "slope", "intercept", "r2", "eta_minutes", "eta")
 
 
+# Sums are taken around this point of the drying curve, so that their differences keep their digits.
+ETA_MINUTES, ETA_LOG = 300.0, 7.0
+ETA_SUMS = ["n_readings", "s_x", "s_y", "s_xx", "s_xy", "s_yy"]
+
+
+def eta_sums(profile: DataFrame, warming: float = WARMING_MINUTES) -> DataFrame:
+    """Per cycle the sums that a straight line through ln(moisture) over the drying minutes needs. Sums of parts of the readings add up
+    (``merge_eta_sums``), so an estimate can follow a running cycle without its earlier readings."""
+    moisture = profile.filter(
+        (F.col("sensor_type") == "moisture") & (F.col("value") > 0) & (F.col("elapsed_minutes") > warming))
+    rows = moisture.select("order_id", (F.col("elapsed_minutes") - ETA_MINUTES).alias("_x"), (F.log("value") - ETA_LOG).alias("_y"))
+    x, y = F.col("_x"), F.col("_y")
+    return rows.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("n_readings"), F.sum(x).alias("s_x"), F.sum(y).alias("s_y"), F.sum(x * x).alias("s_xx"),
+        F.sum(x * y).alias("s_xy"), F.sum(y * y).alias("s_yy"), F.min(x).alias("first_x"), F.max(x).alias("last_x"))
+
+
+def merge_eta_sums(sums: DataFrame) -> DataFrame:
+    return sums.groupBy("order_id").agg(
+        *[F.sum(c).alias(c) for c in ETA_SUMS], F.min("first_x").alias("first_x"), F.max("last_x").alias("last_x"))
+
+
+def eta_from_sums(sums: DataFrame, targets: DataFrame) -> DataFrame:
+    """The columns of ``cycle_end_eta`` from merged sums."""
+    n, mean_x, mean_y = F.col("n_readings"), F.col("s_x") / F.col("n_readings"), F.col("s_y") / F.col("n_readings")
+    several = F.col("last_x") > F.col("first_x")
+    spread, both, height = (F.col("s_xx") - n * mean_x * mean_x, F.col("s_xy") - n * mean_x * mean_y,
+                            F.col("s_yy") - n * mean_y * mean_y)
+    fits = sums.select(
+        "order_id", "n_readings", F.when(several, both / spread).alias("slope"),
+        F.when(several, mean_y + ETA_LOG - both / spread * (mean_x + ETA_MINUTES)).alias("intercept"),
+        F.when(several, F.when(height <= 0, F.lit(1.0)).otherwise(both * both / (spread * height))).alias("r2"))
+    return _estimated(fits, targets)
+
+
 def simulated_minutes(real_minutes, factor: float = COMPRESSION_FACTOR) -> Column:
     """Cycle minutes that pass in the given wall-clock minutes of a compressed run."""
     return col(real_minutes) * F.lit(float(factor))
@@ -280,3 +327,25 @@ def ingest_lag(
         F.max("_lag").alias("max_seconds"),
         *[F.count_if(F.col("_lag") > s).alias(f"over_{int(s)}s") for s in sla_seconds],
     )
+
+
+def lag_sketches(readings: DataFrame, start="timestamp_opc", end="timestamp_mqtt", by=("sensor_type",), k: int = 400) -> DataFrame:
+    """Per day and group the lags in seconds as a mergeable quantile sketch (KLL, of size ``k``: ranks are off by about 1 / k), with
+    count and maximum. Days are cut by ``start``."""
+    rows = readings.select(*by, F.to_date(start).alias("day"), ((micros(end) - micros(start)) / F.lit(1e6)).alias("_lag"))
+    return rows.filter(F.col("_lag").isNotNull()).groupBy("day", *by).agg(
+        F.kll_sketch_agg_double("_lag", F.lit(k)).alias("sketch"), F.count(F.lit(1)).alias("n_readings"), F.max("_lag").alias("max_seconds"))
+
+
+def lag_percentiles(sketches: DataFrame, by=("sensor_type",), first_day=None, last_day=None, shares=(0.5, 0.95, 0.99)) -> DataFrame:
+    """Percentiles over any range of days from ``lag_sketches`` alone; the readings are not read again. Sketches of one day may come
+    in several parts."""
+    rows = sketches
+    if first_day is not None:
+        rows = rows.filter(F.col("day") >= F.lit(first_day).cast("date"))
+    if last_day is not None:
+        rows = rows.filter(F.col("day") <= F.lit(last_day).cast("date"))
+    merged = rows.groupBy(*by).agg(F.kll_merge_agg_double("sketch").alias("_all"), F.sum("n_readings").alias("n_readings"),
+                                   F.max("max_seconds").alias("max_seconds"))
+    quantiles = [F.kll_sketch_get_quantile_double("_all", F.lit(p)).alias(f"p{round(100 * p)}_seconds") for p in shares]
+    return merged.select(*by, "n_readings", *quantiles, "max_seconds")

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from cyclelake.operators import timeseries as ts
 from cyclelake.plans.checks import sql
+from cyclelake.session import staging_path
 
 SPEC = """select r.*, "target_temperature_degC" as hot, target_vacuum_mbar as low, target_moisture_ppm as dry,
-  m.standard_cycle_minutes as standard, (epoch_us(timestamp_opc) - epoch_us(cycle_start_time)) / 6e7 as t
+  m.standard_cycle_minutes as standard, p.cycle_start_time, (epoch_us(timestamp_opc) - epoch_us(cycle_start_time)) / 6e7 as t
   from s_readings r join s_pairs p on r.order_id = p.order_id join s_orders o on o.order_id = r.order_id
   join s_materials m on m.material_id = o.material_id
   where cycle_start_time is not null and timestamp_opc >= cycle_start_time"""
@@ -67,6 +68,43 @@ DRYING = """select r.* from ad_live r join ad_cycles c on c.order_id = r.order_i
   where r.sensor_type = 'moisture' and r.timestamp_opc > c.cycle_start_time + interval '60' minute
     and (d.dry_at is null or r.timestamp_opc < d.dry_at)"""
 
+
+
+def shown_eta(estimates):
+    """All cycles, those without an estimate too; instants to the second."""
+    return rounded(estimates, "slope", "intercept", "r2", "eta_minutes").withColumn(
+        "eta", F.timestamp_seconds(F.round(F.unix_micros("eta") / F.lit(1e6)).cast("bigint")))
+
+
+ETA = sql("""select order_id, n_readings, round(slope, 6) as slope, round(intercept, 6) as intercept, round(r2, 6) as r2,
+  round(minutes, 6) as eta_minutes, to_timestamp(round(epoch_us(cycle_start_time) / 1e6 + minutes * 60))::timestamp as eta
+  from (select *, case when slope < -1e-9 then (ln(dry) - intercept) / slope end as minutes from (
+    select order_id, count(*) as n_readings, any_value(cycle_start_time) as cycle_start_time,
+      case when min(t) < max(t) then regr_slope(ln(value), t) end as slope,
+      case when min(t) < max(t) then regr_intercept(ln(value), t) end as intercept,
+      case when min(t) < max(t) then regr_r2(ln(value), t) end as r2, any_value(dry) as dry
+    from spec where sensor_type = 'moisture' and value > 0 and t > 60
+      and order_id not in (select order_id from s_pairs where cycle_end_time is not null) group by order_id))""", **PROFILE_PARTS)
+
+
+def sketched_lags(lake):
+    """Stored sketches of every day, merged: whether each percentile's rank is within two hundredths of what was asked."""
+    rows = lake.view("ad_live")
+    path = staging_path(lake.spark, "sketches")
+    # Two parts per day, as a stream would leave them.
+    for part in (0, 1):
+        half = rows.filter(F.pmod(F.xxhash64("reading_id"), F.lit(2)) == part)
+        ts.lag_sketches(half).write.mode("append").parquet(path)
+    asked = {"p50_seconds": 0.5, "p95_seconds": 0.95, "p99_seconds": 0.99}
+    found = ts.lag_percentiles(lake.spark.read.parquet(path), first_day="2024-01-05", last_day="2024-01-20")
+    exact = rows.filter(F.to_date("timestamp_opc").between(F.lit("2024-01-05"), F.lit("2024-01-20"))).join(F.broadcast(found), "sensor_type")
+    lag = (F.unix_micros("timestamp_mqtt") - F.unix_micros("timestamp_opc")) / F.lit(1e6)
+    # A value stands for all ranks from the share below it to the share up to it.
+    within = [((F.avg((lag < F.col(c)).cast("int")) <= p + 0.02) & (F.avg((lag <= F.col(c)).cast("int")) >= p - 0.02)).alias(c)
+              for c, p in asked.items()]
+    return exact.groupBy("sensor_type", "n_readings", "max_seconds").agg(*within)
+
+
 QUERIES = {
     "expected_profile": (
         lambda lake: rounded(profile(lake), "expected_value").select(
@@ -121,17 +159,12 @@ QUERIES = {
         sql("""select reading_id, oven_id, value, lowest_before, setpoint_vacuum_mbar from vacuum
   where lowest_before <= setpoint_vacuum_mbar + 0.5 and value > setpoint_vacuum_mbar + 0.5""", vacuum=VACUUM),
     ),
-    "cycle_end_eta": (
-        lambda lake: rounded(
-            ts.cycle_end_eta(profile(lake), targets(lake)).filter(F.col("eta_minutes").isNotNull()),
-            "slope", "intercept", "r2", "eta_minutes",
-        ).drop("eta"),
-        sql("""select order_id, n_readings, round(slope, 6) as slope, round(intercept, 6) as intercept, round(r2, 6) as r2,
-  round((ln(dry) - intercept) / slope, 6) as eta_minutes from (select order_id, count(*) as n_readings,
-    regr_slope(ln(value), t) as slope, regr_intercept(ln(value), t) as intercept, regr_r2(ln(value), t) as r2,
-    any_value(dry) as dry from spec where sensor_type = 'moisture' and value > 0 and t > 60
-    and order_id not in (select order_id from s_pairs where cycle_end_time is not null) group by order_id)
-  where slope < -1e-9""", **PROFILE_PARTS),
+    "cycle_end_eta": (lambda lake: shown_eta(ts.cycle_end_eta(profile(lake), targets(lake))), ETA),
+    "lag_percentiles": (
+        sketched_lags,
+        sql("""select sensor_type, count(*) as n_readings, max((epoch_us(timestamp_mqtt) - epoch_us(timestamp_opc)) / 1e6) as max_seconds,
+  true as p50_seconds, true as p95_seconds, true as p99_seconds from ad_live
+  where cast(timestamp_opc as date) between date '2024-01-05' and date '2024-01-20' group by 1"""),
     ),
     "simulated_minutes": (
         lambda lake: lake.view("ad_live").select(

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cyclelake.operators import gold as g
 from cyclelake.operators import silver as s
 from cyclelake.plans.checks import sql
+from cyclelake.session import staging_path
+from cyclelake.sources import silver_tables as st
 
 
 def detail(lake):
@@ -30,6 +34,14 @@ def touched_gold(lake):
     )
 
 
+def over_tables(lake):
+    """Silver written once, clustered by order; Gold reads the tables and exchanges none of them."""
+    folder = staging_path(lake.spark, "silver")
+    names = st.write_silver(lake.spark, folder, f"silver_{uuid.uuid4().hex[:12]}", 8, readings=lake.readings(), events=lake.events(),
+                            orders=lake.orders(), order_state=lake.order_state())
+    return st.gold_over_tables(lake.spark, names, lake.materials())
+
+
 EFFICIENCY = """select material_id, max(material_description) as material_description, count(*) as total_cycles,
   avg(actual_duration_minutes) as avg_actual_minutes, avg(standard_cycle_minutes) as avg_standard_minutes,
   avg(delta_minutes) as avg_delta_minutes, count(*) filter (where delta_minutes < 0) as cycles_faster_than_standard,
@@ -42,6 +54,7 @@ QUERIES = {
         sql("""select reading_id, order_id, oven_id, plant, sensor_type, value, unit, quality, timestamp_opc,
   timestamp_mqtt from s_readings"""),
     ),
+    "gold_over_silver_tables": (over_tables, sql("select * from gold")),
     "quality_flag": (
         lambda lake: s.quality_flag(lake.view("br_readings")).groupBy("plant", "sensor_type", "is_good_quality").agg(
             F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("total_value")

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from cyclelake.operators import silver as s
 from cyclelake.operators import timeseries as ts
 from cyclelake.plans.catalog.bronze import PARSED
-from cyclelake.plans.catalog.series import DRYING, JUMPS, STALLED, VACUUM, oven_setpoints
+from cyclelake.plans.catalog.series import DRYING, ETA, JUMPS, STALLED, VACUUM, oven_setpoints, shown_eta, targets
 from cyclelake.plans.catalog.state import AS_OF, PARTS
 from cyclelake.plans.checks import sql
 from cyclelake.session import staging_path
-from cyclelake.sources.tables import read_upserted
+from cyclelake.sources.tables import read_bronze, read_upserted
 from cyclelake.streaming import jobs as j
 
 
@@ -32,7 +32,7 @@ def bronze(lake):
     good, bad = staging_path(lake.spark, "bronze"), staging_path(lake.spark, "quarantine")
     messages = lake.view("m_readings", live=["events"]).select("topic", "raw_payload")
     finish(lake, j.bronze_stream(messages, good, bad))
-    stored = lake.spark.read.parquet(good).groupBy(F.col("quality").alias("kind")).agg(F.count(F.lit(1)).alias("n_rows"))
+    stored = read_bronze(lake.spark, good).groupBy(F.col("quality").alias("kind")).agg(F.count(F.lit(1)).alias("n_rows"))
     refused = j.read_quarantine(lake.spark, bad).groupBy(F.col("reject_reason").alias("kind")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
@@ -97,20 +97,15 @@ def state(lake):
 
 def alerts(lake):
     """Four arrivals with moisture one block late; the phase comes from the cycles of the live orders."""
-    state, found = staging_path(lake.spark, "context"), staging_path(lake.spark, "alerts")
-    landing, progress = staging_path(lake.spark, "landing"), staging_path(lake.spark, "progress")
+    context, found = staging_path(lake.spark, "context"), staging_path(lake.spark, "alerts")
     setpoints, cycles = oven_setpoints(lake), lake.view("ad_cycles")
     rules = {
         "moisture stalled": ts.moisture_stalled_rule(5.0, 240, ["oven_id"]),
         "temperature spike": ts.temperature_spike_rule(100.0, ["oven_id"], setpoints),
         "vacuum loss": ts.vacuum_loss_rule(setpoints, ["oven_id"]),
     }
-    rows = lake.view("ad_live").withColumn("_block", arrival())
-    for block in range(4):
-        rows.filter(F.col("_block") == block).drop("_block").write.mode("append").parquet(landing)
-        stream = lake.spark.readStream.schema(rows.drop("_block").schema).parquet(landing)
-        j.start(j.alerts_stream(stream, state, found, rules, "oven_id", 17 * 1440, lambda r: ts.with_phase(r, cycles), buckets=4),
-                progress).awaitTermination()
+    in_blocks(lake, lambda stream: j.alerts_stream(
+        stream, context, found, rules, "oven_id", 17 * 1440, lambda r: ts.with_phase(r, cycles), buckets=4))
     return j.read_alerts(lake.spark, found).select("rule", "reading_id", "oven_id", "value")
 
 
@@ -120,15 +115,37 @@ def arrival():
     return F.least(F.lit(3), block + F.when(F.col("sensor_type") == "moisture", 1).otherwise(0))
 
 
-def late(lake):
+def in_blocks(lake, job):
+    """Runs the job over the live readings as they arrive, block by block."""
     landing, progress = staging_path(lake.spark, "landing"), staging_path(lake.spark, "progress")
-    marks, found = staging_path(lake.spark, "marks"), staging_path(lake.spark, "late")
     rows = lake.view("ad_live").withColumn("_block", arrival())
     for block in range(4):
         rows.filter(F.col("_block") == block).drop("_block").write.mode("append").parquet(landing)
-        stream = lake.spark.readStream.schema(rows.drop("_block").schema).parquet(landing)
-        j.start(j.late_report(stream, marks, found, 10), progress).awaitTermination()
-    return lake.spark.read.parquet(found).select("reading_id", "sensor_type", "timestamp_opc", "watermark")
+        j.start(job(lake.spark.readStream.schema(rows.drop("_block").schema).parquet(landing)), progress).awaitTermination()
+
+
+def late(lake):
+    found = staging_path(lake.spark, "late")
+    in_blocks(lake, lambda stream: j.late_report(stream, found, 10))
+    return read_upserted(lake.spark, found).select("reading_id", "sensor_type", "timestamp_opc", "watermark")
+
+
+def ring(lake):
+    kept = staging_path(lake.spark, "ring")
+    in_blocks(lake, lambda stream: j.ring_stream(stream, kept, 100, 4))
+    return read_upserted(lake.spark, kept).select("oven_id", "sensor_type", "reading_id", "value")
+
+
+def eta(lake):
+    """Readings of every order in three arrivals; the estimate comes from the sums alone."""
+    sums, landing, progress = (staging_path(lake.spark, n) for n in ("sums", "landing", "progress"))
+    pairs, orders, materials = (df.checkpoint() for df in (lake.pairs(), lake.orders(), lake.materials()))
+    rows = lake.readings().withColumn("part", F.pmod(F.xxhash64("reading_id"), F.lit(3))).checkpoint()
+    for part in range(3):
+        rows.filter(F.col("part") == part).drop("part").write.mode("append").parquet(landing)
+        stream = lake.spark.readStream.schema(rows.drop("part").schema).parquet(landing)
+        j.start(j.eta_stream(stream, lambda: (pairs, orders, materials), sums, 4, 2), progress).awaitTermination()
+    return shown_eta(j.read_eta(lake.spark, sums, targets(lake)))
 
 
 QUERIES = {
@@ -187,10 +204,16 @@ QUERIES = {
     "late_report": (
         late,
         sql("""select reading_id, sensor_type, timestamp_opc, watermark from blocks b join
-  (select block, max(newest) over (order by block rows between unbounded preceding and 1 preceding) - interval '10' minute
-    as watermark from (select block, max(timestamp_opc) as newest from blocks group by block)) w on b.block = w.block
-  where timestamp_opc < watermark""",
+  (select block, date_trunc('millisecond', max(newest) over (order by block rows between unbounded preceding and 1 preceding)
+    - interval '10' minute) as watermark from (select block, max(timestamp_opc) as newest from blocks group by block)) w
+  on b.block = w.block where timestamp_opc <= watermark""",
             blocks="""select *, least(3, (day(timestamp_opc) - 1) // 8 + case when sensor_type = 'moisture' then 1 else 0 end)
     as block from ad_live"""),
     ),
+    "retain_last_n_stream": (
+        ring,
+        sql("""select oven_id, sensor_type, reading_id, value from ad_live qualify row_number() over (
+    partition by oven_id, sensor_type order by timestamp_opc desc, timestamp_mqtt desc, reading_id desc) <= 100"""),
+    ),
+    "cycle_end_eta_stream": (eta, ETA),
 }

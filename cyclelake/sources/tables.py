@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclelake.functions.timing import as_of_column
 from cyclelake.operators.silver import content_order, first_per_key
-from cyclelake.sources.versions import BUCKET, bucket_of, file_system, merge, path_of, read_snapshot, snapshot
+from cyclelake.sources.versions import append, compact, expire, file_system, merge, path_of, read_snapshot, snapshot
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -17,16 +19,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(path_of(spark, path)) and len(fs.listStatus(path_of(spark, path))) > 0
 
 
-def append_bronze(df: DataFrame, target: str, raw: str = "raw_payload", as_of=None, batch_id=None) -> None:
-    """Immutable append with ingested_at and the raw text, partitioned by ingest date. In a stream pass
-    ``batch_id``: the batch then owns its partition, so a repeated batch replaces itself."""
+def append_bronze(df: DataFrame, target: str, raw: str = "raw_payload", as_of=None, batch=None, most_parts: int = 24) -> None:
+    """Immutable append with ingested_at and the raw text, cut by ingest date.
+
+    Without ``batch`` to plain Parquet folders. In a stream pass ``batch`` (stream, number): rows then go to a versioned table
+    with one bucket per day, in which a repeated batch counts once, also after midnight; days of more than ``most_parts`` batches
+    are compacted without readers noticing. Read it with ``read_bronze``."""
     rows = df if raw in df.columns else df.withColumn(raw, F.to_json(F.struct(*df.columns)))
-    rows = rows.withColumn("ingested_at", as_of_column(as_of))
-    if batch_id is None:
-        rows.withColumn("ingest_date", F.to_date("ingested_at")).write.mode("append").partitionBy(
-            "ingest_date").parquet(target)
+    rows = rows.withColumn("ingested_at", as_of_column(as_of)).withColumn("ingest_date", F.to_date("ingested_at"))
+    if batch is None:
+        rows.write.mode("append").partitionBy("ingest_date").parquet(target)
         return
-    write_batch(rows, target, batch_id)
+    append(rows, target, ["ingest_date"], None, batch)
+    compact(df.sparkSession, target, most=most_parts)
+    expire(df.sparkSession, target)
+
+
+def read_bronze(spark: SparkSession, target: str, first_day=None, last_day=None) -> DataFrame:
+    """Bronze of a stream; only the days from ``first_day`` to ``last_day`` (dates) are read."""
+    manifest = snapshot(spark, target)
+    if manifest is None:
+        raise FileNotFoundError(f"no version of {target} has been published")
+    day = lambda d: (d - date(1970, 1, 1)).days
+    wanted = {int(b) for b in manifest["buckets"]
+              if (first_day is None or int(b) >= day(first_day)) and (last_day is None or int(b) <= day(last_day))}
+    return read_snapshot(spark, target, manifest, wanted)
 
 
 def write_batch(df: DataFrame, target: str, batch_id: int) -> None:
@@ -41,19 +58,6 @@ def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(declared).parquet(path) if exists(spark, path) else spark.createDataFrame([], declared)
 
 
-def write_bucketed_batch(df: DataFrame, target: str, batch_id: int, key: str, buckets: int = 64) -> None:
-    """Like ``write_batch``, cut by a hash bucket of ``key`` as well, so that readers of few keys read few folders."""
-    rows = df.withColumns({BUCKET: bucket_of([key], buckets), "batch_id": F.lit(batch_id)})
-    writer = rows.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("batch_id", BUCKET).parquet(target)
-
-
-def read_keys(spark: SparkSession, target: str, keys: DataFrame, key: str, buckets: int = 64) -> DataFrame:
-    """The buckets of such a table that hold ``keys``."""
-    touched = F.broadcast(keys.select(bucket_of([key], buckets).alias(BUCKET)).distinct())   # at most ``buckets`` rows
-    return spark.read.parquet(target).join(touched, BUCKET, "left_semi").drop(BUCKET, "batch_id")
-
-
 def upsert_latest(new: DataFrame, target: str, keys, version: str | None, buckets: int = 64) -> None:
     """Inserts or replaces rows by key; the row with the highest ``version`` wins, so repeats are harmless. At equal
     version, and for any version when it is None, new rows replace stored ones; among new rows that tie, content decides.

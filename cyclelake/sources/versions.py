@@ -6,7 +6,7 @@
 A writer puts its rows beside the table and then publishes a manifest by a rename that fails where the number is taken. Until
 then nobody sees the rows; a writer that dies leaves the version before it and some folders that ``expire`` removes. A
 reader takes the newest manifest once and reads the folders it names, whatever is published meanwhile. Rows are cut by a hash
-bucket of their key, so manifests hold at most ``buckets`` entries and a writer replaces the buckets it touches only.
+bucket of their key, or by day, so manifests stay small and a writer replaces the buckets it touches only.
 """
 
 from __future__ import annotations
@@ -35,7 +35,10 @@ def file_system(spark: SparkSession, path: str):
     return path_of(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def bucket_of(keys, buckets: int):
+def bucket_of(keys, buckets: int | None):
+    """The bucket of a row: by hash of its key or, without a number of buckets, the day (since 1970) of its only key, a date."""
+    if buckets is None:
+        return F.unix_date(keys[0])
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
@@ -73,7 +76,7 @@ def read_snapshot(spark: SparkSession, table: str, manifest: dict, buckets=None)
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def write_parts(df: DataFrame, table: str, keys, buckets: int) -> dict[int, str]:
+def write_parts(df: DataFrame, table: str, keys, buckets: int | None) -> dict[int, str]:
     """Rows put beside the table, unpublished: the folder of every bucket that has any."""
     spark, name = df.sparkSession, f"data/{uuid.uuid4().hex}"
     rows = df.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", BUCKET)
@@ -133,7 +136,8 @@ def _buckets(manifest: dict | None, keys, buckets: int) -> int:
     return manifest["n_buckets"] if manifest else buckets
 
 
-def append(df: DataFrame, table: str, keys, buckets: int = 64, batch=None, own: bool = False, attempts: int = 5) -> dict | None:
+def append(df: DataFrame, table: str, keys, buckets: int | None = 64, batch=None, own: bool = False, notes: dict | None = None,
+           attempts: int = 5) -> dict | None:
     """Adds rows without reading any. A ``batch`` (stream, number) that is in already adds nothing, so a micro-batch that is
     repeated counts once. In a table that is one stream's ``own``, the first batch of another stream starts from nothing: a
     stream that has lost its checkpoint reads its sources again. Returns the new manifest."""
@@ -143,7 +147,7 @@ def append(df: DataFrame, table: str, keys, buckets: int = 64, batch=None, own:
     n = _buckets(manifest, keys, buckets)
     parts = write_parts(df, table, keys, n)
     for _ in range(attempts):
-        following = _following(manifest, _schema(manifest, df.schema), keys, n, batch)
+        following = _following(manifest, _schema(manifest, df.schema), keys, n, batch, notes)
         if own and batch and manifest and batch[0] not in manifest["batches"]:
             following["buckets"], following["batches"] = {}, {batch[0]: batch[1]}
         for bucket, folder in parts.items():

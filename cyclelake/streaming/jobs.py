@@ -6,8 +6,8 @@ repeated after a failure leaves the tables as they were. Reported state lives in
 
 from __future__ import annotations
 
+import json
 from contextlib import contextmanager
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +16,15 @@ from pyspark.sql.streaming import DataStreamWriter
 from cyclelake.operators import gold as g
 from cyclelake.operators import partials as p
 from cyclelake.operators import silver as s
+from cyclelake.operators import timeseries as ts
 from cyclelake.operators.silver import content_order, first_per_key
-from cyclelake.operators.state import ARRIVAL, STATE_COLUMN, with_status
+from cyclelake.operators.state import ARRIVAL, CHANNEL, STATE_COLUMN, retain_last_n, with_status
 from cyclelake.schemas import SENSOR_TYPES
 from cyclelake.sources.messages import MESSAGE_SCHEMA, accepted, parse_readings, rejected
 from cyclelake.session import shared_dir
 from cyclelake.sources import versions as v
 from cyclelake.sources.tables import (
-    append_bronze, exists, read_batches, read_upserted, replace_keys, upsert_latest, write_batch,
+    append_bronze, read_batches, read_upserted, replace_keys, upsert_latest, write_batch,
 )
 from cyclelake.streaming.deadlines import REPORT, Deadlines
 
@@ -60,11 +61,12 @@ def batch_sink(df: DataFrame, handle) -> DataStreamWriter:
 
 
 def bronze_stream(messages: DataFrame, bronze: str, quarantine: str) -> DataStreamWriter:
-    """Raw messages to Bronze rows and, refused ones, to the quarantine table (read it with ``read_quarantine``)."""
+    """Raw messages to Bronze rows by ingest date (read them with ``read_bronze``) and, refused ones, to the quarantine table
+    (read it with ``read_quarantine``)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_readings(batch).persist()
-        append_bronze(accepted(parsed), bronze, batch_id=batch_id)
+        append_bronze(accepted(parsed), bronze, batch=(_stream_id(batch), batch_id))
         write_batch(rejected(parsed), quarantine, batch_id)
         parsed.unpersist()
 
@@ -345,17 +347,67 @@ def read_alerts(spark: SparkSession, alerts: str) -> DataFrame:
     return stored.select(F.explode("rules").alias("rule"), *[c for c in stored.columns if c != "rules"])
 
 
-def late_report(readings: DataFrame, progress: str, late: str, delay_minutes: float = 10) -> DataStreamWriter:
-    """Readings older than the newest event time of all earlier batches minus the delay go to a side table."""
+def late_report(readings: DataFrame, late: str, delay_minutes: float = 10) -> DataStreamWriter:
+    """Readings not younger than the newest event time of all earlier batches minus the delay go to the versioned table ``late``: the rows
+    that a stateful query with this watermark drops from the same batches (see ``dropped_rows``). The newest event time is
+    published with the rows of its batch, so nothing else is read."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if exists(spark, progress):
-            earlier = spark.read.parquet(progress).filter(F.col("batch_id") < batch_id)
-            newest = earlier.agg(F.max("newest")).first()[0]
-            if newest is not None:
-                mark = F.lit(newest - timedelta(minutes=int(delay_minutes)))
-                write_batch(batch.filter(F.col("timestamp_opc") < mark).withColumn("watermark", mark), late, batch_id)
-        write_batch(batch.agg(F.max("timestamp_opc").alias("newest")), progress, batch_id)
+        manifest = v.snapshot(spark, late)
+        stream = (_stream_id(batch), batch_id)
+        if v.applied(manifest, stream):
+            return
+        before = manifest["notes"].get("newest") if manifest else None
+        mark = F.timestamp_micros(F.lit(before - int(delay_minutes * 60e6))) if before is not None else F.lit(None).cast("timestamp")
+        # Spark keeps watermarks in whole milliseconds.
+        mark = F.timestamp_millis(F.unix_millis(mark))
+        newest = batch.agg(F.max(F.unix_micros("timestamp_opc"))).first()[0]
+        known = [m for m in (before, newest) if m is not None]
+        v.append(batch.withColumn("watermark", mark).filter(F.col("timestamp_opc") <= F.col("watermark")), late, ["reading_id"], 1,
+                 stream, notes={"newest": max(known)} if known else {})
+        v.compact(spark, late)
+
+    return batch_sink(readings, handle)
+
+
+def dropped_rows(query) -> DataFrame:
+    """Per batch of a stateful query that has ended or runs: the watermark Spark used and how many rows it dropped as late."""
+    rows = [(p["batchId"], (p.get("eventTime") or {}).get("watermark"), sum(o["numRowsDroppedByWatermark"] for o in p["stateOperators"]))
+            for p in map(lambda x: json.loads(x.json) if hasattr(x, "json") else x, query.recentProgress)]
+    spark = SparkSession.active()
+    return spark.createDataFrame(rows, "batch_id bigint, watermark string, dropped bigint").withColumn(
+        "watermark", F.to_timestamp("watermark"))
+
+
+def ring_stream(readings: DataFrame, ring: str, n: int = 500, buckets: int = 64, keep_minutes: float = 60) -> DataStreamWriter:
+    """The newest ``n`` readings per (oven, sensor) at any time, like ``retain_last_n``: a batch is cut to its own newest n and
+    merged with those in the versioned table ``ring``; older readings fall out and are never read again. Copies of a
+    reading count once."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        once = lambda rows: first_per_key(rows, ["reading_id"], ["timestamp_opc", "timestamp_mqtt"])
+        newest = retain_last_n(once(batch), n)
+        v.merge(newest, ring, CHANNEL, lambda rows: retain_last_n(once(rows), n), buckets, (_stream_id(batch), batch_id))
+        v.expire(batch.sparkSession, ring, 2, keep_minutes)
 
     return batch_sink(readings, handle)
+
+
+def eta_stream(readings: DataFrame, spec, sums: str, buckets: int = 64, most_parts: int = 8, keep_minutes: float = 60) -> DataStreamWriter:
+    """Keeps the sums behind ``cycle_end_eta`` per cycle in the versioned table ``sums``; read the estimates with ``read_eta``. ``spec``
+    is a function that returns (pairs, orders, materials); a cycle's start must be known when its readings come. Readings
+    come once (``silver_readings_stream``); a repeated batch adds its sums once."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        profile = ts.expected_profile(batch, *spec())
+        v.append(ts.eta_sums(profile), sums, ["order_id"], buckets, (_stream_id(batch), batch_id), own=True)
+        v.compact(spark, sums, ts.merge_eta_sums, most_parts)
+        v.expire(spark, sums, 2, keep_minutes)
+
+    return batch_sink(readings, handle)
+
+
+def read_eta(spark: SparkSession, sums: str, targets: DataFrame) -> DataFrame:
+    return ts.eta_from_sums(ts.merge_eta_sums(read_upserted(spark, sums)), targets)

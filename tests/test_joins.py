@@ -50,6 +50,27 @@ def test_operators_with_hot_orders(spark, monkeypatch):
         assert ok, message
 
 
+def test_small_tables_are_broadcast_and_large_ones_split(spark, monkeypatch):
+    """Queries that meet ovens or materials, of which a few may hold all rows, in both ways."""
+    from oracle import compare, connect
+    import __spark_entry__ as entry
+
+    sf, names = "/root/testdata/sf0.001", ["process_state", "process_state_per_material", "cycle_elapsed_minutes", "oven_status",
+                                           "gold_cycle_summary", "orders_with_spec", "timeouts", "alert_temperature_spike", "alert_vacuum_loss"]
+    plan = lambda name: entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin [oven_id" in plan("alert_vacuum_loss") and "BroadcastHashJoin [material_id" in plan("orders_with_spec")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(joins, "SMALL_ROWS", 0)
+    monkeypatch.setattr(joins, "HOT_ROWS", 2)
+    db = connect(sf)
+    for name in names:
+        ok, message = compare(spark, db, name, entry.queries()[name], entry.oracle_sql()[name], sf)
+        assert ok, (name, message)
+
+
 def test_operators_with_long_keys(spark, monkeypatch):
     """The catalogue queries built on ordered scans, with every key cut into slices."""
     from cyclelake.functions import ordered

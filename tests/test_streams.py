@@ -1,5 +1,6 @@
 """Streams give the batch results over split, repeated and disordered files, and again after a repeated batch."""
 
+import datetime as dt
 import json
 import random
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import MATERIALS, at, event, events, materials, order, orders, reading, readings
 from cyclelake import schemas
 from cyclelake.operators import gold as g, partials as p, silver as s, state as st, timeseries as ts
-from cyclelake.sources import messages as m, reference as ref, tables as t
+from cyclelake.sources import messages as m, reference as ref, tables as t, versions as v
 from cyclelake.streaming import jobs as j
 
 CONFIRMED = '{"sap_confirmation_number": "CONF-2031-55102", "goods_movement_document": "GR-2031-700412"}'
@@ -34,7 +35,7 @@ def test_bronze_and_quarantine(spark, folder):
     df.write.json(f"{folder}/landing")
     job = j.bronze_stream(m.read_sensor_stream(spark, f"{folder}/landing", 2), f"{folder}/bronze", f"{folder}/bad")
     j.start(job, f"{folder}/progress").awaitTermination()
-    assert spark.read.parquet(f"{folder}/bronze").count() == 20
+    assert t.read_bronze(spark, f"{folder}/bronze").count() == 20
     assert spark.read.parquet(f"{folder}/bad").count() == 2
     kafka = spark.createDataFrame([("t", bytearray(b"{}"))], "topic string, value binary")
     assert m.from_kafka(kafka).first().raw_payload == "{}"
@@ -300,12 +301,61 @@ def test_windows_pairs_and_timeouts(spark, folder):
     assert late == {("B", at(600)), ("C", at(600))}
 
 
-def test_late_report(spark, folder):
-    rows = [reading(i, minutes=i) for i in range(101)] + [reading(200, minutes=80), reading(201, minutes=95)]
-    rows += [reading(300 + i, minutes=101 + i) for i in range(99)]
-    land(readings(spark, rows), folder, 2, lambda x: j.late_report(x, f"{folder}/marks", f"{folder}/late"))
-    found = [r.reading_id for r in spark.read.parquet(f"{folder}/late").collect()]
-    assert found == ["r000200"]
+def test_late_report_holds_what_a_stateful_query_drops(spark, folder):
+    rng = random.Random(8)
+    rows = [reading(i, minutes=i / 3 + rng.choice([0, 0, 0, -40, -20])) for i in range(400)]
+    for i in (1, 2, 3):    # the first row of a batch is exactly as old as the watermark
+        rows[100 * i] = reading(100 * i, minutes=(max(r[8] for r in rows[:100 * i]) - at()).total_seconds() / 60 - 10)
+    for i in range(4):
+        readings(spark, rows[100 * i:100 * (i + 1)]).write.mode("append").parquet(f"{folder}/landing")
+        live = lambda: spark.readStream.schema(schemas.READING).parquet(f"{folder}/landing")
+        j.start(j.late_report(live(), f"{folder}/late"), f"{folder}/progress").awaitTermination()
+        with j.rocksdb(spark):
+            query = j.start(j.append_sink(j.silver_readings_stream(live()), f"{folder}/silver"), f"{folder}/stateful")
+            query.awaitTermination()
+        dropped = {r.batch_id: (r.watermark, r.dropped) for r in j.dropped_rows(query).collect()}
+        found = t.read_upserted(spark, f"{folder}/late")
+        if i:
+            number = max(b for b, (_, n) in dropped.items() if n)
+            assert dropped[number][0] == found.agg(F.max("watermark")).first()[0]
+            assert dropped[number][1] == found.filter(F.col("watermark") == F.lit(dropped[number][0])).count() > 0
+    good = {r.reading_id for r in spark.read.parquet(f"{folder}/silver").collect()}
+    assert good == {r[0] for r in rows} - {r.reading_id for r in found.collect()}
+    before = found.count()
+    spark.createDataFrame([], schemas.READING).write.mode("append").parquet(f"{folder}/landing")
+    j.start(j.late_report(live(), f"{folder}/late"), f"{folder}/progress").awaitTermination()
+    assert t.read_upserted(spark, f"{folder}/late").count() == before
+
+
+def test_ring_equals_batch(spark, folder):
+    rng = random.Random(3)
+    rows = [reading(i, rng.choice(["moisture", "vacuum"]), i, rng.randrange(200), oven=rng.choice(["oven-01", "oven-02"])) for i in range(200)]
+    land(readings(spark, rows + rows[:20]), folder, 4, lambda x: j.ring_stream(x, f"{folder}/ring", 15, 4))
+    found = {r.reading_id for r in t.read_upserted(spark, f"{folder}/ring").collect()}
+    assert found == {r.reading_id for r in st.retain_last_n(readings(spark, rows), 15).collect()} and len(found) == 60
+
+
+def test_eta_follows_the_batch_estimate(spark, folder):
+    log, known, rows = cycles(4)
+    rows += [reading(700 + i, "moisture", 900 * 0.99 ** i + i % 3, 65 + 7 * i, order=f"ORD-2031-{i % 4:05d}") for i in range(60)]
+    stuff, silver = materials(spark), s.silver_cycle_events(events(spark, log[::2]))
+    pairs, versions = s.cycle_pairs(silver), s.silver_orders(orders(spark, known))
+    spec = lambda: (pairs, versions, stuff)
+    targets = pairs.select("order_id", "cycle_start_time", "cycle_end_time").join(versions.select("order_id", "material_id"), "order_id").join(
+        stuff.select("material_id", "target_moisture_ppm"), "material_id").drop("material_id")
+    seen = []
+    for part in (rows[:50], rows[50:]):
+        seen += part
+        readings(spark, part).write.mode("append").parquet(f"{folder}/landing")
+        stream = spark.readStream.schema(schemas.READING).parquet(f"{folder}/landing")
+        j.start(j.eta_stream(stream, spec, f"{folder}/sums", 2, 1), f"{folder}/progress").awaitTermination()
+        expected = {r.order_id: r for r in ts.cycle_end_eta(ts.expected_profile(readings(spark, seen), *spec()), targets).collect()}
+        found = {r.order_id: r for r in j.read_eta(spark, f"{folder}/sums", targets).collect()}
+        assert set(found) == set(expected) and len(found) == 4
+        for name, row in found.items():
+            assert row.n_readings == expected[name].n_readings
+            for c in ("slope", "intercept", "r2", "eta_minutes"):
+                assert row[c] == pytest.approx(expected[name][c], rel=1e-9, abs=1e-12)
 
 
 def test_upsert_is_idempotent_and_recovers(spark, folder):
@@ -351,9 +401,14 @@ def test_capture_and_bronze_append(spark, folder):
     t.append_bronze(df, f"{folder}/bronze", as_of="2026-06-04 08:00:00")
     rows = spark.read.parquet(f"{folder}/bronze")
     assert rows.count() == 2 and json.loads(rows.first().raw_payload)["reading_id"] == "r000001"
-    for _ in range(2):
-        t.append_bronze(df, f"{folder}/stream", batch_id=3)
-    assert spark.read.parquet(f"{folder}/stream").count() == 1
+    for day, number in (("2026-06-03", 3), ("2026-06-04", 3), ("2026-06-04", 4), ("2026-06-04", 5), ("2026-06-05", 6)):
+        t.append_bronze(df, f"{folder}/stream", as_of=f"{day} 00:00:01", batch=("s", number), most_parts=1)
+    days = [r.ingest_date.isoformat() for r in t.read_bronze(spark, f"{folder}/stream").orderBy("ingested_at").collect()]
+    assert days == ["2026-06-03", "2026-06-04", "2026-06-04", "2026-06-05"]    # batch 3 came again after midnight
+    manifest = v.snapshot(spark, f"{folder}/stream")
+    assert [len(parts) for parts in manifest["buckets"].values()] == [1, 1, 1]
+    some = t.read_bronze(spark, f"{folder}/stream", dt.date(2026, 6, 4), dt.date(2026, 6, 4))
+    assert some.count() == 2 and len(some.inputFiles()) == 1
 
 
 def test_mart_prunes_by_plant(spark, folder):
