@@ -191,8 +191,9 @@ def _linked(graph: Graph, queries: np.ndarray, threshold: float) -> tuple[np.nda
     return np.concatenate([np.zeros(0, int), *found]), np.concatenate([np.zeros((0, total), bool), *hits]), True
 
 
-def find_hits(graph: Graph, queries: np.ndarray, threshold: float, beam=BEAM) -> tuple[np.ndarray, np.ndarray, int]:
-    """(query, vector) pairs of at least ``threshold`` similarity, and the beam that passed the audits: of hits and nearest
+def find_hits(graph: Graph, queries: np.ndarray, threshold: float, beam=BEAM) -> tuple[np.ndarray, int]:
+    """Which vector each query hits with at least ``threshold`` similarity (a boolean per pair of the two shards, so memory does not
+    depend on how many hits there are), and the beam that passed the audits: of hits and nearest
     vectors of AUDITED queries, and of the hits other than themselves of AUDITED queries that have such hits. Where fewer
     have, brute force has found all hits by then, and they are added."""
     n, total = len(queries), len(graph.x)
@@ -201,8 +202,9 @@ def find_hits(graph: Graph, queries: np.ndarray, threshold: float, beam=BEAM) ->
     truth = queries[sample] @ graph.x.T
     nearest = np.sort(truth, 1)[:, -min(NEAREST, total):][:, 0]
     wanted = (truth >= threshold) | (truth >= nearest[:, None] - 1e-12)
+    hit = np.zeros((n, total), bool)
     while True:
-        rows, cols, audited = [], [], np.zeros_like(wanted)
+        audited = np.zeros_like(wanted)
         for at in range(0, n, BLOCK):
             todo, width = np.arange(at, min(n, at + BLOCK)), beam
             while len(todo):
@@ -215,31 +217,49 @@ def find_hits(graph: Graph, queries: np.ndarray, threshold: float, beam=BEAM) ->
                     full = sims.min(1) >= threshold
                 settled = todo[~full]
                 r, c = np.nonzero((sims[~full] >= threshold) & (ids[~full] >= 0))
-                rows.append(settled[r])
-                cols.append(ids[~full][r, c])
+                hit[settled[r], ids[~full][r, c]] = True
                 inside = np.flatnonzero(np.isin(sample, settled))
                 for k in inside:
                     met = ids[~full][np.searchsorted(settled, sample[k])]
                     audited[k, met[met >= 0]] = True
-                todo, width = todo[full], width * WIDER
+                # Where most beams are full, the shard is dense, and wider beams would be full as well.
+                todo, width = todo[full], total if 2 * full.sum() > len(full) else width * WIDER
         passed = (audited & wanted).sum() >= RECALL * wanted.sum()
-        r, c = np.concatenate(rows), np.concatenate(cols)
         if passed and len(linked):
-            place = np.full(n, -1)
-            place[linked] = np.arange(len(linked))
-            known = np.zeros_like(links)
-            own = place[r] >= 0
-            known[place[r[own]], c[own]] = True
-            held = (known & links).sum(1)
+            held = (hit[linked] & links).sum(1)
             passed = complete or held.sum() >= RECALL * links.sum() and (held / links.sum(1)).mean() >= RECALL
             if complete:
-                q, v = np.nonzero(links & ~known)
-                r, c = np.concatenate([r, linked[q]]), np.concatenate([c, v])
+                hit[linked] |= links
         if beam * SCAN >= total or passed:
-            return r, c, beam
+            return hit, beam
         beam *= WIDER
 
 
+def _verify(hit: np.ndarray, queries: np.ndarray, x: np.ndarray, threshold: float) -> None:
+    """Takes the hits below ``threshold`` out. Cosines that rounding could move over it are summed once more, pair by pair."""
+    for at in range(0, len(queries), BLOCK):
+        part = slice(at, at + BLOCK)
+        sims = queries[part] @ x.T
+        q, c = np.nonzero(hit[part] & (np.abs(sims - threshold) < 1e-9))
+        hit[part] &= sims >= threshold
+        hit[part][q, c] = np.einsum("nd,nd->n", queries[part][q], x[c]) >= threshold
+
+
+def _roots(hit: np.ndarray, columns: np.ndarray, rows: np.ndarray, nodes: int) -> np.ndarray:
+    """For nodes 0 to ``nodes`` - 1, of which ``columns`` and ``rows`` belong to the matrix, the smallest one each reaches."""
+    root = np.arange(nodes)
+    while True:
+        new = root.copy()
+        for at in range(0, len(rows), BLOCK):
+            block, own = hit[at:at + BLOCK], rows[at:at + BLOCK]
+            new[own] = np.minimum(new[own], np.where(block, new[columns], nodes).min(1, initial=nodes))
+            new[columns] = np.minimum(new[columns], np.where(block, new[own][:, None], nodes).min(0, initial=nodes))
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def _unit(values: bytes, dim: int) -> np.ndarray:
     x = np.frombuffer(values, np.float64).reshape(-1, dim)
     x = x / np.abs(x).max(1, keepdims=True)   # no overflow when squared
@@ -268,21 +288,6 @@ def _graph(row, dim: int) -> Graph:
     return graph
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """For nodes 0..n-1 with links (a, b): each linked node and the smallest one it reaches."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        new = new[new]
-        if (new == root).all():
-            linked = np.unique(np.concatenate([a, b]))
-            return linked, root[linked]
-        root = new
-
-
 def _search(threshold: float):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         row = group.iloc[0]
@@ -290,26 +295,26 @@ def _search(threshold: float):
         graph, queries = _graph(row, dim), _unit(row["vectors_q"], dim)
         ids, asked = np.frombuffer(row["reps"], np.int64), np.frombuffer(row["reps_q"], np.int64)
         times, times_q = np.frombuffer(row["times"], np.int64), np.frombuffer(row["times_q"], np.int64)
-        q, c, _ = find_hits(graph, queries, threshold - 1e-9)
-        if same:   # both directions of a pair count once
-            low, high = np.minimum(q, c), np.maximum(q, c)
-            pairs = np.unique(low[low != high] * len(ids) + high[low != high])
-            q, c = pairs // len(ids), pairs % len(ids)
-        exact = np.zeros(len(q), bool)
-        for at in range(0, len(q), 50_000):
-            part = slice(at, at + 50_000)
-            exact[part] = np.einsum("nd,nd->n", queries[q[part]], graph.x[c[part]]) >= threshold
-        q, c = q[exact], c[exact]
+        hit, _ = find_hits(graph, queries, threshold - 1e-9)
+        if same:   # a pair that either end has found is a link of both
+            hit |= hit.T
+            np.fill_diagonal(hit, False)
+        _verify(hit, queries, graph.x, threshold)
         # Copies: a vector that stands for t rows gives t links to each row on the other side.
-        nodes = ids if same else np.concatenate([ids, asked])
-        place_q = q if same else q + len(ids)
-        counts = np.bincount(place_q, times[c], len(nodes)) + np.bincount(c, times_q[q], len(nodes))
-        linked, root = _forest(place_q, c, len(nodes))
+        blocks = [slice(at, at + BLOCK) for at in range(0, len(hit), BLOCK)]
+        by_query = np.concatenate([hit[b] @ times.astype(np.float64) for b in blocks])    # exact below 2^53
+        columns = np.arange(len(ids))
+        if same:
+            nodes, rows, counts = ids, columns, by_query
+        else:
+            nodes, rows = np.concatenate([ids, asked]), len(ids) + np.arange(len(asked))
+            counts = np.concatenate([sum(times_q[b].astype(np.float64) @ hit[b] for b in blocks), by_query])
+        root = _roots(hit, columns, rows, len(nodes))
         touched = np.flatnonzero(counts)
         return pd.DataFrame({
-            "node": np.concatenate([nodes[touched], nodes[linked]]),
-            "other": np.concatenate([nodes[touched], nodes[root]]),
-            "links": np.concatenate([counts[touched].astype(np.int64), np.zeros(len(linked), np.int64)]),
+            "node": np.concatenate([nodes[touched], nodes[touched]]),
+            "other": np.concatenate([nodes[touched], nodes[root[touched]]]),
+            "links": np.concatenate([counts[touched].astype(np.int64), np.zeros(len(touched), np.int64)]),
         })
 
     return run

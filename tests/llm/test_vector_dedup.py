@@ -1,8 +1,11 @@
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclelake.llm.vector_dedup import Graph, find_hits, near_vectors
+from cyclelake.llm.vector_dedup import Graph, _build, _search, find_hits, near_vectors
 
 SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType())),
                        T.StructField("label", T.IntegerType())])
@@ -24,8 +27,8 @@ def cloud(n, dim=24, seed=1, hot=60):
 def test_search_recall():
     x = unit(cloud(3000, seed=3, hot=300))
     graph = Graph(x)
-    q, c, beam = find_hits(graph, x, 0.98)
-    found = set(zip(q.tolist(), c.tolist()))
+    hit, beam = find_hits(graph, x, 0.98)
+    found = set(zip(*[a.tolist() for a in np.nonzero(hit)]))
     truth = set(zip(*[a.tolist() for a in np.nonzero(x @ x.T >= 0.98)]))
     assert found <= truth and len(found) >= 0.97 * len(truth) and beam * 8 < len(x)
     ids, sims = graph.search(x[:200], 48)
@@ -84,8 +87,24 @@ def test_sparse_links_are_found_when_the_search_misses_them(monkeypatch):
 
     graph = Graph(x)
     monkeypatch.setattr(Graph, "search", forgetful)
-    q, c, _ = find_hits(graph, x, 0.98)
-    assert set(zip(q.tolist(), c.tolist())) == truth
+    hit, _ = find_hits(graph, x, 0.98)
+    assert set(zip(*[a.tolist() for a in np.nonzero(hit)])) == truth
+
+
+def test_dense_shard_takes_bounded_memory():
+    """Thousands of vectors that all link with each other: the hits are one bit map, and no pair is kept."""
+    rng = np.random.default_rng(2)
+    values = rng.normal(size=32) + 0.005 * rng.normal(size=(4000, 32))
+    group = pd.DataFrame({"rep": np.arange(4000), "vector": list(values), "label": 0, "shard": 0, "times": 1})
+    row = _build(group).assign(shard_q=0)
+    row = row.assign(**{f"{c}_q": row[c] for c in ("reps", "times", "vectors")})
+    tracemalloc.start()
+    found = _search(0.98)(row)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400e6
+    links = found[found["links"] > 0]
+    assert (links["links"] == 3999).all() and len(links) == 4000 and (found[found["links"] == 0]["other"] == 0).all()
 
 
 def test_large_label_equals_brute_force(spark):
