@@ -5,7 +5,7 @@ Each task packs the documents it reads, so nothing is shuffled and memory holds
 that holds it. The longest waiting document opens a window of its tier; gaps are filled with the largest waiting
 documents that fit, which come from shorter tiers, and the last gap with a piece cut from the shortest. The very last window
 of a task is cut into sequences whose lengths are powers of two. All sequences therefore have a length that needs no padding.
-Sequences of one tier are dealt to step groups of equal token counts.
+Sequences of one context are dealt to step groups of equal token counts over all tasks.
 """
 
 from __future__ import annotations
@@ -20,11 +20,12 @@ import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from cyclelake.llm.common import text_or_empty
+from cyclelake.llm.common import staged, text_or_empty
 
 TIERS = (512, 1024, 2048, 4096)
 STEP_TOKENS = 32_768     # tokens of a step group
@@ -141,11 +142,11 @@ class Rest:
 class Packer:
     """Packs documents in the order given; ``rows`` collects one tuple per piece."""
 
-    def __init__(self, task: int, tiers=TIERS, step_tokens=STEP_TOKENS, waiting=WAITING):
-        self.tiers, self.step_tokens, self.waiting = tuple(tiers), step_tokens, waiting
+    def __init__(self, task: int, tiers=TIERS, waiting=WAITING):
+        self.tiers, self.waiting = tuple(tiers), waiting
         self.next_sequence = task << 40
-        self.dealt = dict.fromkeys(tiers, 0)
-        self.task, self.n = task, 0
+        self.dealt: dict[int, int] = {}
+        self.n = 0
         self.sizes: list[tuple[int, int]] = []   # (length, number) of waiting rests, in order
         self.rests: dict[int, Rest] = {}
         self.rows: list[tuple] = []
@@ -207,28 +208,44 @@ class Packer:
 
     def _emit(self, pieces: list[Rest], context: int) -> None:
         dealt = self.dealt.get(context, 0)
-        group = f"{self.task}-{context}-{dealt * context // self.step_tokens}"
         offset = 0
         for piece in pieces:
             crc = zlib.crc32(piece.ids.astype("<u4").tobytes())
             self.rows.append((piece.doc_id, piece.start, len(piece.ids), crc, piece.doc_tokens, self.next_sequence,
-                              offset, context, group))
+                              offset, context, dealt))
             offset += len(piece.ids)
         self.dealt[context] = dealt + 1
         self.next_sequence += 1
 
 
+def with_step_groups(pieces: DataFrame, step_tokens: int = STEP_TOKENS) -> DataFrame:
+    """``pieces`` with step_group: sequences of one context, numbered over all tasks, are dealt to groups of ``step_tokens`` tokens, so
+    that in the whole run one group per context is short. The sequences that a task cuts its last window into have contexts of
+    their own (the powers of two below the tiers) and form groups like others. A context longer than ``step_tokens`` has one
+    sequence per group."""
+    task = F.shiftright("sequence_id", 40)
+    counts = pieces.groupBy(task.alias("_task"), "context").agg((F.max("dealt") + 1).alias("_n"))
+    # One row per task and context.
+    before = W.partitionBy("context").orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select("_task", "context", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    number = F.floor((F.col("_before") + F.col("dealt")) / F.greatest(F.lit(1), F.floor(F.lit(step_tokens) / F.col("context"))))
+    joined = pieces.withColumn("_task", task).join(starts, ["_task", "context"])
+    group = F.concat_ws("-", "context", number.cast("string"))
+    return joined.withColumn("step_group", group).select(*[c for c in pieces.columns if c != "dealt"], "step_group")
+
+
 def pack(df: DataFrame, vocabulary: str, end_id=2, id_column="doc_id", text="text") -> DataFrame:
     """One row per piece of a document: id, start, length, ids_crc32 (of the ids as little-endian 32-bit numbers),
     doc_tokens (with the end id), sequence_id, offset, context (the sequence's length) and step_group.
 
     A document is its ids by the library without added special tokens, then ``end_id``. Null and empty texts are the
     end id alone; null ids and repeated rows are packed like others; other columns are not read. An empty table gives
-    no rows. A map-only job: a repeated task reads the same rows and gives the same pieces.
+    no rows. Texts are encoded whole, however long; a long one is cut into windows. The pieces are written once, so
+    sequence numbers stay the same when tasks are repeated, and then dealt to step groups.
     """
     id_type = df.schema[id_column].dataType.simpleString()
     schema = (f"`{id_column}` {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-              "sequence_id bigint, offset bigint, context bigint, step_group string")
+              "sequence_id bigint, offset bigint, context bigint, dealt bigint")
     names = [part.split()[0].strip("`") for part in schema.split(", ")]
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
@@ -248,4 +265,5 @@ def pack(df: DataFrame, vocabulary: str, end_id=2, id_column="doc_id", text="tex
         if packer.rows:
             yield frame(packer.rows)
 
-    return df.select(F.col(id_column).alias("_id"), text_or_empty(text).alias("_text")).mapInPandas(run, schema)
+    texts = df.select(F.col(id_column).alias("_id"), text_or_empty(text).alias("_text"))
+    return with_step_groups(staged(texts.mapInPandas(run, schema), "pieces"))

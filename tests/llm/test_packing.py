@@ -76,10 +76,19 @@ def test_pieces_cover_documents_without_padding(waiting):
         packer.add(i, np.array(ids, np.int32))
     packer.finish()
     check(packer.rows, documents)
-    tokens = {}
-    for r in packer.rows:
-        tokens[r[8]] = tokens.get(r[8], 0) + r[2]
-    assert max(tokens.values()) <= packing.STEP_TOKENS
+
+
+def test_step_groups_are_short_once_per_context(spark, documents):
+    rnd = random.Random(3)
+    df = documents([(i, " ".join(["word"] * rnd.choice([90, 300, 700, 1500, 9000]))) for i in range(150)]).repartition(6)
+    pieces = pack(df, PATH)
+    assert pieces.select(F.shiftright("sequence_id", 40)).distinct().count() > 3
+    groups = pieces.groupBy("context", "step_group").agg(F.sum("length").alias("tokens")).collect()
+    short = {}
+    for g in groups:
+        assert g.tokens <= max(packing.STEP_TOKENS, g.context)
+        short.setdefault(g.context, []).append(g.tokens < packing.STEP_TOKENS)
+    assert all(sum(s) <= 1 for s in short.values()) and sum(len(s) for s in short.values()) > 10
 
 
 def test_pack(spark, documents):
