@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cyclelake.llm.common import is_held_out, text_or_empty
 from cyclelake.llm.samples import Adam, logistic, sampled_ids, sampled_texts, sigmoid
@@ -120,10 +121,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, positives=POSITIVES, unlabel
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"good": batch["_good"], "not_web": batch["_not_web"],
-                                "x": [features(t).tobytes() for t in batch["_text"]], "id": batch["_id"].astype("int64")})
+                                "x": [features(t).tobytes() for t in batch["_text"]], "id": batch["_place"]})
 
-    rows = sampled_texts(docs, ids, id_column, text).mapInPandas(
-        describe, "good int, not_web int, x binary, id bigint").toPandas().sort_values("id")
+    # An order of rows that does not depend on partitions: whole numbers as they are, other ids by hash.
+    whole = isinstance(ids.schema["_id"].dataType, T.IntegralType)
+    place = F.col("_id").cast("bigint") if whole else F.xxhash64("_id")
+    rows = sampled_texts(docs, ids, id_column, text).withColumn("_place", place).mapInPandas(
+        describe, "good int, not_web int, x binary, id bigint").toPandas().sort_values(["id", "x"])
     width = CLASSES * CLASSES + DENSE
     blank = QualityModel(np.zeros(width), np.ones(width), np.zeros(width), 0.0, 0.5)
     if rows.empty:
@@ -157,14 +161,16 @@ def quality_score(model: QualityModel, text="text") -> Column:
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_column="doc_id", text="text", **options) -> DataFrame:
     """id, held_out, score, predicted (1 if score >= 0.3): one row per input row. Null and empty texts are scored like
-    others, repeated rows alike; rows without an id are not held out and teach nothing. Without labels every score is
-    0.5. Other columns are not read."""
+    others, repeated rows alike; rows without an id are not held out and teach nothing; ids may be numbers or texts. Texts are
+    described whole: beyond 200,000 characters in blocks, whose shares (repetition, lengths) are averaged by their words. Without
+    labels every score is 0.5. An empty table gives no rows. Other columns are not read."""
     model = fit_quality(docs, labels, id_column=id_column, text=text, **options)
     scored = docs.select(id_column, is_held_out(id_column).alias("held_out"), quality_score(model, text).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= ACCEPT).cast("int"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts."""
+    """The rows of ``docs`` that the classifier accepts, as they are: null texts count as empty ones, repeated rows stay or go
+    together, ties with the threshold stay, an empty table stays empty."""
     model = fit_quality(docs, labels, **options)
     return docs.filter(quality_score(model, options.get("text", "text")) >= ACCEPT)

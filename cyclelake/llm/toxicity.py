@@ -242,6 +242,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_column="doc_id", text
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are not rejected."""
+    """The rows of ``docs`` that are not rejected, as they are: null texts count as empty ones, repeated rows stay or go together,
+    ties with the threshold go, an empty table stays empty. Texts are read whole."""
     model = fit_toxicity(docs, labels, **options)
     return docs.filter(toxicity_score(model, options.get("text", "text")) < REJECT)

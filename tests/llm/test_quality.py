@@ -52,3 +52,52 @@ def test_odd_rows(spark, documents):
     out = quality_scores(documents([(i, f"text number {i}") for i in range(60)] + rows), labels).collect()
     assert len(out) == 65 and all(0 <= r.score <= 1 for r in out)
     assert quality_scores(documents([]), labels).count() == 0
+
+
+def test_features_equal_a_plain_count():
+    """Pairs of byte classes and shares, letter by letter and word by word."""
+    for text in ("One two two. THREE!! | %% \n\nOne two two", "a", "", "é 12,5 (x) \"y\"\tz\n\n\nz"):
+        kinds = [int(quality._CLASS[b]) for b in b" " + text.encode() + b" "]
+        pairs = np.zeros(quality.CLASSES ** 2)
+        for a, b in zip(kinds, kinds[1:]):
+            pairs[a * quality.CLASSES + b] += 1
+        words, lines = text.split(), [x for x in text.split("\n") if x]
+        dense = [0.0] * 7
+        if words:
+            threes = {tuple(words[i:i + 3]) for i in range(len(words) - 2)}
+            dense = [len(set(words)) / len(words), sum(a == b for a, b in zip(words, words[1:])) / len(words),
+                     min(1, len(threes) / max(len(words) - 2, 1)), len(set(lines)) / max(len(lines), 1),
+                     min(len(text) / len(words), 40) / 10, sum(w.isupper() for w in words) / len(words),
+                     sum(w.isalpha() for w in words) / len(words)]
+        expected = [*np.sqrt(pairs / pairs.sum()), *dense, np.log1p(len(words)) / 10]
+        assert features(text) == pytest.approx(np.array(expected, np.float32), abs=1e-6)
+
+
+def test_risk_is_as_low_as_a_search_finds():
+    """The non-negative risk by definition, over a grid of lines, against the fitted one."""
+    rng = np.random.default_rng(4)
+    p = rng.normal(1, 1, (800, 1))
+    u = np.concatenate([rng.normal(1, 1, (400, 1)), rng.normal(-2, 1, (600, 1))])
+
+    def risk(w, b):
+        """Infinite where the negatives' part is below zero: that is what the fit must keep out of."""
+        loss = lambda x, sign: np.logaddexp(0, -sign * (x[:, 0] * w + b)).mean()
+        negative = loss(u, -1) - 0.4 * loss(p, -1)
+        return 0.4 * loss(p, 1) + negative if negative >= 0 else np.inf
+
+    weights, bias = fit_nnpu(p, u, 0.4, epochs=800)
+    best = min(risk(w, b) for w in np.linspace(0, 4, 41) for b in np.linspace(-3, 3, 61))
+    assert risk(weights[0], bias) <= best + 0.03    # small batches keep off the edge where the part turns negative
+
+
+def test_scores_follow_the_model_and_text_ids_work(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(400)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = fit_quality(docs, labels)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in quality_scores(docs, labels).limit(40).collect():
+        z = sum((x - m) / s * w for x, m, s, w in zip(features(texts[r.doc_id]).tolist(), model.mean, model.scale, model.weights))
+        assert r.score == pytest.approx(1 / (1 + np.exp(-z - model.bias)), abs=1e-6)
+    named = lambda df: df.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    out = quality_scores(named(docs), named(labels)).collect()
+    assert len(out) == docs.count() and len({r.score for r in out}) > 100
