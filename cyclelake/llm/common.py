@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclelake.session import staging_path
@@ -10,6 +10,14 @@ from cyclelake.session import staging_path
 # Fixed value: what separates words. Everything else belongs to a word.
 BLANKS = "\t\n\x0b\x0c\r "
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MOST_BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches that tasks hand to Python end after some megabytes, as whole texts may be long. A setting of the user's is left alone."""
+    if spark.conf.get(BATCH_BYTES) == "67108864b":    # Spark's own default
+        spark.conf.set(BATCH_BYTES, str(MOST_BATCH_BYTES))
 
 
 def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
@@ -17,6 +25,7 @@ def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     optimizer knows its true size when it chooses joins. The shuffle files of the write are freed at once. ``by``: a column
     with few values that gets a folder for each."""
     spark = df.sparkSession
+    small_batches(spark)
     path = staging_path(spark, name)
     before = spark.conf.get(SHUFFLE_CLEANUP)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
