@@ -2,6 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a table that is written and read again as the next stage's documents.
 Rejected documents, and all but one of each class of near copies, are gone after their stage; the mix repeats documents.
+Null texts are empty documents in every stage, rows without an id pass the near-duplicate stage, repeated rows are near copies of
+each other, ties are decided by the smaller id; an empty table gives an empty result; other columns are handed on until packing.
 """
 
 from __future__ import annotations
