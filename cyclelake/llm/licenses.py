@@ -3,7 +3,8 @@
 A multinomial logistic regression over word n-grams tells the license family of a paragraph or that it is none of them. It
 is trained on variants of short notice templates (words left out, set among corpus words) and on corpus paragraphs that match
 no template, and its probabilities are calibrated by a temperature on examples kept aside. A prediction counts when the
-paragraph also holds most of a template of that family. Neighbouring lines are also joined, so that wrapped notices are seen
+paragraph also holds most of a template of that family, and what tells families apart agrees: version, restrictions, the kind of
+public license, and that nothing is denied. Neighbouring lines are also joined, so that wrapped notices are seen
 as a whole.
 """
 
@@ -50,9 +51,38 @@ TEMPLATES = {
             "This work is dedicated to the public domain"],
     "ISC": ["Released under the ISC License.",
             "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
+    "CC-BY-ND": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 License."],
+    "CC-BY-NC-SA": ["Licensed under CC BY-NC-SA 4.0.",
+                    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 License."],
+    "CC-BY-NC-ND": ["Licensed under CC BY-NC-ND 4.0.",
+                    "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 License."],
+    "Zlib": ["Released under the zlib license.",
+             "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable"],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"],
+    "OFL-1.1": ["This Font Software is licensed under the SIL Open Font License, Version 1.1."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
     "All-rights-reserved": ["All rights reserved.", "Copyright, all rights reserved", "No part may be reproduced without permission"],
 }
+# Identifiers of the families in one-line tags.
+SPDX = {
+    "MIT": ["MIT"], "Apache-2.0": ["Apache-2.0"], "GPL-3.0": ["GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"],
+    "GPL-2.0": ["GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later"], "LGPL": ["LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later"],
+    "AGPL": ["AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"], "BSD": ["BSD-2-Clause", "BSD-3-Clause"], "MPL-2.0": ["MPL-2.0"],
+    "CC-BY": ["CC-BY-4.0"], "CC-BY-SA": ["CC-BY-SA-4.0"], "CC-BY-NC": ["CC-BY-NC-4.0"], "CC-BY-ND": ["CC-BY-ND-4.0"],
+    "CC-BY-NC-SA": ["CC-BY-NC-SA-4.0"], "CC-BY-NC-ND": ["CC-BY-NC-ND-4.0"], "CC0": ["CC0-1.0"], "ISC": ["ISC"], "Zlib": ["Zlib"],
+    "BSL-1.0": ["BSL-1.0"], "EPL-2.0": ["EPL-2.0"], "OFL-1.1": ["OFL-1.1"], "Unlicense": ["Unlicense"],
+}
+for _family, _names in SPDX.items():
+    TEMPLATES[_family] += [f"SPDX-License-Identifier: {name}" for name in _names]
+# Versions of the families that have one, the restrictions of a family, words for them, kinds of public licenses.
+VERSIONS = {"Apache-2.0": "2", "GPL-3.0": "3", "GPL-2.0": "2", "MPL-2.0": "2", "BSL-1.0": "1", "EPL-2.0": "2", "OFL-1.1": "1.1"}
+RESTRICTIONS = {"nc": "nc", "noncommercial": "nc", "sa": "sa", "sharealike": "sa", "nd": "nd", "noderivatives": "nd", "noderivs": "nd"}
+KINDS = {"lesser": "LGPL", "lgpl": "LGPL", "affero": "AGPL", "agpl": "AGPL"}
+DENIALS = {"not", "never", "isn't", "isn’t", "aren't", "aren’t", "neither", "nor"}
+GRANTS = {"licensed", "released", "distributed", "available", "dedicated", "covered", "published", "granted", "under"}
+NAMED_BEFORE_VERSION = {"version", "v", "license", "gpl", "lgpl", "agpl", "apache", "mpl", "mozilla", "public"}
+VERSION = re.compile(r"v?(\d+(?:\.\d+)*)$")
 # Sentences that use the same words for something else.
 OTHER_USES = [
     "You need a driver license to rent a car.", "The license plate was reserved for the mayor.", "She had the right to use the software.",
@@ -86,6 +116,26 @@ def coverage(words: list[str], family: str) -> float:
     return max((len(own & pairs) / len(pairs) for pairs in _TEMPLATE_PAIRS.get(family, [])), default=0.0)
 
 
+def agrees(words: list[str], family: str) -> bool:
+    """Whether what tells families apart fits the family: no other version is named, the restrictions are the family's, the kind of
+    public license is, and what grants the license is not denied."""
+    if family in VERSIONS:
+        named = [m[1] for a, b in pairwise(words) if a in NAMED_BEFORE_VERSION and (m := VERSION.match(b))]
+        named += [m[1] for w in words if (m := re.match(r"(?:gpl|mpl|apache)-?v?(\d[\d.]*)", w))]
+        if any(re.sub(r"(\.0)+$", "", v) != VERSIONS[family] for v in named):
+            return False
+    if family.startswith("CC-BY"):
+        parts = {p for w in words if "-" in w or w in RESTRICTIONS for p in w.split("-")}
+        held = {RESTRICTIONS[p] for p in parts if p in RESTRICTIONS} | {"nc" for a, b in pairwise(words) if (a, b) == ("non", "commercial")}
+        if held != {r for r in family.lower().split("-") if r in RESTRICTIONS}:
+            return False
+    if family in ("GPL-3.0", "GPL-2.0", "LGPL", "AGPL"):
+        kinds = {KINDS[p] for w in words for p in w.split("-") if p in KINDS}
+        if kinds != ({family} if family in KINDS.values() else set()):
+            return False
+    return not any(w in DENIALS and not GRANTS.isdisjoint(words[at + 1:at + 4]) for at, w in enumerate(words))
+
+
 @dataclass(frozen=True)
 class LicenseModel:
     """Weights per n-gram of the templates and family, biases, and the temperature of the calibrated probabilities."""
@@ -115,7 +165,7 @@ class LicenseModel:
         best = int(p.argmax())
         if best == 0 or p[best] < SURE:
             return None
-        return FAMILIES[best], float(p[best]), coverage(words, FAMILIES[best])
+        return FAMILIES[best], float(p[best]), coverage(words, FAMILIES[best]) if agrees(words, FAMILIES[best]) else 0.0
 
     def notices(self, text: str) -> tuple[int, list[tuple[str, float]], int]:
         """Number of lines, (family, probability) of confirmed notices, and number of unconfirmed ones.
@@ -231,13 +281,18 @@ def scan_licenses(df: DataFrame, id_column="doc_id", text="text", sampled=PARAGR
     """id, n_paragraphs, licenses (confirmed families, sorted, each once), n_confirmed and n_unconfirmed (notices), and
     probability (the highest of a confirmed one, else null): one row per input row.
 
-    Paragraphs are the non-blank lines of the whole text; a notice is a line or several neighbouring ones. Null and
+    n_paragraphs counts the non-blank lines of the whole text, however long; a notice is a line or several neighbouring ones. Null and
     empty texts have none; null ids and repeated rows are kept; other columns are not read; an empty table
     gives no rows. The classifier is fitted on the templates and on the ``sampled`` corpus paragraphs with the smallest hashes.
     """
     rows = df.select(F.col(id_column).alias("_id"), text_or_empty(text).alias("_text"))
-    lines = rows.select("_text", F.explode(F.split("_text", "\n")).alias("p"))
-    sample = lines.select(F.xxhash64("_text", "p").alias("h"), "p").orderBy("h", "p").limit(sampled).collect()
+    lines = rows.select("_text", F.explode(F.split("_text", "\n")).alias("p")).select(F.xxhash64("_text", "p").alias("h"), "p")
+    # Only lines below a hash that twice the sample lies below can be in it, so tasks send the driver no more than that together.
+    total = rows.agg(F.sum(F.length("_text") - F.length(F.translate("_text", "\n", "")) + 1)).first()[0] or 0
+    least = int(-2 ** 63 + 2 ** 64 * min(1.0, 2 * sampled / total)) if total > 2 * sampled else 2 ** 63 - 1
+    sample = lines.filter(F.col("h") <= min(least, 2 ** 63 - 1)).orderBy("h", "p").limit(sampled).collect()
+    if len(sample) < min(sampled, total):    # lines that repeat may share few hashes
+        sample = lines.orderBy("h", "p").limit(sampled).collect()
     model = fit_licenses([r.p for r in sample])
     id_type = df.schema[id_column].dataType.simpleString()
 
