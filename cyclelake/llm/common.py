@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +24,16 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_BYTES, str(MOST_BATCH_BYTES))
 
 
+def release_memory() -> None:
+    """Gives what a worker has freed back to the system. Workers live on after a partition, beside those of later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):    # another C library
+        pass
+
+
 def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: its lineage is cut, later reads cost a scan, and the
     optimizer knows its true size when it chooses joins. The shuffle files of the write are freed at once. ``by``: a column

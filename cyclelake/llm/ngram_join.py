@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cyclelake.llm.common import staged, text_or_empty
+from cyclelake.llm.common import release_memory, staged, text_or_empty
 from cyclelake.llm.components import components
 
 SLICE_BYTES = 4_000_000      # text of a slice
@@ -34,7 +34,7 @@ FRAGMENT_BYTES = 16_000_000  # text behind a screening fragment
 LEAST_FRAGMENTS = 32
 FRAGMENTS = 4                # of the global order
 STAR_KEYS = 3
-KNOWN = 500_000              # words a worker remembers
+KNOWN = 300_000              # words a worker remembers
 SHARED = 65_535              # place of a shingle that several documents of a slice hold
 MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -141,7 +141,8 @@ def _scan(fragments: int, words: int, threshold: int):
                     packed = _Slice(number, fragments, threshold)
         if packed.docs:
             yield packed.rows()
-        _WORDS.clear()    # workers live on, and later stages need their memory
+        _WORDS.clear()
+        release_memory()
 
     return run
 
@@ -205,6 +206,7 @@ def _ordered_sets(df: DataFrame, groups: DataFrame, words: int, threshold: int)
                 if rows:
                     yield pd.DataFrame(rows, columns=["id", "n", "hashes"])
         _WORDS.clear()
+        release_memory()
 
     again = df.join(likely, F.col("_id") == F.col("rep")).select("_id", "_text", "_digest")
     sets = staged(again.mapInPandas(run, "id bigint, n bigint, hashes array<bigint>"), "sets")

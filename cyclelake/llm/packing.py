@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from cyclelake.llm.common import staged, text_or_empty
+from cyclelake.llm.common import release_memory, staged, text_or_empty
 
 TIERS = (512, 1024, 2048, 4096)
 STEP_TOKENS = 32_768     # tokens of a step group
 WAITING = 1_000          # documents that wait for a window in a task
-KNOWN = 700_000          # chunks a worker remembers
+KNOWN = 400_000          # chunks, and words, a worker remembers
 SLICE_BYTES = 1_000_000  # text handled at once
 # Fixed value: how the vocabulary file cuts words, for lower-case Latin letters and printable ASCII.
 WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
@@ -52,9 +52,10 @@ class ChunkTokenizer:
         cut = ByteLevel(add_prefix_space=False)
         self.as_bytes = {ord(c): cut.pre_tokenize_str(c)[0][0] for c in ACCENTED}
         self.words: dict[str, list[int]] = {}
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drops the chunks; words stay for the next partition."""
         self.known: dict[bytes, int] = {}
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
@@ -66,7 +67,7 @@ class ChunkTokenizer:
         if len(self.words) > KNOWN:
             self.words.clear()
         if len(self.known) + len(new) > KNOWN:
-            self._forget()
+            self.forget()
             new = list(chunks)
         plain, others = [], []
         ids: list[int] = []
@@ -264,6 +265,8 @@ def pack(df: DataFrame, vocabulary: str, end_id=2, id_column="doc_id", text="tex
         packer.finish()
         if packer.rows:
             yield frame(packer.rows)
+        tokenizer.forget()
+        release_memory()
 
     texts = df.select(F.col(id_column).alias("_id"), text_or_empty(text).alias("_text"))
     return with_step_groups(staged(texts.mapInPandas(run, schema), "pieces"))

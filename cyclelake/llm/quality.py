@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclelake.llm.common import is_held_out, text_or_empty
+from cyclelake.llm.common import is_held_out, release_memory, text_or_empty
 from cyclelake.llm.samples import Adam, logistic, sampled_ids, sampled_texts, sigmoid
 
 POSITIVES, UNLABELLED = 6_000, 12_000   # documents the model is fitted on, at most
@@ -155,6 +155,7 @@ def quality_score(model: QualityModel, text="text") -> Column:
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(model.scores(texts.tolist()), dtype="float64")
+        release_memory()
 
     return score(text_or_empty(text))
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cyclelake.llm.common import is_held_out, staged, text_or_empty
+from cyclelake.llm.common import release_memory, is_held_out, staged, text_or_empty
 from cyclelake.llm.samples import logistic, sampled_ids, sampled_texts, sigmoid
 
 TOXIC, CLEAN = 4_000, 8_000   # labelled documents the lexicon is learned from, at most
@@ -228,6 +228,8 @@ def toxicity_score(model: ToxicityModel, text="text") -> Column:
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(model.scores(texts.tolist()), dtype="float64")
+        _FOLD.clear()
+        release_memory()
 
     return score(text_or_empty(text))
 
