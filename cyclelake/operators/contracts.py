@@ -64,6 +64,7 @@ class Json:
             value = parts.getField(field)
             found = {
                 "type": F.schema_of_variant(value), "text": F.try_variant_get(value, "$", "string"), "variant": value,
+                "absent": value.isNull(), "void": F.is_variant_null(value),
             }
             columns += [found[u].alias(f"_{u}{self.tag}_{field}") for u in sorted(uses)]
         return columns
@@ -72,11 +73,11 @@ class Json:
         return self.text(field).try_cast("double")
 
     def missing(self, field: str) -> Column:
-        return self._type(field).isNull()
+        return self._use(field, "absent")
 
     def null(self, field: str) -> Column:
         """Absent or JSON null."""
-        return F.coalesce(self._type(field), F.lit("VOID")) == "VOID"
+        return self._use(field, "absent") | F.coalesce(self._use(field, "void"), F.lit(True))
 
     def is_a(self, field: str, kind: str) -> Column:
         found = F.coalesce(self._type(field), F.lit("VOID"))
@@ -144,6 +145,7 @@ def check(df: DataFrame, raw: str, rules, extra=None) -> DataFrame:
 
 def validate_reading(df: DataFrame, raw: str = "raw_payload", strict_fields: bool = True) -> DataFrame:
     """Sensor message. With ``strict_fields`` a field outside the contract makes the row invalid."""
+    # The fields of the contract.
     known = [
         "reading_id", "order_id", "oven_id", "plant", "sensor_type", "value", "unit", "quality", "timestamp_opc",
         "timestamp_mqtt",
@@ -173,6 +175,7 @@ def validate_reading(df: DataFrame, raw: str = "raw_payload", strict_fields: boo
 
 
 def validate_process_state(df: DataFrame, raw: str = "raw_payload") -> DataFrame:
+    # Numeric fields of the contract.
     numbers = ["temperature_degC", "vacuum_mbar", "moisture_ppm", "cycle_elapsed_minutes"]
     return check(df, raw, lambda j: [
         j.matches("oven_id", OVEN, "oven-NN"),
@@ -249,6 +252,7 @@ def validate_confirmation(df: DataFrame, raw: str = "raw_payload") -> DataFrame:
 
 
 def validate_order(df: DataFrame, raw: str = "raw_payload") -> DataFrame:
+    # Required fields of the contract.
     stamps, open_stamps = ["planned_start", "planned_end", "created_at", "updated_at"], ["actual_start", "actual_end"]
     texts = ["operator_id", "sap_confirmation_number"]
     keys = [
@@ -269,6 +273,7 @@ def validate_order(df: DataFrame, raw: str = "raw_payload") -> DataFrame:
 
 
 def validate_material(df: DataFrame, raw: str = "raw_payload") -> DataFrame:
+    # Numeric fields of the contract.
     ints = ["target_moisture_ppm", "standard_cycle_minutes", "max_cycle_minutes"]
     numbers = ["target_temperature_degC", "target_vacuum_mbar", "weight_kg"]
 
@@ -290,6 +295,7 @@ def validate_material(df: DataFrame, raw: str = "raw_payload") -> DataFrame:
 
 
 def validate_goods_movement(df: DataFrame, raw: str = "raw_payload") -> DataFrame:
+    # Required fields of the contract.
     keys = [
         "document_number", "order_id", "material_id", "movement_type", "quantity", "unit", "posting_date",
         "storage_location", "posted_at", "status",

@@ -37,7 +37,8 @@ def _aggregates() -> list:
 
 def order_partials(rows: DataFrame) -> DataFrame:
     """One state per order of ``rows``: cycle events with parsed payload and Silver readings in one table, told apart by
-    event_type and sensor_type; other rows only name their order. Events may come as copies, readings may not. Sums are
+    event_type and sensor_type; other rows only name their order, and rows without one are a group of their own. Events may come
+    as copies, readings may not. Sums are
     decimals with twelve places, which add up exactly; values beyond them (10^26, not a number) go to a sum of doubles."""
     event, value = F.col("event_type"), F.col("value")
     sensor = lambda name: F.col("sensor_type") == name
@@ -49,8 +50,7 @@ def order_partials(rows: DataFrame) -> DataFrame:
         "last_moisture": F.when(moisture, _struct(LAST)), "moisture_sum": F.when(moisture, exact),
         "moisture_rest": F.when(moisture & exact.isNull(), value), "moisture_n": F.when(moisture & value.isNotNull(), F.lit(1)),
     }
-    known = rows.filter(F.col("order_id").isNotNull())
-    return known.select("order_id", *[c.alias(n) for n, c in spread.items()]).groupBy("order_id").agg(*_aggregates())
+    return rows.select("order_id", *[c.alias(n) for n, c in spread.items()]).groupBy("order_id").agg(*_aggregates())
 
 
 def merge_partials(states: DataFrame) -> DataFrame:

@@ -13,17 +13,30 @@ from cyclelake.session import staging_path
 from cyclelake.sources import messages as m
 from cyclelake.sources import reference as ref
 from cyclelake.sources import tables as t
+from cyclelake.sources.capture_source import CaptureSource
 
 PAGE = 500
 
 
 def capture(lake):
-    """Messages written as a capture file, some lines without a payload, read back and checked per topic."""
+    """Messages written as a capture file, some lines without a payload, read back and checked."""
     path = staging_path(lake.spark, "capture")
     line = F.when(F.col("event_id") % 47 == 0, F.col("topic")).otherwise(F.concat_ws(" ", "topic", "raw_payload"))
     lake.view("m_readings").select(line).write.text(path)
     messages = m.read_capture(lake.spark, path).filter(F.col("topic").isNotNull())
-    return c.validation_summary(c.validate_reading(messages), "topic")
+    return c.validate_reading(messages).select("topic", "raw_payload", "is_valid")
+
+
+def captured_stream(lake):
+    """The same capture as a stream of its own source, which reads the moisture topics only."""
+    path, out = staging_path(lake.spark, "capture"), staging_path(lake.spark, "captured")
+    lake.view("m_readings").select(F.concat_ws(" ", "topic", "raw_payload")).write.text(path)
+    lake.spark.dataSource.register(CaptureSource)
+    stream = lake.spark.readStream.format("capture").option("topics", "factory/+/+/moisture").load(path)
+    stream.select("topic", "raw_payload").writeStream.format("parquet").option(
+        "checkpointLocation", staging_path(lake.spark, "progress")).option("path", out).trigger(
+        availableNow=True).start().awaitTermination()
+    return lake.spark.read.parquet(out)
 
 
 def landed(lake):
@@ -33,22 +46,15 @@ def landed(lake):
     stream = m.accepted(m.parse_readings(m.read_sensor_stream(lake.spark, landing)))
     stream.writeStream.format("parquet").option("checkpointLocation", staging_path(lake.spark, "progress")).option(
         "path", out).trigger(availableNow=True).start().awaitTermination()
-    return lake.spark.read.parquet(out).groupBy("oven_id", "sensor_type", "quality").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("value").alias("low"), F.max("value").alias("high")
-    )
+    return lake.spark.read.parquet(out).drop("raw_payload")
 
 
 def events_in(lake):
+    """Every event, accepted with its fields or refused."""
     good, bad = m.ingest_cycle_events(lake.view("m_events"))
-    counted = good.groupBy("event_type", "oven_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("event_time").alias("first_event"),
-        F.count("operator_id").alias("n_operators"),
-    )
-    refused = bad.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit("refused").alias("event_type"), F.lit("-").alias("oven_id"), "n_rows",
-        F.lit(None).cast("timestamp").alias("first_event"), F.lit(0).cast("bigint").alias("n_operators"),
-    )
-    return counted.unionByName(refused)
+    kept = ["raw_payload", "event_id", "event_type", "order_id", "oven_id", "operator_id", "event_time"]
+    refused = bad.select("raw_payload", F.lit("refused").alias("event_type"))
+    return good.select(*kept).unionByName(refused, allowMissingColumns=True)
 
 
 def odata(lake):
@@ -74,7 +80,7 @@ def snapshots(lake):
     ref.snapshot_refresh(orders.filter("status = 'CONFIRMED'"), path, "2024-01-01 08:00:00")
     ref.snapshot_refresh(orders, path, "2024-01-01 09:00:00")
     ref.snapshot_refresh(orders.filter("plant = 'regensburg'"), path, "2024-01-02 08:00:00")
-    return lake.spark.read.parquet(path).groupBy("ingested_at", "status").agg(F.count(F.lit(1)).alias("n_orders"))
+    return lake.spark.read.parquet(path).select("ingested_at", "order_id", "status", "oven_id", "updated_at")
 
 
 def seeded(lake):
@@ -131,14 +137,15 @@ PARSED = f"""select *, case when j is null then 'not valid JSON' when json_type(
     from m_readings)"""
 TEXT = "json_extract_string(j, '$.{0}') as {0}".format
 
+READ = f"""topic, {TEXT('reading_id')}, {TEXT('plant')}, {TEXT('oven_id')}, {TEXT('sensor_type')},
+  {VALUE} as value, {TEXT('unit')}, {TEXT('quality')}, {TEXT('order_id')},
+  cast(cast(json_extract_string(j, '$.timestamp_opc') as timestamptz) at time zone 'UTC' as timestamp) as timestamp_opc,
+  cast(cast(json_extract_string(j, '$.timestamp_mqtt') as timestamptz) at time zone 'UTC' as timestamp) as timestamp_mqtt"""
+
 QUERIES = {
     "parse_readings": (
         lambda lake: m.accepted(m.parse_readings(lake.view("m_readings").select("topic", "raw_payload"))).drop("raw_payload"),
-        sql(f"""select topic, {TEXT('reading_id')}, {TEXT('plant')}, {TEXT('oven_id')}, {TEXT('sensor_type')},
-  {VALUE} as value, {TEXT('unit')}, {TEXT('quality')}, {TEXT('order_id')},
-  cast(cast(json_extract_string(j, '$.timestamp_opc') as timestamptz) at time zone 'UTC' as timestamp) as timestamp_opc,
-  cast(cast(json_extract_string(j, '$.timestamp_mqtt') as timestamptz) at time zone 'UTC' as timestamp) as timestamp_mqtt
-  from parsed where reject_reason is null""", parsed=PARSED),
+        sql(f"select {READ} from parsed where reject_reason is null", parsed=PARSED),
     ),
     "quarantined_readings": (
         lambda lake: m.rejected(m.parse_readings(lake.view("m_readings").select("topic", "raw_payload"))),
@@ -155,13 +162,8 @@ QUERIES = {
         capture,
         None,
     ),
-    "sensor_landing_stream": (
-        landed,
-        sql("""select json_extract_string(j, '$.oven_id') as oven_id, json_extract_string(j, '$.sensor_type') as sensor_type,
-  json_extract_string(j, '$.quality') as quality, count(*) as n_rows, min(v) as low, max(v) as high
-  from (select *, try_cast(json_extract_string(j, '$.value') as double) as v from parsed where reject_reason is null)
-  group by 1, 2, 3""", parsed=PARSED),
-    ),
+    "capture_stream": (captured_stream, sql("select topic, raw_payload from m_readings where sensor_type = 'moisture'")),
+    "sensor_landing_stream": (landed, sql(f"select {READ} from parsed where reject_reason is null", parsed=PARSED)),
     "ingest_cycle_events": (events_in, None),
     "read_odata_list": (
         odata,
@@ -170,8 +172,8 @@ QUERIES = {
     ),
     "snapshot_refresh": (
         snapshots,
-        sql("""select timestamp '2024-01-01 09:00:00' as ingested_at, status, count(*) as n_orders from s_orders group by 2
-  union all select timestamp '2024-01-02 08:00:00', status, count(*) from s_orders where plant = 'regensburg' group by 2"""),
+        sql("""select timestamp '2024-01-01 09:00:00' as ingested_at, order_id, status, oven_id, updated_at from s_orders
+  union all select timestamp '2024-01-02 08:00:00', order_id, status, oven_id, updated_at from s_orders where plant = 'regensburg'"""),
     ),
     "load_seed": (
         seeded,
@@ -198,16 +200,16 @@ def _late_references():
 
     query, _ = QUERIES["read_capture"]
     QUERIES["read_capture"] = (query, sql(
-        """select topic, count(*) filter (where len(errors) = 0) as passed, count(*) filter (where len(errors) > 0) as failed,
-  count(*) as total from m_readings m join checked_c1 c on m.event_id = c.event_id where m.event_id % 47 <> 0 group by topic""",
-        **ALL))
+        """select m.topic, m.raw_payload, len(errors) = 0 as is_valid
+  from m_readings m join checked_c1 c on m.event_id = c.event_id where m.event_id % 47 <> 0""", **ALL))
     query, _ = QUERIES["ingest_cycle_events"]
     QUERIES["ingest_cycle_events"] = (query, sql(
-        """select json_extract_string(raw_payload, '$.event_type') as event_type,
-    json_extract_string(raw_payload, '$.oven_id') as oven_id, count(*) as n_rows,
-    min(cast(replace(replace(json_extract_string(raw_payload, '$.timestamp'), 'T', ' '), 'Z', '') as timestamp)) as first_event,
-    count(json_extract_string(raw_payload, '$.operator_id')) as n_operators from checked_c10 where len(errors) = 0 group by 1, 2
-  union all select 'refused', '-', count(*), null, 0 from checked_c10 where len(errors) > 0""", **ALL))
+        """select raw_payload, json_extract_string(raw_payload, '$.event_id') as event_id,
+    json_extract_string(raw_payload, '$.event_type') as event_type, json_extract_string(raw_payload, '$.order_id') as order_id,
+    json_extract_string(raw_payload, '$.oven_id') as oven_id, json_extract_string(raw_payload, '$.operator_id') as operator_id,
+    cast(replace(replace(json_extract_string(raw_payload, '$.timestamp'), 'T', ' '), 'Z', '') as timestamp) as event_time
+    from checked_c10 where len(errors) = 0
+  union all select raw_payload, null, 'refused', null, null, null, null from checked_c10 where len(errors) > 0""", **ALL))
 
 
 _late_references()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cyclelake.operators import gold as g
 from cyclelake.operators import silver as s
 from cyclelake.plans.checks import sql
+from cyclelake.schemas import EVENT_PAYLOAD
 from cyclelake.session import staging_path
 from cyclelake.sources import silver_tables as st
 
@@ -48,6 +49,9 @@ EFFICIENCY = """select material_id, max(material_description) as material_descri
   count(*) filter (where spec_met) as cycles_meeting_moisture_spec, avg(final_moisture_ppm) as avg_final_moisture_ppm,
   100.0::double * count(*) filter (where spec_met) / count(*) as pct_spec_met from gold group by material_id"""
 
+SQL_TYPE = {"number": "double", "string": "varchar", "int": "integer"}
+PAYLOAD = {name: SQL_TYPE[kind] for fields in EVENT_PAYLOAD.values() for name, kind in fields.items()}
+
 QUERIES = {
     "silver_readings": (
         lambda lake: lake.readings(),
@@ -56,11 +60,8 @@ QUERIES = {
     ),
     "gold_over_silver_tables": (over_tables, sql("select * from gold")),
     "quality_flag": (
-        lambda lake: s.quality_flag(lake.view("br_readings")).groupBy("plant", "sensor_type", "is_good_quality").agg(
-            F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("total_value")
-        ),
-        sql("""select plant, sensor_type, quality = 'Good' as is_good_quality, count(*) as n_rows,
-  sum(value) as total_value from br_readings group by all"""),
+        lambda lake: s.quality_flag(lake.view("br_readings")).select("reading_id", "value", "quality", "timestamp_mqtt", "is_good_quality"),
+        sql("select reading_id, value, quality, timestamp_mqtt, quality = 'Good' as is_good_quality from br_readings"),
     ),
     "silver_cycle_events": (
         lambda lake: lake.events(),
@@ -76,15 +77,9 @@ QUERIES = {
   json_extract_string(payload, '$.error_message') as error_message from s_events"""),
     ),
     "event_payload_fields": (
-        lambda lake: s.parse_event_payload(lake.view("br_events")).groupBy("event_type").agg(
-            F.count("setpoint_vacuum_mbar").alias("n_setpoints"), F.count("reason").alias("n_reasons"),
-            F.count("elapsed_minutes").alias("n_elapsed"), F.count("error_code").alias("n_errors"),
-            F.count("goods_movement_document").alias("n_documents"),
-        ),
-        sql("""select event_type, count(json_extract(payload, '$.setpoint_vacuum_mbar')) as n_setpoints,
-  count(json_extract(payload, '$.reason')) as n_reasons, count(json_extract(payload, '$.elapsed_minutes')) as n_elapsed,
-  count(json_extract(payload, '$.error_code')) as n_errors,
-  count(json_extract(payload, '$.goods_movement_document')) as n_documents from br_events group by event_type"""),
+        lambda lake: s.parse_event_payload(lake.view("br_events")).select("event_id", "event_type", "event_time", *PAYLOAD),
+        sql("select event_id, event_type, event_time, " + ", ".join(
+            f"cast(json_extract_string(payload, '$.{n}') as {k}) as \"{n}\"" for n, k in PAYLOAD.items()) + " from br_events"),
     ),
     "cycle_pairs": (lambda lake: lake.pairs(), sql("select * from s_pairs")),
     "silver_orders": (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cyclelake.operators import silver as s
 from cyclelake.operators import timeseries as ts
-from cyclelake.plans.catalog.bronze import PARSED
+from cyclelake.plans.catalog.bronze import PARSED, VALUE
 from cyclelake.plans.catalog.series import DRYING, ETA, JUMPS, STALLED, VACUUM, oven_setpoints, shown_eta, targets
 from cyclelake.plans.catalog.state import AS_OF, PARTS
 from cyclelake.plans.checks import sql
@@ -32,16 +32,28 @@ def bronze(lake):
     good, bad = staging_path(lake.spark, "bronze"), staging_path(lake.spark, "quarantine")
     messages = lake.view("m_readings", live=["events"]).select("topic", "raw_payload")
     finish(lake, j.bronze_stream(messages, good, bad))
-    stored = read_bronze(lake.spark, good).groupBy(F.col("quality").alias("kind")).agg(F.count(F.lit(1)).alias("n_rows"))
-    refused = j.read_quarantine(lake.spark, bad).groupBy(F.col("reject_reason").alias("kind")).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
-    return stored.unionByName(refused)
+    stored = read_bronze(lake.spark, good).select(F.col("quality").alias("kind"), "reading_id", "oven_id", "value", "timestamp_opc", "raw_payload")
+    refused = j.read_quarantine(lake.spark, bad).select(F.col("reject_reason").alias("kind"), "raw_payload")
+    return stored.unionByName(refused, allowMissingColumns=True)
+
+
+def deliveries(lake):
+    """Bronze readings with their arrival: 0 for the first good delivery of a reading, 1 for repeated ones."""
+    delivery = W.partitionBy("reading_id", F.col("quality") == "Good").orderBy("timestamp_mqtt", "timestamp_opc", "value")
+    return lake.view("br_readings").withColumn("part", F.least(F.lit(1), F.row_number().over(delivery) - 1))
 
 
 def silver(lake):
-    stream = j.silver_readings_stream(lake.view("br_readings", live=["lineitem"]))
-    return through_table(lake, stream).select("reading_id", "order_id", "oven_id", "sensor_type", "unit")
+    """Two arrivals, the second with all repeated deliveries."""
+    rows = deliveries(lake)
+    landing, out, progress = (staging_path(lake.spark, n) for n in ("landing", "out", "progress"))
+    rows.write.partitionBy("part").parquet(landing)
+    for part in (0, 1):
+        stream = lake.spark.readStream.schema(rows.drop("part").schema).option("recursiveFileLookup", "true").parquet(
+            f"{landing}/part={{{','.join(map(str, range(part + 1)))}}}")
+        with j.rocksdb(lake.spark):
+            j.start(j.append_sink(j.silver_readings_stream(stream, "9000 days"), out), progress).awaitTermination()
+    return lake.spark.read.schema(rows.drop("part").schema).parquet(out)
 
 
 def windows(lake):
@@ -66,11 +78,10 @@ def gold(lake):
     """Two arrivals: in the first the orders of a third of the cycles and half of the events are missing, in the second come
     these and all repeated deliveries of readings."""
     state, target, waiting = (staging_path(lake.spark, n) for n in ("states", "gold", "pending"))
-    log, series = lake.view("br_events"), lake.view("br_readings")
-    delivery = W.partitionBy("reading_id").orderBy("timestamp_mqtt", "timestamp_opc", "value")
+    log = lake.view("br_events")
     late = F.pmod(F.xxhash64("order_id"), F.lit(3)) == 0
     landings = {"events": log.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(2))),
-                "readings": series.withColumn("part", F.least(F.lit(1), F.row_number().over(delivery) - 1))}
+                "readings": deliveries(lake)}
     landed, progress = {name: staging_path(lake.spark, name) for name in landings}, staging_path(lake.spark, "progress")
     for name, rows in landings.items():
         rows.write.partitionBy("part").parquet(landed[name])
@@ -151,10 +162,18 @@ def eta(lake):
 QUERIES = {
     "bronze_stream": (
         bronze,
-        sql("""select coalesce(reject_reason, json_extract_string(j, '$.quality')) as kind, count(*) as n_rows
-  from parsed group by 1""", parsed=PARSED),
+        sql(f"""select coalesce(reject_reason, json_extract_string(j, '$.quality')) as kind, raw_payload,
+  case when reject_reason is null then json_extract_string(j, '$.reading_id') end as reading_id,
+  case when reject_reason is null then json_extract_string(j, '$.oven_id') end as oven_id,
+  case when reject_reason is null then {VALUE} end as value, case when reject_reason is null then
+    cast(cast(json_extract_string(j, '$.timestamp_opc') as timestamptz) at time zone 'UTC' as timestamp) end as timestamp_opc
+  from parsed""", parsed=PARSED),
+    ),
+    "silver_readings_stream": (
+        silver,
+        sql("""select reading_id, order_id, oven_id, plant, sensor_type, value, unit, quality, timestamp_opc, timestamp_mqtt
+  from s_readings"""),
     ),
-    "silver_readings_stream": (silver, sql("select reading_id, order_id, oven_id, sensor_type, unit from s_readings")),
     "channel_window_stats": (
         windows,
         sql("""select * from (select time_bucket(interval '5' minute, timestamp_opc) as window_start, oven_id, sensor_type,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclelake.functions.timing import to_utc
-from cyclelake.operators.contracts import validate_cycle_event
+from cyclelake.operators.contracts import Json, validate_cycle_event
 
 # Fields every sensor message must have.
 REQUIRED = [
@@ -40,26 +40,24 @@ def read_capture(spark: SparkSession, path: str) -> DataFrame:
 def parse_readings(df: DataFrame, raw: str = "raw_payload") -> DataFrame:
     """Typed reading columns and ``reject_reason`` (null for a usable row): text that is no JSON object, missing
     fields, a value that is no finite number (numeric text is accepted), unreadable timestamps."""
-    parsed = df.withColumn("_v", F.try_parse_json(raw))
-    text = lambda f: F.try_variant_get("_v", f"$.{f}", "string")
-    kind = lambda f: F.schema_of_variant(F.try_variant_get("_v", f"$.{f}", "variant"))
-    fields = [F.schema_of_variant("_v").alias("_whole"), kind("value").alias("_value_kind")]
-    fields += [text(f).alias(f"_{f}") for f in [*REQUIRED, "order_id"]]
-    absent = F.array_compact(F.array(*[F.when(kind(f).isNull(), F.lit(f)) for f in REQUIRED]))
-    read = parsed.select("*", F.inline(F.array(F.struct(*fields, F.array_join(absent, ", ").alias("_absent")))))
-    number = F.when(F.col("_value_kind") != "BOOLEAN", F.col("_value").try_cast("double"))
+    json = Json()
+    absent = F.array_join(F.array_compact(F.array(*[F.when(json.missing(f), F.lit(f)) for f in REQUIRED])), ", ")
+    number = F.when(json.is_a("value", "number") | json.is_a("value", "string"), json.number("value"))
     finite = F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
-    opc, mqtt = to_utc("_timestamp_opc"), to_utc("_timestamp_mqtt")
+    opc, mqtt = to_utc(json.text("timestamp_opc")), to_utc(json.text("timestamp_mqtt"))
+    texts = {f: json.text(f) for f in [*REQUIRED, "order_id"]}
+    parsed = df.withColumn("_v", F.try_parse_json(raw)).withColumn("_s", json.taken_apart(F.col("_v")))
+    read = parsed.select("*", F.inline(F.array(F.struct(F.schema_of_variant("_v").alias("_whole"), *json.read(F.col("_s"))))))
     reason = (
         F.when(F.col("_whole").isNull(), "not valid JSON")
         .when(~F.col("_whole").startswith("OBJECT"), "not a JSON object")
-        .when(F.col("_absent") != "", F.concat(F.lit("missing fields: "), F.col("_absent")))
+        .when(absent != "", F.concat(F.lit("missing fields: "), absent))
         .when(finite.isNull(), "value is not a finite number")
         .when(opc.isNull() | mqtt.isNull(), "unreadable timestamp")
     )
     typed = {"value": finite, "timestamp_opc": opc, "timestamp_mqtt": mqtt}
     kept = [c for c in df.columns if c not in (*REQUIRED, "order_id")]
-    columns = [typed.get(f, F.col(f"_{f}")).alias(f) for f in [*REQUIRED, "order_id"]]
+    columns = [typed.get(f, texts[f]).alias(f) for f in [*REQUIRED, "order_id"]]
     return read.select(*kept, *columns, reason.alias("reject_reason"))
 
 

@@ -191,8 +191,11 @@ def gold_stream(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         shared_dir(spark)
-        # The batch runs once: one small row per order that it names.
+        # The batch runs once: one small row per order that it names, and one for rows without an order, ticks among them.
         new = p.order_partials(batch).checkpoint()
+        if new.isEmpty():    # Spark only wants to move its watermark
+            return
+        new = new.filter(F.col("order_id").isNotNull())
         facts = new.filter(F.greatest(*[F.col(c).isNotNull() for c in p.STATE if c != "order_id"]))
         manifest = v.append(facts, state, ["order_id"], buckets, (_stream_id(batch), batch_id), own=True)
         changed = new.select("order_id")
