@@ -51,7 +51,7 @@ class ChunkTokenizer:
         self.model = self.library.model
         cut = ByteLevel(add_prefix_space=False)
         self.as_bytes = {ord(c): cut.pre_tokenize_str(c)[0][0] for c in ACCENTED}
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}    # tuples of numbers are none of the garbage collector's business
         self.forget()
 
     def forget(self) -> None:
@@ -81,7 +81,7 @@ class ChunkTokenizer:
             for word in WORD.findall(text):
                 found = self.words.get(word)
                 if found is None:
-                    found = self.words[word] = [t.id for t in self.model.tokenize(word.translate(self.as_bytes))]
+                    found = self.words[word] = tuple([t.id for t in self.model.tokenize(word.translate(self.as_bytes))])
                 ids += found
             plain.append(chunk)
             sizes.append(len(ids) - before)
