@@ -246,6 +246,28 @@ def test_extensions_move_deadlines(spark, folder):
         assert sorted(found) == sorted(expected)
 
 
+def test_timeouts_of_many_orders_share_a_state(spark, folder):
+    """One state and one timer per group of orders, not per order; the reports are the same, in one arrival and in three."""
+    names = [f"o{i}" for i in range(60)]
+    log = [event(i, "cycle_started", x, i) for i, x in enumerate(names)]
+    log += [event(100 + i, "cycle_confirmed", x, 300 + i, payload=CONFIRMED) for i, x in enumerate(names) if i % 3 == 0]
+    log += [event(200 + i, "cycle_aborted", x, 900 + i) for i, x in enumerate(names) if i % 3 == 1] + [event(300, "cycle_started", "end", 5000)]
+    limits = spark.createDataFrame([(x, 600) for x in names], "order_id string, max_cycle_minutes int")
+    expected = sorted((x, at(i), at(i + 600), 600) for i, x in enumerate(names) if i % 3)
+    limits = limits.unionByName(spark.createDataFrame([("end", 600)], limits.schema))
+    for parts in (1, 3):
+        out = f"{folder}/{parts}"
+        for i in range(parts):
+            events(spark, log[i * len(log) // parts:(i + 1) * len(log) // parts]).write.mode("append").parquet(f"{out}/log")
+            live = j.timeout_stream(spark.readStream.schema(schemas.EVENT).parquet(f"{out}/log"), limits, keep="30 days", groups=3)
+            with j.rocksdb(spark):
+                query = j.start(j.append_sink(live, f"{out}/found"), f"{out}/progress")
+                query.awaitTermination()
+        assert sorted(tuple(r) for r in spark.read.parquet(f"{out}/found").collect()) == expected
+        # Groups and their timers (each kept under two keys), however many orders there are.
+        assert 0 < query.lastProgress.stateOperators[0].numRowsTotal <= 9
+
+
 def test_upsert_ties(spark, folder):
     rows = lambda *r: spark.createDataFrame(list(r), "k string, v long, x string")
     for version in ("v", None):
