@@ -65,6 +65,9 @@ class Json:
             found = {
                 "type": F.schema_of_variant(value), "text": F.try_variant_get(value, "$", "string"), "variant": value,
                 "absent": value.isNull(), "void": F.is_variant_null(value),
+                # Whether it is one, without the schema of everything inside.
+                "array": F.try_variant_get(value, "$", "array<variant>").isNotNull(),
+                "object": F.try_variant_get(value, "$", "map<string, variant>").isNotNull(),
             }
             columns += [found[u].alias(f"_{u}{self.tag}_{field}") for u in sorted(uses)]
         return columns
@@ -80,11 +83,12 @@ class Json:
         return self._use(field, "absent") | F.coalesce(self._use(field, "void"), F.lit(True))
 
     def is_a(self, field: str, kind: str) -> Column:
+        if kind in ("array", "object"):
+            return F.coalesce(self._use(field, kind), F.lit(False))
         found = F.coalesce(self._type(field), F.lit("VOID"))
         return {
             "string": found == "STRING", "bool": found == "BOOLEAN", "int": found == "BIGINT",
             "number": (found == "BIGINT") | (found == "DOUBLE") | (found == "FLOAT") | found.startswith("DECIMAL"),
-            "array": found.startswith("ARRAY"), "object": found.startswith("OBJECT"),
         }[kind]
 
     # Each rule gives the text of the broken rule, or null.
@@ -129,15 +133,15 @@ def check(df: DataFrame, raw: str, rules, extra=None) -> DataFrame:
     if extra is not None:
         found = F.concat(found, extra(json))
     parsed = df.withColumn("_v", F.try_parse_json(raw)).withColumn("_s", json.taken_apart(F.col("_v")))
-    fields = [F.schema_of_variant("_v").alias("_whole"), *json.read(F.col("_s"))]
+    # Only an object can be taken apart; the schema of the whole text would cost more than parsing it.
+    fields = [F.col("_v").isNull().alias("_unread"), F.col("_s").isNotNull().alias("_whole"), *json.read(F.col("_s"))]
     for field, child in json.children.items():
         parsed = parsed.withColumn(f"_s_{field}", child.taken_apart(F.col("_s").getField(field)))
         fields += child.read(F.col(f"_s_{field}"))
     read = parsed.select("*", F.inline(F.array(F.struct(*fields))))
-    whole = F.col("_whole")
     errors = (
-        F.when(whole.isNull(), F.array(F.lit("payload: not valid JSON")))
-        .when(~whole.startswith("OBJECT"), F.array(F.lit("payload: must be object")))
+        F.when(F.col("_unread"), F.array(F.lit("payload: not valid JSON")))
+        .when(~F.col("_whole"), F.array(F.lit("payload: must be object")))
         .otherwise(found)
     )
     return read.select(*df.columns, errors.alias("errors")).withColumn("is_valid", F.size("errors") == 0)
@@ -203,16 +207,15 @@ def validate_historian_response(df: DataFrame, raw: str = "raw_payload") -> Data
     element_rules(asked)
 
     def opened(e: Column) -> Column:
-        return F.struct(F.schema_of_variant(e).alias("_whole"), asked.taken_apart(e).alias("_s"))
+        return F.struct(asked.taken_apart(e).alias("_s"))
 
     def parts(e: Column) -> Column:
-        return F.struct(e.getField("_whole").alias("_whole"), *asked.read(e.getField("_s")))
+        return F.struct(e.getField("_s").isNotNull().alias("_whole"), *asked.read(e.getField("_s")))
 
     def broken(e: Column, i: Column) -> Column:
         prefix = F.concat(F.lit("readings["), i.cast("string"), F.lit("]"))
         named = F.transform(element_rules(Json(row=e)), lambda t: F.concat(prefix, F.lit("."), t))
-        whole = e.getField("_whole").startswith("OBJECT")
-        return F.when(whole, named).otherwise(F.array(F.concat(prefix, F.lit(": must be object"))))
+        return F.when(e.getField("_whole"), named).otherwise(F.array(F.concat(prefix, F.lit(": must be object"))))
 
     def items(j: Json) -> Column:
         return F.try_variant_get(j.variant("readings"), "$", "array<variant>")

@@ -149,3 +149,30 @@ def test_event_ingest(spark):
     row = stored.first()
     assert stored.count() == 1 and row.raw_payload == good and row.event_type == "cycle_started"
     assert refused.first().errors == ["payload: required for cycle_started"]
+
+
+def test_types_are_told_without_schemas_of_whole_texts(spark):
+    """Whether a text, a list element or a payload is an object or a list needs no schema of what is inside."""
+    texts = [None, "", "{", "null", "7", "[]", "{}", '[{"a": 1}]', '{"readings": null}', '{"readings": {}}', '{"readings": [1, null, [], {}]}',
+             '{"event_type": "cycle_aborted", "payload": null}', '{"event_type": "cycle_aborted", "payload": []}',
+             '{"event_type": "cycle_aborted", "payload": 3}', '{"event_type": "cycle_aborted", "payload": {}}']
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, raw_payload string").repartition(2)
+    unread, other = ["payload: not valid JSON"], ["payload: must be object"]
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    try:
+        found = {}
+        for contract in ("C3", "C10"):
+            checked = c.VALIDATORS[contract](df)
+            assert "schema_of_variant(_v#" not in checked._jdf.queryExecution().analyzed().toString()
+            found[contract] = {r.n: r.errors for r in checked.collect()}
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    for errors in found.values():
+        assert [errors[n] for n in (0, 1, 2)] == [unread] * 3 and [errors[n] for n in (3, 4, 5, 7)] == [other] * 4
+    lists = [[e for e in found["C3"][n] if e.startswith("readings")] for n in (6, 8, 9, 10)]
+    assert lists[:3] == [["readings: must be array"]] * 3
+    assert [e for e in lists[3] if "must be object" in e] == [f"readings[{i}]: must be object" for i in (0, 1, 2)]
+    assert len(lists[3]) == 9 and all(e.startswith("readings[3].") for e in lists[3][3:])
+    payloads = [[e for e in found["C10"][n] if e.startswith("payload")] for n in (11, 12, 13, 14)]
+    assert payloads == [["payload: required for cycle_aborted"], ["payload: must be object"], ["payload: must be object"],
+                        ["payload.reason: required"]]
