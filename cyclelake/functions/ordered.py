@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cyclelake.functions.timing import time_slot
-from cyclelake.session import shared_dir
+from cyclelake.session import shared_dir, staged
 
 SLICE = "_slice"
 KEY_ROWS = 1_000_000
@@ -140,7 +140,8 @@ def as_of_value(left, right, keys, left_order, right_order, value, name, inclusi
         *keys, F.col(left_order[0]).alias("_ts"), F.lit(1).alias("_side"),
         F.col(left_order[1]).cast("string").alias("_id"), F.struct(*left.columns).alias("_row"),
     )
-    both = asked.unionByName(marks, allowMissingColumns=True)
+    # The series is read up to three times (rows per key, summaries, the scan), its sides may be costly.
+    both = staged(asked.unionByName(marks, allowMissingColumns=True), "series")
     series = OrderedSeries(both, keys, ["_ts", "_side", "_id"], width, max_rows, key_rows)
     stamped = series.with_last_seen(_found=F.col("_mark")).filter(F.col("_side") == 1)
     return stamped.select("_row.*", F.col("_found.v").alias(name))

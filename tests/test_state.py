@@ -120,6 +120,23 @@ def test_asof_stamp(spark):
     assert [r.order_id for r in stamped] == [None, "A", "A", None, None, "B", "B"]
 
 
+@pytest.mark.parametrize("key_rows", [1_000_000, 5])    # keys left whole, keys cut into slices
+def test_asof_reads_its_input_once(spark, key_rows):
+    counted = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(oven):
+        counted.add(1)
+        return oven
+
+    left = readings(spark, [reading(i, minutes=i) for i in range(40)]).withColumn("oven_id", seen.asNondeterministic()("oven_id"))
+    marks = events(spark, [event(1, "cycle_started", "A", 10)])
+    stamped = as_of_value(left.drop("order_id"), marks, ["oven_id"], ("timestamp_opc", "reading_id"), ("event_time", "event_id"),
+                          F.col("order_id"), "order_id", key_rows=key_rows)
+    assert [r.order_id for r in stamped.orderBy("timestamp_opc").collect()] == [None] * 10 + ["A"] * 30
+    assert counted.value == 40
+
+
 def test_cycle_phases(spark):
     from cyclelake.operators.silver import cycle_pairs
 
