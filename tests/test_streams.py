@@ -305,6 +305,22 @@ def test_alerts_equal_batch(spark, folder, seed):
     assert read() == expected
 
 
+def test_alert_rules_prepare_a_batch_once(spark, folder):
+    counted = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(value):
+        counted.add(1)
+        return value
+
+    rules = {"stalled": ts.moisture_stalled_rule(5.0, 45), "spike": ts.temperature_spike_rule(30)}
+    prepare = lambda r: r.withColumn("value", seen.asNondeterministic()("value"))
+    rows = [reading(i, "moisture", 500.0, 10 * i) for i in range(12)] + [reading(20 + i, value=100.0 * (i % 2), minutes=i) for i in range(8)]
+    land(readings(spark, rows), folder, 1, lambda x: j.alerts_stream(x, f"{folder}/state", f"{folder}/alerts", rules, prepare=prepare, buckets=2))
+    assert {r.rule for r in j.read_alerts(spark, f"{folder}/alerts").collect()} == {"stalled", "spike"}
+    assert counted.value == len(rows)
+
+
 def test_windows_pairs_and_timeouts(spark, folder):
     df = readings(spark, [reading(i, value=i, minutes=i) for i in range(30)])
     land(df, f"{folder}/w", 1, lambda x: j.append_sink(x, f"{folder}/w/out"), lambda x: j.channel_window_stats(x))
