@@ -27,10 +27,12 @@ def profile(lake):
     )
 
 
-def targets(lake):
-    return lake.pairs().select("order_id", "cycle_start_time", "cycle_end_time").join(
-        lake.orders().select("order_id", "material_id"), "order_id"
-    ).join(lake.materials().select("material_id", "target_moisture_ppm"), "material_id").drop("material_id")
+def targets(lake, known=None):
+    """``known``: pairs, orders and materials where they have been computed."""
+    pairs, orders, materials = known or (lake.pairs(), lake.orders(), lake.materials())
+    return pairs.select("order_id", "cycle_start_time", "cycle_end_time").join(
+        orders.select("order_id", "material_id"), "order_id"
+    ).join(materials.select("material_id", "target_moisture_ppm"), "material_id").drop("material_id")
 
 
 def oven_setpoints(lake):

@@ -11,7 +11,7 @@ from cyclelake.plans.catalog.bronze import PARSED, VALUE
 from cyclelake.plans.catalog.series import DRYING, ETA, JUMPS, STALLED, VACUUM, oven_setpoints, shown_eta, targets
 from cyclelake.plans.catalog.state import AS_OF, PARTS
 from cyclelake.plans.checks import sql
-from cyclelake.session import staging_path
+from cyclelake.session import staged, staging_path
 from cyclelake.sources.tables import read_bronze, read_upserted
 from cyclelake.streaming import jobs as j
 
@@ -150,13 +150,17 @@ def ring(lake):
 def eta(lake):
     """Readings of every order in three arrivals; the estimate comes from the sums alone."""
     sums, landing, progress = (staging_path(lake.spark, n) for n in ("sums", "landing", "progress"))
-    pairs, orders, materials = (df.checkpoint() for df in (lake.pairs(), lake.orders(), lake.materials()))
-    rows = lake.readings().withColumn("part", F.pmod(F.xxhash64("reading_id"), F.lit(3))).checkpoint()
+    known = tuple(staged(df, name) for name, df in {
+        "pairs": lake.pairs().select("order_id", "cycle_start_time", "cycle_end_time"),
+        "orders": lake.orders().select("order_id", "material_id"), "materials": lake.materials()}.items())
+    rows = lake.readings()
+    rows.withColumn("part", F.pmod(F.xxhash64("reading_id"), F.lit(3))).write.partitionBy("part").parquet(landing)
     for part in range(3):
-        rows.filter(F.col("part") == part).drop("part").write.mode("append").parquet(landing)
-        stream = lake.spark.readStream.schema(rows.drop("part").schema).parquet(landing)
-        j.start(j.eta_stream(stream, lambda: (pairs, orders, materials), sums, 4, 2), progress).awaitTermination()
-    return shown_eta(j.read_eta(lake.spark, sums, targets(lake)))
+        # Later arrivals become visible to the same stream as more files.
+        stream = lake.spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(
+            f"{landing}/part={{{','.join(map(str, range(part + 1)))}}}")
+        j.start(j.eta_stream(stream, lambda: known, sums, 4, 2), progress).awaitTermination()
+    return shown_eta(j.read_eta(lake.spark, sums, targets(lake, known)))
 
 
 QUERIES = {

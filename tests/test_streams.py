@@ -475,3 +475,18 @@ def test_state_stores_write_changes_and_count_no_rows(spark, folder):
     assert before == (dict(spark.sparkContext.getConf().getAll()), {n: spark.conf.get(n, None) for n in j.STATE_SETTINGS})
     stored = [str(f.relative_to(folder)) for f in pathlib.Path(f"{folder}/progress/state").rglob("*.changelog")]
     assert stored and spark.read.parquet(f"{folder}/out").count() == 20
+
+
+def test_eta_query_computes_its_inputs_once(spark):
+    from cyclelake.plans.catalog import stream
+    from cyclelake.plans.tables import Lake
+
+    asked = []
+
+    class Counted(Lake):
+        def view(self, name, live=()):
+            asked.append(name)
+            return super().view(name, live)
+
+    assert stream.eta(Counted(spark, "/root/testdata/sf0.001")).count() > 0
+    assert sorted(asked) == ["br_events", "br_materials", "br_orders", "br_readings"]
