@@ -113,9 +113,9 @@ def appended(lake):
 
 
 def upserted(lake):
-    """Order versions upserted oldest first in three runs, one of them twice: the latest version stays."""
+    """Order versions upserted oldest first in three runs, one of them twice: the latest version stays, and of equal rows one."""
     path = staging_path(lake.spark, "orders")
-    versions = lake.view("br_orders").drop("ingested_at").distinct()
+    versions = lake.view("br_orders").drop("ingested_at")
     for statuses in (["CREATED"], ["RELEASED", "IN_PROGRESS"], ["CONFIRMED", "ABORTED"], ["CREATED"]):
         t.upsert_latest(versions.filter(F.col("status").isin(*statuses)), path, ["order_id"], "updated_at", 16)
     return t.read_upserted(lake.spark, path)

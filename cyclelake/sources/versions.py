@@ -88,7 +88,11 @@ def write_parts(df: DataFrame, table: str, keys, buckets: int | None) -> dict[in
 def drop_parts(spark: SparkSession, table: str, parts: dict[int, str]) -> None:
     """Removes folders of ``write_parts`` that no manifest names."""
     for folder in {p.rsplit("/", 1)[0] for p in parts.values()}:
-        file_system(spark, table).delete(path_of(spark, f"{table}/{folder}"), True)
+        _drop(spark, table, folder)
+
+
+def _drop(spark: SparkSession, table: str, folder: str) -> None:
+    file_system(spark, table).delete(path_of(spark, f"{table}/{folder}"), True)
 
 
 def publish(spark: SparkSession, table: str, manifest: dict) -> dict:
@@ -167,23 +171,27 @@ def append(df: DataFrame, table: str, keys, buckets: int | None = 64, batch=None
 def merge(new: DataFrame, table: str, keys, combine: Callable[[DataFrame], DataFrame], buckets: int = 64, batch=None,
           notes: dict | None = None, attempts: int = 5) -> dict | None:
     """Replaces the buckets that ``new`` has rows of by ``combine`` of their stored and new rows (column ``_new``: 0 and 1). ``new``
-    runs once: its rows are written first, and where they landed tells the buckets. Rows that ``combine`` leaves out are gone."""
+    runs once: its rows are written first, as they come and not by bucket, which would be a shuffle more; their keys are then read
+    to tell the buckets. Rows that ``combine`` leaves out are gone."""
     spark, manifest = new.sparkSession, snapshot(new.sparkSession, table)
     if applied(manifest, batch):
         return manifest
     n = _buckets(manifest, keys, buckets)
-    parts = write_parts(new, table, keys, n)
+    name = f"data/{uuid.uuid4().hex}"
+    new.write.parquet(f"{table}/{name}")
     try:
-        fresh = {"schema": new.schema.jsonValue(), "buckets": {b: [p] for b, p in parts.items()}}
+        fresh = spark.read.schema(new.schema).parquet(f"{table}/{name}")
+        # At most one entry per bucket.
+        touched = {r[0] for r in fresh.select(bucket_of(keys, n)).distinct().collect()}
         for _ in range(attempts):
-            rows = read_snapshot(spark, table, fresh).withColumn("_new", F.lit(1))
+            rows = fresh.withColumn("_new", F.lit(1))
             if manifest:
-                old = read_snapshot(spark, table, manifest, set(parts)).withColumn("_new", F.lit(0))
+                old = read_snapshot(spark, table, manifest, touched).withColumn("_new", F.lit(0))
                 rows = old.unionByName(rows, allowMissingColumns=True)
             merged = combine(rows).drop("_new")
-            written = write_parts(merged, table, keys, n) if parts else {}
+            written = write_parts(merged, table, keys, n) if touched else {}
             following = _following(manifest, merged.schema, keys, n, batch, notes)
-            for bucket in parts:
+            for bucket in touched:
                 following["buckets"].pop(str(bucket), None)
             following["buckets"].update({str(b): [folder] for b, folder in written.items()})
             try:
@@ -195,7 +203,7 @@ def merge(new: DataFrame, table: str, keys, combine: Callable[[DataFrame], DataF
                     return manifest
         raise VersionTaken(f"{table}: other writers were faster {attempts} times")
     finally:
-        drop_parts(spark, table, parts)
+        _drop(spark, table, name)
 
 
 def compact(spark: SparkSession, table: str, combine: Callable[[DataFrame], DataFrame] | None = None, most: int = 8) -> dict | None:

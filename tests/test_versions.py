@@ -132,3 +132,19 @@ def test_empty_rows_new_columns_and_dropped_keys(spark, folder):
     for drop, keep in ((one("a", "b", "c"), one("a", "c")), (one("a", "d"), one("d"))):
         t.replace_keys(drop, keep, waiting, ["k"], 2)
     assert sorted(r.k for r in t.read_upserted(spark, waiting).collect()) == ["c", "d"]
+
+
+def test_new_rows_of_a_merge_are_shuffled_by_bucket_once(spark, folder, monkeypatch):
+    table, calls, write_parts = f"{folder}/t", [], v.write_parts
+    monkeypatch.setattr(v, "write_parts", lambda *args: calls.append(1) or write_parts(*args))
+    t.upsert_latest(rows(spark, *[(f"k{i}", 1) for i in range(20)]), table, ["k"], "n", 4)
+    t.upsert_latest(rows(spark, ("k1", 2), ("k1", 2), ("k2", 0), (None, 3), (None, 3)), table, ["k"], "n", 4)
+    assert len(calls) == 2
+    found = t.read_upserted(spark, table).collect()
+    expected = {f"k{i}": 1 for i in range(20)} | {"k1": 2, None: 3}
+    assert {r.k: r.n for r in found} == expected and len(found) == 21
+    # What was put beside the table for the merge is gone, and an empty merge changes no row.
+    named = {f.rsplit("/", 1)[0] for n in v.versions(spark, table) for parts in v.snapshot(spark, table, n)["buckets"].values() for f in parts}
+    assert {f"data/{s.getPath().getName()}" for s in v._listed(spark, f"{table}/data")} == named
+    t.upsert_latest(rows(spark), table, ["k"], "n", 4)
+    assert t.read_upserted(spark, table).count() == 21
