@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cyclelake.operators import gold as g
@@ -18,8 +20,18 @@ def write_clustered(df: DataFrame, table: str, path: str, order=(), key: str = "
     writer.option("path", path).saveAsTable(table)
 
 
-def write_silver(spark: SparkSession, folder: str, prefix: str, buckets: int = 64, **frames: DataFrame) -> dict[str, str]:
-    """Silver frames (readings, events, orders, order_state, all by order_id) as clustered tables with the same buckets. Returns the table names."""
+def input_megabytes(spark: SparkSession, *frames: DataFrame) -> float:
+    """Size of all files that the frames read; a frame that reads none counts nothing."""
+    uris = {file for df in frames for file in df.inputFiles()}
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)) for uri in uris]
+    return sum(p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).getLen() for p in paths) / 1e6
+
+
+def write_silver(spark: SparkSession, folder: str, prefix: str, buckets: int = 64, bucket_mb: float = 16.0, **frames: DataFrame) -> dict[str, str]:
+    """Silver frames (readings, events, orders, order_state, all by order_id) as clustered tables with the same buckets: one for every
+    ``bucket_mb`` of the files that they are read from, at least ``buckets``, so that a task's share does not grow with the tables. Returns
+    the table names."""
+    buckets = max(buckets, math.ceil(input_megabytes(spark, *frames.values()) / bucket_mb))
     names = {kind: f"{prefix}_{kind}" for kind in frames}
     for kind, df in frames.items():
         write_clustered(df, names[kind], f"{folder}/{kind}", CLUSTERED[kind], buckets=buckets)

@@ -25,3 +25,14 @@ def test_gold_over_tables_has_no_exchange(spark, folder, hot):
     assert not "Exchange hashpartitioning(order_id" in plan and plan.count("Bucketed: true") == 3
     expected = g.gold_cycle_summary(s.cycle_pairs(silver["events"]), silver["orders"], materials(spark), silver["readings"])
     assert found == {tuple(r) for r in expected.collect()} and found
+
+
+def test_buckets_grow_with_the_files_read(spark, folder):
+    readings(spark, [reading(i, order=f"o{i}") for i in range(50)]).write.parquet(f"{folder}/bronze readings")
+    bronze = spark.read.parquet(f"{folder}/bronze readings")
+    size = st.input_megabytes(spark, bronze, bronze)
+    assert size > 0 and st.input_megabytes(spark, bronze, bronze.filter("value > 0")) == size
+    for share, buckets in ((10, 2), (0.2, 5)):
+        names = st.write_silver(spark, f"{folder}/silver{buckets}", f"grown{buckets}", 2, share * size, readings=bronze)
+        found = spark.sql(f"describe extended {names['readings']}").filter("col_name = 'Num Buckets'").first()
+        assert int(found.data_type) == buckets and spark.table(names["readings"]).count() == 50
