@@ -490,3 +490,22 @@ def test_eta_query_computes_its_inputs_once(spark):
 
     assert stream.eta(Counted(spark, "/root/testdata/sf0.001")).count() > 0
     assert sorted(asked) == ["br_events", "br_materials", "br_orders", "br_readings"]
+
+
+def test_gold_stream_drops_only_keys_that_wait(spark, folder, monkeypatch):
+    """Orders that never waited are not written to the table of waiting orders."""
+    log, known, rows = cycles(6)
+    dropped, replace = [], j.replace_keys
+    monkeypatch.setattr(j, "replace_keys", lambda keys, *args: dropped.append({r.order_id for r in keys.collect()}) or replace(keys, *args))
+    present = known[:4]
+    run = gold_job(spark, folder, lambda changed: (s.silver_orders(orders(spark, present)), materials(spark), None))
+    events(spark, log).write.parquet(f"{folder}/log")
+    readings(spark, rows[:20]).write.mode("append").parquet(f"{folder}/series")
+    run()
+    assert dropped[0] == set() and t.read_upserted(spark, f"{folder}/gold").count() == 4
+    late = {r.order_id for r in t.read_upserted(spark, f"{folder}/pending").collect()}
+    present = known
+    readings(spark, rows[20:]).write.mode("append").parquet(f"{folder}/series")
+    run()
+    assert dropped[-1] == late and {o[0] for o in known[4:]} <= late
+    assert t.read_upserted(spark, f"{folder}/gold").count() == 6 and t.read_upserted(spark, f"{folder}/pending").count() == 0
