@@ -17,7 +17,7 @@ from cyclelake.streaming import jobs as j
 
 
 def finish(lake, writer):
-    with j.rocksdb(lake.spark):
+    with j.rocksdb(lake.spark, count_rows=False):
         j.start(writer, staging_path(lake.spark, "progress")).awaitTermination()
 
 
@@ -51,7 +51,7 @@ def silver(lake):
     for part in (0, 1):
         stream = lake.spark.readStream.schema(rows.drop("part").schema).option("recursiveFileLookup", "true").parquet(
             f"{landing}/part={{{','.join(map(str, range(part + 1)))}}}")
-        with j.rocksdb(lake.spark):
+        with j.rocksdb(lake.spark, count_rows=False):
             j.start(j.append_sink(j.silver_readings_stream(stream, "9000 days"), out), progress).awaitTermination()
     return lake.spark.read.schema(rows.drop("part").schema).parquet(out)
 
@@ -85,7 +85,7 @@ def gold(lake):
     landed, progress = {name: staging_path(lake.spark, name) for name in landings}, staging_path(lake.spark, "progress")
     for name, rows in landings.items():
         rows.write.partitionBy("part").parquet(landed[name])
-    with j.rocksdb(lake.spark):
+    with j.rocksdb(lake.spark, count_rows=False):
         for part in (0, 1):
             def dimensions(changed, part=part):
                 orders = lake.view("br_orders").join(changed, "order_id", "left_semi")

@@ -467,12 +467,16 @@ def test_state_does_not_depend_on_row_order(spark, seed):
     assert {tuple(r) for r in st.process_state(shuffled, as_of=at(99)).collect()} == expected
 
 
-def test_state_stores_write_changes_and_count_no_rows(spark, folder):
-    """A commit does not write the whole state, a write does not read; the session is left as it was."""
-    before = dict(spark.sparkContext.getConf().getAll()), {n: spark.conf.get(n, None) for n in j.STATE_SETTINGS}
+def test_state_stores_write_changes(spark, folder):
+    """A commit does not write the whole state; rows are counted unless told otherwise; the session is left as it was."""
+    settings = lambda: {n: spark.conf.get(n, None) for n in (*j.STATE_SETTINGS, j.ROWS)}
+    before = settings()
+    with j.rocksdb(spark, count_rows=False):
+        assert spark.conf.get(j.ROWS) == "false"
+    assert settings() == before
     df = readings(spark, [reading(i, minutes=i) for i in range(20)])
     land(df, folder, 1, lambda x: j.append_sink(x, f"{folder}/out"), lambda x: j.silver_readings_stream(x, "2 hours"))
-    assert before == (dict(spark.sparkContext.getConf().getAll()), {n: spark.conf.get(n, None) for n in j.STATE_SETTINGS})
+    assert settings() == before
     stored = [str(f.relative_to(folder)) for f in pathlib.Path(f"{folder}/progress/state").rglob("*.changelog")]
     assert stored and spark.read.parquet(f"{folder}/out").count() == 20
 
