@@ -3,7 +3,7 @@
 Distinct vectors are dealt to shards per label, one graph is built per shard, and the vectors of every shard search every
 shard of their label (each pair of shards once). A search keeps a beam of the best vectors seen; a vector whose beam is full
 of hits is searched again with a wider beam, and a pair of shards whose audit against brute force falls short is searched
-again with wider beams for all, up to a comparison with the whole shard. Links to other vectors are audited on their own. Cosines of what is found are checked in double precision.
+again with wider beams for all, which in shards of this size is a comparison with the whole shard. Links to other vectors are audited on their own. Cosines of what is found are checked in double precision.
 Tasks return link counts and a forest of the links they found, not the links; the forests are united by components.
 """
 
@@ -22,7 +22,7 @@ SHARD_ROWS = 8192
 NEIGHBOURS = 12       # links a vector gets per layer; the lowest layer keeps twice as many
 BUILD_BEAM, BEAM, WIDER = 48, 48, 4
 BLOCK = 256           # vectors searched or added at once
-SCAN = 8              # a beam wider than this part of the shard costs more than comparing with the whole shard
+SCAN, WIDE_SCAN = 8, 64   # a first beam, and a widened one, wider than these parts of the shard give way to comparing with all of it
 AUDITED, RECALL = 48, 0.97   # audited vectors, and of those that have links
 NEAREST = 5           # audits also ask for the nearest vectors
 
@@ -31,33 +31,32 @@ def _select(sims: np.ndarray, between: np.ndarray, m: int) -> np.ndarray:
     """For each row, up to m candidates (columns of ``sims``, -inf for none) in order of similarity, each closer to the
     row's vector than to any candidate chosen before; then the best of the others. -1 fills up."""
     rows, width = sims.shape
-    chosen = np.full((rows, m), -1)
-    every = np.arange(rows)
-    for strict in (True, False):
-        open_ = np.isfinite(sims)
-        for k in range(m):
-            picked = chosen[:, k] >= 0
-            open_[every[picked], chosen[picked, k]] = False
-        blocked = np.full((rows, width), -np.inf)
-        for k in range(m):
-            have = chosen[:, k] >= 0
-            if strict and k:
-                blocked = np.maximum(blocked, np.where((chosen[:, k - 1] >= 0)[:, None],
-                                                       between[every, chosen[:, k - 1]], -np.inf))
-            allowed = open_ & (sims > blocked) if strict else open_
-            score = np.where(allowed, sims, -np.inf)
-            best = score.argmax(1)
-            take = ~have & np.isfinite(score[every, best])
-            chosen[take, k] = best[take]
-            open_[every[take], best[take]] = False
-    return chosen
+    chosen, count = np.full((rows, m), -1), np.zeros(rows, int)
+    free, blocked, live = sims.copy(), np.full(sims.shape, -np.inf, sims.dtype), np.arange(rows)
+    for k in range(min(m, width)):
+        score = np.where(sims[live] > blocked[live], free[live], -np.inf)
+        best = score.argmax(1)
+        some = np.isfinite(score[np.arange(len(live)), best])
+        live, best = live[some], best[some]
+        if len(live) == 0:
+            break
+        chosen[live, k] = best
+        count[live] += 1
+        free[live, best] = -np.inf
+        blocked[live] = np.maximum(blocked[live], between[live, best])
+    rest = np.argsort(-free, axis=1)[:, :m]
+    place = np.arange(m) - count[:, None]
+    other = np.take_along_axis(rest, np.clip(place, 0, rest.shape[1] - 1), 1)
+    usable = (place >= 0) & (place < rest.shape[1]) & np.isfinite(np.take_along_axis(free, other, 1))
+    return np.where(usable, other, chosen)
 
 
 class Graph:
     """A navigable small-world graph over unit vectors. Vectors are added in blocks that see the graph so far."""
 
     def __init__(self, vectors: np.ndarray, neighbours=NEIGHBOURS, beam=BUILD_BEAM, block=BLOCK):
-        self.x, n = vectors, len(vectors)
+        n = len(vectors)
+        self._hold(vectors)
         rng = np.random.default_rng(n)
         self.level = np.minimum((-np.log(1 - rng.random(n)) / np.log(neighbours)).astype(int), 6)
         self.links = [np.full((n, neighbours * (2 if layer == 0 else 1)), -1)
@@ -68,6 +67,10 @@ class Graph:
             self._add(np.arange(start, min(n, start + size)), beam)
             start, size = start + size, min(block, start + size)
 
+    def _hold(self, vectors: np.ndarray) -> None:
+        """The way through the graph is found in single precision, what is found gets its similarity in double precision."""
+        self.x, self.short = vectors, vectors.astype(np.float32)
+
     def _add(self, new: np.ndarray, beam: int) -> None:
         start = new[0]
         for layer in range(len(self.links)):
@@ -76,7 +79,7 @@ class Graph:
                 continue
             ids = np.full((len(mine), 0), -1)
             if start:
-                ids = self.search(self.x[mine], beam, layer)[0]
+                ids = self._walk(self.short[mine], beam, layer)
             own = np.where(np.eye(len(mine), dtype=bool), -1, mine[None, :])
             self._connect(mine, np.concatenate([ids, own], 1), layer)
         top = new[self.level[new].argmax()]
@@ -85,11 +88,11 @@ class Graph:
 
     def _choose(self, nodes: np.ndarray, ids: np.ndarray, layer: int, most=64) -> np.ndarray:
         """Links of ``nodes`` out of the candidates ``ids`` (-1: none)."""
-        sims = np.where(ids >= 0, np.einsum("nd,nkd->nk", self.x[nodes], self.x[ids]), -np.inf)
+        sims = np.where(ids >= 0, np.einsum("nd,nkd->nk", self.short[nodes], self.short.take(ids, 0, mode="wrap")), np.float32(-np.inf))
         if ids.shape[1] > most:
             top = np.argpartition(-sims, most, axis=1)[:, :most]
             ids, sims = np.take_along_axis(ids, top, 1), np.take_along_axis(sims, top, 1)
-        close = self.x[ids]
+        close = self.short.take(ids, 0, mode="wrap")
         places = _select(sims, close @ close.transpose(0, 2, 1), self.links[layer].shape[1])
         return np.where(places >= 0, np.take_along_axis(ids, np.maximum(places, 0), 1), -1)
 
@@ -104,7 +107,7 @@ class Graph:
         if len(target) == 0:
             return
         # The new links seen from their other end: the closest of them join that end's own links.
-        order = np.lexsort((-np.einsum("nd,nd->n", self.x[source], self.x[target]), target))
+        order = np.lexsort((-np.einsum("nd,nd->n", self.short[source], self.short[target]), target))
         source, target = source[order], target[order]
         ends, first, sizes = np.unique(target, return_index=True, return_counts=True)
         room = links.shape[1]
@@ -119,12 +122,12 @@ class Graph:
     def _descend(self, queries: np.ndarray, layer: int) -> np.ndarray:
         """For each query, a near vector to start from in ``layer``."""
         at = np.full(len(queries), self.entry)
-        best = queries @ self.x[self.entry]
+        best = queries @ self.short[self.entry]
         for upper in range(self.level[self.entry], layer, -1):
             moving = np.arange(len(queries))
             while len(moving):
                 near = self.links[upper][at[moving]]
-                sims = np.where(near >= 0, np.einsum("nd,nkd->nk", queries[moving], self.x[near]), -np.inf)
+                sims = np.where(near >= 0, np.einsum("nd,nkd->nk", queries[moving], self.short[near]), -np.inf)
                 step = sims.argmax(1)
                 value = sims[np.arange(len(moving)), step]
                 better = value > best[moving]
@@ -135,15 +138,20 @@ class Graph:
 
     def search(self, queries: np.ndarray, beam: int, layer=0, expand=4) -> tuple[np.ndarray, np.ndarray]:
         """The best ``beam`` vectors that each query meets: ids (-1: none) and similarities."""
+        ids = self._walk(queries.astype(np.float32), beam, layer, expand)
+        return ids, np.where(ids >= 0, np.einsum("nd,nkd->nk", queries, self.x[ids]), -np.inf)
+
+    def _walk(self, queries: np.ndarray, beam: int, layer=0, expand=4) -> np.ndarray:
+        """The best ``beam`` vectors that each query meets (-1: none)."""
         n, every = len(queries), np.arange(len(queries))
         if self.level[self.entry] < layer:
-            return np.full((n, 0), -1), np.zeros((n, 0))
+            return np.full((n, 0), -1)
         ids = np.full((n, beam), -1)
-        sims = np.full((n, beam), -np.inf)
+        sims = np.full((n, beam), -np.inf, np.float32)
         done = np.zeros((n, beam), bool)
         seen = np.zeros((n, len(self.x)), bool)
         ids[:, 0] = self._descend(queries, layer)
-        sims[:, 0] = np.einsum("nd,nd->n", queries, self.x[ids[:, 0]])
+        sims[:, 0] = np.einsum("nd,nd->n", queries, self.short[ids[:, 0]])
         seen[every, ids[:, 0]] = True
         while True:
             waiting = np.where(done | (ids < 0), -np.inf, sims)
@@ -151,7 +159,7 @@ class Graph:
             places = np.argpartition(-waiting, count - 1, axis=1)[:, :count] if beam > count else np.tile(np.arange(beam), (n, 1))
             usable = np.isfinite(np.take_along_axis(waiting, places, 1))
             if not usable.any():
-                return ids, sims
+                return ids
             live = np.flatnonzero(usable.any(1))
             places, usable = places[live], usable[live]
             done[live[:, None], places] |= usable
@@ -163,8 +171,8 @@ class Graph:
             near = np.where(fresh, near, -1)
             rows, cols = np.nonzero(fresh)
             seen[live[rows], near[rows, cols]] = True
-            new = np.full(near.shape, -np.inf)
-            new[rows, cols] = np.einsum("nd,nd->n", queries[live[rows]], self.x[near[rows, cols]])
+            new = np.full(near.shape, -np.inf, np.float32)
+            new[rows, cols] = np.einsum("nd,nd->n", queries.take(live[rows], 0), self.short.take(near[rows, cols], 0))
             all_ids, all_sims = np.concatenate([ids[live], near], 1), np.concatenate([sims[live], new], 1)
             all_done = np.concatenate([done[live], np.zeros(near.shape, bool)], 1)
             top = np.argpartition(-all_sims, beam - 1, axis=1)[:, :beam]
@@ -196,7 +204,7 @@ def find_hits(graph: Graph, queries: np.ndarray, threshold: float, beam=BEAM) ->
     depend on how many hits there are), and the beam that passed the audits: of hits and nearest
     vectors of AUDITED queries, and of the hits other than themselves of AUDITED queries that have such hits. Where fewer
     have, brute force has found all hits by then, and they are added."""
-    n, total = len(queries), len(graph.x)
+    n, total, first = len(queries), len(graph.x), beam
     linked, links, complete = _linked(graph, queries, threshold)
     sample = np.unique(np.linspace(0, n - 1, min(n, AUDITED)).astype(int))
     truth = queries[sample] @ graph.x.T
@@ -208,7 +216,7 @@ def find_hits(graph: Graph, queries: np.ndarray, threshold: float, beam=BEAM) ->
         for at in range(0, n, BLOCK):
             todo, width = np.arange(at, min(n, at + BLOCK)), beam
             while len(todo):
-                if width * SCAN >= total:   # the widest beam: the whole shard
+                if width * (SCAN if width == first else WIDE_SCAN) >= total:   # the widest beam: the whole shard
                     sims = queries[todo] @ graph.x.T
                     ids = np.broadcast_to(np.arange(total), sims.shape)
                     full = np.zeros(len(todo), bool)
@@ -230,7 +238,7 @@ def find_hits(graph: Graph, queries: np.ndarray, threshold: float, beam=BEAM) ->
             passed = complete or held.sum() >= RECALL * links.sum() and (held / links.sum(1)).mean() >= RECALL
             if complete:
                 hit[linked] |= links
-        if beam * SCAN >= total or passed:
+        if beam * (SCAN if beam == first else WIDE_SCAN) >= total or passed:
             return hit, beam
         beam *= WIDER
 
@@ -282,7 +290,7 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
 
 def _graph(row, dim: int) -> Graph:
     graph = Graph.__new__(Graph)
-    graph.x = _unit(row["vectors"], dim)
+    graph._hold(_unit(row["vectors"], dim))
     graph.entry, graph.level = row["entry"], np.frombuffer(row["level"], np.int8)
     graph.links = [np.frombuffer(layer, np.int32).reshape(len(graph.x), -1) for layer in row["links"]]
     return graph

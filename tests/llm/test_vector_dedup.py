@@ -114,3 +114,25 @@ def test_large_label_equals_brute_force(spark):
     links = (unit(x) @ unit(x).T >= 0.98).sum(1) - 1
     found = np.array([out[i] for i in range(len(x))])
     assert (found <= links).all() and found.sum() >= 0.97 * links.sum()
+
+
+def test_a_failed_audit_leads_to_the_whole_shard(monkeypatch):
+    """Wider beams cost several times the comparison with all vectors of a shard, and it misses nothing."""
+    x = unit(cloud(3000, seed=6))
+    graph, beams, search = Graph(x), set(), Graph.search
+
+    def blind(self, queries, beam, layer=0, expand=4):
+        beams.add(beam)
+        ids, sims = search(self, queries, beam, layer, expand)
+        return np.full_like(ids, -1), np.full_like(sims, -np.inf)
+
+    monkeypatch.setattr(Graph, "search", blind)
+    hit, _ = find_hits(graph, x, 0.98)
+    assert beams == {48} and (hit == (x @ x.T >= 0.98)).all()
+
+
+def test_similarities_found_in_single_precision_are_returned_in_double():
+    x = unit(cloud(700, seed=7))
+    graph = Graph(x)
+    ids, sims = graph.search(x[:100], 48)
+    assert graph.short.dtype == np.float32 and np.abs(sims - np.einsum("nd,nkd->nk", x[:100], x[ids])).max() < 1e-12
