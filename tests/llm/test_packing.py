@@ -1,3 +1,4 @@
+import gc
 import random
 import zlib
 
@@ -100,3 +101,29 @@ def test_pack(spark, documents):
     same = documents([(7, "tie tie"), (7, "tie tie"), (None, "no id")])
     assert sorted((r.doc_id or 0, r.doc_tokens) for r in pack(same, PATH).collect() if r.start == 0) == [(0, 3), (7, 3), (7, 3)]
     assert pack(documents([]), PATH).count() == 0
+
+
+def test_words_are_remembered_in_bounded_arrays(monkeypatch):
+    """A table of words without bound, a tuple of numbers for each, took a worker's memory."""
+    texts = [" ".join(f"{a}{b}{k}" for a in "abcdefgh" for b in ("xy", "é", "zü")) for k in range(300)]
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 30)
+    monkeypatch.setattr(packing, "SLICE_BYTES", 100)
+    tokenizer, most = ChunkTokenizer(PATH), 0
+    for ids, wanted in zip(tokenizer.encode(texts + ODD), library_ids(texts + ODD)):
+        assert ids.tolist() == wanted
+        most = max(most, len(tokenizer.words.number))
+    assert 0 < most <= 30 + 200 and all(type(n) is int for n in tokenizer.words.number.values())
+
+
+def test_no_worker_keeps_tables_after_a_partition(spark, documents):
+    """Workers take the tasks of a stage in turn; what each keeps adds up."""
+    def left(batches):
+        gc.collect()
+        for batch in batches:
+            kept = sum(type(o).__name__ in ("ChunkTokenizer", "Sequences") for o in gc.get_objects())
+            kept += sum(len(v) for n, v in vars(packing).items() if n.isupper() and isinstance(v, dict))
+            yield batch.assign(kept=kept)[["kept"]]
+
+    df = documents([(i, f"word{i} some text") for i in range(40)]).coalesce(1)
+    assert pack(df, PATH).select("doc_id").distinct().count() == 40
+    assert {r.kept for r in df.mapInPandas(left, "kept bigint").collect()} == {0}
